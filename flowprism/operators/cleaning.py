@@ -34,20 +34,52 @@ def remove_duplicates(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- quantiles
 
 
+def exact_quantile_table(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Exact linear-interpolated quantiles (pandas/numpy ``linear``) for many columns in one plan.
+
+    Columns are stacked into (k, v) pairs and counted per distinct value (map-side combined), so the shuffle
+    carries distinct values, not rows.  A running count per column gives each value's rank range; the values at
+    ranks floor((n-1)p) and the next one are picked with conditional maxima and interpolated.  The rank window
+    sorts (and spills) one column's distinct values per task, unlike ``percentile`` whose in-memory map must hold
+    them all; for very high-cardinality columns use ``exact=False``.
+    Returns one row per column index ``k`` with ``n`` (non-null count) and ``q0..q{len(probs)-1}``.
+    """
+    from pyspark.sql import Window as W
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), col(c).cast("double").alias("v"))
+                                for i, c in enumerate(cols)]))
+    counts = (df.select(pairs.alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull())
+              .groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")))
+    w = W.partitionBy("k").orderBy("v")
+    ranked = counts.select(
+        "k", "v", F.coalesce(F.sum("c").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+        F.sum("c").over(W.partitionBy("k")).alias("n"))
+    aggs = [F.first("n").alias("n")]
+    for j, p in enumerate(probs):
+        pos = (F.col("n") - 1) * F.lit(float(p))
+        i = F.floor(pos)
+        aggs += [F.max(F.when(F.col("before") <= i, F.col("v"))).alias(f"lo{j}"),
+                 F.max(F.when(F.col("before") <= i + 1, F.col("v"))).alias(f"hi{j}"),
+                 F.first(pos - i).alias(f"fr{j}")]
+    g = ranked.groupBy("k").agg(*aggs)
+    return g.select("k", "n", *[(F.col(f"lo{j}") + (F.col(f"hi{j}") - F.col(f"lo{j}")) * F.col(f"fr{j}")).alias(f"q{j}")
+                                for j in range(len(probs))])
+
+
 def quantile_values(df: DataFrame, cols: list[str], probs: list[float], exact: bool = True,
                     accuracy: int = 100_000) -> dict[str, list[float | None]]:
-    """One aggregate computing ``probs`` quantiles for every column.
+    """Quantiles for every column (driver gets O(columns x probs) numbers).
 
-    ``exact`` uses ``percentile`` (linear interpolation, same as pandas); its buffer grows with the number of
-    *distinct* values, so for high-cardinality columns at scale pass ``exact=False`` (``percentile_approx``).
+    ``exact`` uses :func:`exact_quantile_table`; ``exact=False`` uses ``percentile_approx`` (one pass, bounded
+    memory) for very high-cardinality columns at scale.
     """
     if not cols:
         return {}
-    arr = F.array(*[F.lit(float(p)) for p in probs])
     if exact:
-        aggs = [F.percentile(col(c).cast("double"), arr).alias(f"q{i}") for i, c in enumerate(cols)]
-    else:
-        aggs = [F.percentile_approx(col(c).cast("double"), arr, accuracy).alias(f"q{i}") for i, c in enumerate(cols)]
+        rows = {r["k"]: r for r in exact_quantile_table(df, cols, probs).collect()}
+        return {c: ([rows[i][f"q{j}"] for j in range(len(probs))] if i in rows else [None] * len(probs))
+                for i, c in enumerate(cols)}
+    arr = F.array(*[F.lit(float(p)) for p in probs])
+    aggs = [F.percentile_approx(col(c).cast("double"), arr, accuracy).alias(f"q{i}") for i, c in enumerate(cols)]
     row = df.agg(*aggs).collect()[0]
     return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs)) for i, c in enumerate(cols)}
 
