@@ -29,7 +29,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        r = round(v, 6)
+        r = round(v, 0) if abs(v) >= 1e6 else round(v, 6)
         return 0.0 if r == 0 else r
     if isinstance(v, bool):
         return v
