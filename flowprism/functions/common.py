@@ -79,3 +79,15 @@ def lit_sql(v) -> str:
     if isinstance(v, int):
         return f"CAST({v} AS BIGINT)"
     return repr(v)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage at a fit point: eager ``checkpoint()`` into the shared folder the session names in
+    ``spark.checkpoint.dir`` (a scratch folder is set only when unset, i.e. local tests).  Later fits then
+    scan the materialised rows instead of re-running the whole upstream plan, and a lost executor only
+    recomputes from here."""
+    from flowprism.session import checkpoint_dir
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from flowprism.functions.common import materialize
 from flowprism.operators import cleaning as cl
 from flowprism.operators import quality as qa
 from flowprism.plans.base import oracle, r6, register
@@ -17,9 +18,9 @@ ALL = fx.FLOW_COLUMNS
 
 def cleaned_flows(spark, sf_dir, exact=True):
     """Path 1 on the clean fixture: dedup -> missing policy -> IQR removal with rare-class protection."""
-    d = cl.remove_duplicates(fx.flows(spark, sf_dir))
+    d = materialize(cl.remove_duplicates(fx.flows(spark, sf_dir)))
     d, _ = cl.handle_missing_values(d, exact=exact)
-    return cl.handle_outliers(d, "remove", target="action", protect_below=100, exact=exact)
+    return materialize(cl.handle_outliers(d, "remove", target="action", protect_below=100, exact=exact))
 
 
 # ------------------------------------------------------------------ oracle fragments

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowprism.functions.common import col
+from flowprism.functions.common import col, materialize
 from flowprism.functions.flow_exprs import add_flow_features
 from flowprism.operators import cleaning as cl
 from flowprism.operators import features as fe
@@ -233,7 +233,7 @@ _FEATS = _SCALE_CANDIDATES + _FLAG_FEATURES
 def _scaled_spark(spark, sf_dir):
     e = engineered(spark, sf_dir)
     st = fe.fit_standard(e, fe.scale_candidates(e, "action"))
-    return e.withColumns(fe.standard_exprs(st))
+    return materialize(e.withColumns(fe.standard_exprs(st)))
 
 
 @register("variance_filter", oracle(["flows"], " UNION ALL ".join(

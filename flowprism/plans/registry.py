@@ -6,7 +6,7 @@ import importlib
 
 from flowprism.plans.base import ORACLES, QUERIES
 
-_MODULES = ["cleaning_queries", "evaluation_queries", "feature_queries"]
+_MODULES = ["cleaning_queries", "evaluation_queries", "feature_queries", "balance_queries", "model_queries"]
 
 
 def load():
