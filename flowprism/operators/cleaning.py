@@ -53,7 +53,7 @@ def exact_quantile_table(df: DataFrame, cols: list[str], probs: list[float]) ->
     ranked = counts.select(
         "k", "v", F.coalesce(F.sum("c").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"),
         F.sum("c").over(W.partitionBy("k")).alias("n"))
-    aggs = [F.first("n").alias("n")]
+    aggs = [F.first("n").alias("n"), F.count(F.lit(1)).alias("n_distinct")]
     for j, p in enumerate(probs):
         pos = (F.col("n") - 1) * F.lit(float(p))
         i = F.floor(pos)
@@ -61,7 +61,7 @@ def exact_quantile_table(df: DataFrame, cols: list[str], probs: list[float]) ->
                  F.max(F.when(F.col("before") <= i + 1, F.col("v"))).alias(f"hi{j}"),
                  F.first(pos - i).alias(f"fr{j}")]
     g = ranked.groupBy("k").agg(*aggs)
-    return g.select("k", "n", *[(F.col(f"lo{j}") + (F.col(f"hi{j}") - F.col(f"lo{j}")) * F.col(f"fr{j}")).alias(f"q{j}")
+    return g.select("k", "n", "n_distinct", *[(F.col(f"lo{j}") + (F.col(f"hi{j}") - F.col(f"lo{j}")) * F.col(f"fr{j}")).alias(f"q{j}")
                                 for j in range(len(probs))])
 
 

@@ -81,25 +81,38 @@ def quality_gate(df: DataFrame, allow_negative=()) -> DataFrame:
 
 
 def profile_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
-    """Long numeric profile: nulls, distinct, min, max, mean, median, sample std, q1, q3 per column."""
+    """Long numeric profile: nulls, distinct, min, max, mean, median, sample std, q1, q3 per column.
+
+    Moments come from one codegen'd aggregate; distinct counts and exact quartiles from one stacked
+    (column, value) count table (see ``exact_quantile_table``); the two one-row-per-column results are joined.
+    ``approx`` switches to HLL++ distinct counts and ``percentile_approx`` for very large cardinalities.
+    """
+    from flowprism.operators.cleaning import exact_quantile_table
     cols = cols if cols is not None else numeric_columns(df)
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for i, c in enumerate(cols):
         x = col(c).cast("double")
-        q = F.percentile_approx(x, probs, 100_000) if approx else F.percentile(x, probs)
-        d = F.approx_count_distinct(col(c)) if approx else F.count_distinct(col(c))
-        aggs += [F.sum(col(c).isNull().cast("long")).alias(f"z{i}"), d.alias(f"d{i}"), F.min(x).alias(f"mn{i}"),
-                 F.max(x).alias(f"mx{i}"), F.avg(x).alias(f"av{i}"), F.stddev_samp(x).alias(f"sd{i}"), q.alias(f"q{i}")]
+        aggs += [F.sum(col(c).isNull().cast("long")).alias(f"z{i}"), F.min(x).alias(f"mn{i}"),
+                 F.max(x).alias(f"mx{i}"), F.avg(x).alias(f"av{i}"), F.stddev_samp(x).alias(f"sd{i}")]
+        if approx:
+            aggs += [F.approx_count_distinct(col(c)).alias(f"d{i}"),
+                     F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 100_000).alias(f"q{i}")]
     one = df.agg(*aggs)
-    rows = [[lit_sql(c), str(i), f"z{i}", f"d{i}", f"mn{i}", f"mx{i}", f"av{i}", f"q{i}[1]", f"sd{i}", f"q{i}[0]", f"q{i}[2]"]
+    extra = [f"d{i}", f"q{i}[0]", f"q{i}[1]", f"q{i}[2]"] if approx else []
+    rows = [[lit_sql(c), str(i), f"z{i}", f"mn{i}", f"mx{i}", f"av{i}", f"sd{i}"] + ([f"d{i}", f"q{i}[0]", f"q{i}[1]", f"q{i}[2]"] if approx else [])
             for i, c in enumerate(cols)]
-    names = ["column_name", "ordinal", "null_count", "distinct_count", "min", "max", "mean", "median", "std", "q1", "q3"]
+    names = ["column_name", "ordinal", "null_count", "min", "max", "mean", "std"] + (["distinct_count", "q1", "median", "q3"] if approx else [])
     long = one.select("n_rows", stack_expr(rows, names))
+    if not approx:
+        qt = exact_quantile_table(df, cols, [0.25, 0.5, 0.75]).select(
+            F.col("k").cast("int").alias("ordinal"), F.col("n_distinct").alias("distinct_count"),
+            F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
+        long = long.withColumn("ordinal", F.col("ordinal").cast("int")).join(qt, "ordinal", "left")
     return long.select("column_name", F.col("ordinal").cast("int").alias("ordinal"),
                        F.col("null_count").cast("long").alias("null_count"),
-                       F.col("distinct_count").cast("long").alias("distinct_count"),
-                       *names[4:], (F.col("null_count") * 100.0 / F.col("n_rows")).alias("null_pct"))
+                       F.coalesce(F.col("distinct_count"), F.lit(0)).cast("long").alias("distinct_count"),
+                       "min", "max", "mean", "median", "std", "q1", "q3",
+                       (F.col("null_count") * 100.0 / F.col("n_rows")).alias("null_pct"))
 
 
 def profile_categorical(df: DataFrame, cols: list[str] | None = None, top: int = 10) -> DataFrame:
