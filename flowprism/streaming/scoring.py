@@ -28,7 +28,9 @@ def score_stream(flows: DataFrame, model: PipelineModel | None = None, target: s
 
 def monitor_stream(preds: DataFrame, ts: str = "ts", watermark: str = "30 days", duration: str = "7 days") -> DataFrame:
     """Watermarked tumbling-window accuracy / threat-class recall over a stream of predictions."""
-    return windowed_monitor(preds.withWatermark(ts, watermark), ts, duration)
+    # watermarks need TIMESTAMP (with zone); parquet files often carry TIMESTAMP_NTZ
+    p = preds.withColumn(ts, F.col(ts).cast("timestamp"))
+    return windowed_monitor(p.withWatermark(ts, watermark), ts, duration)
 
 
 def run_to_memory(df: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None):
