@@ -124,7 +124,7 @@ def variance_table(df: DataFrame, cols: list[str], threshold: float = VARIANCE_T
 
 # ---------------------------------------------------------------- D21 ANOVA F, D24 correlation
 
-def anova_f(df: DataFrame, cols: list[str], label: str) -> DataFrame:
+def anova_f(df: DataFrame, cols: list[str], label: str, digits: int | None = 4) -> DataFrame:
     """One-way ANOVA F per feature vs the class label (scikit-learn ``f_classif``) from per-class
     count / sum / sum of squares: one grouped aggregate of (#classes) rows, then SQL arithmetic."""
     per = df.groupBy(col(label).alias("_y")).agg(
@@ -142,6 +142,7 @@ def anova_f(df: DataFrame, cols: list[str], label: str) -> DataFrame:
     ss_bn = F.col("B") - F.col("S") ** 2 / F.col("n")
     ss_wn = ss_tot - ss_bn
     f = F.try_divide(ss_bn / (F.col("k") - 1), ss_wn / (F.col("n") - F.col("k")))
+    f = F.round(f, digits) if digits is not None else f  # equal F values tie-break by name, not by last bits
     return long.select("column_name", F.col("ordinal").cast("int").alias("ordinal"), f.alias("f_score"))
 
 
@@ -162,7 +163,8 @@ def corr_with_target(df: DataFrame, cols: list[str], label: str) -> DataFrame:
     long = one.select(stack_expr(rows, ["column_name", "ordinal", "corr"]))
     long = long.select("column_name", F.col("ordinal").cast("int").alias("ordinal"),
                        F.when(F.isnan("corr"), None).otherwise(F.col("corr")).alias("corr"))
-    return rank_desc(long.withColumn("abs_corr", F.abs("corr")), "abs_corr")
+    # rank on the 6-decimal value so features with equal correlations tie-break by name deterministically
+    return rank_desc(long.withColumn("abs_corr", F.round(F.abs("corr"), 6)), "abs_corr")
 
 
 # ---------------------------------------------------------------- D22 frozen artefact
@@ -228,3 +230,42 @@ class FeatureModel:
     @classmethod
     def from_json(cls, s: str) -> "FeatureModel":
         return cls(**json.loads(s))
+
+
+# ---------------------------------------------------------------- D23 report, D25 new-feature groups
+
+# Name fragments counted per feature family in the report.
+REPORT_GROUPS = {"nat": ["nat"], "port": ["port"], "traffic": ["byte", "packet", "ratio"],
+                 "time": ["time", "duration", "second"], "log": ["log1p"]}
+
+
+def feature_groups(columns: list[str]) -> dict[str, int]:
+    return {g: sum(1 for c in columns if any(p in c.lower() for p in pats)) for g, pats in REPORT_GROUPS.items()}
+
+
+def new_features(before: list[str], after: list[str]) -> dict[str, list[str]]:
+    """Columns added by feature engineering, grouped by family (first matching family wins, else 'other')."""
+    added = [c for c in after if c not in set(before)]
+    out: dict[str, list[str]] = {g: [] for g in list(REPORT_GROUPS) + ["other"]}
+    for c in added:
+        g = next((g for g, pats in REPORT_GROUPS.items() if any(p in c.lower() for p in pats)), "other")
+        out[g].append(c)
+    return out
+
+
+def feature_report(df: DataFrame, target: str) -> DataFrame:
+    """Long report (section, name, value): shape, feature counts by type and family, target distribution and
+    missing cells -- one aggregate plus one grouped count."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    num = sum(1 for t in types.values() if isinstance(t, T.NumericType))
+    cat = sum(1 for t in types.values() if isinstance(t, T.StringType))
+    nulls = sum((col(c).isNull().cast("long") for c in df.columns), F.lit(0))
+    one = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(nulls), F.lit(0)).alias("missing"))
+    rows = [["'shape'", "'rows'", "rows"], ["'shape'", "'columns'", lit_sql(len(df.columns))],
+            ["'features'", "'numeric'", lit_sql(num)], ["'features'", "'categorical'", lit_sql(cat)],
+            ["'quality'", "'missing_values'", "missing"]]
+    rows += [["'family'", lit_sql(g), lit_sql(n)] for g, n in feature_groups(df.columns).items()]
+    head = one.select(stack_expr(rows, ["section", "name", "value"]))
+    dist = df.groupBy(col(target).cast("string").alias("name")).agg(F.count(F.lit(1)).alias("value"))
+    return head.select("section", "name", F.col("value").cast("long").alias("value")).unionByName(
+        dist.select(F.lit("target").alias("section"), "name", F.col("value").cast("long").alias("value")))

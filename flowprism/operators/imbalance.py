@@ -106,8 +106,19 @@ def variant_distribution(variants: DataFrame, label: str, baseline: str = "basel
         (F.size(F.array_except("classes", "base_classes")) + F.size(F.array_except("base_classes", "classes")) == 0)
         .alias("same_classes"),
         (F.col("min_class") >= MIN_CLASS_ROWS).alias("min_class_ok"),
-        F.when(F.col("strategy") == "oversampling", "maximize_minority_recall")
-        .when(F.col("strategy") == "undersampling", "fast_training").otherwise("reference").alias("use_case"))
+        F.when(F.col("strategy") == "undersampling", "large_data_fast_training")
+        .when((F.col("strategy") == "oversampling") & (imp > 10), "severe_imbalance_minority_focus")
+        .when(F.col("strategy") == "oversampling", "moderate_imbalance").otherwise("general").alias("use_case"))
+
+
+def variant_quality(basic: DataFrame, dist: DataFrame, leakage: DataFrame) -> DataFrame:
+    """Seven pass/fail checks averaged per variant: no nulls, shape consistent (one frame: always), numeric
+    dtypes, more than one class, same class set as the original, every class >= 10 rows, no test rows."""
+    j = basic.join(dist, "strategy").join(leakage.select("strategy", "in_test"), "strategy")
+    checks = [F.col("null_cells") == 0, F.lit(True), F.col("all_numeric"), F.col("n_classes") > 1,
+              F.col("same_classes"), F.col("min_class_ok"), F.col("in_test") == 0]
+    score = sum((F.coalesce(c, F.lit(False)).cast("int") for c in checks), F.lit(0)) / F.lit(len(checks))
+    return j.select("strategy", score.alias("quality_score"), "improvement", "use_case")
 
 
 def leakage_check(variants: DataFrame, key: str = "row_id") -> DataFrame:

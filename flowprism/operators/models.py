@@ -104,3 +104,109 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+# ---------------------------------------------------------------- F6 train matrix, F7 tuning
+
+def macro_f1(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> float:
+    """Macro F1 over the union of true and predicted classes (zero division -> 0), from confusion counts."""
+    from flowprism.operators.metrics import classification_metrics, confusion_counts
+    conf = confusion_counts(pred.withColumn("_k", F.lit(1)), keys=("_k",), label=label, prediction=prediction)
+    return float(classification_metrics(conf, keys=("_k",)).collect()[0]["f1_macro"])
+
+
+class MacroF1Evaluator:
+    """Spark ML evaluator for macro F1 (MulticlassClassificationEvaluator's 'f1' is the weighted mean)."""
+
+    def __new__(cls, label: str = "label"):
+        from pyspark.ml.evaluation import Evaluator
+
+        class _Eval(Evaluator):
+            def _evaluate(self, dataset):
+                return macro_f1(dataset, label, "prediction")
+
+            def isLargerBetter(self):
+                return True
+
+        return _Eval()
+
+
+# Random-forest search grid (min_samples_leaf maps to minInstancesPerNode; Spark has no
+# min_samples_split), draws, folds, sample size.
+RF_GRID = {"numTrees": [100, 200], "maxDepth": [10, 20], "minInstancesPerNode": [1, 2]}
+TUNE_DRAWS = 10
+TUNE_FOLDS = 3
+TUNE_SAMPLE = 5000
+
+
+def tune_random_forest(train: DataFrame, features: list[str], label: str = "label", draws: int = TUNE_DRAWS,
+                       folds: int = TUNE_FOLDS, sample: int = TUNE_SAMPLE, seed: int = SEED) -> tuple[PipelineModel, list]:
+    """Random search: ``draws`` parameter maps drawn (seeded) from the grid, ``folds``-fold stratified CV on a
+    ``sample``-row exact hash sample scored by macro F1 with balanced class weights; the best map is refit on
+    the whole training set (keeping all base parameters)."""
+    import itertools
+    import random
+
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from flowprism.operators.imbalance import class_weights
+    from flowprism.operators.sampling import stratified_folds, take_per_group
+
+    rf = random_forest(label).setWeightCol("_w")
+    combos = list(itertools.product(*RF_GRID.values()))
+    picked = random.Random(seed).sample(combos, min(draws, len(combos)))
+    maps = [{getattr(rf, k): v for k, v in zip(RF_GRID, c)} for c in picked]
+    w = class_weights(train, label).select(col("label").alias(label), F.col("weight").alias("_w"))
+    data = train.join(F.broadcast(w), label)  # one row per class: bounded
+    small = take_per_group(data.withColumn("_all", F.lit(0)), "_all", {0: sample}).drop("_all")
+    small = stratified_folds(small, label, folds).withColumn(label, col(label).cast("double"))
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cv = CrossValidator(estimator=Pipeline(stages=[assembler(features), rf]), estimatorParamMaps=maps,
+                            evaluator=MacroF1Evaluator(label), foldCol="fold", parallelism=2, seed=seed)
+        cvm = cv.fit(small)
+    finally:
+        small.unpersist()
+    results = [(str({p.name: v for p, v in m.items()}), float(s)) for m, s in zip(maps, cvm.avgMetrics)]
+    best = maps[max(range(len(maps)), key=lambda i: cvm.avgMetrics[i])]
+    final = fit_pipeline(data, features, random_forest(label).setWeightCol("_w").copy(best), label)
+    return final, results
+
+
+def train_matrix(variants: DataFrame, features: list[str], models: list[str], label: str = "label",
+                 key: str = "row_id") -> tuple[DataFrame, DataFrame]:
+    """Fit every (strategy, model) cell on its training variant and predict the shared test split.
+
+    Failures are isolated per cell (a status row records the error).  Returns (status, predictions) where
+    predictions has the (strategy, model, row_id, label, prediction) shape the evaluation operators take.
+    """
+    from flowprism.operators.neighbors import knn_classify
+    spark = variants.sparkSession
+    test = variants.where(F.col("split") == "test")
+    status, preds = [], None
+    strategies = [r["strategy"] for r in variants.where(F.col("split") == "train").select("strategy").distinct().collect()]
+    for s in sorted(strategies):
+        train = variants.where((F.col("split") == "train") & (F.col("strategy") == s))
+        n = train.count()
+        for m in models:
+            try:
+                if m == "logistic_regression":
+                    p = score(fit_pipeline(train, features, logistic_regression(n), label), test, [key, label])
+                elif m == "random_forest":
+                    p = score(fit_pipeline(train, features, random_forest(label), label), test, [key, label])
+                elif m == "svm":
+                    p = svm_rbf(train, test, features, [key, label], label)
+                elif m == "knn":
+                    tr = train.withColumn("_v", F.array(*[col(c).cast("double") for c in features]))
+                    te = test.withColumn("_v", F.array(*[col(c).cast("double") for c in features]))
+                    p = knn_classify(tr, te, KNN_K, key, "_v", label)
+                else:
+                    raise ValueError(f"unknown model {m}")
+                p = p.select(F.lit(s).alias("strategy"), F.lit(m).alias("model"), key, col(label).cast("int").alias(label),
+                             F.col("prediction").cast("int").alias("prediction"))
+                preds = p if preds is None else preds.unionByName(p)
+                status.append((s, m, "success", n, None))
+            except Exception as e:  # isolate the failing cell
+                status.append((s, m, "failed", n, f"{type(e).__name__}: {str(e)[:200]}"))
+    st = spark.createDataFrame(status, "strategy string, model string, status string, n_train bigint, error string")
+    return st, preds

@@ -146,7 +146,9 @@ def random_oversample(df: DataFrame, label: str, extra: dict, seed: int = SEED,
     ch = spark.createDataFrame(chunks, f"{label} {dict(df.dtypes)[label]}, ci long, cn long, n long")
     draws = ch.select(label, "n", F.explode(F.sequence(F.col("ci") * chunk, F.col("ci") * chunk + F.col("cn") - 1)).alias("_d"))
     draws = draws.select(label, F.pmod(F.xxhash64(F.lit(seed), col(label), F.col("_d")), F.col("n")).alias("_idx"), "_d")
-    copies = idx.join(draws, [label, "_idx"]).drop("_idx", "_d")
+    copies = idx.join(draws, [label, "_idx"])
+    # a copy is a new row: it gets its own id so joins on ``key`` never fan out
+    copies = copies.withColumn(key, F.xxhash64(F.lit(seed), col(key), F.col("_d"))).drop("_idx", "_d")
     return df.unionByName(copies.select(*df.columns))
 
 

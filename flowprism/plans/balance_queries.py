@@ -176,8 +176,9 @@ def q_variant_basic_checks(spark, sf_dir):
 @register("variant_distribution", _bq(f"""
 SELECT strategy, {r6('rb')} AS ratio_before, {r6('ra')} AS ratio_after, {r6('rb / ra')} AS improvement,
        true AS same_classes, mn >= 10 AS min_class_ok,
-       CASE strategy WHEN 'oversampling' THEN 'maximize_minority_recall' WHEN 'undersampling' THEN 'fast_training'
-            ELSE 'reference' END AS use_case
+       CASE WHEN strategy = 'undersampling' THEN 'large_data_fast_training'
+            WHEN strategy = 'oversampling' AND rb / ra > 10 THEN 'severe_imbalance_minority_focus'
+            WHEN strategy = 'oversampling' THEN 'moderate_imbalance' ELSE 'general' END AS use_case
 FROM (SELECT strategy, max(n) / min(n) AS ra, min(n) AS mn FROM vcounts GROUP BY strategy),
      (SELECT max(n) / min(n) AS rb FROM vcounts WHERE strategy = 'baseline')"""))
 def q_variant_distribution(spark, sf_dir):
@@ -250,3 +251,19 @@ FROM (SELECT ts, pos, s, first_pos, CAST(floor((pos - first_pos) / s) AS INTEGER
 WHERE pos >= first_pos GROUP BY fold, first_pos, s"""))
 def q_time_series_folds(spark, sf_dir):
     return sp.time_series_folds(fx.read(spark, sf_dir, "events"), "ts", "event_id", 5)
+
+
+@register("variant_quality", _bq(f"""
+SELECT strategy, {r6("(CASE WHEN mn >= 10 THEN 6 ELSE 5 END + CASE WHEN k > 1 THEN 1 ELSE 0 END) / 7.0")} AS quality_score,
+       {r6('rb / ra')} AS improvement,
+       CASE WHEN strategy = 'undersampling' THEN 'large_data_fast_training'
+            WHEN strategy = 'oversampling' AND rb / ra > 10 THEN 'severe_imbalance_minority_focus'
+            WHEN strategy = 'oversampling' THEN 'moderate_imbalance' ELSE 'general' END AS use_case
+FROM (SELECT strategy, max(n) / min(n) AS ra, min(n) AS mn, count(*) AS k FROM vcounts GROUP BY strategy),
+     (SELECT max(n) / min(n) AS rb FROM vcounts WHERE strategy = 'baseline')"""))
+def q_variant_quality(spark, sf_dir):
+    """Seven validation checks per variant averaged into a quality score, with improvement and use case."""
+    v = balanced_variants(spark, sf_dir)
+    tr = v.where(F.col("split") == "train")
+    return ib.variant_quality(ib.variant_basic_checks(tr, "label", _FEATS), ib.variant_distribution(tr, "label"),
+                              ib.leakage_check(v))

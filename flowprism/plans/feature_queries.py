@@ -257,19 +257,19 @@ def _anova_sql():
 
 @register("anova_f_rank", oracle(["flows"], f"""
 SELECT column_name, ordinal, {r6('round(f_score, 4)')} AS f_score,
-       CAST(row_number() OVER (ORDER BY f_score DESC NULLS LAST, column_name) AS INTEGER) AS rank,
-       row_number() OVER (ORDER BY f_score DESC NULLS LAST, column_name) <= 50 AS selected FROM fs""",
+       CAST(row_number() OVER (ORDER BY round(f_score, 4) DESC NULLS LAST, column_name) AS INTEGER) AS rank,
+       row_number() OVER (ORDER BY round(f_score, 4) DESC NULLS LAST, column_name) <= 50 AS selected FROM fs""",
     _ENG_CTES + _scaled_oracle("standard") + _anova_sql()))
 def q_anova_f_rank(spark, sf_dir):
     """One-way ANOVA F of each scaled feature against the class; rank and top-50 flag."""
     s = _scaled_spark(spark, sf_dir)
     out = fe.rank_desc(fe.anova_f(s, _FEATS, "action"), "f_score", fe.K_FEATURES)
-    return out.withColumn("f_score", F.round("f_score", 4)).withColumn("rank", F.col("rank").cast("int"))
+    return out.withColumn("rank", F.col("rank").cast("int"))
 
 
 @register("corr_with_target", oracle(["flows"], f"""
 SELECT column_name, ordinal, {r6('r')} AS corr, {r6('abs(r)')} AS abs_corr,
-       CAST(row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, column_name) AS INTEGER) AS rank
+       CAST(row_number() OVER (ORDER BY round(abs(r), 6) DESC NULLS LAST, column_name) AS INTEGER) AS rank
 FROM ({' UNION ALL '.join(f"SELECT '{c}' AS column_name, CAST({i} AS INTEGER) AS ordinal, "
                            f"covar_pop({c}, label) / NULLIF(stddev_pop({c}) * stddev_pop(label), 0) AS r FROM lab"
                            for i, c in enumerate(_FEATS))})""",
@@ -280,3 +280,29 @@ def q_corr_with_target(spark, sf_dir):
     lab = e.withColumn("label", fe.label_encode_expr("action", fe.fit_levels(e, "action")))
     out = fe.corr_with_target(lab, _FEATS, "label")
     return out.withColumn("rank", F.col("rank").cast("int"))
+
+
+def _report_oracle():
+    from flowprism.operators.features import feature_groups
+    cols = fx.FLOW_COLUMNS + ["has_nat", "src_port_nat_match", "dst_port_nat_match", "source_port_category",
+                              "source_port_is_well_known", "source_port_is_ephemeral", "destination_port_category",
+                              "destination_port_is_http", "destination_port_is_dns", "destination_port_is_ssh",
+                              "bytes_sent_ratio", "pkts_sent_ratio", "avg_packet_size", "is_small_flow", "is_large_flow",
+                              "bytes_per_second", "packets_per_second", "duration_category", "is_short_session",
+                              "is_long_session"]
+    fam = " UNION ALL ".join(f"SELECT 'family', '{g}', {n}" for g, n in feature_groups(cols).items())
+    nulls = " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in cols)
+    return oracle(["flows"], f"""
+SELECT section, name, CAST(value AS BIGINT) AS value FROM (
+  SELECT 'shape' AS section, 'rows' AS name, count(*) AS value FROM eng
+  UNION ALL SELECT 'shape', 'columns', {len(cols)} UNION ALL SELECT 'features', 'numeric', {len(cols) - 4}
+  UNION ALL SELECT 'features', 'categorical', 4
+  UNION ALL SELECT 'quality', 'missing_values', coalesce(sum({nulls}), 0) FROM eng
+  UNION ALL {fam}
+  UNION ALL SELECT 'target', action, count(*) FROM eng GROUP BY action)""", _ENG_CTES)
+
+
+@register("feature_report", _report_oracle())
+def q_feature_report(spark, sf_dir):
+    """Shape, feature counts by type and family, target distribution and missing cells of the engineered table."""
+    return fe.feature_report(engineered(spark, sf_dir), "action")

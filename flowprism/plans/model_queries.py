@@ -52,3 +52,19 @@ def q_rf_predict(spark, sf_dir):
 def q_svm_predict(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     return md.svm_rbf(train, test, _FEATS, ["row_id", "label"])
+
+
+MATRIX_MODELS = ["knn", "logistic_regression", "random_forest", "svm"]
+
+
+def train_matrix_status(spark, sf_dir, models=tuple(MATRIX_MODELS)):
+    """Phase 4: every strategy x model cell fitted on its variant (failures isolated), then the phase-5 summary
+    of the real predictions on the shared test split; one row per cell with status and scores.
+
+    Not registered as a driver query: twelve full fits (LR up to 1000 L-BFGS passes, 100-tree forests) take
+    many minutes even at sf0.01; tests/test_models.py drives it on the smallest scale."""
+    from flowprism.operators.metrics import confusion_counts, model_summary
+    status, preds = md.train_matrix(balanced_variants(spark, sf_dir), _FEATS, list(models))
+    summ = model_summary(confusion_counts(preds)).select(
+        F.col("dataset").alias("strategy"), "model", "accuracy", "f1_macro", "security_score")
+    return status.join(summ, ["strategy", "model"], "left")

@@ -22,7 +22,7 @@ def test_oracle(spark, name):
 def test_registry_complete():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 80
+    assert len(q) >= 82
 
 
 def test_entry(spark):
