@@ -163,7 +163,7 @@ def tune_random_forest(train: DataFrame, features: list[str], label: str = "labe
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         cv = CrossValidator(estimator=Pipeline(stages=[assembler(features), rf]), estimatorParamMaps=maps,
-                            evaluator=MacroF1Evaluator(label), foldCol="fold", parallelism=2, seed=seed)
+                            evaluator=MacroF1Evaluator(label), foldCol="fold", numFolds=folds, parallelism=2, seed=seed)
         cvm = cv.fit(small)
     finally:
         small.unpersist()
