@@ -82,12 +82,17 @@ def lit_sql(v) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage at a fit point: eager ``checkpoint()`` into the shared folder the session names in
-    ``spark.checkpoint.dir`` (a scratch folder is set only when unset, i.e. local tests).  Later fits then
-    scan the materialised rows instead of re-running the whole upstream plan, and a lost executor only
-    recomputes from here."""
+    """Cut lineage at a fit point by writing a Parquet table into the shared folder the session names in
+    ``spark.checkpoint.dir`` (a scratch folder is set only when unset, i.e. local tests) and reading it back.
+
+    Later fits then scan a columnar table (with pruning and pushdown) instead of re-running the upstream plan,
+    and a lost executor recomputes from here, not from the raw input.
+    """
+    import uuid
+
     from flowprism.session import checkpoint_dir
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/flowprism-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

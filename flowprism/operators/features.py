@@ -248,7 +248,9 @@ def new_features(before: list[str], after: list[str]) -> dict[str, list[str]]:
     added = [c for c in after if c not in set(before)]
     out: dict[str, list[str]] = {g: [] for g in list(REPORT_GROUPS) + ["other"]}
     for c in added:
-        g = next((g for g, pats in REPORT_GROUPS.items() if any(p in c.lower() for p in pats)), "other")
+        # the most specific family first: 'log1p_bytes' is a log feature, not a traffic one
+        order = ["log"] + [k for k in REPORT_GROUPS if k != "log"]
+        g = next((g for g in order if any(p in c.lower() for p in REPORT_GROUPS[g])), "other")
         out[g].append(c)
     return out
 

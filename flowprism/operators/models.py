@@ -29,6 +29,14 @@ SVM_FEATURES = 256
 SEED = 42
 
 
+def variant_preprocessor(train: DataFrame, test: DataFrame, features: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Per-strategy standard scaler (population std) fitted on that variant's training rows and applied to
+    both sides: one aggregate, then projections."""
+    from flowprism.operators.features import fit_standard, standard_exprs
+    ex = standard_exprs(fit_standard(train, features))
+    return train.withColumns(ex), test.withColumns(ex)
+
+
 def assembler(features: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
 
@@ -188,6 +196,7 @@ def train_matrix(variants: DataFrame, features: list[str], models: list[str], la
     for s in sorted(strategies):
         train = variants.where((F.col("split") == "train") & (F.col("strategy") == s))
         n = train.count()
+        train, test = variant_preprocessor(train, variants.where(F.col("split") == "test"), features)
         for m in models:
             try:
                 if m == "logistic_regression":

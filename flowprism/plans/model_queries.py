@@ -31,7 +31,7 @@ def _train_test(spark, sf_dir, strategy="baseline"):
     v = balanced_variants(spark, sf_dir)
     train = v.where((F.col("strategy") == strategy) & (F.col("split") == "train"))
     test = v.where(F.col("split") == "test")
-    return train, test
+    return md.variant_preprocessor(train, test, _FEATS)
 
 
 @register("lr_predict")

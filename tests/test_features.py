@@ -29,3 +29,14 @@ def test_port_and_duration_edges(spark):
     assert [r["is_long_session"] for r in out] == [0, 0, 0, 0, 0, 0, 1]
     assert [r["is_small_flow"] for r in out][:2] == [1, 0]
     assert [r["is_large_flow"] for r in out][2:4] == [0, 1]
+
+
+def test_new_feature_groups_and_ignore(spark):
+    from flowprism.operators.cleaning import handle_outliers
+    from flowprism.operators.features import new_features
+    g = new_features(["bytes", "source_port"], ["bytes", "source_port", "has_nat", "source_port_is_http",
+                                                "bytes_per_second", "log1p_bytes", "x"])
+    assert g["nat"] == ["has_nat"] and g["port"] == ["source_port_is_http"]
+    assert g["traffic"] == ["bytes_per_second"] and g["log"] == ["log1p_bytes"] and g["other"] == ["x"]
+    df = spark.createDataFrame([(1.0,), (1000.0,)], "v double")
+    assert handle_outliers(df, "ignore", target=None).count() == 2
