@@ -34,25 +34,39 @@ def remove_duplicates(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- quantiles
 
 
-def exact_quantile_table(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+def exact_quantile_table(df: DataFrame, cols: list[str], probs: list[float], n_parts: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas/numpy ``linear``) for many columns in one plan.
 
     Columns are stacked into (k, v) pairs and counted per distinct value (map-side combined), so the shuffle
-    carries distinct values, not rows.  A running count per column gives each value's rank range; the values at
-    ranks floor((n-1)p) and the next one are picked with conditional maxima and interpolated.  The rank window
-    sorts (and spills) one column's distinct values per task, unlike ``percentile`` whose in-memory map must hold
-    them all; for very high-cardinality columns use ``exact=False``.
-    Returns one row per column index ``k`` with ``n`` (non-null count) and ``q0..q{len(probs)-1}``.
+    carries distinct values, not rows.  The distinct-value table is range-partitioned on (k, v) -- one column's
+    values spread over many partitions, so a high-cardinality column is never sorted by a single task -- and
+    materialised so partition ids are stable; per-partition totals (n_parts x columns numbers) give each
+    partition's offset, and a running count inside the partition gives every value's rank range.  The values
+    at ranks floor((n-1)p) and the next one are picked with conditional maxima and interpolated.
+    Returns one row per column index ``k`` with ``n`` (non-null count), ``n_distinct`` and ``q0..``.
     """
     from pyspark.sql import Window as W
+
+    from flowprism.functions.common import materialize
+    spark = df.sparkSession
+    n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), col(c).cast("double").alias("v"))
                                 for i, c in enumerate(cols)]))
     counts = (df.select(pairs.alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull())
               .groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")))
-    w = W.partitionBy("k").orderBy("v")
-    ranked = counts.select(
-        "k", "v", F.coalesce(F.sum("c").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-        F.sum("c").over(W.partitionBy("k")).alias("n"))
+    ranged = materialize(counts.repartitionByRange(n_parts, "k", "v").withColumn("_pid", F.spark_partition_id()))
+    per = collect_bounded(ranged.groupBy("k", "_pid").agg(F.sum("c").alias("s")))
+    offsets, totals = {}, {}
+    for r in sorted(per, key=lambda r: (r["k"], r["_pid"])):
+        offsets[(r["k"], r["_pid"])] = totals.get(r["k"], 0)
+        totals[r["k"]] = totals.get(r["k"], 0) + r["s"]
+    key = F.col("k").cast("long") * F.lit(1 << 20) + F.col("_pid")
+    off = F.create_map(*[x for (k, p), o in offsets.items() for x in (F.lit(k * (1 << 20) + p), F.lit(o))])[key]
+    tot = F.create_map(*[x for k, t in totals.items() for x in (F.lit(k), F.lit(t))])[F.col("k")]
+    w = W.partitionBy("_pid", "k").orderBy("v")
+    ranked = ranged.select(
+        "k", "v", (off + F.coalesce(F.sum("c").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).alias("before"),
+        tot.alias("n"))
     aggs = [F.first("n").alias("n"), F.count(F.lit(1)).alias("n_distinct")]
     for j, p in enumerate(probs):
         pos = (F.col("n") - 1) * F.lit(float(p))
@@ -62,7 +76,7 @@ def exact_quantile_table(df: DataFrame, cols: list[str], probs: list[float]) ->
                  F.first(pos - i).alias(f"fr{j}")]
     g = ranked.groupBy("k").agg(*aggs)
     return g.select("k", "n", "n_distinct", *[(F.col(f"lo{j}") + (F.col(f"hi{j}") - F.col(f"lo{j}")) * F.col(f"fr{j}")).alias(f"q{j}")
-                                for j in range(len(probs))])
+                                              for j in range(len(probs))])
 
 
 def quantile_values(df: DataFrame, cols: list[str], probs: list[float], exact: bool = True,
