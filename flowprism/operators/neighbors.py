@@ -111,12 +111,16 @@ def smote(df: DataFrame, label: str, features: list[str], extra: dict, k: int =
     ch = spark.createDataFrame(chunks, f"{label} {dict(df.dtypes)[label]}, ci long, cn long, n long")
     draws = ch.select(label, "n", F.explode(F.sequence(F.col("ci") * chunk, F.col("ci") * chunk + F.col("cn") - 1)).alias("_d"))
     h = lambda salt: F.xxhash64(F.lit(seed), F.lit(salt), col(label), F.col("_d"))
+    # a class with n rows has only n - 1 neighbours: draw the neighbour rank among those that exist, so no
+    # draw is lost; a single-row class (no neighbour at all) repeats its row
+    kk = F.greatest(F.least(F.lit(k), F.col("n") - 1), F.lit(1))
     draws = draws.select(label, "_d", F.pmod(h(1), F.col("n")).alias("_idx"),
-                         (F.pmod(h(2), F.lit(k)) + 1).alias("rank"),
+                         (F.pmod(h(2), kk) + 1).alias("rank"),
                          (F.pmod(h(3), F.lit(1 << 30)).cast("double") / float(1 << 30)).alias("_u"))
     base = draws.join(idx.select(label, "_idx", F.col(key).alias("qid"), F.col("_vec").alias("_x")), [label, "_idx"])
-    nb = base.join(nn.select(label, "qid", "rank", "rid"), [label, "qid", "rank"])
-    nbv = nb.join(src.select(label, F.col(key).alias("rid"), F.col("_vec").alias("_n")), [label, "rid"])
+    nb = base.join(nn.select(label, "qid", "rank", "rid"), [label, "qid", "rank"], "left")
+    nbv = nb.join(src.select(label, F.col(key).alias("rid"), F.col("_vec").alias("_n")), [label, "rid"], "left")
+    nbv = nbv.withColumn("_n", F.coalesce(F.col("_n"), F.col("_x")))
     syn = nbv.select(label, F.zip_with("_x", "_n", lambda a, b: a + F.col("_u") * (b - a)).alias("_s"))
     syn = syn.select(label, *[F.col("_s")[i].alias(c) for i, c in enumerate(features)])
     others = [c for c in df.columns if c not in features and c not in (label, key)]

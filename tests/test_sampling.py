@@ -72,3 +72,11 @@ def test_smote_rows_inside_class_box(spark):
     assert syn.count() == 200
     for r in syn.collect():
         assert cls[0] - 1e-9 <= r["x"] <= cls[1] + 1e-9 and cls[2] - 1e-9 <= r["y"] <= cls[3] + 1e-9
+
+
+def test_smote_tiny_class_keeps_every_draw(spark):
+    df = spark.createDataFrame([(0, float(i), float(i % 7)) for i in range(200)] + [(1, 1.0, 2.0), (1, 3.0, 5.0), (2, 9.0, 9.0)],
+                               "label int, x double, y double").withColumn("row_id", F.xxhash64("label", "x", "y"))
+    out = smote(df, "label", ["x", "y"], {1: 50, 2: 20}, k=3)
+    counts = {r["label"]: r["count"] for r in out.groupBy("label").count().collect()}
+    assert counts[1] == 52 and counts[2] == 21
