@@ -119,7 +119,8 @@ def profile_categorical(df: DataFrame, cols: list[str] | None = None, top: int =
     """Top ``top`` values per string column (count desc, value asc) with share of all rows.
 
     Columns are stacked into (column, value) pairs and counted with one map-side-combined aggregate; the rank
-    window only sees the distinct values of each column.
+    window only sees the distinct values of each column (one task per column).  That fits categorical columns;
+    for free-text columns with very many distinct values this window is the bottleneck.
     """
     cols = cols if cols is not None else string_columns(df)
     from pyspark.sql import Window as W
