@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowprism.functions.common import col, lit_sql, stack_expr
+from flowprism.functions.common import col, collect_bounded, lit_sql, stack_expr
 
 # Rare-class threshold, merge mapping, severity bands.
 RARE_CLASS_THRESHOLD = 0.005
@@ -51,7 +51,7 @@ def merge_rare_classes(df: DataFrame, label: str, mapping: dict = CLASS_MERGE_MA
                        threshold: float = RARE_CLASS_THRESHOLD) -> DataFrame:
     """Replace labels that are rare (< threshold share) *and* in the mapping by their target label."""
     dist = class_distribution(df, label)
-    rare = [r["label"] for r in dist.where("is_rare").select("label").collect()]
+    rare = [r["label"] for r in collect_bounded(dist.where("is_rare").select("label"))]
     merge = {k: v for k, v in mapping.items() if k in [str(x) for x in rare]}
     if not merge:
         return df

@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowprism.functions.common import col
+from flowprism.functions.common import col, collect_bounded, join_small
 
 # Reference model configuration.
 LR_MAX_ITER = 1000
@@ -165,7 +165,7 @@ def tune_random_forest(train: DataFrame, features: list[str], label: str = "labe
     picked = random.Random(seed).sample(combos, min(draws, len(combos)))
     maps = [{getattr(rf, k): v for k, v in zip(RF_GRID, c)} for c in picked]
     w = class_weights(train, label).select(col("label").alias(label), F.col("weight").alias("_w"))
-    data = train.join(F.broadcast(w), label)  # one row per class: bounded
+    data = join_small(train, w, label)  # one row per class; size checked before broadcasting
     small = take_per_group(data.withColumn("_all", F.lit(0)), "_all", {0: sample}).drop("_all")
     small = stratified_folds(small, label, folds).withColumn(label, col(label).cast("double"))
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
@@ -192,7 +192,7 @@ def train_matrix(variants: DataFrame, features: list[str], models: list[str], la
     spark = variants.sparkSession
     test = variants.where(F.col("split") == "test")
     status, preds = [], None
-    strategies = [r["strategy"] for r in variants.where(F.col("split") == "train").select("strategy").distinct().collect()]
+    strategies = [r["strategy"] for r in collect_bounded(variants.where(F.col("split") == "train").select("strategy").distinct())]
     for s in sorted(strategies):
         train = variants.where((F.col("split") == "train") & (F.col("strategy") == s))
         n = train.count()

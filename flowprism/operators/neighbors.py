@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowprism.functions.common import col
+from flowprism.functions.common import col, collect_bounded
 
 BLOCK_ROWS = 4096
 
@@ -105,7 +105,7 @@ def smote(df: DataFrame, label: str, features: list[str], extra: dict, k: int =
     src = df.where(col(label).isin(list(extra))).withColumn("_vec", F.array(*[col(c).cast("double") for c in features]))
     nn = knn_join(src, src, k, key, key, "_vec", partition_cols=(label,), exclude_self=True)
     idx = dense_index(src.select(label, key, "_vec"), label, seed, key)
-    counts = {r[label]: r["n"] for r in src.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r[label]: r["n"] for r in collect_bounded(src.groupBy(label).agg(F.count(F.lit(1)).alias("n")))}
     chunk = 100_000
     chunks = [(c, i, min(chunk, extra[c] - i * chunk), counts[c]) for c in extra for i in range(math.ceil(extra[c] / chunk))]
     ch = spark.createDataFrame(chunks, f"{label} {dict(df.dtypes)[label]}, ci long, cn long, n long")
