@@ -50,3 +50,13 @@ def test_feature_model_freeze(spark):
     b = m2.transform(df)
     assert a.columns == b.columns and a.count() == df.count()
     assert "action" in a.columns and len(m.selected) > 0
+
+
+def test_summary_written_as_csv_and_json(spark):
+    from flowprism.operators.metrics import confusion_counts, model_summary
+    d = tempfile.mkdtemp(prefix="flowprism-summary-")
+    s = model_summary(confusion_counts(fx.preds(spark, SF_SMALL)))
+    save_table(s, f"{d}/summary.csv", "csv")
+    save_table(s, f"{d}/summary.json", "json")
+    assert load_table(spark, f"{d}/summary.csv").count() == 12
+    assert spark.read.json(f"{d}/summary.json").count() == 12
