@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def load_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Load by suffix: .parquet, .json (multi-line), anything else as CSV with a header."""
+def load_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+               multiline: bool = True) -> DataFrame:
+    """Load by suffix: .parquet, .json (one JSON document per file by default; ``multiline=False`` for JSON
+    lines as Spark writes them), anything else as CSV with a header."""
     low = path.lower().rstrip("/")
     if low.endswith(".parquet"):
         return spark.read.parquet(path)
     if low.endswith(".json"):
-        r = spark.read.option("multiLine", "true")
+        r = spark.read.option("multiLine", "true" if multiline else "false")
         return (r.schema(schema) if schema is not None else r).json(path)
     r = spark.read.option("header", "true")
     r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
