@@ -17,6 +17,9 @@ MODULES = {
     "op4_line_dedup": "linededup",
     "op5_sharding": "sharding",
     "op7_packing": "packing",
+    "op8_benchmark_decontamination": "decontam",
+    "op9_html_extraction": "htmltext",
+    "op10_toxicity": "toxicity",
 }
 
 
