@@ -11,7 +11,7 @@ All steps are array functions within a row: nothing is exploded, collected or sh
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowprism.llm.common import cut, table
@@ -30,21 +30,29 @@ def with_signature(df: DataFrame, text: Column, name: str, k: int = 3, l: int =
     A text of fewer than ``k`` tokens has one k-mer, all its tokens. Working columns start with ``_omh_`` and are dropped.
     """
     own = [F.col(f"`{c}`") for c in df.columns]
-    mask = (1 << PLACE) - 1
+    mask, none = (1 << PLACE) - 1, "filter(array(0L), x -> false)"  # an array of no longs, none of them null
     later = "".join(f", get(_omh_w, i + {j})" for j in range(1, k))
     df = df.select(*own, F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0)).alias("_omh_w"))
     # k-mers as hash and place in one long, sorted: equal k-mers stand together in text order
     df = df.select(*own, F.expr(f"""
-        if(size(_omh_w) = 0, cast(array() as array<bigint>), sort_array(transform(sequence(0, greatest(size(_omh_w) - {k}, 0)),
-           i -> (xxhash64({seed}, _omh_w[i]{later}) & ~{mask}L) | shiftright(i, greatest(0, {32 - PLACE} - cast(floor(log2(4294967296.0 / size(_omh_w))) as int))))))
+        if(size(_omh_w) = 0, {none}, sort_array(transform(slice(_omh_w, 1, greatest(size(_omh_w) - {k - 1}, 1)),
+           (w, i) -> (xxhash64({seed}, w{later}) & ~{mask}L) | shiftright(i, greatest(0, {32 - PLACE} - cast(floor(log2(4294967296.0 / size(_omh_w))) as int))))))
         """).alias("_omh_k"))
-    df = df.select(*own, "_omh_k", F.expr(f"""
-        if(size(_omh_k) = 0, cast(array() as array<int>), filter(sequence(0, size(_omh_k) - 1),
-           i -> i = 0 or shiftright(_omh_k[i], {PLACE}) <> shiftright(get(_omh_k, i - 1), {PLACE})))""").alias("_omh_s"))
-    # each occurrence gets a hash of its own
+
+    def kmer(x: str) -> str:
+        return f"shiftright({x}, {PLACE})"
+
+    # first occurrences keep their k-mer's hash; each later one gets a hash of its own from its number
+    df = df.select(*own, "_omh_k", F.expr(f"filter(_omh_k, (x, i) -> i = 0 or {kmer('x')} <> {kmer('get(_omh_k, i - 1)')})").alias("_omh_f"))
+    df = df.select(*own, "_omh_f", F.expr(f"""
+        if(size(_omh_f) = size(_omh_k), {none}, filter(_omh_k, (x, i) -> i > 0 and {kmer("x")} = {kmer("get(_omh_k, i - 1)")}))""").alias("_omh_r"))
+    df = df.select(*own, "_omh_f", "_omh_r", F.expr(f"""
+        if(size(_omh_r) = 0, filter(array(0), x -> false), filter(sequence(0, size(_omh_r) - 1),
+           i -> i = 0 or {kmer("_omh_r[i]")} <> {kmer("get(_omh_r, i - 1)")}))""").alias("_omh_s"))
     df = df.select(*own, F.expr(f"""
-        sort_array(flatten(transform(_omh_s, (s, j) -> transform(sequence(s, coalesce(get(_omh_s, j + 1), size(_omh_k)) - 1),
-           i -> (xxhash64({seed + 1}, shiftright(_omh_k[i], {PLACE}), i - s) & ~{mask}L) | (_omh_k[i] & {mask}L)))))""").alias("_omh_e"))
+        if(size(_omh_r) = 0, _omh_f, sort_array(concat(_omh_f, flatten(transform(_omh_s, (s, j) ->
+           transform(sequence(s, coalesce(get(_omh_s, j + 1), size(_omh_r)) - 1),
+              i -> (xxhash64({seed + 1}, {kmer("_omh_r[i]")}, i - s) & ~{mask}L) | (_omh_r[i] & {mask}L)))))))""").alias("_omh_e"))
 
     def bin_of(x: str) -> str:
         return f"shiftrightunsigned({x}, {64 - BINS_LOG2})"
@@ -53,7 +61,7 @@ def with_signature(df: DataFrame, text: Column, name: str, k: int = 3, l: int =
         filter(_omh_e, (x, i) -> i < {l} or {bin_of("x")} <> {bin_of(f"get(_omh_e, i - {l})")})""").alias("_omh_m"))
     width = 32 - BINS_LOG2
     return df.select(*own, F.expr(f"""
-        if(size(_omh_m) = 0, cast(array() as array<int>), transform(
+        if(size(_omh_m) = 0, filter(array(0), x -> false), transform(
            filter(sequence(0, size(_omh_m) - 1), i -> i = 0 or {bin_of("_omh_m[i]")} <> {bin_of("get(_omh_m, i - 1)")}),
            i -> cast((shiftleft({bin_of("_omh_m[i]")}, {width}) | (xxhash64({seed + 2}, transform(sort_array(transform(
                filter(slice(_omh_m, i + 1, {l}), x -> {bin_of("x")} = {bin_of("_omh_m[i]")}),
@@ -73,40 +81,48 @@ def as_text(sig: str) -> Column:
     return F.expr(f"array_join(transform({sig}, e -> lower(lpad(hex(cast(e as bigint) + 2147483648L), 8, '0'))), '')")
 
 
-def next_ids(docs: DataFrame, id_col: str) -> DataFrame:
-    """(id, next_id): every distinct id and the next larger one, the least after the largest.
-
-    Ids are dealt by range, so the window within a range is local; only one row per range meets in one task.
-    """
-    spread = cut(docs.select(F.col(f"`{id_col}`").alias("id")).filter("id is not null").distinct().repartitionByRange("id")
-                 .withColumn("part", F.spark_partition_id()))
-    heads = (spread.groupBy("part").agg(F.min("id").alias("head"))
-             .selectExpr("part", "coalesce(lead(head) over (order by head), min(head) over ()) as after"))
-    within = spread.selectExpr("id", "part", "lead(id) over (partition by part order by id) as following")
-    return within.join(F.broadcast(heads), "part").selectExpr("id", "coalesce(following, after) as next_id")  # one row per partition
+def ranges(docs: DataFrame, id_col: str, bytes_in_range: int = 8 << 20) -> list:
+    """The least id of each of so many ranges of ids that a range holds about so many bytes of text, rising."""
+    ids = docs.select(F.col(f"`{id_col}`").alias("id"), F.octet_length("t").alias("n"))
+    total = ids.agg(F.sum("n")).first()[0] or 0
+    parts = max(1, -(-total // bytes_in_range))
+    low = cut(ids.filter("id is not null").select("id").repartitionByRange(parts, "id").groupBy(F.spark_partition_id().alias("part")).agg(F.min("id").alias("id")))
+    return sorted(r.id for r in low.collect())  # one id for each range
 
 
-def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, next_id, n, t, e): each text, and the text whose last half is replaced by the start of the next id's text.
+def with_next(docs: DataFrame, id_col: str, columns: list[str], prepare=lambda rows: rows) -> DataFrame:
+    """``prepare(docs)`` (with text ``t``) and, for each of ``columns``, ``next_``column of the next row by id; the first row
+    follows the last. ``prepare`` may add columns row by row; it runs once for each row.
 
-    Null texts count as empty. Where several rows share the next id, the least of their texts is used; a row without an id
-    has no next one and keeps only its first half.
+    Rows are dealt to ranges of ids, found by bisection among the ranges' least ids, and the window stays within a range. To let
+    the last row of a range see the next one's first, that row stands in its end a second time: one row per range. Rows of one
+    id are ordered by the checksum of their texts. Rows without an id come first and follow nobody; with no ids at all nothing follows.
     """
-    docs = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
-    ids = cut(next_ids(docs, "id"))
-    heads = (docs.join(ids.select(F.col("id").alias("own"), F.col("next_id").alias("id")), "id")
-             .groupBy("own").agg(F.min("t").alias("after"), F.first("id").alias("next_id")))
-    return (docs.join(heads, docs.id == heads.own, "left").withColumn("n", F.length("t").cast("long"))
-            .selectExpr("id", "next_id", "n", "t", "concat(left(t, cast(n - n div 2 as int)), left(coalesce(after, ''), cast(n div 2 as int))) as e"))
+    low = ranges(docs, id_col)
+    key = F.col(f"`{id_col}`")
+    if not low:
+        docs = prepare(docs)
+        return docs.select("*", *(F.lit(None).cast(docs.schema[c].dataType).alias(f"next_{c}") for c in columns))
+    steps = max(0, (len(low) - 1).bit_length())
+    kind = docs.schema[id_col].dataType
+    bounds = F.array(*(F.lit(x).cast(kind) for x in low))
+    search = F.aggregate(F.array(*(F.lit(1 << s) for s in reversed(range(steps)))), F.lit(0),
+                         lambda at, step: F.when(F.coalesce(F.get(F.col("_bounds"), at + step) <= key, F.lit(False)), at + step).otherwise(at)) if steps else F.lit(0)
+    dealt = docs.withColumn("_bounds", bounds).withColumn("_range", search).drop("_bounds").withColumn("_again", F.lit(False))
+    heads = dealt.join(F.broadcast(docs.sparkSession.createDataFrame([(x,) for x in low], f"`{id_col}` {kind.simpleString()}")), id_col, "left_semi")
+    heads = heads.withColumn("_range", F.pmod(F.col("_range") - 1, F.lit(len(low)))).withColumn("_again", F.lit(True))
+    w = Window.partitionBy("_range").orderBy("_again", key, F.crc32(F.col("t").cast("binary")))
+    return (prepare(dealt.unionByName(heads)).select("*", *(F.lead(c).over(w).alias(f"next_{c}") for c in columns))
+            .filter(~F.col("_again")).drop("_range", "_again"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op2: fingerprints of every document and its edited text, with their likeness."""
-    docs = edited(table(spark, sf_dir, "documents"))
-    both = with_signature(with_signature(docs, F.col("t"), "sig"), F.col("e"), "edited_sig")
-    both = cut(both.select("id", "next_id", "n", F.sha2(F.col("e").cast("binary"), 256).alias("edited_sha256"), "sig", "edited_sig"))
-    after = both.groupBy(F.col("id").alias("next_id")).agg(F.min("sig").alias("next_sig"))
-    return both.join(after, "next_id", "left").select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_chars"), "edited_sha256", as_text("sig").alias("fingerprint"),
-        as_text("edited_sig").alias("edited_fingerprint"), likeness("sig", "edited_sig").alias("near_edited"),
-        likeness("sig", "next_sig").alias("near_next"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    both = with_next(docs, "doc_id", ["t", "sig"], lambda rows: with_signature(rows, F.col("t"), "sig")).withColumn("n", F.length("t"))
+    both = both.selectExpr("doc_id", "n", "sig", "next_sig", "concat(left(t, cast(n - n div 2 as int)), left(coalesce(next_t, ''), cast(n div 2 as int))) as e")
+    both = with_signature(both, F.col("e"), "edited_sig")
+    return both.select(
+        "doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2(F.col("e").cast("binary"), 256).alias("edited_sha256"),
+        as_text("sig").alias("fingerprint"), as_text("edited_sig").alias("edited_fingerprint"),
+        likeness("sig", "edited_sig").alias("near_edited"), likeness("sig", "next_sig").alias("near_next"))
