@@ -16,6 +16,7 @@ MODULES = {
     "op3_simhash_near_dedup": "simhash",
     "op4_line_dedup": "linededup",
     "op5_sharding": "sharding",
+    "op6_quality_classifier": "quality",
     "op7_packing": "packing",
     "op8_benchmark_decontamination": "decontam",
     "op9_html_extraction": "htmltext",
