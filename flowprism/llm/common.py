@@ -18,20 +18,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which all executors share.
 
     Only a local session may get a scratch folder of its own; on a cluster a missing setting is an error, since
     executors share no local disk.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not path:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="flowprism-ckpt-")
     if sc.getCheckpointDir() is None:
-        path = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not path:
-            if not sc.master.startswith("local[") and sc.master != "local":
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            path = tempfile.mkdtemp(prefix="flowprism-ckpt-")
         sc.setCheckpointDir(path)
+    return path.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder; Spark removes it when nothing refers to it any more."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

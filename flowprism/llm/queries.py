@@ -12,6 +12,7 @@ ROOT = str(Path(__file__).resolve().parents[2])
 
 #: Query name -> module of this subpackage that holds ``query`` and, where SQL can say it, ``ORACLE``.
 MODULES = {
+    "op1_tool_calls": "toolcalls",
     "op2_order_minhash": "orderminhash",
     "op3_simhash_near_dedup": "simhash",
     "op4_line_dedup": "linededup",
