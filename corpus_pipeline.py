@@ -18,7 +18,7 @@ from flowprism.llm.queries import findable
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: documents whose posterior quality is below one half go."""
     findable(spark)
-    model = quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, model).filter("quality >= 0.5").select(docs.columns)
 
 

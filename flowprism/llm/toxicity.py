@@ -280,7 +280,7 @@ class Model:
         """(id, score) for every row; null and empty texts are one window without words. Other columns are not read."""
         docs = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("t"))
         x = F.lit(self.slope) * F.col("logit") + F.lit(self.offset)
-        return _highest(docs, self.net, self.key).select("id", (1 / (1 + F.exp(-x))).alias("score"))
+        return _highest(docs, self.net, self.key).select("id", F.round(1 / (1 + F.exp(-x)), 6).alias("score"))
 
 
 def _evidence(rows: DataFrame) -> dict[int, float]:
