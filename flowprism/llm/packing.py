@@ -11,8 +11,10 @@ takes the last windows of a block up again with the next, so memory stays bounde
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections import deque
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -29,39 +31,77 @@ OPEN, SENTENCE, INSIDE = 4, 16, 64
 HARD, LEAST = 512, 256
 BLOCK = 1 << 20
 #: Text bytes in a range of ids, about, and words that a worker's cache holds at most.
-RANGE_BYTES, CACHE = 32 << 20, 400_000
+RANGE_BYTES, CACHE = 32 << 20, 800_000
 
 _TOKENIZERS: dict = {}
 
 
+#: Marks that often end a word; a run of them behind a letter is a token sequence of its own.
+TAIL = ".,;:!?*#%&$|"
+#: Letters below this are told and lowered alike by Python and the tokenizer (Latin to Cyrillic).
+PLAIN = chr(0x530)
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordTokenizer:
-    """Token ids of whole texts for a tokenizer that drops white space, by way of its words.
+    """Token ids of whole texts for a tokenizer that drops white space and case, by way of its words.
 
-    Every blank (space, tab, line feed, carriage return) separates tokens, so a text's ids are its words' ids in a row. The
-    ids of words are cached up to a bound; when it is reached the cache starts afresh.
+    Every blank (space, tab, line feed, carriage return) separates tokens, so a text's ids are its words' ids in a row. A word
+    that is plain letters, or these with ending marks, goes to the tokenizer's model in these two parts; any other word takes the whole way.
+    The ids of words are cached up to a bound; when it is reached the cache starts afresh.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tok = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        shown = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.shown = {c: shown.pre_tokenize_str(c)[0][0] for c in map(chr, range(33, ord(PLAIN))) if c.isalpha() and ord(c) > 127}
+        self.shown = str.maketrans(self.shown)
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.sentence = np.zeros(max(vocab.values()) + 1, bool)
         for token, i in vocab.items():
             word = token.removesuffix("</w>")
             self.sentence[i] = bool(word) and not word.strip(".!?")
 
+    def part(self, s: str) -> bytes:
+        got = self.parts.get(s)
+        if got is None:
+            if len(self.parts) >= CACHE:
+                self.parts = {}
+            got = self.parts[s] = _packed([t.id for t in self.tok.model.tokenize(s if s.isascii() else s.translate(self.shown))])
+        return got
+
     def learn(self, words) -> None:
-        new = list(words - self.cache.keys())
+        new = [w for w in words if w not in self.cache]
         if len(self.cache) + len(new) > CACHE:
             self.cache = {}
             new = list(words)
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.cache[w] = np.array(e.ids, "<u4").tobytes()
+        other = []
+        for w in new:
+            core = w.rstrip(TAIL)
+            low = ""
+            if core.isalpha():
+                if core.isascii():
+                    low = core.lower()
+                elif max(core) < PLAIN and is_normalized("NFC", core):
+                    low = "".join(map(str.lower, core))
+                    low = low if low.isalpha() and max(low) < PLAIN else ""
+            if low:
+                self.cache[w] = self.part(low) if len(core) == len(w) else self.part(low) + self.part(w[len(core):])
+            else:
+                other.append(w)
+        for i in range(0, len(other), 20_000):
+            some = other[i:i + 20_000]
+            for w, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):
+                self.cache[w] = _packed(e.ids)
 
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
