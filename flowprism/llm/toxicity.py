@@ -16,7 +16,6 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,13 +44,24 @@ def grams(word: str) -> list[str]:
     return [w[i:i + n] for n in (4, 5) for i in range(len(w) - n + 1)]
 
 
+_TRIGRAM_ROWS: dict[str, int] = {}
+
+
+def _trigram_row(s: str) -> int:
+    row = zlib.crc32(s.encode("utf-8", "surrogatepass")) % GRAM_ROWS
+    if len(_TRIGRAM_ROWS) < 1 << 17:
+        _TRIGRAM_ROWS[s] = row
+    return row
+
+
 def trigrams(word: str) -> list[int]:
-    w = f"<{word}>"
-    return [zlib.crc32(w[i:i + 3].encode("utf-8", "surrogatepass")) % GRAM_ROWS for i in range(len(w) - 2)]
+    w, known = f"<{word}>", _TRIGRAM_ROWS
+    return [known[t] if (t := w[i:i + 3]) in known else _trigram_row(t) for i in range(len(w) - 2)]
 
 
-def feature(kind: str, s: str) -> int:
-    return xxhash.xxh3_64_intdigest(f"{kind}{s}".encode("utf-8", "surrogatepass")) >> 1
+def features(words) -> set[str]:
+    """What counts as evidence: the words, marked by a leading blank, and their longer character grams."""
+    return {" " + w for w in words} | {g for w in words for g in grams(w)}
 
 
 def starts(n: int) -> list[int]:
@@ -66,7 +76,7 @@ def _sigmoid(x):
 class Network:
     """Parameters ``p`` and the evidence by feature."""
 
-    def __init__(self, evidence: dict[int, float], seed: int = 7):
+    def __init__(self, evidence: dict[str, float], seed: int = 7):
         r = np.random.default_rng(seed)
 
         def init(*shape, scale=None):
@@ -83,7 +93,8 @@ class Network:
         rows = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % WORD_ROWS for w in words], np.int64)
         tri = [np.array(trigrams(w), np.int64) for w in words]
         get = self.evidence.get
-        ev = np.array([(get(feature("w", w), 0.0), max([get(feature("g", g), 0.0) for g in grams(w)], default=0.0)) for w in words],
+        known = self.evidence.keys()
+        ev = np.array([(get(" " + w, 0.0), 0.0 if known.isdisjoint(gs := grams(w)) else max(get(g, 0.0) for g in gs)) for w in words],
                       np.float32).reshape(-1, 2)
         return rows, tri, ev
 
@@ -99,12 +110,12 @@ class Network:
         return np.concatenate([x @ self.p["Wf"] + self.p["cf"], x @ self.p["Wb"] + self.p["cb"]], axis=1)
 
     def logits(self, gates: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """``gates``: one row per known word, the last of zeros; ``at`` (windows, words): rows, padded by the last."""
+        """``gates``: a first row of zeros, then one row per known word; ``at`` (windows, words): rows, padded by 0."""
         return self.forward(gates, at, False)[0]
 
     def forward(self, gates, at, keep: bool):
         p, (n, span), s = self.p, at.shape, STATE
-        mask = (at != len(gates) - 1)
+        mask = at > 0
         states = np.zeros((span, n, 2 * s), np.float32)
         trace = {}
         for d, half, order in (("f", 0, range(span)), ("b", 1, range(span - 1, -1, -1))):
@@ -131,10 +142,10 @@ class Network:
         return pooled @ p["w"] + p["b"][0], (states, heard, share, pooled, trace)
 
     def gradients(self, found, at, y, weight):
-        """Loss gradients for one batch; ``found`` are the lookups of its words, ``at`` rows of them (padded by their number)."""
+        """Loss gradients for one batch; ``found`` are the lookups of its words, ``at`` their numbers from 1 (padded by 0)."""
         p, s = self.p, STATE
         x = self.inputs(found)
-        gates = np.vstack([self.gates(x), np.zeros((1, 6 * s), np.float32)])
+        gates = np.vstack([np.zeros((1, 6 * s), np.float32), self.gates(x)])
         out, (states, heard, share, pooled, trace) = self.forward(gates, at, True)
         dout = ((_sigmoid(out) - y) * weight / len(y)).astype(np.float32)
         g = {"b": np.array([dout.sum()], np.float32), "w": pooled.T @ dout}
@@ -162,7 +173,7 @@ class Network:
                 np.add.at(dgates, (at[:, t], slice(half * 3 * s, (half + 1) * 3 * s)), np.concatenate([dz, dr, dnew], axis=1))
                 dh = np.where(m, live * z + drec @ u.T, dh)
             g[f"U{d}"] = du
-        dgates = dgates[:-1]
+        dgates = dgates[1:]
         dx = np.zeros_like(x)
         for d, half in (("f", 0), ("b", 1)):
             part = dgates[:, half * 3 * s:(half + 1) * 3 * s]
@@ -194,8 +205,9 @@ class Network:
                 used, local = np.unique(at[part], return_inverse=True)
                 local = local.reshape(len(part), SPAN)
                 if used[0] == -1:
-                    used, local = used[1:], local - 1
-                local = np.where(local < 0, len(used), local)
+                    used = used[1:]
+                else:
+                    local = local + 1
                 g = self.gradients((rows[used], [tri[u] for u in used], ev[used]), local, y[part], weight[part])
                 n += 1
                 for k, d in g.items():
@@ -212,26 +224,30 @@ class Scorer:
         self.clear()
 
     def clear(self):
-        self.rows, self.gates = {}, np.zeros((0, 6 * STATE), np.float32)
+        self.rows, self.gates = {}, np.zeros((1 << 12, 6 * STATE), np.float32)
 
     def learn(self, words: set[str]):
         new = [w for w in words if w not in self.rows]
         if len(self.rows) + len(new) > CACHE and self.rows:
             self.clear()
             new = list(words)
-        if new:
-            self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
-            parts = [self.net.gates(self.net.inputs(self.net.lookups(new[i:i + 20_000]))) for i in range(0, len(new), 20_000)]
-            self.gates = np.vstack([self.gates, *parts])
+        begin = len(self.rows) + 1  # row 0 pads
+        if begin + len(new) > len(self.gates):
+            room = np.zeros((2 * (begin + len(new)), 6 * STATE), np.float32)
+            room[:begin] = self.gates[:begin]
+            self.gates = room
+        for i in range(0, len(new), 20_000):
+            part = new[i:i + 20_000]
+            self.gates[begin + i:begin + i + len(part)] = self.net.gates(self.net.inputs(self.net.lookups(part)))
+        self.rows.update(zip(new, range(begin, begin + len(new))))
 
     def documents(self, texts: list[list[str]]) -> np.ndarray:
         """Highest window logit of each document given by its words."""
         self.learn(set().union(*texts))
-        gates = np.vstack([self.gates, np.zeros((1, 6 * STATE), np.float32)])
-        pad, get = len(self.gates), self.rows.__getitem__
+        get = self.rows.__getitem__
         flat, begin, owner, at = [], [], [], 0
         for i, ws in enumerate(texts):
-            ids = np.full(max(SPAN, -(-len(ws) // STEP) * STEP + STEP), pad, np.int64)
+            ids = np.zeros(max(SPAN, -(-len(ws) // STEP) * STEP + STEP), np.int64)
             ids[:len(ws)] = np.fromiter(map(get, ws), np.int64, len(ws))
             s = starts(len(ws))
             flat.append(ids)
@@ -242,7 +258,7 @@ class Scorer:
         best = np.full(len(texts), -np.inf)
         for i in range(0, len(begin), BLOCK):
             b = begin[i:i + BLOCK]
-            np.maximum.at(best, owner[i:i + BLOCK], self.net.logits(gates, flat[b[:, None] + np.arange(SPAN)]))
+            np.maximum.at(best, owner[i:i + BLOCK], self.net.logits(self.gates, flat[b[:, None] + np.arange(SPAN)]))
         return best
 
 
@@ -283,20 +299,19 @@ class Model:
         return _highest(docs, self.net, self.key).select("id", F.round(1 / (1 + F.exp(-x)), 6).alias("score"))
 
 
-def _evidence(rows: DataFrame) -> dict[int, float]:
+def _evidence(rows: DataFrame) -> dict[str, float]:
     """(t, y) -> log odds by feature, from the documents that hold it; at most FEATURES, the most significant."""
     def run(b):
         feats, ys = [], []
         for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            ws = set(words_of(t))
-            own = {feature("w", w) for w in ws} | {feature("g", g) for w in ws for g in grams(w)}
+            own = features(set(words_of(t)))
             feats.extend(own)
             ys.extend([y] * len(own))
-        return pa.RecordBatch.from_arrays([pa.array(np.array(feats, np.uint64).astype(np.int64)), pa.array(ys, pa.int32())], ["f", "y"])
+        return pa.RecordBatch.from_arrays([pa.array(feats, pa.string()), pa.array(ys, pa.int32())], ["f", "y"])
 
     n1, n = rows.agg(F.sum("y"), F.count(F.lit(1))).first()
     n1, n = n1 or 0, n or 0
-    counts = (rows.select("t", "y").mapInArrow(batches(run), "f long, y int").groupBy("f")
+    counts = (rows.select("t", "y").mapInArrow(batches(run), "f string, y int").groupBy("f")
               .agg(F.sum("y").alias("n1"), F.count(F.lit(1)).alias("n")).withColumn("n0", F.expr("n - n1")).filter("n >= 3"))
     odds = F.log((F.col("n1") + 0.5) / F.lit(n1 + 1.0)) - F.log((F.col("n0") + 0.5) / F.lit(n - n1 + 1.0))
     z = odds / F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
