@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 # Anything we pull to the driver is an aggregate with one row per column or per label.
 # These limits make that bound explicit: exceeding them is an error, never a silent truncation.
 MAX_DRIVER_ROWS = 100_000
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 INTEGRAL_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -34,11 +34,17 @@ def collect_bounded(df: DataFrame, max_rows: int = MAX_DRIVER_ROWS) -> list:
     return rows
 
 
+def small_bytes(df: DataFrame) -> int:
+    """Bytes of a table: its strings' lengths plus 16 for every cell, in one aggregate."""
+    strings = [F.coalesce(F.octet_length(col(f.name)), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    width = sum(strings, F.lit(16 * max(1, len(df.columns))))
+    return int(df.agg(F.sum(width)).first()[0] or 0)
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join with a broadcast of ``small`` only after its row count is checked; else a shuffle join."""
-    n = small.count()
-    if n <= max_rows:
+               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Join with a broadcast of ``small`` only after its bytes are checked; else a shuffle join."""
+    if small_bytes(small) <= max_bytes:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 
@@ -82,17 +88,15 @@ def lit_sql(v) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage at a fit point by writing a Parquet table into the shared folder the session names in
-    ``spark.checkpoint.dir`` (a scratch folder is set only when unset, i.e. local tests) and reading it back.
+    """Cut lineage at a fit point with a reliable checkpoint in the folder the session names in ``spark.checkpoint.dir``.
 
-    Later fits then scan a columnar table (with pruning and pushdown) instead of re-running the upstream plan,
-    and a lost executor recomputes from here, not from the raw input.
+    Later fits read it instead of re-running the upstream plan, a lost executor recomputes from here, and Spark removes
+    the files when nothing refers to them any more.  Without such a folder this is an error: executors share no local disk.
     """
-    import uuid
-
-    from flowprism.session import checkpoint_dir
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/flowprism-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        path = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(path)
+    return df.checkpoint(eager=True)

@@ -21,11 +21,6 @@ from flowprism.functions.common import (
 # ---------------------------------------------------------------- row identity / dedup (C2)
 
 
-def add_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """Content hash of all columns; stable across partitionings (rows are distinct after dedup)."""
-    return df.withColumn(name, F.xxhash64(*[col(c) for c in df.columns]))
-
-
 def remove_duplicates(df: DataFrame) -> DataFrame:
     """Full-row dedup, one copy kept.  Partial aggregation collapses hot duplicate rows map-side."""
     return df.dropDuplicates()
@@ -38,16 +33,14 @@ def exact_quantile_table(df: DataFrame, cols: list[str], probs: list[float], n_p
     """Exact linear-interpolated quantiles (pandas/numpy ``linear``) for many columns in one plan.
 
     Columns are stacked into (k, v) pairs and counted per distinct value (map-side combined), so the shuffle
-    carries distinct values, not rows.  The distinct-value table is range-partitioned on (k, v) -- one column's
-    values spread over many partitions, so a high-cardinality column is never sorted by a single task -- and
-    materialised so partition ids are stable; per-partition totals (n_parts x columns numbers) give each
-    partition's offset, and a running count inside the partition gives every value's rank range.  The values
-    at ranks floor((n-1)p) and the next one are picked with conditional maxima and interpolated.
+    carries distinct values, not rows.  The distinct-value table is range-partitioned on (k, v) and materialised so
+    range numbers are stable.  Per-range totals say in which ranges the wanted ranks floor((n-1)p) and the next one lie;
+    only those few ranges are ranked, by a running count that starts at their offset.
     Returns one row per column index ``k`` with ``n`` (non-null count), ``n_distinct`` and ``q0..``.
     """
     from pyspark.sql import Window as W
 
-    from flowprism.functions.common import materialize
+    from flowprism.functions.common import join_small, materialize
     spark = df.sparkSession
     n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), col(c).cast("double").alias("v"))
@@ -55,19 +48,19 @@ def exact_quantile_table(df: DataFrame, cols: list[str], probs: list[float], n_p
     counts = (df.select(pairs.alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull())
               .groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")))
     ranged = materialize(counts.repartitionByRange(n_parts, "k", "v").withColumn("_pid", F.spark_partition_id()))
-    per = collect_bounded(ranged.groupBy("k", "_pid").agg(F.sum("c").alias("s")))
-    offsets, totals = {}, {}
-    for r in sorted(per, key=lambda r: (r["k"], r["_pid"])):
-        offsets[(r["k"], r["_pid"])] = totals.get(r["k"], 0)
-        totals[r["k"]] = totals.get(r["k"], 0) + r["s"]
-    key = F.col("k").cast("long") * F.lit(1 << 20) + F.col("_pid")
-    off = F.create_map(*[x for (k, p), o in offsets.items() for x in (F.lit(k * (1 << 20) + p), F.lit(o))])[key]
-    tot = F.create_map(*[x for k, t in totals.items() for x in (F.lit(k), F.lit(t))])[F.col("k")]
-    w = W.partitionBy("_pid", "k").orderBy("v")
-    ranked = ranged.select(
-        "k", "v", (off + F.coalesce(F.sum("c").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).alias("before"),
-        tot.alias("n"))
-    aggs = [F.first("n").alias("n"), F.count(F.lit(1)).alias("n_distinct")]
+    per = ranged.groupBy("k", "_pid").agg(F.sum("c").alias("s"), F.count(F.lit(1)).alias("d"))  # ranges x columns rows
+    by_k = W.partitionBy("k").orderBy("_pid")
+    every = W.partitionBy("k")
+    per = per.select("k", "_pid", (F.sum("s").over(by_k) - F.col("s")).alias("start"), F.sum("s").over(by_k).alias("stop"),
+                     F.sum("s").over(every).alias("n"), F.sum("d").over(every).alias("n_distinct"))
+    wanted = F.lit(False)
+    for p in probs:
+        i = F.floor((F.col("n") - 1) * F.lit(float(p)))
+        wanted = wanted | ((F.col("start") <= i + 1) & (F.col("stop") > i))
+    ranked = join_small(ranged, per.where(wanted).drop("stop"), ["k", "_pid"])
+    w = W.partitionBy("k", "_pid").orderBy("v").rowsBetween(W.unboundedPreceding, -1)
+    ranked = ranked.select("k", "v", "n", "n_distinct", (F.col("start") + F.coalesce(F.sum("c").over(w), F.lit(0))).alias("before"))
+    aggs = [F.first("n").alias("n"), F.first("n_distinct").alias("n_distinct")]
     for j, p in enumerate(probs):
         pos = (F.col("n") - 1) * F.lit(float(p))
         i = F.floor(pos)

@@ -85,9 +85,10 @@ def variant_basic_checks(variants: DataFrame, label: str, features: list[str]) -
     types = dict(variants.dtypes)
     all_numeric = all(types[c] in ("double", "float", "int", "bigint", "smallint", "tinyint") for c in features)
     nulls = sum((col(c).isNull().cast("long") for c in features + [label]), F.lit(0))
-    g = variants.groupBy("strategy").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(nulls).alias("null_cells"),
+    g = variants.groupBy("strategy").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(nulls).alias("null_cells"), F.count(col(label)).alias("n_labels"),
                                          F.count_distinct(col(label)).alias("n_classes"))
     return g.select("strategy", "n_rows", F.col("null_cells").cast("long").alias("null_cells"),
+                    (F.col("n_labels") == F.col("n_rows")).alias("shape_ok"),
                     F.lit(all_numeric).alias("all_numeric"), F.col("n_classes").cast("long").alias("n_classes"),
                     ((F.col("null_cells") == 0) & F.lit(all_numeric) & (F.col("n_classes") > 1)).alias("passed"))
 
@@ -112,10 +113,10 @@ def variant_distribution(variants: DataFrame, label: str, baseline: str = "basel
 
 
 def variant_quality(basic: DataFrame, dist: DataFrame, leakage: DataFrame) -> DataFrame:
-    """Seven pass/fail checks averaged per variant: no nulls, shape consistent (one frame: always), numeric
+    """Seven pass/fail checks averaged per variant: no nulls, as many labels as rows, numeric
     dtypes, more than one class, same class set as the original, every class >= 10 rows, no test rows."""
     j = basic.join(dist, "strategy").join(leakage.select("strategy", "in_test"), "strategy")
-    checks = [F.col("null_cells") == 0, F.lit(True), F.col("all_numeric"), F.col("n_classes") > 1,
+    checks = [F.col("null_cells") == 0, F.col("shape_ok"), F.col("all_numeric"), F.col("n_classes") > 1,
               F.col("same_classes"), F.col("min_class_ok"), F.col("in_test") == 0]
     score = sum((F.coalesce(c, F.lit(False)).cast("int") for c in checks), F.lit(0)) / F.lit(len(checks))
     return j.select("strategy", score.alias("quality_score"), "improvement", "use_case")

@@ -89,7 +89,8 @@ def security_metrics(conf: DataFrame, keys=KEYS, classes=SECURITY_CLASSES) -> Da
         F.sum(F.when(F.col("label").isin(classes), F.col("n")).otherwise(0)).alias("_all"))
     threat = threat.select(*keys, F.when(F.col("_all") > 0, F.col("_hit") / F.col("_all")).otherwise(0.0)
                            .alias("threat_detection_rate"))
-    return sec.join(threat, list(keys), "full_outer")
+    out = threat.join(sec, list(keys), "left")  # every cell is in threat; one without threat classes scores 0
+    return out.select(*keys, *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in sec.columns if c not in keys], "threat_detection_rate")
 
 
 def model_comparison(conf: DataFrame, keys=KEYS) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark import StorageLevel
@@ -23,7 +23,7 @@ from flowprism.functions.common import col, collect_bounded, join_small
 LR_MAX_ITER = 1000
 LR_C = 1.0
 RF_TREES = 100
-RF_MAX_DEPTH = 20  # the reference grows unlimited trees; Spark caps depth at 30
+RF_MAX_DEPTH = 30  # the reference grows unlimited trees; this is Spark's limit
 KNN_K = 5
 SVM_FEATURES = 256
 SEED = 42
@@ -89,21 +89,47 @@ def random_fourier(df: DataFrame, features: list[str], w: np.ndarray, b: np.ndar
     return df.select(*keep, array_to_vector(rff(*[col(c).cast("double") for c in features])).alias(out))
 
 
-def svm_rbf(train: DataFrame, test: DataFrame, features: list[str], keep: list[str], label: str = "label") -> DataFrame:
-    """RBF SVM approximated by random Fourier features + one-vs-rest linear SVMs (gamma='scale')."""
-    stats = train.agg(*[F.var_pop(col(c).cast("double")).alias(c) for c in features]).collect()[0]
-    var = float(np.mean([stats[c] or 0.0 for c in features])) or 1.0
-    w, b = rff_params(len(features), 1.0 / (len(features) * var))
-    tr = random_fourier(train.withColumn(label, col(label).cast("double")), features, w, b)
-    tr = tr.persist(StorageLevel.MEMORY_AND_DISK)  # the Pandas UDF runs once, not once per solver pass
+class SvmModel:
+    """One-vs-rest linear SVMs on the features themselves or on random Fourier features of an RBF kernel."""
+
+    def __init__(self, model, features: list[str], gamma: float | None):
+        self.model, self.features, self.gamma = model, features, gamma
+
+    def _mapped(self, df: DataFrame) -> DataFrame:
+        if self.gamma is None:
+            return assembler(self.features).transform(df)
+        return random_fourier(df, self.features, *rff_params(len(self.features), self.gamma))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``prediction`` and ``probability``: each class's margin through the logistic function, summing to 1."""
+        out = self.model.transform(self._mapped(df))
+        raw = F.transform(vector_to_array(F.col("rawPrediction")), lambda x: 1 / (1 + F.exp(-x)))
+        share = F.expr("transform(_p, x -> x / greatest(aggregate(_p, 0D, (t, y) -> t + y), 1e-300D))")
+        return out.withColumn("_p", raw).withColumn("probability", array_to_vector(share)).drop("_p", "rawPrediction")
+
+    def save(self, path: str) -> None:
+        self.model.write().overwrite().save(path)
+
+
+def fit_svm(train: DataFrame, features: list[str], label: str = "label", C: float = 1.0, kernel: str = "rbf",
+            gamma: str = "scale", weight: str | None = None) -> SvmModel:
+    """``gamma`` is 'scale' (1 / (p * mean variance)) or 'auto' (1 / p); C maps to regParam = 1 / (C * n)."""
+    g = None
+    if kernel == "rbf":
+        var = 1.0
+        if gamma == "scale":
+            stats = train.agg(*[F.var_pop(col(c).cast("double")).alias(c) for c in features]).collect()[0]
+            var = float(np.mean([stats[c] or 0.0 for c in features])) or 1.0
+        g = 1.0 / (len(features) * var)
+    out = SvmModel(None, features, g)
+    data = out._mapped(train.withColumn(label, col(label).cast("double"))).persist(StorageLevel.MEMORY_AND_DISK)  # mapped once, not once per pass
     try:
-        ovr = OneVsRest(classifier=LinearSVC(maxIter=100, regParam=1.0 / tr.count()), featuresCol="features",
-                        labelCol=label, parallelism=4)
-        m = ovr.fit(tr)
+        svc = LinearSVC(maxIter=100, regParam=1.0 / (C * data.count()))
+        ovr = OneVsRest(classifier=svc, featuresCol="features", labelCol=label, parallelism=4)
+        out.model = (ovr.setWeightCol(weight) if weight else ovr).fit(data)
     finally:
-        tr.unpersist()
-    te = random_fourier(test, features, w, b)
-    return m.transform(te).select(*[col(c) for c in keep], F.col("prediction").cast("int").alias("prediction"))
+        data.unpersist()
+    return out
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -123,99 +149,145 @@ def macro_f1(pred: DataFrame, label: str = "label", prediction: str = "predictio
     return float(classification_metrics(conf, keys=("_k",)).collect()[0]["f1_macro"])
 
 
-class MacroF1Evaluator:
-    """Spark ML evaluator for macro F1 (MulticlassClassificationEvaluator's 'f1' is the weighted mean)."""
-
-    def __new__(cls, label: str = "label"):
-        from pyspark.ml.evaluation import Evaluator
-
-        class _Eval(Evaluator):
-            def _evaluate(self, dataset):
-                return macro_f1(dataset, label, "prediction")
-
-            def isLargerBetter(self):
-                return True
-
-        return _Eval()
-
-
-# Random-forest search grid (min_samples_leaf maps to minInstancesPerNode; Spark has no
-# min_samples_split), draws, folds, sample size.
-RF_GRID = {"numTrees": [100, 200], "maxDepth": [10, 20], "minInstancesPerNode": [1, 2]}
+# The search grids, draws, folds, sample size.  Spark's forests have no least size of a node to split: a
+# split needs two children, so it is half of it as least size of a child.
+GRIDS = {"svm": {"C": [0.1, 1, 10], "kernel": ["linear", "rbf"], "gamma": ["scale", "auto"]},
+         "random_forest": {"numTrees": [100, 200], "maxDepth": [10, 20], "minSamplesSplit": [2, 5], "minInstancesPerNode": [1, 2]}}
 TUNE_DRAWS = 10
 TUNE_FOLDS = 3
 TUNE_SAMPLE = 5000
 
 
-def tune_random_forest(train: DataFrame, features: list[str], label: str = "label", draws: int = TUNE_DRAWS,
-                       folds: int = TUNE_FOLDS, sample: int = TUNE_SAMPLE, seed: int = SEED) -> tuple[PipelineModel, list]:
-    """Random search: ``draws`` parameter maps drawn (seeded) from the grid, ``folds``-fold stratified CV on a
-    ``sample``-row exact hash sample scored by macro F1 with balanced class weights; the best map is refit on
-    the whole training set (keeping all base parameters)."""
+def fit_cell(model: str, train: DataFrame, features: list[str], label: str = "label", weight: str | None = None, **params):
+    """A fitted model with ``transform``, by name (logistic_regression, random_forest, svm) and grid parameters."""
+    if model == "svm":
+        return fit_svm(train, features, label, weight=weight, **params)
+    if model == "logistic_regression":
+        est = logistic_regression(train.count(), label)
+    elif model == "random_forest":
+        split = params.pop("minSamplesSplit", 2)
+        params["minInstancesPerNode"] = max(params.get("minInstancesPerNode", 1), split // 2)
+        est = random_forest(label).setParams(**params)
+    else:
+        raise ValueError(f"unknown model {model}")
+    return fit_pipeline(train, features, est.setWeightCol(weight) if weight else est, label)
+
+
+def tune(train: DataFrame, features: list[str], model: str, label: str = "label", draws: int = TUNE_DRAWS,
+         folds: int = TUNE_FOLDS, sample: int = TUNE_SAMPLE, seed: int = SEED):
+    """Random search: ``draws`` parameter maps drawn (seeded) from the model's grid, ``folds``-fold stratified CV on a
+    ``sample``-row exact hash sample scored by macro F1 with balanced class weights; the best map is refit on the whole
+    training set.  Returns (fitted model, [(parameters, mean macro F1)])."""
     import itertools
     import random
 
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-
     from flowprism.operators.imbalance import class_weights
     from flowprism.operators.sampling import stratified_folds, take_per_group
 
-    rf = random_forest(label).setWeightCol("_w")
-    combos = list(itertools.product(*RF_GRID.values()))
+    grid = GRIDS[model]
+    combos = [dict(zip(grid, c)) for c in itertools.product(*grid.values())]
     picked = random.Random(seed).sample(combos, min(draws, len(combos)))
-    maps = [{getattr(rf, k): v for k, v in zip(RF_GRID, c)} for c in picked]
     w = class_weights(train, label).select(col("label").alias(label), F.col("weight").alias("_w"))
     data = join_small(train, w, label)  # one row per class; size checked before broadcasting
     small = take_per_group(data.withColumn("_all", F.lit(0)), "_all", {0: sample}).drop("_all")
-    small = stratified_folds(small, label, folds).withColumn(label, col(label).cast("double"))
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    small = stratified_folds(small, label, folds).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cv = CrossValidator(estimator=Pipeline(stages=[assembler(features), rf]), estimatorParamMaps=maps,
-                            evaluator=MacroF1Evaluator(label), foldCol="fold", numFolds=folds, parallelism=2, seed=seed)
-        cvm = cv.fit(small)
+        results = []
+        for params in picked:
+            scores = []
+            for f in range(folds):
+                m = fit_cell(model, small.where(F.col("fold") != f), features, label, "_w", **params)
+                scores.append(macro_f1(m.transform(small.where(F.col("fold") == f)), label, "prediction"))
+            results.append((params, float(np.mean(scores))))
     finally:
         small.unpersist()
-    results = [(str({p.name: v for p, v in m.items()}), float(s)) for m, s in zip(maps, cvm.avgMetrics)]
-    best = maps[max(range(len(maps)), key=lambda i: cvm.avgMetrics[i])]
-    final = fit_pipeline(data, features, random_forest(label).setWeightCol("_w").copy(best), label)
-    return final, results
+    best = max(results, key=lambda r: r[1])[0]
+    return fit_cell(model, data, features, label, "_w", **best), results
 
 
 def train_matrix(variants: DataFrame, features: list[str], models: list[str], label: str = "label",
                  key: str = "row_id") -> tuple[DataFrame, DataFrame]:
     """Fit every (strategy, model) cell on its training variant and predict the shared test split.
 
-    Failures are isolated per cell (a status row records the error).  Returns (status, predictions) where
-    predictions has the (strategy, model, row_id, label, prediction) shape the evaluation operators take.
+    A cell's predictions are written out inside its ``try``, so a cell that fails at execution leaves the others intact.
+    Returns (status, predictions); predictions has the (strategy, model, row_id, label, prediction) shape the evaluation
+    operators take and is empty if all cells fail.
     """
+    from flowprism.functions.common import materialize
     from flowprism.operators.neighbors import knn_classify
     spark = variants.sparkSession
-    test = variants.where(F.col("split") == "test")
     status, preds = [], None
     strategies = [r["strategy"] for r in collect_bounded(variants.where(F.col("split") == "train").select("strategy").distinct())]
     for s in sorted(strategies):
-        train = variants.where((F.col("split") == "train") & (F.col("strategy") == s))
+        raw = variants.where((F.col("split") == "train") & (F.col("strategy") == s))
+        train, test = variant_preprocessor(raw, variants.where(F.col("split") == "test"), features)
+        train, test = materialize(train), materialize(test)  # shared by the models of the strategy
         n = train.count()
-        train, test = variant_preprocessor(train, variants.where(F.col("split") == "test"), features)
         for m in models:
             try:
-                if m == "logistic_regression":
-                    p = score(fit_pipeline(train, features, logistic_regression(n), label), test, [key, label])
-                elif m == "random_forest":
-                    p = score(fit_pipeline(train, features, random_forest(label), label), test, [key, label])
-                elif m == "svm":
-                    p = svm_rbf(train, test, features, [key, label], label)
-                elif m == "knn":
-                    tr = train.withColumn("_v", F.array(*[col(c).cast("double") for c in features]))
-                    te = test.withColumn("_v", F.array(*[col(c).cast("double") for c in features]))
-                    p = knn_classify(tr, te, KNN_K, key, "_v", label)
+                if m == "knn":
+                    vec = F.array(*[col(c).cast("double") for c in features])
+                    p = knn_classify(train.withColumn("_v", vec), test.withColumn("_v", vec), KNN_K, key, "_v", label)
                 else:
-                    raise ValueError(f"unknown model {m}")
-                p = p.select(F.lit(s).alias("strategy"), F.lit(m).alias("model"), key, col(label).cast("int").alias(label),
-                             F.col("prediction").cast("int").alias("prediction"))
+                    p = score(fit_cell(m, train, features, label), test, [key, label])
+                p = materialize(p.select(F.lit(s).alias("strategy"), F.lit(m).alias("model"), key, col(label).cast("int").alias(label),
+                                         F.col("prediction").cast("int").alias("prediction")))
                 preds = p if preds is None else preds.unionByName(p)
                 status.append((s, m, "success", n, None))
             except Exception as e:  # isolate the failing cell
                 status.append((s, m, "failed", n, f"{type(e).__name__}: {str(e)[:200]}"))
     st = spark.createDataFrame(status, "strategy string, model string, status string, n_train bigint, error string")
+    if preds is None:
+        kind = dict(variants.dtypes)[key]
+        preds = spark.createDataFrame([], f"strategy string, model string, {key} {kind}, {label} int, prediction int")
     return st, preds
+
+
+# ---------------------------------------------------------------- A8 / F10 the scoring artefact
+
+class ScoringModel:
+    """What scoring a raw row needs, saved and loaded as one folder: feature model, variant scaler and estimator."""
+
+    def __init__(self, features, scaler: dict, kind: str, estimator):
+        self.features, self.scaler, self.kind, self.estimator = features, scaler, kind, estimator
+
+    @classmethod
+    def fit(cls, train: DataFrame, kind: str = "logistic_regression", target: str = "action", k: int = 50, **params) -> "ScoringModel":
+        """From raw training rows (cleaned, not engineered)."""
+        from flowprism.operators.features import FeatureModel, fit_standard, standard_exprs
+        fm = FeatureModel.fit(train, target, k=k)
+        frame = fm.transform(train)
+        scaler = fit_standard(frame, fm.selected)
+        data = frame.withColumns(standard_exprs(scaler)).withColumnRenamed(target, "label")
+        return cls(fm, {c: list(v) for c, v in scaler.items()}, kind, fit_cell(kind, data, fm.selected, "label", **params))
+
+    def transform(self, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+        """``keep`` columns, ``prediction`` (class code), ``predicted`` (class name) and ``probability`` per raw row; batch or stream."""
+        from flowprism.operators.features import standard_exprs
+        kept = {f"_keep{i}": col(c) for i, c in enumerate(keep)}
+        frame = self.features.transform(df.withColumns(kept) if kept else df, tuple(kept))
+        scored = self.estimator.transform(frame.withColumns(standard_exprs({c: tuple(v) for c, v in self.scaler.items()})))
+        names = F.array(*[F.lit(x) for x in self.features.label_levels])
+        return scored.select(*[F.col(x).alias(c) for x, c in zip(kept, keep)], F.col("prediction").cast("int").alias("prediction"),
+                             F.get(names, F.col("prediction").cast("int")).alias("predicted"), vector_to_array("probability").alias("probability"))
+
+    def save(self, spark, path: str) -> None:
+        import json
+        self.features.save(spark, f"{path}/features")
+        gamma = self.estimator.gamma if self.kind == "svm" else None
+        text = json.dumps({"scaler": self.scaler, "kind": self.kind, "gamma": gamma})
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/scaler")
+        save_model(self.estimator.model if self.kind == "svm" else self.estimator, f"{path}/estimator")
+
+    @classmethod
+    def load(cls, spark, path: str) -> "ScoringModel":
+        import json
+
+        from flowprism.operators.features import FeatureModel
+        fm = FeatureModel.load(spark, f"{path}/features")
+        parts = json.loads(spark.read.text(f"{path}/scaler", wholetext=True).first()[0])
+        if parts["kind"] == "svm":
+            estimator = SvmModel(OneVsRestModel.load(f"{path}/estimator"), fm.selected, parts["gamma"])
+        else:
+            estimator = load_model(f"{path}/estimator")
+        return cls(fm, parts["scaler"], parts["kind"], estimator)

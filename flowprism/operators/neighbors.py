@@ -1,12 +1,14 @@
 """Exact k-nearest-neighbour join, kNN classification and SMOTE oversampling.
 
-The join is a distributed block-nested-loop: query rows are hashed into QB blocks and reference rows into RB
-blocks; each query row is replicated to the RB reference blocks (and each reference row to the QB query
-blocks), and every (query block, reference block) cell is one ``cogroup`` task that computes its distance
-matrix with numpy and emits only its k best candidates per query.  A final ``row_number() <= k`` per query
-merges the RB candidate lists.  No all-pairs table is ever materialised, no cell grows beyond ~block_rows^2
-distances, and nothing passes through the driver.  Exact search is O(|Q|*|R|) compute by nature; the block
-sizes keep it spread over all tasks.
+References are dealt to the cell of their nearest pivot (pivots are a bounded hash sample of the references), and a
+cell larger than a block is cut by a hash of the ids.  A query first visits the cells nearest to it until they
+hold k references; the k-th distance found there is an upper bound.  It then visits only the cells whose distance
+bounds (triangle inequality over pivot distance and cell radius) allow a nearer reference.  So queries and
+references are replicated to cells that matter, not to every block, and the result is exact: the k least by
+(distance, id), with no cap on candidates.
+
+Inside a cell the squared distances are screened in Gram form on centred vectors, every reference within the proven
+rounding bound of the k-th screened value is kept, and exact differences decide.
 """
 
 from __future__ import annotations
@@ -22,59 +24,186 @@ from pyspark.sql import functions as F
 from flowprism.functions.common import col, collect_bounded
 
 BLOCK_ROWS = 4096
+MAX_PIVOTS = 1024
+PAIRS_AT_ONCE = 1 << 18
+
+
+def cell_topk(qid, qv, rid, rv, k: int, exclude_self: bool):
+    """(query index, reference index, distance) of the k least references per query by (distance, id)."""
+    n = len(rid)
+    centre = rv.mean(axis=0)
+    qc, rc = qv - centre, rv - centre
+    qn, rn = (qc * qc).sum(1), (rc * rc).sum(1)
+    out_q, out_r, out_d = [], [], []
+    step = max(1, PAIRS_AT_ONCE // n)
+    for a in range(0, len(qid), step):
+        part = slice(a, a + step)
+        d2 = qn[part, None] + rn[None, :] - 2.0 * qc[part] @ rc.T
+        ok = np.ones(d2.shape, bool)
+        if exclude_self:
+            ok = qid[part, None] != rid[None, :]
+            d2 = np.where(ok, d2, np.inf)
+        if k < n:
+            kth = np.partition(d2, k - 1, axis=1)[:, k - 1]
+            # rounding: of the Gram form, relative to the squared norms, and of the centring, relative to the raw values
+            eps, p = np.finfo(float).eps, qv.shape[1]
+            unit = eps * (np.abs(qv[part]).max(axis=1) + np.abs(rv).max() + np.abs(centre).max())
+            norms = qn[part] + rn.max()
+            slack = 8 * (p + 4) * eps * norms + 4 * np.sqrt(p * norms) * unit + 4 * p * unit * unit
+            ok &= d2 <= (kth + 2 * slack)[:, None]
+        for i in range(d2.shape[0]):
+            at = np.flatnonzero(ok[i])
+            best = None
+            for j in range(0, len(at), PAIRS_AT_ONCE):  # ties may keep a whole cell: compare it in blocks
+                some = at[j:j + PAIRS_AT_ONCE]
+                d = np.sqrt(((qv[a + i] - rv[some]) ** 2).sum(1))
+                some, d = (some, d) if best is None else (np.concatenate([best[0], some]), np.concatenate([best[1], d]))
+                order = np.lexsort((rid[some], d))[:k]
+                best = some[order], d[order]
+            if best is not None:
+                out_q.append(np.full(len(best[0]), a + i))
+                out_r.append(best[0])
+                out_d.append(best[1])
+    if not out_q:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    return np.concatenate(out_q), np.concatenate(out_r), np.concatenate(out_d)
+
+
+def _matrix(vec: pd.Series) -> np.ndarray:
+    return np.stack(vec.to_numpy()).astype(np.float64)
 
 
-def _cell_topk(k: int, exclude_self: bool, part_cols: list[str]):
+def _cell(k: int, exclude_self: bool, names: list[str]):
     def fn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        cols = part_cols + ["qid", "rid", "dist"]
+        cols = names + ["qid", "rid", "dist"]
         if q.empty or r.empty:
             return pd.DataFrame({c: [] for c in cols})
-        qv = np.stack(q["vec"].to_numpy()).astype(np.float64)
-        rv = np.stack(r["vec"].to_numpy()).astype(np.float64)
-        qid = q["qid"].to_numpy()
-        rid = r["rid"].to_numpy()
-        # candidate screen with the Gram form, then exact distances for the survivors
-        d2 = (qv * qv).sum(1)[:, None] + (rv * rv).sum(1)[None, :] - 2.0 * qv @ rv.T
-        if exclude_self:
-            d2[qid[:, None] == rid[None, :]] = np.inf
-        m = min(k + 8, rv.shape[0])
-        cand = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < rv.shape[0] else np.tile(np.arange(rv.shape[0]), (len(qv), 1))
-        diff = qv[:, None, :] - rv[cand]
-        exact = np.sqrt((diff * diff).sum(2))
-        if exclude_self:
-            exact[qid[:, None] == rid[cand]] = np.inf
-        order = np.lexsort((rid[cand], exact), axis=1)[:, :k]
-        rows = np.arange(len(qv))[:, None]
-        pick = cand[rows, order]
-        dist = exact[rows, order]
-        keep = np.isfinite(dist)
-        out = pd.DataFrame({"qid": np.repeat(qid, pick.shape[1])[keep.ravel()],
-                            "rid": rid[pick].ravel()[keep.ravel()], "dist": dist.ravel()[keep.ravel()]})
-        for c in part_cols:
-            out.insert(0, c, q[c].iloc[0])
+        i, j, d = cell_topk(q["qid"].to_numpy(), _matrix(q["vec"]), r["rid"].to_numpy(), _matrix(r["vec"]), k, exclude_self)
+        out = pd.DataFrame({"qid": q["qid"].to_numpy()[i], "rid": r["rid"].to_numpy()[j], "dist": d})
+        for c in names:
+            out[c] = q[c].iloc[0]
         return out[cols]
     return fn
 
 
+def _pivot_distances(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    out = np.empty((len(v), len(pivots)))
+    step = max(1, PAIRS_AT_ONCE // max(1, len(pivots) * v.shape[1] // 8))
+    for a in range(0, len(v), step):
+        out[a:a + step] = np.sqrt(((v[a:a + step, None, :] - pivots[None, :, :]) ** 2).sum(2))
+    return out
+
+
+def _checked(df: DataFrame, what: str) -> int:
+    """Row count; rows whose vector is null or holds a null or NaN have no distance and are an error, never dropped."""
+    bad = F.col("vec").isNull() | F.exists("vec", lambda x: x.isNull() | F.isnan(x))
+    n, broken = df.agg(F.count(F.lit(1)), F.sum(bad.cast("long"))).first()
+    if broken:
+        raise ValueError(f"{broken} {what} rows have a null or NaN feature and no distance to anything")
+    return n
+
+
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, vec: str,
              partition_cols: tuple[str, ...] = (), exclude_self: bool = False,
-             block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(partition_cols..., qid, rid, dist, rank) for the k nearest ``refs`` of every query (Euclidean,
-    ties by rid).  ``partition_cols`` restricts neighbours to the same group (e.g. same class)."""
+             block_rows: int = BLOCK_ROWS, max_pivots: int = MAX_PIVOTS) -> DataFrame:
+    """(partition_cols..., qid, rid, dist, rank) for the k nearest ``refs`` of every query (Euclidean, ties by rid).
+
+    ``partition_cols`` restricts neighbours to the same group (e.g. same class).  A null or NaN feature raises.
+    """
     pc = list(partition_cols)
-    nq, nr = queries.count(), refs.count()
-    qb = max(1, math.ceil(nq / block_rows))
-    rb = max(1, math.ceil(nr / block_rows))
     q = queries.select(*[col(c) for c in pc], col(qid).alias("qid"), col(vec).cast("array<double>").alias("vec"))
     r = refs.select(*[col(c) for c in pc], col(rid).alias("rid"), col(vec).cast("array<double>").alias("vec"))
-    q = q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(qb))).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(rb - 1))))
-    r = r.withColumn("rb", F.pmod(F.xxhash64("rid"), F.lit(rb))).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
-    dtypes = dict(queries.dtypes)
-    schema = ", ".join([f"{c} {dtypes[c]}" for c in pc] + [f"qid {dtypes[qid]}", f"rid {dict(refs.dtypes)[rid]}", "dist double"])
-    keys = pc + ["qb", "rb"]
-    cand = q.groupBy(*keys).cogroup(r.groupBy(*keys)).applyInPandas(_cell_topk(k, exclude_self, pc), schema)
+    nr = _checked(r, "reference")
+    _checked(q, "query")
+    types = dict(queries.dtypes)
+    kinds = "".join(f"{c} {types[c]}, " for c in pc)
+    kind_q, kind_r = types[qid], dict(refs.dtypes)[rid]
+    n_piv = max(1, min(max_pivots, math.ceil(nr / block_rows)))
+    chosen = r.orderBy(F.xxhash64("rid"), "rid").limit(n_piv).collect()  # at most max_pivots vectors
+    if not chosen:
+        return (q.select(*pc, "qid", F.lit(None).cast(kind_r).alias("rid"), F.lit(None).cast("double").alias("dist"))
+                .where("false").withColumn("rank", F.lit(1)))
+    pivots = np.unique(np.array([x["vec"] for x in chosen], dtype=np.float64), axis=0)
+
+    def to_cell(it):
+        for pdf in it:
+            if len(pdf):
+                d = _pivot_distances(_matrix(pdf["vec"]), pivots)
+                pdf["cell"] = d.argmin(axis=1).astype(np.int32)
+                pdf["away"] = d.min(axis=1)
+                yield pdf
+
+    dealt = r.mapInPandas(to_cell, f"{kinds}rid {kind_r}, vec array<double>, cell int, away double")
+    cells = collect_bounded(dealt.groupBy(*pc, "cell").agg(F.count(F.lit(1)).alias("n"), F.min("away").alias("low"), F.max("away").alias("high")))
+    groups: dict = {}
+    for x in cells:  # one row per class and pivot
+        groups.setdefault(tuple(x[c] for c in pc), []).append((x["cell"], x["n"], x["low"], x["high"]))
+    groups = {g: tuple(np.array(c) for c in zip(*sorted(v))) for g, v in groups.items()}
+    need = k + (1 if exclude_self else 0)
+
+    def visits(second: bool):
+        def fn(it):
+            for pdf in it:
+                if not len(pdf):
+                    continue
+                d = _pivot_distances(_matrix(pdf["vec"]), pivots)
+                rows, to = [], []
+                for i, g in enumerate(zip(*[pdf[c] for c in pc]) if pc else [()] * len(pdf)):
+                    if g not in groups:
+                        continue
+                    cell, n, low, high = groups[g]
+                    away = d[i, cell.astype(int)]
+                    order = np.lexsort((cell, away))
+                    home = order[:1 + int(np.searchsorted(np.cumsum(n[order]), need))]
+                    if second:
+                        nearest = np.maximum(0.0, np.maximum(away - high, low - away))
+                        reach = pdf["reach"].iloc[i]
+                        reach = np.inf if reach is None or np.isnan(reach) else reach
+                        slack = 1e-9 * (away + high + reach if np.isfinite(reach) else 0.0)
+                        go = np.setdiff1d(np.flatnonzero(nearest <= reach + slack), home)
+                    else:
+                        go = home
+                    rows.extend([i] * len(go))
+                    to.extend(cell[go].tolist())
+                out = pdf.iloc[rows].drop(columns=["reach"], errors="ignore").copy()
+                out["cell"] = np.array(to, np.int32)
+                yield out
+        return fn
+
+    # a cell above a block is cut by the references' ids, and so are the queries that visit it
+    blocks = {(*g, int(c)): max(1, math.ceil(int(m) / block_rows)) for g, (cs, ns, _, _) in groups.items() for c, m in zip(cs, ns)}
+    spark = queries.sparkSession
+    plan = spark.createDataFrame([(*key, b) for key, b in blocks.items()], f"{kinds}cell int, blocks int")
+    ref_side = dealt.drop("away").join(F.broadcast(plan), [*pc, "cell"]).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")))  # one row per class and pivot
+    at = [*pc, "cell", "block", "part"]
+
+    def search(visiting: DataFrame) -> DataFrame:
+        load = collect_bounded(visiting.groupBy(*pc, "cell").count())
+        parts = spark.createDataFrame([(*[x[c] for c in pc], x["cell"], max(1, math.ceil(x["count"] / block_rows))) for x in load] or [],
+                                      f"{kinds}cell int, parts int")
+        qs = (visiting.join(F.broadcast(plan), [*pc, "cell"]).join(F.broadcast(parts), [*pc, "cell"])
+              .withColumn("part", F.pmod(F.xxhash64("qid"), F.col("parts")))
+              .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1))))
+        rs = (ref_side.join(F.broadcast(parts), [*pc, "cell"])
+              .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1))))
+        return qs.select(*at, "qid", "vec").groupBy(*at).cogroup(rs.select(*at, "rid", "vec").groupBy(*at)).applyInPandas(
+            _cell(k, exclude_self, pc), f"{kinds}qid {kind_q}, rid {kind_r}, dist double")
+
     w = W.partitionBy(*pc, "qid").orderBy("dist", "rid")
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+    def best(df: DataFrame) -> DataFrame:
+        return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+    visit_type = f"{kinds}qid {kind_q}, vec array<double>, cell int"
+    first = best(search(q.mapInPandas(visits(False), visit_type)))
+    if all(len(v[0]) == 1 for v in groups.values()):
+        return first
+    from flowprism.functions.common import materialize
+
+    first = materialize(first)
+    reach = first.groupBy(*pc, "qid").agg(F.max(F.when(F.col("rank") == k, F.col("dist"))).alias("reach"))
+    again = q.join(reach, [*pc, "qid"], "left").select(*pc, "qid", "vec", "reach")
+    return best(first.drop("rank").unionByName(search(again.mapInPandas(visits(True), visit_type))))
 
 
 def knn_classify(train: DataFrame, test: DataFrame, k: int, id_col: str, vec: str, label: str,
@@ -103,7 +232,6 @@ def smote(df: DataFrame, label: str, features: list[str], extra: dict, k: int =
         return df
     spark = df.sparkSession
     src = df.where(col(label).isin(list(extra))).withColumn("_vec", F.array(*[col(c).cast("double") for c in features]))
-    nn = knn_join(src, src, k, key, key, "_vec", partition_cols=(label,), exclude_self=True)
     idx = dense_index(src.select(label, key, "_vec"), label, seed, key)
     counts = {r[label]: r["n"] for r in collect_bounded(src.groupBy(label).agg(F.count(F.lit(1)).alias("n")))}
     chunk = 100_000
@@ -118,6 +246,9 @@ def smote(df: DataFrame, label: str, features: list[str], extra: dict, k: int =
                          (F.pmod(h(2), kk) + 1).alias("rank"),
                          (F.pmod(h(3), F.lit(1 << 30)).cast("double") / float(1 << 30)).alias("_u"))
     base = draws.join(idx.select(label, "_idx", F.col(key).alias("qid"), F.col("_vec").alias("_x")), [label, "_idx"])
+    # neighbours are sought for the rows drawn, not for the whole class
+    bases = base.select(label, F.col("qid").alias(key), F.col("_x").alias("_vec")).dropDuplicates([label, key])
+    nn = knn_join(bases, src, k, key, key, "_vec", partition_cols=(label,), exclude_self=True)
     nb = base.join(nn.select(label, "qid", "rank", "rid"), [label, "qid", "rank"], "left")
     nbv = nb.join(src.select(label, F.col(key).alias("rid"), F.col("_vec").alias("_n")), [label, "rid"], "left")
     nbv = nbv.withColumn("_n", F.coalesce(F.col("_n"), F.col("_x")))

@@ -118,9 +118,8 @@ def profile_numeric(df: DataFrame, cols: list[str] | None = None, approx: bool =
 def profile_categorical(df: DataFrame, cols: list[str] | None = None, top: int = 10) -> DataFrame:
     """Top ``top`` values per string column (count desc, value asc) with share of all rows.
 
-    Columns are stacked into (column, value) pairs and counted with one map-side-combined aggregate; the rank
-    window only sees the distinct values of each column (one task per column).  That fits categorical columns;
-    for free-text columns with very many distinct values this window is the bottleneck.
+    Columns are stacked into (column, value) pairs and counted with one map-side-combined aggregate.  The top values are
+    taken within 64 hash parts of each column first and merged after, so no task ranks all values of a column.
     """
     cols = cols if cols is not None else string_columns(df)
     from pyspark.sql import Window as W
@@ -128,7 +127,10 @@ def profile_categorical(df: DataFrame, cols: list[str] | None = None, top: int =
     n = df.count()
     counts = (df.select(pairs.alias("p")).select("p.column_name", "p.value").where(F.col("value").isNotNull())
               .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count")))
-    w = W.partitionBy("column_name").orderBy(F.desc("count"), F.asc("value"))
+    best = [F.desc("count"), F.asc("value")]
+    part = W.partitionBy("column_name", F.pmod(F.xxhash64("value"), F.lit(64))).orderBy(*best)
+    counts = counts.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
+    w = W.partitionBy("column_name").orderBy(*best)
     return (counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
             .select("column_name", F.col("rank").cast("int").alias("rank"), "value", "count",
                     (F.col("count") * 100.0 / F.lit(n)).alias("pct")))

@@ -162,14 +162,11 @@ def global_position(df: DataFrame, order_cols: list[str], name: str = "_pos", n_
     n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     p = df.repartitionByRange(n_parts, *[col(c) for c in order_cols]).withColumn("_pid", F.spark_partition_id())
     p = materialize(p)
-    counts = sorted((r["_pid"], r["n"]) for r in collect_bounded(p.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"))))
-    offsets, acc = {}, 0
-    for pid, n in counts:
-        offsets[pid] = acc
-        acc += n
-    off = F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v))])[F.col("_pid")]
+    per = p.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))  # one row per range
+    starts = per.select("_pid", (F.sum("_n").over(W.orderBy("_pid")) - F.col("_n")).alias("_start"))
     w = W.partitionBy("_pid").orderBy(*[col(c) for c in order_cols])
-    return p.withColumn(name, off + F.row_number().over(w) - 1).drop("_pid")
+    numbered = p.withColumn("_r", F.row_number().over(w) - 1)
+    return join_small(numbered, starts, "_pid").withColumn(name, F.col("_start") + F.col("_r")).drop("_pid", "_start", "_r")
 
 
 def time_series_folds(df: DataFrame, ts: str, tiebreak: str, n_splits: int = 5) -> DataFrame:

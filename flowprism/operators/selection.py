@@ -106,18 +106,11 @@ def pivot_scores(summary: DataFrame, metric: str = "security_score") -> DataFram
 
 def improvement(summary: DataFrame, metrics=("f1_macro", "f1_minority_mean", "security_score")) -> DataFrame:
     """Baseline -> variant change per model and metric, absolute and in percent."""
-    pieces = []
-    for m in metrics:
-        pieces.append(summary.select("model", "dataset", F.lit(m).alias("metric"), F.col(m).alias("value")))
-    long = pieces[0]
-    for p in pieces[1:]:
-        long = long.unionByName(p)
+    from flowprism.functions.common import stack_expr
+    long = summary.select("model", "dataset", stack_expr([[f"'{m}'", m] for m in metrics], ["metric", "value"]))
     g = long.groupBy("model", "metric").agg(
         *[F.max(F.when(F.col("dataset") == s, F.col("value"))).alias(s) for s in STRATEGIES])
-    out = None
-    for v in STRATEGIES[1:]:
-        part = g.select("model", "metric", F.lit(v).alias("variant"), F.col("baseline").alias("baseline_value"),
-                        F.col(v).alias("variant_value"), (F.col(v) - F.col("baseline")).alias("abs_change"),
-                        F.try_divide((F.col(v) - F.col("baseline")) * 100.0, F.col("baseline")).alias("pct_change"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    g = g.select("model", "metric", F.col("baseline").alias("baseline_value"), stack_expr([[f"'{v}'", v] for v in STRATEGIES[1:]], ["variant", "variant_value"]))
+    change = F.col("variant_value") - F.col("baseline_value")
+    return g.select("model", "metric", "variant", "baseline_value", "variant_value", change.alias("abs_change"),
+                    F.try_divide(change * 100.0, F.col("baseline_value")).alias("pct_change"))

@@ -22,10 +22,6 @@ DRAW_MULT = 2654435761
 DRAW_MOD = 4294967296
 
 
-def draw_index(b, i, n):
-    return (((b * 7919 + i) * DRAW_MULT) % DRAW_MOD) % n
-
-
 def bootstrap_ci(summary: DataFrame, metrics=STAT_METRICS, n_boot: int = N_BOOTSTRAP,
                  confidence: float = CONFIDENCE) -> DataFrame:
     """Percentile bootstrap of the mean, B resamples of size n with replacement, reproducible draws.
@@ -33,14 +29,13 @@ def bootstrap_ci(summary: DataFrame, metrics=STAT_METRICS, n_boot: int = N_BOOTS
     Draws are a ``range(B*n)`` (parallel) equi-joined to the indexed values; each resample mean is one group of
     an aggregate and the CI is an exact percentile over the B means.  With one value the interval degenerates.
     """
+    from flowprism.functions.common import materialize, stack_expr
     spark = summary.sparkSession
+    summary = materialize(summary)  # one row per model and strategy, read several times below
     idx = summary.withColumn("j", F.row_number().over(W.orderBy(*row_order())) - 1)
     n = idx.count()
     lo_p, hi_p = (1 - confidence) / 2, 1 - (1 - confidence) / 2
-    long = None
-    for m in metrics:
-        part = idx.select(F.lit(m).alias("metric"), "j", F.col(m).cast("double").alias("value"))
-        long = part if long is None else long.unionByName(part)
+    long = idx.select("j", stack_expr([[f"'{m}'", f"CAST({m} AS DOUBLE)"] for m in metrics], ["metric", "value"]))
     base = long.groupBy("metric").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
                                       F.count(F.lit(1)).alias("n"))
     if n <= 1:
@@ -57,19 +52,40 @@ def bootstrap_ci(summary: DataFrame, metrics=STAT_METRICS, n_boot: int = N_BOOTS
 
 def pairwise_compare(summary: DataFrame, metrics=STAT_METRICS) -> DataFrame:
     """For each model and each ordered strategy pair (i < j in the fixed enumeration), per metric:
-    both values, difference, effect size |d| / max(std_pop(v1, v2), floor); p-value NULL (a paired test
-    needs n >= 2 observations per side, one summary row gives one)."""
+    both values, difference, effect size |d| / max(std_pop(v1, v2), floor); p-value NULL (one summary row gives one
+    observation per side; :func:`paired_test` tests over folds)."""
+    from flowprism.functions.common import stack_expr
     wide = summary.groupBy("model").agg(*[
         F.max(F.when(F.col("dataset") == s, F.col(m))).alias(f"{m}__{s}") for m in metrics for s in STRATEGIES])
-    out = None
     pairs = [(a, b) for i, a in enumerate(STRATEGIES) for b in STRATEGIES[i + 1:]]
-    for a, b in pairs:
-        for m in metrics:
-            v1, v2 = F.col(f"{m}__{a}"), F.col(f"{m}__{b}")
-            d = v1 - v2
-            eff = F.when(v1 == v2, 0.0).otherwise(F.abs(d) / F.greatest(F.abs(d) / 2, F.lit(EFFECT_STD_FLOOR)))
-            part = wide.select("model", F.lit(a).alias("strategy1"), F.lit(b).alias("strategy2"), F.lit(m).alias("metric"),
-                               v1.alias("value1"), v2.alias("value2"), d.alias("difference"), eff.alias("effect_size"),
-                               F.lit(None).cast("double").alias("p_value"), F.lit(False).alias("significant"))
-            out = part if out is None else out.unionByName(part)
-    return out.where(F.col("value1").isNotNull() & F.col("value2").isNotNull())
+    rows = [[f"'{a}'", f"'{b}'", f"'{m}'", f"{m}__{a}", f"{m}__{b}"] for a, b in pairs for m in metrics]
+    long = wide.select("model", stack_expr(rows, ["strategy1", "strategy2", "metric", "value1", "value2"]))
+    v1, v2 = F.col("value1"), F.col("value2")
+    d = v1 - v2
+    eff = F.when(v1 == v2, 0.0).otherwise(F.abs(d) / F.greatest(F.abs(d) / 2, F.lit(EFFECT_STD_FLOOR)))
+    return long.where(v1.isNotNull() & v2.isNotNull()).select(
+        "model", "strategy1", "strategy2", "metric", "value1", "value2", d.alias("difference"), eff.alias("effect_size"),
+        F.lit(None).cast("double").alias("p_value"), F.lit(False).alias("significant"))
+
+
+def paired_test(scores: DataFrame, metrics: list[str], fold: str = "fold") -> DataFrame:
+    """Exact paired test of every two strategies of a model over folds, from (model, strategy, fold, metrics...).
+
+    The two-sided sign-flip test: of all 2^n ways to flip the signs of the n differences, the share whose mean is at least
+    as far from 0 as the observed one.  Identical values give p = 1.  Folds are few (at most 20) by construction.
+    """
+    from flowprism.functions.common import stack_expr
+    long = scores.select("model", "strategy", F.col(fold).alias("f"), stack_expr([[f"'{m}'", f"CAST({m} AS DOUBLE)"] for m in metrics], ["metric", "value"]))
+    b = long.select("model", "metric", "f", F.col("strategy").alias("strategy2"), F.col("value").alias("v2"))
+    order = F.array_position(F.array(*[F.lit(s) for s in STRATEGIES]), F.col("strategy"))
+    order2 = F.array_position(F.array(*[F.lit(s) for s in STRATEGIES]), F.col("strategy2"))
+    pairs = long.join(b, ["model", "metric", "f"]).where((order > 0) & (order2 > order))
+    g = pairs.groupBy("model", F.col("strategy").alias("strategy1"), "strategy2", "metric").agg(
+        F.sort_array(F.collect_list(F.col("value") - F.col("v2"))).alias("d"))  # one number per fold
+    g = g.withColumn("flip", F.explode(F.sequence(F.lit(0), F.expr("cast(power(2, size(d)) as int) - 1"))))
+    g = g.withColumn("total", F.expr("abs(aggregate(d, 0D, (t, x) -> t + x))")).withColumn(
+        "flipped", F.expr("abs(aggregate(transform(d, (x, i) -> if((shiftright(flip, i) & 1) = 1, -x, x)), 0D, (t, x) -> t + x))"))
+    keys = ["model", "strategy1", "strategy2", "metric"]
+    out = g.groupBy(*keys).agg(F.first(F.size("d")).cast("long").alias("n_folds"), (F.first(F.expr("aggregate(d, 0D, (t, x) -> t + x)")) / F.first(F.size("d"))).alias("mean_difference"),
+                               F.avg((F.col("flipped") >= F.col("total") - 1e-12).cast("double")).alias("p_value"))
+    return out.withColumn("significant", F.col("p_value") < ALPHA)

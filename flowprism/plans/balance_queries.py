@@ -166,7 +166,7 @@ def q_balanced_variants(spark, sf_dir):
 # ------------------------------------------------------------------ E11-E16 validation
 
 @register("variant_basic_checks", _bq(f"""
-SELECT strategy, CAST(sum(n) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS null_cells, true AS all_numeric,
+SELECT strategy, CAST(sum(n) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS null_cells, true AS shape_ok, true AS all_numeric,
        count(*) AS n_classes, count(*) > 1 AS passed FROM vcounts GROUP BY strategy"""))
 def q_variant_basic_checks(spark, sf_dir):
     v = balanced_variants(spark, sf_dir).where(F.col("split") == "train")
@@ -267,3 +267,68 @@ def q_variant_quality(spark, sf_dir):
     tr = v.where(F.col("split") == "train")
     return ib.variant_quality(ib.variant_basic_checks(tr, "label", _FEATS), ib.variant_distribution(tr, "label"),
                               ib.leakage_check(v))
+
+
+# ------------------------------------------------------------------ validation of variants that are broken on purpose
+
+#: baseline is sound; leaky holds test rows, nulls has missing cells and labels, lost lacks a class, small keeps too few rows of one.
+_BROKEN = [
+    ("src", "SELECT l_orderkey * 10 + l_linenumber AS row_id, CAST(l_linenumber % 4 AS INTEGER) AS label, CAST(l_quantity AS DOUBLE) AS f1, "
+            "CAST(l_discount AS DOUBLE) AS f2, l_orderkey % 10 >= 7 AS held, l_partkey, l_orderkey FROM {lineitem}"),
+    ("bv", "SELECT 'baseline' AS strategy, 'test' AS split, row_id, label, f1, f2 FROM src WHERE held "
+           "UNION ALL SELECT 'baseline', 'train', row_id, label, f1, f2 FROM src WHERE NOT held "
+           "UNION ALL SELECT 'leaky', 'train', row_id, label, f1, f2 FROM src WHERE NOT held OR l_partkey % 3 = 0 "
+           "UNION ALL SELECT 'nulls', 'train', row_id, CASE WHEN l_partkey % 31 = 0 THEN NULL ELSE label END, "
+           "CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE f1 END, f2 FROM src WHERE NOT held "
+           "UNION ALL SELECT 'lost', 'train', row_id, label, f1, f2 FROM src WHERE NOT held AND label <> 2 "
+           "UNION ALL SELECT 'small', 'train', row_id, label, f1, f2 FROM src WHERE NOT held AND (label <> 3 OR l_orderkey < 40)"),
+]
+
+
+def broken_variants(spark, sf_dir):
+    body = "WITH " + ", ".join(f"{n} AS ({s})" for n, s in _BROKEN) + " SELECT * FROM bv"
+    return spark.sql(body, lineitem=fx.read(spark, sf_dir, "lineitem"))
+
+
+def _broken(main, extra=None):
+    ctes = [(n, s.format(lineitem="lineitem")) for n, s in _BROKEN] + [("tr", "SELECT * FROM bv WHERE split = 'train'")] + (extra or [])
+    return "WITH " + ", ".join(f"{n} AS ({s})" for n, s in ctes) + " " + main
+
+
+_BROKEN_BASIC = ("SELECT strategy, count(*) AS n_rows, CAST(sum(CAST(f1 IS NULL AS BIGINT) + CAST(f2 IS NULL AS BIGINT) + CAST(label IS NULL AS BIGINT)) AS BIGINT) AS null_cells, "
+                 "count(label) = count(*) AS shape_ok, true AS all_numeric, count(DISTINCT label) AS n_classes, "
+                 "sum(CAST(f1 IS NULL OR f2 IS NULL OR label IS NULL AS BIGINT)) = 0 AND count(DISTINCT label) > 1 AS passed FROM tr GROUP BY strategy")
+_BROKEN_DIST = [
+    ("c", "SELECT strategy, label, count(*) AS n FROM tr GROUP BY ALL"),
+    ("s", "SELECT strategy, max(n) / min(n) AS ra, min(n) AS mn, list_sort(list(label) FILTER (label IS NOT NULL)) AS k FROM c GROUP BY strategy"),
+    ("dist", "SELECT s.strategy, b.ra AS rb, s.ra, b.ra / s.ra AS imp, s.k = b.k AS same, s.mn >= 10 AS ok, 'general' AS use_case FROM s, s b WHERE b.strategy = 'baseline'"),
+    ("leak", "SELECT strategy, count(*) AS n_rows, CAST(count(*) FILTER (row_id NOT IN (SELECT row_id FROM tr WHERE strategy = 'baseline')) AS BIGINT) AS not_in_original, "
+             "CAST(count(*) FILTER (row_id IN (SELECT row_id FROM bv WHERE split = 'test')) AS BIGINT) AS in_test FROM tr GROUP BY strategy"),
+]
+
+
+@register("broken_basic_checks", _broken(_BROKEN_BASIC))
+def q_broken_basic_checks(spark, sf_dir):
+    return ib.variant_basic_checks(broken_variants(spark, sf_dir).where("split = 'train'"), "label", ["f1", "f2"])
+
+
+@register("broken_distribution", _broken(f"SELECT strategy, {r6('rb')} AS ratio_before, {r6('ra')} AS ratio_after, {r6('imp')} AS improvement, "
+                                         "same AS same_classes, ok AS min_class_ok, use_case FROM dist", _BROKEN_DIST))
+def q_broken_distribution(spark, sf_dir):
+    return ib.variant_distribution(broken_variants(spark, sf_dir).where("split = 'train'"), "label")
+
+
+@register("broken_leakage", _broken("SELECT * FROM leak", _BROKEN_DIST))
+def q_broken_leakage(spark, sf_dir):
+    return ib.leakage_check(broken_variants(spark, sf_dir))
+
+
+@register("broken_quality", _broken(f"""
+SELECT strategy, {r6("(CAST(null_cells = 0 AS INTEGER) + CAST(shape_ok AS INTEGER) + 1 + CAST(n_classes > 1 AS INTEGER) + CAST(same AS INTEGER) + CAST(ok AS INTEGER) + CAST(in_test = 0 AS INTEGER)) / 7.0")} AS quality_score,
+       {r6('imp')} AS improvement, use_case
+FROM basic JOIN dist USING (strategy) JOIN (SELECT strategy, in_test FROM leak) USING (strategy)""", [*_BROKEN_DIST, ("basic", _BROKEN_BASIC)]))
+def q_broken_quality(spark, sf_dir):
+    """The seven checks on variants of which each breaks one or more."""
+    v = broken_variants(spark, sf_dir)
+    tr = v.where("split = 'train'")
+    return ib.variant_quality(ib.variant_basic_checks(tr, "label", ["f1", "f2"]), ib.variant_distribution(tr, "label"), ib.leakage_check(v))

@@ -272,3 +272,32 @@ SELECT strategy, model, time_bucket(INTERVAL 7 DAY, ts, TIMESTAMP '1970-01-01')
 FROM preds_ts GROUP BY ALL"""))
 def q_monitor_by_window(spark, sf_dir):
     return mt.windowed_monitor(fx.preds(spark, sf_dir, with_ts=True))
+
+
+# ------------------------------------------------------------------ G13 paired test over folds
+
+_FOLDS = 5
+
+
+@register("paired_strategy_test", oracle(["preds"], f"""
+SELECT model, strategy1, strategy2, metric, n_folds, {r6('total / n_folds')} AS mean_difference, {r6('p')} AS p_value, p < {st.ALPHA} AS significant
+FROM (SELECT model, strategy1, strategy2, metric, any_value(n) AS n_folds, any_value(total) AS total,
+             avg(CASE WHEN abs(flipped) >= abs(total) - 1e-12 THEN 1.0 ELSE 0.0 END) AS p
+      FROM (SELECT model, strategy1, strategy2, metric, f.flip, count(*) AS n, sum(d) AS total,
+                   sum(CASE WHEN (f.flip >> CAST(i AS BIGINT)) & 1 = 1 THEN -d ELSE d END) AS flipped
+            FROM dif, range(0, {2 ** _FOLDS}) f(flip) GROUP BY model, strategy1, strategy2, metric, f.flip)
+      GROUP BY model, strategy1, strategy2, metric)""", [
+    ("acc", f"SELECT model, strategy, row_id % {_FOLDS} AS fold, avg(CAST(label = prediction AS DOUBLE)) AS accuracy, "
+            "sum(CAST(label IN (1, 2) AND prediction IN (1, 2) AS DOUBLE)) / NULLIF(sum(CAST(label IN (1, 2) AS DOUBLE)), 0) AS threat_detection_rate FROM preds GROUP BY ALL"),
+    ("lg", "SELECT model, strategy, fold, 'accuracy' AS metric, accuracy AS v FROM acc UNION ALL "
+           "SELECT model, strategy, fold, 'threat_detection_rate', coalesce(threat_detection_rate, 0) FROM acc"),
+    ("dif", "SELECT a.model, a.strategy AS strategy1, b.strategy AS strategy2, a.metric, a.v - b.v AS d, "
+            "row_number() OVER (PARTITION BY a.model, a.strategy, b.strategy, a.metric ORDER BY a.v - b.v) - 1 AS i "
+            "FROM lg a JOIN lg b ON a.model = b.model AND a.fold = b.fold AND a.metric = b.metric AND "
+            f"{_S_ORD.format(c='a.strategy')} < {_S_ORD.format(c='b.strategy')}")]))
+def q_paired_strategy_test(spark, sf_dir):
+    """Sign-flip test of every two strategies of a model over five folds of the predictions."""
+    from pyspark.sql import functions as F
+    p = fx.preds(spark, sf_dir).withColumn("fold", F.col("row_id") % _FOLDS)
+    keys = ("strategy", "model", "fold")
+    return st.paired_test(mt.model_comparison(mt.confusion_counts(p, keys), keys), ["accuracy", "threat_detection_rate"])

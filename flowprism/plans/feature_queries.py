@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowprism.functions.common import col, materialize
-from flowprism.functions.flow_exprs import add_flow_features
+from flowprism.functions.common import col
+from flowprism.functions.flow_exprs import add_flow_features, detect_roles
 from flowprism.operators import cleaning as cl
 from flowprism.operators import features as fe
 from flowprism.plans.base import oracle, r6, register
@@ -110,12 +110,12 @@ def _skew_sql(c):
 
 
 _SKEW_UNION = " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, CAST({i} AS INTEGER) AS ordinal, count({c}) AS n, {_skew_sql(c)} AS skew FROM eng"
+    f"SELECT '{c}' AS column_name, CAST({i} AS INTEGER) AS ordinal, count({c}) AS n, {_skew_sql(c)} AS skew, min({c}) AS low FROM eng"
     for i, c in enumerate(_LOG_CANDIDATES))
 
 
 @register("skew_stats", oracle(["flows"], f"""
-SELECT column_name, ordinal, n, {r6('skew')} AS skew, coalesce(abs(skew) > 1.0, false) AS selected FROM ({_SKEW_UNION})""",
+SELECT column_name, ordinal, n, {r6('skew')} AS skew, coalesce(abs(skew) > 1.0 AND low > -1, false) AS selected FROM ({_SKEW_UNION})""",
                                 _ENG_CTES))
 def q_skew_stats(spark, sf_dir):
     e = engineered(spark, sf_dir)
@@ -125,8 +125,8 @@ def q_skew_stats(spark, sf_dir):
 @register("log_features", oracle(["flows"], " UNION ALL ".join(
     f"SELECT 'log1p_{c}' AS column_name, count(*) AS n, {r6(f'sum(ln(1 + {c}))')} AS sum_value, "
     f"{r6(f'min(ln(1 + {c}))')} AS min_value, {r6(f'max(ln(1 + {c}))')} AS max_value FROM eng "
-    f"WHERE (SELECT abs(skew) > 1.0 FROM sk WHERE column_name = '{c}') HAVING count(*) > 0" for c in _LOG_CANDIDATES)
-    , _ENG_CTES + [("sk", f"SELECT column_name, skew FROM ({_SKEW_UNION})")]))
+    f"WHERE (SELECT abs(skew) > 1.0 AND low > -1 FROM sk WHERE column_name = '{c}') HAVING count(*) > 0" for c in _LOG_CANDIDATES)
+    , _ENG_CTES + [("sk", f"SELECT column_name, skew, low FROM ({_SKEW_UNION})")]))
 def q_log_features(spark, sf_dir):
     """log1p of the skew-selected columns, summarised per new column (n, sum, min, max)."""
     e = engineered(spark, sf_dir)
@@ -156,9 +156,9 @@ SELECT p_brand, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS cod
 def q_ordinal_encode(spark, sf_dir):
     """A string column with more than 10 levels gets a frozen alphabetical ordinal code."""
     p = fx.read(spark, sf_dir, "part")
-    levels = fe.fit_levels(p, "p_brand")
-    return p.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")).select(
-        "p_brand", fe.label_encode_expr("p_brand", levels).alias("code"), "n")
+    counts = p.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
+    coded = fe.encode_by_table(counts, "p_brand", fe.level_table(p, "p_brand"), "code")
+    return coded.select("p_brand", F.col("code").cast("int").alias("code"), "n")
 
 
 _OH_COLS = ["source_port_category", "destination_port_category", "duration_category"]
@@ -172,8 +172,8 @@ def q_one_hot(spark, sf_dir):
     e = engineered(spark, sf_dir)
     exprs = {}
     for c in fe.string_columns(e, exclude=["action"]):
-        lv = fe.fit_levels(e, c)
-        if len(lv) <= fe.ONE_HOT_MAX_LEVELS:
+        lv = fe.few_levels(e, c)
+        if lv is not None:
             exprs.update(fe.one_hot_exprs(c, lv))
     one = e.agg(*[F.sum(v).cast("long").alias(k) for k, v in exprs.items()])
     from flowprism.functions.common import lit_sql, stack_expr
@@ -233,7 +233,7 @@ _FEATS = _SCALE_CANDIDATES + _FLAG_FEATURES
 def _scaled_spark(spark, sf_dir):
     e = engineered(spark, sf_dir)
     st = fe.fit_standard(e, fe.scale_candidates(e, "action"))
-    return materialize(e.withColumns(fe.standard_exprs(st)))
+    return e.withColumns(fe.standard_exprs(st))
 
 
 @register("variance_filter", oracle(["flows"], " UNION ALL ".join(
@@ -263,7 +263,9 @@ SELECT column_name, ordinal, {r6('round(f_score, 4)')} AS f_score,
 def q_anova_f_rank(spark, sf_dir):
     """One-way ANOVA F of each scaled feature against the class; rank and top-50 flag."""
     s = _scaled_spark(spark, sf_dir)
-    out = fe.rank_desc(fe.anova_f(s, _FEATS, "action"), "f_score", fe.K_FEATURES)
+    # equal scores differ in their last bits between engines: ranks are compared on four decimals
+    f = fe.anova_f(s, _FEATS, "action").withColumn("f_score", F.round("f_score", 4))
+    out = fe.rank_desc(f, "f_score", fe.K_FEATURES)
     return out.withColumn("rank", F.col("rank").cast("int"))
 
 
@@ -278,8 +280,8 @@ def q_corr_with_target(spark, sf_dir):
     """Pearson correlation of each feature with the encoded label, ranked by absolute value."""
     e = engineered(spark, sf_dir)
     lab = e.withColumn("label", fe.label_encode_expr("action", fe.fit_levels(e, "action")))
-    out = fe.corr_with_target(lab, _FEATS, "label")
-    return out.withColumn("rank", F.col("rank").cast("int"))
+    out = fe.corr_with_target(lab, _FEATS, "label").drop("rank").withColumn("abs_corr", F.round("abs_corr", 6))
+    return fe.rank_desc(out, "abs_corr").withColumn("rank", F.col("rank").cast("int"))
 
 
 def _report_oracle():
@@ -306,3 +308,56 @@ SELECT section, name, CAST(value AS BIGINT) AS value FROM (
 def q_feature_report(spark, sf_dir):
     """Shape, feature counts by type and family, target distribution and missing cells of the engineered table."""
     return fe.feature_report(engineered(spark, sf_dir), "action")
+
+
+# ------------------------------------------------------------------ B3 roles, D22 the fitted chain
+
+@register("feature_roles", oracle([], "SELECT * FROM (VALUES " + ", ".join(
+    f"('{r}', {i}, '{c}')" for r, cols in detect_roles(fx.FLOW_COLUMNS, "action").items() for i, c in enumerate(cols))
+    + ") AS t(role, ordinal, column_name) WHERE (SELECT count(*) FROM lineitem) > 0"))
+def q_feature_roles(spark, sf_dir):
+    """The nine role groups found among the columns of the flow table, one row per role and column."""
+    flows = fx.flows(spark, sf_dir)
+    roles = detect_roles(flows.columns, "action")
+    found = F.array(*[F.struct(F.lit(r).alias("role"), F.lit(i).alias("ordinal"), F.lit(c).alias("column_name"))
+                      for r, cols in roles.items() for i, c in enumerate(cols)])
+    return flows.limit(1).select(F.explode(found).alias("x")).select("x.role", "x.ordinal", "x.column_name")
+
+
+ENGINEERED_K = 12
+_OH_SQL = [(f"{c}_{v}", f"CAST(coalesce({c} = '{v}', false) AS INTEGER)", f"(SELECT count(*) FROM eng WHERE {c} = '{v}') > 0")
+           for c, vs in (("source_port_category", ["well_known", "registered", "ephemeral", "unknown"]),
+                         ("destination_port_category", ["well_known", "registered", "ephemeral", "unknown"]),
+                         ("duration_category", ["short", "medium", "long"])) for v in vs]
+_ENGINEERED = ([(c, c, True, "true") for c in _SCALE_CANDIDATES] + [(c, c, False, "true") for c in _FLAG_FEATURES]
+               + [(f"log1p_{c}", f"ln(1 + {c})", True, f"(SELECT abs(skew) > 1.0 AND low > -1 FROM sk WHERE column_name = '{c}')") for c in _LOG_CANDIDATES]
+               + [(n, x, True, there) for n, x, there in _OH_SQL])
+
+
+def _engineered_oracle():
+    per, tot, rows = [], [], []
+    for i, (name, x, scaled, there) in enumerate(_ENGINEERED):
+        x = f"CAST({x} AS DOUBLE)"
+        per.append(f"avg({x}) AS m{i}, var_pop({x}) AS v{i}")
+        tot.append(f"sum(nc * m{i}) / sum(nc) AS t{i}")
+        raw = f"((SELECT sum(nc * (m{i} - t{i}) * (m{i} - t{i})) FROM per, tot) / (k - 1))"
+        inner = f"((SELECT sum(nc * v{i}) FROM per) / (n - k))"
+        var = f"(SELECT sum(nc * (v{i} + (m{i} - t{i}) * (m{i} - t{i}))) / sum(nc) FROM per, tot)"
+        var = f"(CASE WHEN {var} > 0 THEN 1.0 ELSE 0.0 END)" if scaled else var
+        rows.append(f"SELECT '{name}' AS column_name, {var} AS variance, {raw} / NULLIF({inner}, 0) AS f FROM nk WHERE {there}")
+    return oracle(["flows"], f"""
+SELECT column_name, {r6('variance')} AS variance, variance > 0.01 AS kept, {r6('CASE WHEN variance > 0.01 THEN round(f, 2) END')} AS f_score,
+       variance > 0.01 AND row_number() OVER (ORDER BY variance > 0.01 DESC, round(f, 2) DESC NULLS LAST, column_name) <= {ENGINEERED_K} AS selected
+FROM ({' UNION ALL '.join(rows)})""", _ENG_CTES + [
+        ("sk", f"SELECT column_name, skew, low FROM ({_SKEW_UNION})"),
+        ("per", f"SELECT action, count(*) AS nc, {', '.join(per)} FROM eng GROUP BY action"),
+        ("tot", f"SELECT {', '.join(tot)} FROM per"), ("nk", "SELECT sum(nc) AS n, count(*) AS k FROM per")])
+
+
+@register("engineered_features", _engineered_oracle())
+def q_engineered_features(spark, sf_dir):
+    """The whole chain fitted on the cleaned flows: flow features, skew-gated logs, one-hot, standard scale, variance filter
+    and the ENGINEERED_K best by F score; one row per engineered column."""
+    m = fe.FeatureModel.fit(cleaned_flows(spark, sf_dir), "action", k=ENGINEERED_K)
+    out = spark.createDataFrame([tuple(r) for r in m.report], "column_name string, variance double, kept boolean, f_score double, selected boolean")
+    return out.withColumn("f_score", F.round("f_score", 2))

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from flowprism.operators import models as md
 from flowprism.operators.neighbors import knn_classify
+from flowprism.functions.common import materialize
 from flowprism.plans.balance_queries import balanced_variants
 from flowprism.plans.base import oracle, register
+from flowprism.plans.cleaning_queries import _CLEAN_CTES
 from flowprism.plans.feature_queries import _FEATS
 from flowprism.sources import fixtures as fx
+from flowprism.sources.fixtures import STRATEGIES
 
 
 @register("knn_classify", oracle([], """
@@ -51,7 +54,7 @@ def q_rf_predict(spark, sf_dir):
 @register("svm_predict")
 def q_svm_predict(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
-    return md.svm_rbf(train, test, _FEATS, ["row_id", "label"])
+    return md.score(md.fit_svm(train, _FEATS), test, ["row_id", "label"])
 
 
 MATRIX_MODELS = ["knn", "logistic_regression", "random_forest", "svm"]
@@ -59,12 +62,63 @@ MATRIX_MODELS = ["knn", "logistic_regression", "random_forest", "svm"]
 
 def train_matrix_status(spark, sf_dir, models=tuple(MATRIX_MODELS)):
     """Phase 4: every strategy x model cell fitted on its variant (failures isolated), then the phase-5 summary
-    of the real predictions on the shared test split; one row per cell with status and scores.
-
-    Not registered as a driver query: twelve full fits (LR up to 1000 L-BFGS passes, 100-tree forests) take
-    many minutes even at sf0.01; tests/test_models.py drives it on the smallest scale."""
+    of the real predictions on the shared test split; one row per cell with status and scores."""
     from flowprism.operators.metrics import confusion_counts, model_summary
     status, preds = md.train_matrix(balanced_variants(spark, sf_dir), _FEATS, list(models))
     summ = model_summary(confusion_counts(preds)).select(
         F.col("dataset").alias("strategy"), "model", "accuracy", "f1_macro", "security_score")
     return status.join(summ, ["strategy", "model"], "left")
+
+
+def tuning_results(spark, sf_dir, models=("random_forest", "svm"), **how):
+    """Phase 4 search: every drawn parameter map of both models on each training variant, with its mean macro F1."""
+    v = balanced_variants(spark, sf_dir)
+    rows = []
+    for s in STRATEGIES:
+        train = v.where((F.col("strategy") == s) & (F.col("split") == "train"))
+        for m in models:
+            _, results = md.tune(train, _FEATS, m, **how)
+            best = max(x for _, x in results)
+            rows += [(s, m, str(p), x, x == best) for p, x in results]
+    return spark.createDataFrame(rows, "strategy string, model string, parameters string, f1_macro double, best boolean")
+
+
+# ------------------------------------------------------------------ kNN on raw flows, with ties
+
+_KNN_COLS = ["bytes", "packets", "elapsed_time_sec"]
+
+
+@register("knn_flows", oracle(["flows"], f"""
+SELECT a.id, b.id AS neighbour, CAST(b.rn AS INTEGER) AS rank FROM (SELECT * FROM q) a JOIN (
+  SELECT q.id AS qid, r.id, row_number() OVER (PARTITION BY q.id ORDER BY {' + '.join(f'(q.{c} - r.{c}) * (q.{c} - r.{c})' for c in _KNN_COLS)}, r.id) AS rn
+  FROM q JOIN r ON true) b ON a.id = b.qid WHERE b.rn <= 5""", [
+    ("d", "SELECT DISTINCT * FROM flows"),
+    ("n", "SELECT *, row_number() OVER (ORDER BY " + ", ".join(fx.FLOW_COLUMNS) + ") - 1 AS id FROM d"),
+    ("r", "SELECT id, bytes, packets, elapsed_time_sec FROM n"), ("q", "SELECT * FROM r WHERE id % 20 = 0")]))
+def q_knn_flows(spark, sf_dir):
+    """The five nearest flows (raw bytes, packets, seconds; many ties) of every row whose number is divisible by 20."""
+    from flowprism.operators.cleaning import remove_duplicates
+    from flowprism.operators.neighbors import knn_join
+    from flowprism.operators.sampling import global_position
+    n = global_position(remove_duplicates(fx.flows(spark, sf_dir)), fx.FLOW_COLUMNS, "id")
+    r = materialize(n.select(F.col("id").cast("long").alias("id"), F.array(*[F.col(c).cast("double") for c in _KNN_COLS]).alias("v")))
+    out = knn_join(r.where("id % 20 = 0"), r, 5, "id", "id", "v")
+    return out.select(F.col("qid").alias("id"), F.col("rid").alias("neighbour"), F.col("rank").cast("int").alias("rank"))
+
+
+# ------------------------------------------------------------------ F10 batch scoring with the saved artefact
+
+@register("batch_score", oracle(["flows"], "SELECT action, count(*) AS n FROM clean GROUP BY action", _CLEAN_CTES))
+def q_batch_score(spark, sf_dir):
+    """Fit on the training rows, save, load, score every cleaned row: scored rows per true class."""
+    import uuid
+
+    from flowprism.operators import sampling as sp
+    from flowprism.plans.cleaning_queries import cleaned_flows
+    flows = materialize(cleaned_flows(spark, sf_dir).withColumn("row_id", F.xxhash64(*fx.FLOW_COLUMNS)))
+    split = materialize(sp.stratified_split(flows, "action", 0.3))
+    model = md.ScoringModel.fit(split.where("split = 'train'").drop("split", "row_id"))
+    path = f"{spark.sparkContext.getCheckpointDir()}/scoring-{uuid.uuid4().hex}"
+    model.save(spark, path)
+    scored = md.ScoringModel.load(spark, path).transform(flows.drop("row_id"), ("action",))
+    return scored.where("prediction is not null and size(probability) > 0").groupBy("action").agg(F.count(F.lit(1)).alias("n"))

@@ -34,10 +34,10 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster; a scratch folder only when unset (tests)."""
+    """Shared checkpoint folder named by the cluster; a scratch folder only when unset (local sessions of ``build_session``)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="flowprism-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path

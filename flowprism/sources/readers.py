@@ -12,20 +12,41 @@ from pyspark.sql import types as T
 
 
 def load_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-               multiline: bool = True) -> DataFrame:
-    """Load by suffix: .parquet, .json (one JSON document per file by default; ``multiline=False`` for JSON
-    lines as Spark writes them), anything else as CSV with a header."""
+               document: bool = False) -> DataFrame:
+    """Load by suffix: .parquet, .json (one record per line, as Spark writes it; ``document=True`` for files that hold
+    one JSON value each), anything else as CSV with a header.
+
+    A document file with anything behind its value is an error: Spark would read the first record and drop the rest.
+    """
     low = path.lower().rstrip("/")
     if low.endswith(".parquet"):
         return spark.read.parquet(path)
     if low.endswith(".json"):
-        r = spark.read.option("multiLine", "true" if multiline else "false")
+        if document:
+            broken = spark.read.text(path, wholetext=True).mapInPandas(_not_one_value, "problem string").first()
+            if broken is not None:
+                raise ValueError(f"{path} is not one JSON value per file: {broken[0]}")
+        r = spark.read.option("multiLine", "true" if document else "false").option("mode", "FAILFAST")
         return (r.schema(schema) if schema is not None else r).json(path)
     r = spark.read.option("header", "true")
     r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
     return r.csv(path)
 
 
+def _not_one_value(batches):
+    import json
+
+    import pandas as pd
+    for pdf in batches:
+        problems = []
+        for text in pdf["value"]:
+            try:
+                json.loads(text)
+            except ValueError as e:
+                problems.append(str(e))
+        yield pd.DataFrame({"problem": problems}, dtype=str)
+
+
 def save_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
     """Overwrite-write a table; CSV carries a header."""
     w = df.write.mode("overwrite")
@@ -65,6 +86,11 @@ METRIC_STRUCT = T.StructType([
 METRIC_JSON_TYPE = T.MapType(T.StringType(), T.MapType(T.StringType(), METRIC_STRUCT))
 
 
+def read_metric_json(spark: SparkSession, path: str) -> DataFrame:
+    """Metric documents from files: one nested strategy -> model -> metrics value per file, strategy aliases normalised."""
+    return flatten_metric_json(spark.read.text(path, wholetext=True).withColumnRenamed("value", "json"))
+
+
 def metrics_to_json(comparison: DataFrame) -> DataFrame:
     """Nest a (strategy, model, metrics...) table into one JSON document strategy -> model -> metrics."""
     per_model = comparison.groupBy("strategy").agg(F.map_from_entries(F.collect_list(F.struct(

@@ -7,7 +7,6 @@ the watermark are dropped.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,15 +14,10 @@ from flowprism.functions.flow_exprs import add_flow_features
 from flowprism.operators.metrics import windowed_monitor
 
 
-def score_stream(flows: DataFrame, model: PipelineModel | None = None, target: str | None = "action",
-                 feature_fn=None) -> DataFrame:
-    """Streaming (or batch) flows -> stateless features -> optional fitted model predictions."""
-    out = add_flow_features(flows, target)
-    if feature_fn is not None:
-        out = feature_fn(out)
-    if model is not None:
-        out = model.transform(out).withColumn("prediction", F.col("prediction").cast("int"))
-    return out
+def score_stream(flows: DataFrame, model=None, target: str | None = "action", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Streaming (or batch) flows with the stateless features, or scored by a saved ``ScoringModel`` (features, scaler and
+    estimator fitted in batch): the ``keep`` columns with prediction, class name and probabilities, row by row as in batch."""
+    return add_flow_features(flows, target) if model is None else model.transform(flows, keep)
 
 
 def monitor_stream(preds: DataFrame, ts: str = "ts", watermark: str = "30 days", duration: str = "7 days") -> DataFrame:
@@ -31,14 +25,3 @@ def monitor_stream(preds: DataFrame, ts: str = "ts", watermark: str = "30 days",
     # watermarks need TIMESTAMP (with zone); parquet files often carry TIMESTAMP_NTZ
     p = preds.withColumn(ts, F.col(ts).cast("timestamp"))
     return windowed_monitor(p.withWatermark(ts, watermark), ts, duration)
-
-
-def run_to_memory(df: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None):
-    """Drive a streaming query to completion on the available input (tests / backfills)."""
-    w = df.writeStream.format("memory").queryName(name).outputMode(mode)
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
-    q = w.start()
-    q.processAllAvailable()
-    q.stop()
-    return df.sparkSession.table(name)

@@ -1,6 +1,6 @@
 """Local twin of the driver's check: run a registered query on Spark and its oracle SQL on DuckDB, compare.
 
-Comparison: row count, column names, then the multiset of rows with doubles rounded to 6 places.
+Comparison: row count, column names, then the multiset of rows with doubles to six decimals or ten significant digits.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        r = round(v, 0) if abs(v) >= 1e6 else round(v, 6)
+        r = float(f"{v:.9e}") if abs(v) >= 1e4 else round(v, 6)
         return 0.0 if r == 0 else r
     if isinstance(v, bool):
         return v

@@ -59,4 +59,4 @@ def test_summary_written_as_csv_and_json(spark):
     save_table(s, f"{d}/summary.csv", "csv")
     save_table(s, f"{d}/summary.json", "json")
     assert load_table(spark, f"{d}/summary.csv").count() == 12
-    assert load_table(spark, f"{d}/summary.json", multiline=False).count() == 12
+    assert load_table(spark, f"{d}/summary.json").count() == 12
