@@ -79,6 +79,10 @@ class WordTokenizer:
             got = self.parts[s] = _packed([t.id for t in self.tok.model.tokenize(s if s.isascii() else s.translate(self.shown))])
         return got
 
+    def forget(self) -> None:
+        """A worker outlives its task: what it has learnt must not stay beside the memory of other stages."""
+        self.cache, self.parts = {}, {}
+
     def learn(self, words) -> None:
         new = [w for w in words if w not in self.cache]
         if len(self.cache) + len(new) > CACHE:
@@ -261,6 +265,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                 if rows:
                     yield out(rows)
         rows = packer.flush(True)
+        tok.forget()
         if rows:
             yield out(rows)
 
