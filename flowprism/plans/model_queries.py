@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowprism.operators import models as md
 from flowprism.operators.neighbors import knn_classify
 from flowprism.functions.common import materialize
-from flowprism.plans.balance_queries import balanced_variants
+from flowprism.plans.balance_queries import _bq, balanced_variants
 from flowprism.plans.base import oracle, register
 from flowprism.plans.cleaning_queries import _CLEAN_CTES
 from flowprism.plans.feature_queries import _FEATS
@@ -34,27 +34,35 @@ def _train_test(spark, sf_dir, strategy="baseline"):
     v = balanced_variants(spark, sf_dir)
     train = v.where((F.col("strategy") == strategy) & (F.col("split") == "train"))
     test = v.where(F.col("split") == "test")
-    return md.variant_preprocessor(train, test, _FEATS)
+    train, test = md.variant_preprocessor(train, test, _FEATS)
+    return materialize(train), test
 
 
-@register("lr_predict")
+_TEST_COUNTS = _bq("SELECT label, n - n_train AS n, n - n_train AS n_predicted FROM quota WHERE n > n_train")
+
+
+def _per_class(scored):
+    """Scored test rows per true class: every row must come back with a prediction."""
+    return scored.groupBy(F.col("label").cast("int").alias("label")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("prediction").alias("n_predicted"))
+
+
+@register("lr_predict", _TEST_COUNTS)
 def q_lr_predict(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
-    m = md.fit_pipeline(train, _FEATS, md.logistic_regression(train.count()))
-    return md.score(m, test, ["row_id", "label"])
+    return _per_class(md.score(md.fit_cell("logistic_regression", train, _FEATS), test, ["row_id", "label"]))
 
 
-@register("rf_predict")
+@register("rf_predict", _TEST_COUNTS)
 def q_rf_predict(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
-    m = md.fit_pipeline(train, _FEATS, md.random_forest())
-    return md.score(m, test, ["row_id", "label"])
+    return _per_class(md.score(md.fit_cell("random_forest", train, _FEATS), test, ["row_id", "label"]))
 
 
-@register("svm_predict")
+@register("svm_predict", _TEST_COUNTS)
 def q_svm_predict(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
-    return md.score(md.fit_svm(train, _FEATS), test, ["row_id", "label"])
+    return _per_class(md.score(md.fit_cell("svm", train, _FEATS), test, ["row_id", "label"]))
 
 
 MATRIX_MODELS = ["knn", "logistic_regression", "random_forest", "svm"]
@@ -62,7 +70,10 @@ MATRIX_MODELS = ["knn", "logistic_regression", "random_forest", "svm"]
 
 def train_matrix_status(spark, sf_dir, models=tuple(MATRIX_MODELS)):
     """Phase 4: every strategy x model cell fitted on its variant (failures isolated), then the phase-5 summary
-    of the real predictions on the shared test split; one row per cell with status and scores."""
+    of the real predictions on the shared test split; one row per cell with status and scores.
+
+    Not registered as a driver query, like :func:`tuning_results`: twelve full fits take many minutes even at sf0.001 on
+    one machine (most of it solver passes, each a Spark job); tests drive both on the smallest scale."""
     from flowprism.operators.metrics import confusion_counts, model_summary
     status, preds = md.train_matrix(balanced_variants(spark, sf_dir), _FEATS, list(models))
     summ = model_summary(confusion_counts(preds)).select(
@@ -70,6 +81,28 @@ def train_matrix_status(spark, sf_dir, models=tuple(MATRIX_MODELS)):
     return status.join(summ, ["strategy", "model"], "left")
 
 
+def train_matrix_status(spark, sf_dir, models=tuple(MATRIX_MODELS)):
+    """Phase 4: every strategy x model cell fitted on its variant (failures isolated), then the phase-5 summary
+    of the real predictions on the shared test split; one row per cell with status and scores.
+
+    Not registered as a driver query, like :func:`tuning_results`: twelve full fits take many minutes even at sf0.001 on
+    one machine (most of it solver passes, each a Spark job); tests drive both on the smallest scale."""
+    from flowprism.operators.metrics import confusion_counts, model_summary
+    status, preds = md.train_matrix(balanced_variants(spark, sf_dir), _FEATS, list(models))
+    summ = model_summary(confusion_counts(preds)).select(
+        F.col("dataset").alias("strategy"), "model", "accuracy", "f1_macro", "security_score")
+    return status.join(summ, ["strategy", "model"], "left")
+
+
+@register("train_matrix_status", _bq("""
+SELECT strategy, model, 'success' AS status, CAST(n_train AS BIGINT) AS n_train FROM
+  (SELECT strategy, sum(n) AS n_train FROM vcounts GROUP BY strategy),
+  (VALUES ('knn'), ('logistic_regression'), ('random_forest'), ('svm')) AS m(model)"""))
+def q_train_matrix_status(spark, sf_dir):
+    """All twelve cells fitted on all rows of their variant: status and training rows (scores: :func:`train_matrix_status`)."""
+    return train_matrix_status(spark, sf_dir).select("strategy", "model", "status", "n_train")
+
+
 def tuning_results(spark, sf_dir, models=("random_forest", "svm"), **how):
     """Phase 4 search: every drawn parameter map of both models on each training variant, with its mean macro F1."""
     v = balanced_variants(spark, sf_dir)

@@ -33,9 +33,61 @@ def test_model_reload_predicts_same(spark):
     assert a.join(b, "row_id").where("prediction != p2").count() == 0
 
 
-def test_tuning_runs(spark):
+def test_all_cells_failed_is_a_table_of_failures(spark):
+    out = train_matrix_status(spark, SF_SMALL, models=("nope",)).collect()
+    assert len(out) == 3 and all(r["status"] == "failed" and r["accuracy"] is None for r in out)
+
+
+def test_cell_that_fails_at_execution_leaves_the_others(spark, monkeypatch):
+    from flowprism.operators import neighbors
+
+    def late(*a, **k):
+        return spark.range(5).select(F.raise_error(F.lit("boom")).cast("int").alias("row_id"), F.lit(0).alias("label"), F.lit(0).alias("prediction"))
+    monkeypatch.setattr(neighbors, "knn_classify", late)
+    out = {(r["strategy"], r["model"]): r["status"] for r in train_matrix_status(spark, SF_SMALL, models=("knn", "logistic_regression")).collect()}
+    assert all(v == ("failed" if m == "knn" else "success") for (_, m), v in out.items()) and len(out) == 6
+
+
+def _majority(df, label="label"):
+    counts = [r["count"] for r in df.groupBy(label).count().collect()]
+    return max(counts) / sum(counts)
+
+
+def test_fitted_models_beat_the_majority_class(spark):
+    v = balanced_variants(spark, SF_SMALL)
+    train, test = md.variant_preprocessor(v.where("split = 'train' AND strategy = 'baseline'"), v.where("split = 'test'"), _FEATS)
+    floor = _majority(test)
+    for kind, params in (("logistic_regression", {}), ("random_forest", {"numTrees": 20, "maxDepth": 10}), ("svm", {"kernel": "linear"}), ("svm", {})):
+        out = md.score(md.fit_cell(kind, train, _FEATS, **params), test, ["row_id", "label"])
+        rows = out.collect()
+        assert sum(r["label"] == r["prediction"] for r in rows) / len(rows) > floor, kind
+        assert all(abs(sum(r["probability"]) - 1) < 1e-6 for r in rows[:50])
+
+
+def test_scoring_artefact_saved_and_streamed_equals_batch(spark):
+    from flowprism.sources import fixtures as fx
+    from flowprism.streaming.scoring import score_stream
+    from test_streaming_io import run_to_memory
+    df = fx.flows(spark, SF_SMALL).dropDuplicates().withColumn("id", F.xxhash64(*fx.FLOW_COLUMNS))
+    d = tempfile.mkdtemp(prefix="flowprism-scoring-")
+    for kind, params in (("logistic_regression", {}), ("svm", {})):
+        model = md.ScoringModel.fit(df.drop("id"), kind, k=15, **params)
+        model.save(spark, f"{d}/{kind}")
+        back = md.ScoringModel.load(spark, f"{d}/{kind}")
+        assert back.features.selected == model.features.selected and len(back.features.selected) == 15
+        one = {r["id"]: (r["prediction"], r["predicted"], r["probability"]) for r in model.transform(df, ("id",)).collect()}
+        two = {r["id"]: (r["prediction"], r["predicted"], r["probability"]) for r in back.transform(df, ("id",)).collect()}
+        assert one == two and len(one) == df.count()
+    df.write.parquet(f"{d}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{d}/in")
+    out = run_to_memory(score_stream(stream, back, keep=("id",)), "scored", checkpoint=f"{d}/ck")
+    assert {r["id"]: (r["prediction"], r["predicted"], r["probability"]) for r in out.collect()} == two
+
+
+def test_tuning_of_both_models(spark):
     v = balanced_variants(spark, SF_SMALL)
     train = v.where("split = 'train' AND strategy = 'baseline'")
-    model, results = md.tune_random_forest(train, _FEATS, draws=2, folds=2, sample=500)
-    assert len(results) == 2 and all(0.0 <= s <= 1.0 for _, s in results)
-    assert model.transform(v.where("split = 'test'")).count() > 0
+    for kind in md.GRIDS:
+        model, results = md.tune(train, _FEATS, kind, draws=2, folds=2, sample=400)
+        assert len(results) == 2 and all(0.0 <= s <= 1.0 for _, s in results)
+        assert model.transform(v.where("split = 'test'")).count() == v.where("split = 'test'").count()
