@@ -7,7 +7,6 @@ filter that stays inside whole-stage codegen.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowprism.functions.common import (
-    INTEGRAL_TYPES, col, collect_bounded, lit_sql, numeric_columns, sql_name, stack_expr,
+    INTEGRAL_TYPES, col, collect_bounded, lit_sql, numeric_columns, stack_expr,
 )
 
 # ---------------------------------------------------------------- row identity / dedup (C2)
@@ -177,6 +176,12 @@ def handle_outliers(df: DataFrame, method: str = "remove", fences: Fences | None
     return df.where(keep)
 
 
+def protected_rows(df: DataFrame, fences: Fences, target: str = "action", protect_below: int = 100) -> int:
+    """Rows outside a fence that ``remove`` keeps because their class has fewer than ``protect_below`` rows."""
+    rare = rare_labels(df, target, protect_below)
+    return df.where(fences.any_outlier() & col(target).isin(rare)).count() if rare else 0
+
+
 def outlier_summary(report: DataFrame) -> DataFrame:
     """Roll-up of an ``iqr_fences`` report; pct divides by analysed cells (rows x columns)."""
     return report.agg(
@@ -397,20 +402,6 @@ NARROW_SPARK_TYPE = {"uint8": "smallint", "uint16": "int", "uint32": "bigint", "
                      "int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint"}
 
 
-def narrow_choice(mn, mx) -> str:
-    if mn >= 0:
-        if mx < 255:
-            return "uint8"
-        if mx < 65535:
-            return "uint16"
-        return "uint32" if mx < 2 ** 32 else "uint64"
-    if mn >= -128 and mx < 127:
-        return "int8"
-    if mn >= -32768 and mx < 32767:
-        return "int16"
-    return "int32" if (mn >= -2 ** 31 and mx < 2 ** 31) else "int64"
-
-
 def narrowing_plan(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Per integral column: min, max, chosen numpy-style type and the signed Spark type that holds it."""
     cols = cols if cols is not None else [f.name for f in df.schema.fields if isinstance(f.dataType, INTEGRAL_TYPES)]
@@ -437,9 +428,3 @@ def narrow_types(df: DataFrame, plan_rows: list | None = None) -> DataFrame:
 def coerce_timestamp(c: Column) -> Column:
     """String to timestamp; unparsable values become NULL."""
     return F.try_to_timestamp(c)
-
-
-def fmt_float(v) -> str:
-    if v is None or (isinstance(v, float) and math.isnan(v)):
-        return "NULL"
-    return repr(float(v))

@@ -13,7 +13,6 @@ from flowprism.plans.base import oracle, r6, register
 from flowprism.plans.cleaning_queries import _CLEAN_CTES, cleaned_flows
 from flowprism.plans.feature_queries import _ENG_CTES, _FEATS, _scaled_oracle, _scaled_spark
 from flowprism.sources import fixtures as fx
-from flowprism.sources.fixtures import STRATEGIES
 
 
 # ------------------------------------------------------------------ model frame and variants

@@ -373,3 +373,24 @@ def q_cleaning_summary(spark, sf_dir):
 def q_cleaned_flows(spark, sf_dir):
     """Path 1 end to end: dedup, missing policy (no-op on the clean fixture), protected IQR removal."""
     return cleaned_flows(spark, sf_dir)
+
+
+@register("path1_report", oracle(["flows"], f"""
+SELECT (SELECT count(*) FROM flows) AS rows_in, (SELECT count(*) FROM d) AS rows_distinct, count(*) AS rows_cleaned,
+       (SELECT count(*) FROM d, q WHERE ({_ANY_OUTLIER}) AND d.action IN (SELECT action FROM rare)) AS protected_rows,
+       {', '.join(f"CAST(sum({c}) AS BIGINT) AS sum_{c}" for c in NUM)},
+       CAST({' + '.join(f"CAST({_NARROW_SPARK.replace('CASE nt', 'CASE ' + _narrow_sql(c))} <> 'bigint' AS INTEGER)" for c in NUM)} AS BIGINT) AS narrowed_columns
+FROM clean""", _CLEAN_CTES))
+def q_path1_report(spark, sf_dir):
+    """Path 1 to its end: dedup, missing policy, protected removal, then narrowing applied: counts, and the sums of the narrow columns."""
+    flows = fx.flows(spark, sf_dir)
+    d = materialize(cl.remove_duplicates(flows))
+    d, _ = cl.handle_missing_values(d)
+    fences = cl.fit_fences(d, NUM)
+    clean = materialize(cl.handle_outliers(d, "remove", fences, target="action", protect_below=100))
+    narrow = cl.narrow_types(clean)
+    before, after = dict(clean.dtypes), dict(narrow.dtypes)
+    return narrow.agg(F.lit(flows.count()).cast("long").alias("rows_in"), F.lit(d.count()).cast("long").alias("rows_distinct"), F.count(F.lit(1)).alias("rows_cleaned"),
+                      F.lit(cl.protected_rows(d, fences)).cast("long").alias("protected_rows"),
+                      *[F.sum(c).cast("long").alias(f"sum_{c}") for c in NUM],
+                      F.lit(sum(before[c] != after[c] for c in NUM)).cast("long").alias("narrowed_columns"))
