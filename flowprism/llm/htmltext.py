@@ -27,15 +27,16 @@ RAW = set("script style textarea title xmp iframe noembed noframes".split())
 BLOCKS = set("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th
 thead tr ul""".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: A start tag on the left ends an open element on the right, as far as the nearest listed boundary.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "option": ({"option"}, {"select", "datalist"})}
 BOILER_TAGS = set("nav header footer aside form menu dialog button select textarea fieldset label".split())
 CONTENT_TAGS = {"article", "main"}
-BOILER_WORDS = set("""ad ads adv advert adverts advertisement advertising adsense banner banners breadcrumb breadcrumbs byline comment comments
+BOILER_WORDS = set("""ad adbox ads adsbygoogle adslot adv advert adverts advertisement advertising adsense banner banners breadcrumb breadcrumbs byline comment commentlist comments
 consent cookie cookies copyright disclaimer disqus footer footnav form gdpr header hero-nav login masthead menu menus modal nav navbar
-navigation newsletter notice notices notification notifications overlay pager pagination popup privacy promo promos promoted promotion
+navigation newsletter noprint notice notices notification notifications overlay pager pagination popup privacy promo promos promoted promotion
 recommended related reply replies respond response responses share sharing sidebar sidebars signup skip social sponsor sponsored
 subscribe subscription tags teaser teasers toolbar topbar tracking warning alert widget widgets""".split())
 CONTENT_WORDS = set("article content entry post story main body text".split())
@@ -50,14 +51,14 @@ ADJACENT, SIBLING = 0.4, 0.8
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
-WORD = re.compile(r"[a-z]+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Element:
-    __slots__ = ("tag", "up", "boiler", "words", "title", "silent", "landmark", "link")
+    __slots__ = ("tag", "up", "boiler", "words", "title", "heading", "silent", "landmark", "link")
 
     def __init__(self, tag: str, up: "Element | None", attributes: str):
-        self.tag, self.up, self.title = tag, up, False
+        self.tag, self.up, self.title, self.heading = tag, up, False, False
         self.silent = tag in SILENT or bool(up and up.silent)
         self.landmark = tag in CONTENT_TAGS
         self.link = tag == "a" or bool(up and up.link)
@@ -67,7 +68,7 @@ class Element:
             for name, value in ATTRIBUTE.findall(attributes):
                 name = name.lower()
                 if name in ("class", "id"):
-                    found = set(WORD.findall(html.unescape(value).lower()))
+                    found = set(map(str.lower, WORD.findall(html.unescape(value))))
                     if found & BOILER_WORDS:
                         self.boiler = self.boiler or 1
                     elif found & CONTENT_WORDS:
@@ -102,10 +103,11 @@ def read(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 blocks.append(Block(text, linked, home))
-                if home.tag == "h1":
+                if home.tag in HEADINGS:
                     e = home
                     while e is not None:
-                        e.title = True
+                        e.heading = True
+                        e.title = e.title or home.tag == "h1"
                         e = e.up
             parts, linked = [], 0
 
@@ -198,7 +200,7 @@ def scores(blocks: list[Block]) -> list[float]:
         if e not in marks:
             boiler, land, words = mark(e.up)
             # names on an element that holds the title speak of the page's layout, as does a header within the article
-            own = e.boiler == 2 and not (land and e.tag == "header" and e.title) or e.boiler == 1 and not e.title
+            own = e.boiler == 2 and not (land and e.tag == "header" and e.heading) or e.boiler == 1 and not e.title
             marks[e] = (boiler or own, land or e.landmark and not boiler, words or e.words)
         return marks[e]
 
@@ -216,7 +218,7 @@ def scores(blocks: list[Block]) -> list[float]:
             s += OUTSIDE
         if words:
             s += WORDS
-        if b.element.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"):
+        if b.element.tag in HEADINGS or b.element.tag in ("p", "blockquote", "pre"):
             s += TAG
         elif n < 40 and b.text[-1] not in ".!?…。":
             s += SHORT

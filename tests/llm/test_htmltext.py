@@ -40,6 +40,15 @@ def test_page_without_landmarks():
     assert htmltext.main_text(page) == "Head\n\n" + ("A sentence of the text. " * 8).strip()
 
 
+def test_names_in_any_spelling():
+    tail = "<p>" + "A sentence of the text. " * 6 + "</p>"
+    for name in ("cookieNotice", "CookieNotice", "cookie-notice", "cookie_notice", "site COOKIE", "commentlist", "AdBox", "ad"):
+        page = f"<article><h1>T</h1>{tail}<div class='{name}'><p>Some words that are not part of the article, and quite many of them.</p></div></article>"
+        assert htmltext.main_text(page) == "T\n\n" + ("A sentence of the text. " * 6).strip(), name
+    page = f"<article><header><h2>Own heading</h2></header>{tail}</article><section id=comments><h2>Comments</h2><article><p>A reader wrote this. It is long enough.</p></article></section>"
+    assert htmltext.main_text(page) == "Own heading\n\n" + ("A sentence of the text. " * 6).strip()
+
+
 def cost(score, links, label):
     return sum(abs(s) for s, x in zip(score, label) if (s > 0) != x and s) + sum(w for i, j, w in links if label[i] != label[j])
 
