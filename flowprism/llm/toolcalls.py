@@ -262,11 +262,16 @@ SCHEMAS = {
 }
 
 
+#: Turns that ``traffic`` takes for results.
+_ANSWER = "role = 'user' and turn > 0"
+
+
 def traffic(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results derived from a conversation table (conv_id, turn, role, text), by hashes of conversation and turn.
 
     Every assistant turn is a call on its whole text that needs the call two turns before; some refer two turns ahead
-    instead, some carry broken or invalid arguments. Every user turn is the result of the turn before it.
+    instead, some carry invalid arguments or JSON without its last brace. Every user turn is the result of the turn before
+    it, but for the first one; all other turns are in ``context``.
     """
     def call_id(turn: str) -> Column:
         return F.expr(f"concat('call_', substr(md5(concat(conv_id, ':', {turn})), 1, 16))")
@@ -280,17 +285,31 @@ def traffic(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     tool = F.when(c % 3 == 0, "search").when(c % 3 == 1, "summarise").when(c == 47, "unheard_of").otherwise("measure")
     body = (F.when(c % 3 == 0, F.to_json(F.struct(F.col("text").alias("query"), F.pmod(n, F.lit(60)).alias("limit"))))
             .when(c % 3 == 1, F.to_json(F.struct(F.when(c == 46, "odd").when(n > 40, "long").otherwise("short").alias("style"), F.col("text").alias("text"))))
-            .otherwise(F.to_json(F.struct(F.array(n.cast("double"), F.length("text") / 8).alias("values")))))
+            .otherwise(F.to_json(F.struct(F.array(n.cast("double"), F.length("text") / 8).alias("values"), F.col("text").alias("text")))))
     ahead, behind = F.array(call_id("turn + 2")), F.array(call_id("turn - 2"))
     calls = turns.filter("role = 'assistant'").select(
         F.col("conv_id").alias("conv"), "turn", call_id("turn").alias("call_id"), tool.alias("name"),
-        F.when(c == 45, F.expr("substr(text, 1, 20)")).otherwise(body).alias("arguments"),
+        F.when(c == 45, F.left(body, F.length(body) - 1)).otherwise(body).alias("arguments"),
         F.when(c < 3, ahead).when((F.col("turn") < 2) | (chance("turn - 2") < 2), F.array().cast("array<string>")).otherwise(behind).alias("needs"))
-    results = turns.filter("role = 'user' and turn > 0").select(F.col("conv_id").alias("conv"), "turn", call_id("turn - 1").alias("call_id"), F.col("text").alias("content"))
+    results = turns.filter(_ANSWER).select(F.col("conv_id").alias("conv"), "turn", call_id("turn - 1").alias("call_id"), F.col("text").alias("content"))
     return calls, results
 
 
+def context(turns: DataFrame) -> DataFrame:
+    """(conv, context_turn, errors, message) of the turns that are neither call nor result in ``traffic``: system and first user turns."""
+    def run(b):
+        rows = zip(*(c.to_pylist() for c in b.columns[1:]))
+        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([canonical({"role": r, "text": t}) for _, r, t in rows], pa.string())],
+                                          ["conv", "context_turn", "message"])
+
+    other = turns.filter(f"not coalesce(role = 'assistant' or {_ANSWER}, false)")
+    other = other.select(F.col("conv_id").alias("conv"), F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"))
+    return (other.mapInArrow(batches(run), f"conv {other.schema['conv'].dataType.simpleString()}, context_turn long, message string")
+            .withColumn("errors", F.array(F.lit("neither call nor result"))).withColumn("valid", F.lit(False)))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
-    """op1: the calls and results of every conversation, linked."""
-    calls, results = traffic(table(spark, sf_dir, "conversations"))
-    return link(calls, results, SCHEMAS).withColumnRenamed("conv", "conv_id")
+    """op1: the calls and results of every conversation, linked; its other turns with their number as ``context_turn``."""
+    turns = table(spark, sf_dir, "conversations")
+    calls, results = traffic(turns)
+    return link(calls, results, SCHEMAS).unionByName(context(turns), allowMissingColumns=True).withColumnRenamed("conv", "conv_id")

@@ -139,3 +139,25 @@ def test_query(spark):
             by.setdefault(x.conv_id, []).append(x.position)
     assert all(sorted(p) == list(range(len(p))) for p in by.values())
     assert 0.3 < sum(x.valid for x in got) / len(got) < 1
+
+
+def test_traffic_holds_every_turn_and_its_whole_text(spark):
+    turns = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
+    text = {(r.conv_id, r.turn): (r.role, r.text) for r in turns.collect()}
+    calls, _ = toolcalls.traffic(turns)
+    calls = calls.collect()
+    assert {x.name for x in calls} >= {"search", "summarise", "measure"}
+    for x in calls:
+        whole = json.loads(x.arguments if x.arguments.endswith("}") else x.arguments + "}")
+        assert text[x.conv, x.turn][1] in (whole.get("text"), whole.get("query"))
+    got = toolcalls.query(spark, SF_SMALL).collect()
+    assert len({(x.conv_id, next(t for t in (x.turn, x.result_turn, x.context_turn) if t is not None)) for x in got}
+               | {(x.conv_id, x.result_turn) for x in got if x.result_turn is not None}) == len(text)
+    context = [x for x in got if x.context_turn is not None]
+    assert {text[x.conv_id, x.context_turn][0] for x in context} == {"system", "user"}
+    for x in context:
+        role, own = text[x.conv_id, x.context_turn]
+        assert json.loads(x.message) == {"role": role, "text": own} and not x.valid
+    odd = spark.createDataFrame([(1, None, "user", "a"), (1, 3, None, "b"), (1, 0, "user", None), (1, 1, "assistant", "c"), (1, 2, "user", "d")],
+                                "conv_id long, turn int, role string, text string")
+    assert sorted(x.message for x in toolcalls.context(odd).collect()) == ['{"role":"user","text":""}', '{"role":"user","text":"a"}', '{"role":null,"text":"b"}']
