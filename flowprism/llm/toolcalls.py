@@ -18,10 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowprism.llm.common import batches, cut, table
+from flowprism.llm.common import batches, cut, join_checked, table
 
 #: Turns in a block, and calls of a knot that one task may order.
 TURNS, KNOT_LIMIT = 4096, 20_000
+#: Assumed width of a conversation and call id when their size is checked for a broadcast.
+ID_BYTES = 128
 
 
 def canonical(x) -> str:
@@ -179,32 +181,51 @@ def ordered(calls: DataFrame, needs: DataFrame, knot_limit: int = KNOT_LIMIT) ->
     return loose.unionByName(tied.join(levels, ["conv", "call_id"]).select("conv", "call_id", "turn", F.col("knot").alias("at"), "level"))
 
 
+#: Columns of ``link``, and the errors of the rows that only ``link_all`` gives.
+LINKED = ["conv", "call_id", "turn", "result_turn", "position", "name", "valid", "errors", "message", "raw"]
+LATER, NULL_KEY = "later result", "null key"
+
+
 def link(calls: DataFrame, results: DataFrame, schemas: dict, knot_limit: int = KNOT_LIMIT) -> DataFrame:
-    """One row for each call and each result without a call.
+    """``link_all`` without its rows of "later result" and "null key": one row for each call and each result id without a call."""
+    out = link_all(calls, results, schemas, knot_limit)
+    return out.filter(~F.arrays_overlap("errors", F.array(F.lit(LATER), F.lit(NULL_KEY))))
+
+
+def link_all(calls: DataFrame, results: DataFrame, schemas: dict, knot_limit: int = KNOT_LIMIT) -> DataFrame:
+    """One row for each call and each result that is not in its call's row; every input row's content is in one of them.
 
     ``calls``: conv, turn (long), call_id, name, arguments (JSON text), needs (array of call ids); ``results``: conv, turn, call_id,
     content. Other columns are not read. Gives conv, call_id, turn, result_turn, position (from 0 without gaps, in dependency
-    order within the conversation), name, valid, errors (array, sorted) and message (canonical JSON; null without valid JSON).
-    Errors: "no result", "repeated result" (the earliest counts), "repeated id" (the earliest call owns an id; later
-    ones get no position), "unknown need", "cycle" (on or behind one; such calls stand last in their knot), "no call" (a
-    result alone), and of arguments "$ json", "$ tool" or the broken schema keyword. Rows without a conversation, turn or
-    call id cannot be linked and are left out. Empty tables give an empty table.
+    order within the conversation), name, valid, errors (array, sorted), message (canonical JSON with arguments, id, name,
+    position and result, of a result alone with id and result; null without valid JSON) and raw (where a call has no message:
+    the same with the arguments' text as a string).
+    Errors: "no result", "repeated result" (the earliest counts, the others follow in rows of their own: "later result"),
+    "repeated id" (the earliest call owns an id; later ones get no position and no result), "unknown need", "cycle" (on or
+    behind one; such calls stand last in their knot), "no call" (a result alone), "null key" (a call or result without a
+    conversation, turn or call id, which cannot be linked), and of arguments "$ json", "$ tool" or the broken schema
+    keyword. Empty tables give an empty table.
     """
-    calls = calls.select("conv", F.col("turn").cast("long").alias("turn"), "call_id", "name", "arguments", "needs").filter("conv is not null and turn is not null and call_id is not null")
-    results = results.select("conv", F.col("turn").cast("long").alias("turn"), "call_id", "content").filter("conv is not null and turn is not null and call_id is not null")
+    keyed = "conv is not null and turn is not null and call_id is not null"
+    calls = calls.select("conv", F.col("turn").cast("long").alias("turn"), "call_id", "name", "arguments", "needs")
+    results = results.select("conv", F.col("turn").cast("long").alias("turn"), "call_id", "content")
 
     def run(b):
-        texts, errors = [], []
+        texts, raws, errors = [], [], []
         for name, arguments in zip(b.column(3).to_pylist(), b.column(4).to_pylist()):
             t, e = check_arguments(name, arguments, schemas)
             texts.append(t)
+            raws.append(arguments if t is None else None)
             errors.append(e)
-        return pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(texts, pa.string()), b.column(5), pa.array(errors, pa.list_(pa.string()))],
-                                          ["conv", "turn", "call_id", "name", "args", "needs", "faults"])
+        return pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(texts, pa.string()), pa.array(raws, pa.string()), b.column(5), pa.array(errors, pa.list_(pa.string()))],
+                                          ["conv", "turn", "call_id", "name", "args", "raw", "needs", "faults"])
 
     kind = calls.schema["conv"].dataType.simpleString()
-    checked = calls.mapInArrow(batches(run), f"conv {kind}, turn long, call_id string, name string, args string, needs array<string>, faults array<string>")
-    first = Window.partitionBy("conv", "call_id").orderBy("turn", F.col("name").asc_nulls_last(), F.col("args").asc_nulls_last())
+    check_type = f"conv {kind}, turn long, call_id string, name string, args string, raw string, needs array<string>, faults array<string>"
+    checked = calls.filter(keyed).mapInArrow(batches(run), check_type)
+    lost_calls, lost_results = calls.filter(f"not ({keyed})").mapInArrow(batches(run), check_type), results.filter(f"not ({keyed})")
+    results = results.filter(keyed)
+    first = Window.partitionBy("conv", "call_id").orderBy("turn", F.col("name").asc_nulls_last(), F.col("args").asc_nulls_last(), F.col("raw").asc_nulls_last())
     checked = cut(checked.withColumn("n", F.row_number().over(first)))
     owners = checked.filter("n = 1")
     needs = cut(owners.select("conv", "call_id", F.explode(F.array_distinct("needs")).alias("need")).filter("need is not null"))
@@ -222,34 +243,45 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict, knot_limit: int =
     full = full.withColumn("errors", F.array_sort(F.concat(
         F.coalesce("faults", F.array().cast("array<string>")), fault(alone, "no call"), fault(F.col("r").isNull(), "no result"), fault(F.col("answers") > 1, "repeated result"),
         fault(F.col("lacks").isNotNull(), "unknown need"), fault(F.col("level") == -1, "cycle"))))
-    placed = cut(full.filter(~alone).withColumn("block", F.floor(F.col("at") / TURNS)))
+    full = cut(full.withColumn("block", F.floor(F.col("at") / TURNS)))
+    placed = full.filter(~alone)
     counts = placed.groupBy("conv", "block").count()
     starts = counts.select("conv", "block", (F.sum("count").over(Window.partitionBy("conv").orderBy("block")) - F.col("count")).alias("start"))
     w = Window.partitionBy("conv", "block").orderBy("at", (F.col("level") == -1), "level", "turn", "call_id")
     placed = placed.join(starts, ["conv", "block"]).withColumn("position", F.col("start") + F.row_number().over(w) - 1)
 
-    def write(b):
-        rows = zip(*(c.to_pylist() for c in b.columns[1:]))
-        out = [None if args is None else canonical({"id": i, "name": name, "position": p, "result": content}).replace("{", '{"arguments":' + args + ",", 1)
-               for i, name, p, args, content in rows]
-        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array(out, pa.string())], ["conv", "call_id", "position", "message"])
+    # results of an id behind its first; their content moves only where an id has several
+    several = cut(results.groupBy("conv", "call_id").count().filter("count > 1").drop("count"))
+    same = join_checked(results, several, ["conv", "call_id"], "left_semi", ID_BYTES).groupBy("conv", "call_id", "turn", "content").count()
+    firsts = same.groupBy("conv", "call_id").agg(F.min(F.struct("turn", "content")).alias("r"))
+    copies = F.col("count") - F.struct("turn", "content").eqNullSafe(F.col("r")).cast("long")
+    later = same.join(firsts, ["conv", "call_id"]).withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
+
+    def row(df: DataFrame, is_call: bool, errors: Column, **own: Column) -> DataFrame:
+        own = {"turn": F.lit(None), "result_turn": F.lit(None), "position": F.lit(None), "name": F.lit(None), "args": F.lit(None), "raw": F.lit(None), "content": F.lit(None)} | own
+        types = {"turn": "long", "result_turn": "long", "position": "long"}
+        return df.select("conv", "call_id", *(c.cast(types.get(n, "string")).alias(n) for n, c in own.items()), errors.alias("errors"), F.lit(is_call).alias("is_call"))
+
+    call = {n: F.col(n) for n in ("turn", "name", "args", "raw")}
+    rows = row(placed, True, F.col("errors"), **call, result_turn=F.col("r.turn"), position=F.col("position"), content=F.col("r.content"))
+    for more in (row(full.filter(alone), False, F.col("errors"), result_turn=F.col("r.turn"), content=F.col("r.content")),
+                 row(checked.filter("n > 1"), True, F.array_sort(F.concat("faults", F.array(F.lit("repeated id")))), **call),
+                 row(later, False, F.array(F.lit(LATER)), result_turn=F.col("turn"), content=F.col("content")),
+                 row(lost_calls, True, F.array_sort(F.concat("faults", F.array(F.lit(NULL_KEY)))), **call),
+                 row(lost_results, False, F.array(F.lit(NULL_KEY)), result_turn=F.col("turn"), content=F.col("content"))):
+        rows = rows.unionByName(more)
 
-    placed = placed.select("conv", "call_id", "turn", F.col("r.turn").alias("result_turn"), "position", "name", "errors", "args", F.col("r.content").alias("content"))
-    own = ["conv", "call_id", "turn", "result_turn", "position", "name", "errors"]
-    names = [*own, "message"]
-    out_type = f"conv {kind}, call_id string, turn long, result_turn long, position long, name string, errors array<string>, message string"
-
-    def whole(b):
-        done = write(b.select(["conv", "call_id", "name", "position", "args", "content"]))
-        return pa.RecordBatch.from_arrays([*(b.column(c) for c in own), done.column(3)], names)
+    def write(b):
+        messages, raws = [], []
+        for i, name, position, args, raw, content, is_call in zip(*(b.column(c).to_pylist() for c in ("call_id", "name", "position", "args", "raw", "content", "is_call"))):
+            rest = canonical({"id": i, "name": name, "position": position, "result": content} if is_call else {"id": i, "result": content})
+            messages.append(rest if not is_call else None if args is None else rest.replace("{", '{"arguments":' + args + ",", 1))
+            raws.append(rest.replace("{", '{"arguments":' + canonical(raw) + ",", 1) if is_call and args is None else None)
+        kept = ["conv", "call_id", "turn", "result_turn", "position", "name", "errors"]
+        return pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(messages, pa.string()), pa.array(raws, pa.string())], [*kept, "message", "raw"])
 
-    linked = placed.mapInArrow(batches(whole), out_type)
-    rest = full.filter(alone).select("conv", "call_id", F.lit(None).cast("long").alias("turn"), F.col("r.turn").alias("result_turn"),
-                                     F.lit(None).cast("long").alias("position"), F.lit(None).cast("string").alias("name"), "errors", F.lit(None).cast("string").alias("message"))
-    again = checked.filter("n > 1").select("conv", "call_id", "turn", F.lit(None).cast("long").alias("result_turn"), F.lit(None).cast("long").alias("position"), "name",
-                                           F.array_sort(F.concat("faults", F.array(F.lit("repeated id")))).alias("errors"), F.lit(None).cast("string").alias("message"))
-    out = linked.unionByName(rest).unionByName(again)
-    return out.select("conv", "call_id", "turn", "result_turn", "position", "name", (F.size("errors") == 0).alias("valid"), "errors", "message")
+    out = rows.mapInArrow(batches(write), f"conv {kind}, call_id string, turn long, result_turn long, position long, name string, errors array<string>, message string, raw string")
+    return out.withColumn("valid", F.size("errors") == 0).select(LINKED)
 
 
 #: The tools of the query, by name.
@@ -312,4 +344,4 @@ def query(spark, sf_dir: str) -> DataFrame:
     """op1: the calls and results of every conversation, linked; its other turns with their number as ``context_turn``."""
     turns = table(spark, sf_dir, "conversations")
     calls, results = traffic(turns)
-    return link(calls, results, SCHEMAS).unionByName(context(turns), allowMissingColumns=True).withColumnRenamed("conv", "conv_id")
+    return link_all(calls, results, SCHEMAS).unionByName(context(turns), allowMissingColumns=True).withColumnRenamed("conv", "conv_id")

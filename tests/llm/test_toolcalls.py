@@ -161,3 +161,24 @@ def test_traffic_holds_every_turn_and_its_whole_text(spark):
     odd = spark.createDataFrame([(1, None, "user", "a"), (1, 3, None, "b"), (1, 0, "user", None), (1, 1, "assistant", "c"), (1, 2, "user", "d")],
                                 "conv_id long, turn int, role string, text string")
     assert sorted(x.message for x in toolcalls.context(odd).collect()) == ['{"role":"user","text":""}', '{"role":"user","text":"a"}', '{"role":null,"text":"b"}']
+
+
+def test_every_call_and_result_keeps_its_content(spark):
+    calls = [(1, 0, "a", "f", '{"a": 1}', [], "", "", ""), (1, 4, "a", "f", '{"a": 2}', [], "", "", ""), (1, 6, "b", "f", '{"a": "cut', [], "", "", ""),
+             (1, 8, "c", "f", None, [], "", "", ""), (None, 0, "n", "f", '{"a": 3}', [], "", "", ""), (1, None, "n", "f", "{", [], "", "", ""), (1, 1, None, "f", "{}", [], "", "", "")]
+    results = [(1, 1, "a", "first", "", ""), (1, 2, "a", "retry", "", ""), (1, 2, "a", "retry", "", ""), (1, 3, "a", None, "", ""), (1, 7, "b", "answer", "", ""),
+               (2, 3, "z", "alone", "", ""), (2, 3, "z", "alone", "", ""), (None, 1, "q", "p", "", ""), (3, None, "q", "r", "", ""), (3, 1, None, "s", "", "")]
+    got = toolcalls.link_all(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), SCHEMAS).collect()
+
+    def rows(*errors):
+        return sorted(((x.conv, x.turn, x.result_turn, x.message, x.raw) for x in got if tuple(x.errors) == errors), key=str)
+    assert rows("repeated result") == [(1, 0, 1, '{"arguments":{"a":1},"id":"a","name":"f","position":0,"result":"first"}', None)]
+    assert rows("later result") == [(1, None, 2, '{"id":"a","result":"retry"}', None)] * 2 + [(1, None, 3, '{"id":"a","result":null}', None), (2, None, 3, '{"id":"z","result":"alone"}', None)]
+    assert rows("no call", "repeated result") == [(2, None, 3, '{"id":"z","result":"alone"}', None)]
+    assert rows("repeated id") == [(1, 4, None, '{"arguments":{"a":2},"id":"a","name":"f","position":null,"result":null}', None)]
+    assert rows("$ json") == [(1, 6, 7, None, '{"arguments":"{\\"a\\": \\"cut","id":"b","name":"f","position":1,"result":"answer"}')]
+    assert rows("$ json", "no result") == [(1, 8, None, None, '{"arguments":null,"id":"c","name":"f","position":2,"result":null}')]
+    assert rows("null key") == sorted([(None, 0, None, '{"arguments":{"a":3},"id":"n","name":"f","position":null,"result":null}', None), (None, None, 1, '{"id":"q","result":"p"}', None),
+                                       (3, None, None, '{"id":"q","result":"r"}', None), (3, None, 1, '{"id":null,"result":"s"}', None)], key=str)
+    assert rows("$ json", "null key")[0][4].startswith('{"arguments":"{",') and len(rows("$.a required", "null key")) == 1
+    assert len(got) == 15  # the results of "a" and "b" are in their calls' rows
