@@ -6,8 +6,9 @@ gated recurrent unit reads every window of ``SPAN`` words in each direction, att
 logistic output scores the window. Windows overlap by half and cover the whole text; a document has the score of its highest window,
 calibrated on documents to the share of label 1.
 
-Fitting uses at most ``sample`` labelled rows of each class, chosen by a hash of their id: one half counts the evidence, the other
-trains the network and the calibration, so the network never sees evidence its own rows gave.
+Fitting uses at most ``sample`` labelled rows of each class, chosen by a hash of their id. The network and the calibration are
+trained on all of them, each half with the evidence the other half counted, so the network never sees evidence its own rows
+gave. Scores use the evidence of both halves together.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowprism.llm.common import batches, table
+from flowprism.llm.common import batches, cut, table
 from flowprism.llm.decontam import normal
 
 #: Words in a window, words from one window to the next, and windows scored at once.
@@ -27,8 +28,9 @@ SPAN, STEP, BLOCK = 24, 12, 4096
 #: Rows of the hashed tables, sizes of the embeddings, of a direction's state and of the attention.
 WORD_ROWS, GRAM_ROWS, WORD_DIM, GRAM_DIM, STATE, ATTEND = 1 << 15, 1 << 13, 8, 8, 8, 8
 INPUT = WORD_DIM + GRAM_DIM + 2
-#: Evidence features kept, by significance, and the least significance.
-FEATURES, LEAST_Z = 20_000, 3.0
+#: Evidence features kept, by significance, and the least significance of a character gram and of a word. A word seen in three
+#: toxic documents and no other reaches 2.5, not 3; grams are far more, and chance would bring many below 3.
+FEATURES, LEAST_Z, WORD_Z = 20_000, 3.0, 2.5
 #: Words a worker's cache holds.
 CACHE = 200_000
 
@@ -88,12 +90,18 @@ class Network:
         for d in "fb":
             self.p |= {f"W{d}": init(INPUT, 3 * STATE), f"c{d}": np.zeros(3 * STATE, np.float32), f"U{d}": init(STATE, 3 * STATE)}
 
-    def lookups(self, words: list[str]):
-        """Table rows and evidence of words: (word rows, a list of trigram rows for each word, evidence)."""
+    def with_evidence(self, evidence: dict[str, float]) -> "Network":
+        """The same parameters with other evidence."""
+        out = Network.__new__(Network)
+        out.p, out.evidence = self.p, evidence
+        return out
+
+    def lookups(self, words: list[str], evidence: dict[str, float] | None = None):
+        """Table rows and evidence (the network's or another) of words: (word rows, a list of trigram rows for each word, evidence)."""
         rows = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % WORD_ROWS for w in words], np.int64)
         tri = [np.array(trigrams(w), np.int64) for w in words]
-        get = self.evidence.get
-        known = self.evidence.keys()
+        evidence = self.evidence if evidence is None else evidence
+        get, known = evidence.get, evidence.keys()
         ev = np.array([(get(" " + w, 0.0), 0.0 if known.isdisjoint(gs := grams(w)) else max(get(g, 0.0) for g in gs)) for w in words],
                       np.float32).reshape(-1, 2)
         return rows, tri, ev
@@ -186,14 +194,18 @@ class Network:
         np.add.at(g["grams"], np.concatenate(tri), np.repeat(dx[:, WORD_DIM:WORD_DIM + GRAM_DIM] / size[:, None].astype(np.float32), size, axis=0))
         return g
 
-    def train(self, windows: list[list[str]], y: np.ndarray, epochs: int = 12, size: int = 128, rate: float = 0.01, seed: int = 11):
-        """Adam on windows of at most SPAN words; classes weigh the same."""
-        vocab: dict[str, int] = {}
+    def train(self, windows: list[list[str]], y: np.ndarray, folds: list[int], evidence: list[dict[str, float]],
+              epochs: int = 12, size: int = 128, rate: float = 0.01, seed: int = 11):
+        """Adam on windows of at most SPAN words; classes weigh the same. A window is read with the evidence of its fold."""
+        vocab: dict[tuple[int, str], int] = {}
         at = np.full((len(windows), SPAN), -1, np.int64)
-        for i, ws in enumerate(windows):
-            for j, w in enumerate(ws[:SPAN]):
-                at[i, j] = vocab.setdefault(w, len(vocab))
-        rows, tri, ev = self.lookups(list(vocab))
+        for k in range(len(evidence)):
+            for i, ws in enumerate(windows):
+                if folds[i] == k:
+                    for j, w in enumerate(ws[:SPAN]):
+                        at[i, j] = vocab.setdefault((k, w), len(vocab))
+        found = [self.lookups([w for f, w in vocab if f == k], e) for k, e in enumerate(evidence)]
+        rows, tri, ev = np.concatenate([f[0] for f in found]), [t for f in found for t in f[1]], np.concatenate([f[2] for f in found])
         weight = np.where(y > 0, len(y) / max(1, 2 * y.sum()), len(y) / max(1, 2 * (1 - y).sum())).astype(np.float32)
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
         second = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -299,24 +311,33 @@ class Model:
         return _highest(docs, self.net, self.key).select("id", F.round(1 / (1 + F.exp(-x)), 6).alias("score"))
 
 
-def _evidence(rows: DataFrame) -> dict[str, float]:
-    """(t, y) -> log odds by feature, from the documents that hold it; at most FEATURES, the most significant."""
+def _evidence(rows: DataFrame) -> list[dict[str, float]]:
+    """(t, y, half) -> log odds by feature, from the documents that hold it, counted in half 0, in half 1 and in both; at most
+    FEATURES each, the most significant."""
     def run(b):
-        feats, ys = [], []
-        for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        feats, ys, halves = [], [], []
+        for t, y, half in zip(*(c.to_pylist() for c in b.columns)):
             own = features(set(words_of(t)))
             feats.extend(own)
             ys.extend([y] * len(own))
-        return pa.RecordBatch.from_arrays([pa.array(feats, pa.string()), pa.array(ys, pa.int32())], ["f", "y"])
-
-    n1, n = rows.agg(F.sum("y"), F.count(F.lit(1))).first()
-    n1, n = n1 or 0, n or 0
-    counts = (rows.select("t", "y").mapInArrow(batches(run), "f string, y int").groupBy("f")
-              .agg(F.sum("y").alias("n1"), F.count(F.lit(1)).alias("n")).withColumn("n0", F.expr("n - n1")).filter("n >= 3"))
-    odds = F.log((F.col("n1") + 0.5) / F.lit(n1 + 1.0)) - F.log((F.col("n0") + 0.5) / F.lit(n - n1 + 1.0))
-    z = odds / F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
-    top = (counts.select("f", odds.alias("odds"), z.alias("z")).filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "f").limit(FEATURES).collect())
-    return {r.f: float(r.odds) for r in top}
+            halves.extend([half] * len(own))
+        return pa.RecordBatch.from_arrays([pa.array(feats, pa.string()), pa.array(ys, pa.int32()), pa.array(halves, pa.int64())], ["f", "y", "half"])
+
+    seen = {h: (n1, n) for h, n1, n in rows.groupBy("half").agg(F.sum("y"), F.count(F.lit(1))).collect()}
+    first = F.col("half") == 0
+    counts = (rows.select("t", "y", F.col("half").cast("long")).mapInArrow(batches(run), "f string, y int, half long").groupBy("f")
+              .agg(F.sum("y").alias("n1"), F.count(F.lit(1)).alias("n"), F.sum(F.when(first, F.col("y")).otherwise(0)).alias("m1"), F.count_if(first).alias("m")))
+    counts = cut(counts.filter("n >= 3"))
+    out = []
+    for halves, of1, of in (((0,), F.col("m1"), F.col("m")), ((1,), F.col("n1") - F.col("m1"), F.col("n") - F.col("m")), ((0, 1), F.col("n1"), F.col("n"))):
+        n1, n = (sum(seen.get(h, (0, 0))[i] for h in halves) for i in (0, 1))
+        part = counts.select("f", of1.alias("n1"), of.alias("n")).withColumn("n0", F.expr("n - n1")).filter("n >= 3")
+        odds = F.log((F.col("n1") + 0.5) / F.lit(n1 + 1.0)) - F.log((F.col("n0") + 0.5) / F.lit(n - n1 + 1.0))
+        z = odds / F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
+        least = F.when(F.col("f").startswith(" "), WORD_Z).otherwise(LEAST_Z)
+        top = part.select("f", odds.alias("odds"), z.alias("z")).filter(F.col("z") >= least).orderBy(F.desc("z"), "f").limit(FEATURES).collect()
+        out.append({r.f: float(r.odds) for r in top})
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -336,14 +357,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         chosen = part if chosen is None else chosen.union(part)
     rows = (docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("t")).filter("t is not null")
             .join(F.broadcast(chosen), "id").withColumn("half", F.pmod(F.xxhash64(F.lit("half"), F.col("id").cast("string")), F.lit(2))))  # at most 2 * sample rows
-    net = Network(_evidence(rows.filter("half = 0")))
+    *halves, both = _evidence(rows)
+    other = halves[::-1]  # by half, the evidence that the other one counted
+    net = Network(both)
 
     def windows(b):
         """The windows of most evidence of each document, and for label 0 two others, as lines of words."""
-        ids, ys, out = [], [], []
-        for i, t, y in zip(*(c.to_pylist() for c in b.columns)):
+        ids, ys, folds, out = [], [], [], []
+        for i, t, y, half in zip(*(c.to_pylist() for c in b.columns)):
             ws = words_of(t)
-            ev = np.maximum(*net.lookups(ws)[2].T) if ws else np.zeros(0)
+            ev = np.maximum(*net.lookups(ws, other[half])[2].T) if ws else np.zeros(0)
             s = starts(len(ws))
             total = np.array([ev[a:a + SPAN].max(initial=0) + 0.1 * ev[a:a + SPAN].sum() for a in s])
             pick = {int(np.argmax(total))}
@@ -353,17 +376,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             for k in sorted(pick):
                 ids.append(str(i))
                 ys.append(y)
+                folds.append(half)
                 out.append(" ".join(ws[s[k]:s[k] + SPAN]))
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ys, pa.int32()), pa.array(out, pa.string())], ["id", "y", "w"])
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ys, pa.int32()), pa.array(out, pa.string()), pa.array(folds, pa.int64())], ["id", "y", "w", "half"])
 
-    second = rows.filter("half = 1").select("id", "t", "y")
-    found = sorted(tuple(r) for r in second.mapInArrow(batches(windows), "id string, y int, w string").collect())  # at most 6 * sample short lines
+    lines = rows.select("id", "t", "y", F.col("half").cast("long")).mapInArrow(batches(windows), "id string, y int, w string, half long")
+    found = sorted(tuple(r) for r in lines.collect())  # at most 6 * sample short lines
     y = np.array([r[1] for r in found], np.float32)
     if not len(y) or y.min() == y.max():
         return Model(empty, 0.0, float(np.log(share / (1 - share))))
-    net.train([r[2].split() for r in found], y)
+    net.train([r[2].split() for r in found], y, [r[3] for r in found], other)
     key = "fit" + str(zlib.crc32(net.p["w"].tobytes() + net.p["A"].tobytes()))
-    top = _highest(second, net, key).join(F.broadcast(chosen), "id").select("logit", "y").collect()  # at most 2 * sample numbers
+    top = []
+    for half in (0, 1):
+        reader = net.with_evidence(other[half])
+        top += _highest(rows.filter(F.col("half") == half), reader, f"{key}-{half}").join(F.broadcast(chosen), "id").select("logit", "y").collect()  # at most 2 * sample numbers in all
     top.sort()
     return Model(net, *calibrate(np.array([r.logit for r in top]), np.array([r.y for r in top], float), share))
 

@@ -126,3 +126,18 @@ def test_held_out_quality(spark):
     clean = [r for r in rows if r.toxic == 0]
     assert sum(score[r.doc_id].predicted for r in plain) >= 0.95 * len(plain) > 0
     assert sum(score[r.doc_id].predicted for r in clean) <= 0.02 * len(clean)
+
+
+def test_recall_over_every_held_out_label(spark):
+    """At sf0.1, all labelled toxic documents of the held-out fold count, also those without one of the English insults."""
+    sf = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = [r for r in toxicity.query(spark, sf).filter("held_out").collect() if r.doc_id in labels]
+    toxic, clean = ([r.predicted for r in got if labels[r.doc_id] == y] for y in (1, 0))
+    assert sum(toxic) >= 0.8 * len(toxic) > 0 and sum(clean) <= 0.02 * len(clean)
+
+
+def test_evidence_counts_both_halves_and_rare_words(spark):
+    rows = [(f"plain text {i}", 0, i % 2) for i in range(400)] + [(f"plain text {i} {'zkrot' if i < 3 else ''}", 1, i % 2) for i in range(40)]
+    first, second, both = toxicity._evidence(spark.createDataFrame(rows, "t string, y int, half long"))
+    assert " zkrot" in both and " zkrot" not in first and " zkrot" not in second and " plain" not in both
