@@ -194,15 +194,17 @@ def scores(blocks: list[Block]) -> list[float]:
     """Classifier score of each block: above 0 for content."""
     marks = {}  # element -> (boilerplate, inside a landmark, content words)
 
-    def mark(e: Element | None):
-        if e is None:
-            return (False, False, False)
-        if e not in marks:
-            boiler, land, words = mark(e.up)
+    def mark(e: Element):
+        chain = []  # from the element up to the nearest marked one; a loop, as pages may nest without bound
+        while e is not None and e not in marks:
+            chain.append(e)
+            e = e.up
+        boiler, land, words = marks[e] if e is not None else (False, False, False)
+        for e in reversed(chain):
             # names on an element that holds the title speak of the page's layout, as does a header within the article
             own = e.boiler == 2 and not (land and e.tag == "header" and e.heading) or e.boiler == 1 and not e.title
-            marks[e] = (boiler or own, land or e.landmark and not boiler, words or e.words)
-        return marks[e]
+            boiler, land, words = marks[e] = (boiler or own, land or e.landmark and not boiler, words or e.words)
+        return boiler, land, words
 
     found = [mark(b.element) for b in blocks]
     any_land = any(land and not boiler for boiler, land, _ in found)

@@ -89,3 +89,10 @@ def test_query_against_the_template(spark):
         body = re.search(r"(?s)<article>(.*?)(</article>|<footer>|$)", pages[r.page_id])[1]
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]+>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", body)]
         assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
+
+
+def test_text_below_deep_nesting():
+    text = "A sentence of the text. " * 8
+    for tag in ("div", "font", "span"):
+        assert htmltext.main_text(f"<article>{f'<{tag}>' * 5000}<p>{text}</p>") == text.strip()
+        assert htmltext.main_text(f"<nav>{f'<{tag}>' * 5000}<p>{text}</p>") == ""
