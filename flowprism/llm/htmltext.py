@@ -34,6 +34,8 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}
         "option": ({"option"}, {"select", "datalist"})}
 BOILER_TAGS = set("nav header footer aside form menu dialog button select textarea fieldset label".split())
 CONTENT_TAGS = {"article", "main"}
+#: Parts of lists and tables: short by nature, so being short does not tell against them where content stands next to them.
+ITEMS = set("li dt dd td th caption figcaption".split())
 BOILER_WORDS = set("""ad adbox ads adsbygoogle adslot adv advert adverts advertisement advertising adsense banner banners breadcrumb breadcrumbs byline comment commentlist comments
 consent cookie cookies copyright disclaimer disqus footer footnav form gdpr header hero-nav login masthead menu menus modal nav navbar
 navigation newsletter noprint notice notices notification notifications overlay pager pagination popup privacy promo promos promoted promotion
@@ -208,8 +210,8 @@ def scores(blocks: list[Block]) -> list[float]:
 
     found = [mark(b.element) for b in blocks]
     any_land = any(land and not boiler for boiler, land, _ in found)
-    out = []
-    for b, (boiler, land, words) in zip(blocks, found):
+    out, short = [], []
+    for i, (b, (boiler, land, words)) in enumerate(zip(blocks, found)):
         n = len(b.text)
         s = BIAS + LONG * min(3.0, n / 80) + LINKS * min(1.0, b.linked / n)
         if boiler:
@@ -224,7 +226,24 @@ def scores(blocks: list[Block]) -> list[float]:
             s += TAG
         elif n < 40 and b.text[-1] not in ".!?…。":
             s += SHORT
+            if b.element.tag in ITEMS and b.linked / n < 0.5:
+                short.append(i)
         out.append(s)
+    for i, j in _runs(short):
+        if i and out[i - 1] > 0 or j < len(out) and out[j] > 0:
+            for k in range(i, j):
+                out[k] -= SHORT
+    return out
+
+
+def _runs(rising: list[int]) -> list[tuple[int, int]]:
+    """The runs of consecutive numbers, as (first, last + 1)."""
+    out = []
+    for i in rising:
+        if out and out[-1][1] == i:
+            out[-1] = (out[-1][0], i + 1)
+        else:
+            out.append((i, i + 1))
     return out
 
 

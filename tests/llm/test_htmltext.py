@@ -96,3 +96,11 @@ def test_text_below_deep_nesting():
     for tag in ("div", "font", "span"):
         assert htmltext.main_text(f"<article>{f'<{tag}>' * 5000}<p>{text}</p>") == text.strip()
         assert htmltext.main_text(f"<nav>{f'<{tag}>' * 5000}<p>{text}</p>") == ""
+
+
+def test_list_and_table_of_a_page_without_landmarks():
+    text = "A sentence of the text. " * 8
+    parts = ["<ul><li>Red wine<li>Oak wood<li>Salt</ul>", "<table><tr><th>Name<th>Size<tr><td>Oak<td>12 m</table>", "<dl><dt>Oak<dd>A tree</dl>"]
+    page = "<body><div id=menu><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></div><div><h2>Head</h2>" + "".join(f"<p>{text}</p>{x}" for x in parts) \
+        + "</div><ul><li><a href=3>Other page</a><li><a href=4>More</a></ul><div class=footer><ul><li>Bye</ul></div>"
+    assert htmltext.main_text(page).split("\n\n") == ["Head", text.strip(), "Red wine", "Oak wood", "Salt", text.strip(), "Name", "Size", "Oak", "12 m", text.strip(), "Oak", "A tree"]
