@@ -29,14 +29,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: of each group only the document of least id stays, once; documents without an id cannot be named and stay."""
+    """Operator 3: of each group only the document of least id stays, once; documents without an id cannot be named and stay.
+
+    Rows are told apart by id and text, so rows that share an id but hold unlike texts each answer for their own group.
+    """
     findable(spark)
-    groups = simhash.near_dedup(docs, shingle=4, max_bits=4)
-    firsts = groups.filter("id = component").select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.join(firsts, "doc_id", "left_semi")
-    once = Window.partitionBy("doc_id").orderBy(F.crc32(F.col("text").cast("binary")))
-    kept = kept.withColumn("_n", F.row_number().over(once)).filter("_n = 1").drop("_n")
-    return kept.union(docs.filter("doc_id is null")).select(docs.columns)
+    row = F.struct(F.col("doc_id").alias("i"), F.xxhash64("text").alias("h"))
+    named = docs.select(F.when(F.col("doc_id").isNotNull(), row).alias("row"), "text")
+    groups = simhash.near_dedup(named, "row", shingle=4, max_bits=4)
+    firsts = groups.filter("id = component").select(F.col("id.i").alias("doc_id"), F.col("id.h").alias("_h")).distinct()
+    kept = docs.withColumn("_h", F.xxhash64("text")).join(firsts, ["doc_id", "_h"], "left_semi")
+    once = Window.partitionBy("doc_id", "_h").orderBy(F.xxhash64(*(c for c in docs.columns)))
+    kept = kept.withColumn("_n", F.row_number().over(once)).filter("_n = 1").select(docs.columns)
+    return kept.union(docs.filter("doc_id is null").select(docs.columns))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

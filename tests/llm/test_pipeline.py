@@ -86,3 +86,12 @@ def test_stages_take_empty_tables(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, str(tmp_path)).count() == 0
+
+
+def test_rows_that_share_an_id_answer_for_their_own_group(spark):
+    r = random.Random(9)
+    a, b, c, d = (" ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(80)) for _ in range(4))
+    rows = [(1, a), (5, b), (5, c), (5, c), (7, d), (7, a), (8, c), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(x.doc_id, x.text) for x in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (5, b), (5, c), (7, d), (None, a)], key=str)
