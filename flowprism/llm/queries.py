@@ -22,6 +22,7 @@ MODULES = {
     "op8_benchmark_decontamination": "decontam",
     "op9_html_extraction": "htmltext",
     "op10_toxicity": "toxicity",
+    "op11_license_scan": "licenses",
 }
 
 
