@@ -23,6 +23,7 @@ MODULES = {
     "op9_html_extraction": "htmltext",
     "op10_toxicity": "toxicity",
     "op11_license_scan": "licenses",
+    "op12_hard_negatives": "hardnegatives",
 }
 
 
