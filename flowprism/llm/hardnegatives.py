@@ -229,16 +229,20 @@ def search(queries: DataFrame, rows: DataFrame, k: int, same: bool) -> DataFrame
     """
     spark = rows.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    group = F.col("label") if same else F.lit(0).cast("long")
     size = lambda n, least: F.greatest(F.lit(1).cast("long"), F.ceil(n / F.lit(float(least))).cast("long"))
-    counts = (rows.groupBy(group.alias("g")).agg(F.count(F.lit(1)).alias("rows"))
-              .join(queries.groupBy(group.alias("g")).agg(F.count(F.lit(1)).alias("queries")), "g"))
-    total = counts.agg(F.sum("rows")).first()[0] or 0
-    most = max(1, _columns(total, cores))  # a label's columns are its share of what the whole table would get
-    plan = cut(counts.select("g", F.least(size(F.col("rows"), LEAST_COLUMN), F.greatest(
-        size(F.col("rows") * most, max(1, total)), size(F.col("rows"), MOST_COLUMN))).alias("columns"), size(F.col("queries"), BLOCK).alias("blocks")))
-    cells = int(plan.agg(F.sum(F.col("columns") * F.col("blocks"))).first()[0] or 0)
-    deal = lambda df: join_checked(df.withColumn("g", group), plan, "g", "inner", 48)
+    if same:
+        counts = (rows.groupBy(F.col("label").alias("g")).agg(F.count(F.lit(1)).alias("rows"))
+                  .join(queries.groupBy(F.col("label").alias("g")).agg(F.count(F.lit(1)).alias("queries")), "g"))
+        total = counts.agg(F.sum("rows")).first()[0] or 0
+        most = _columns(total, cores)  # a label's columns are its share of what the whole table would get
+        plan = cut(counts.select("g", F.least(size(F.col("rows"), LEAST_COLUMN), F.greatest(
+            size(F.col("rows") * most, max(1, total)), size(F.col("rows"), MOST_COLUMN))).alias("columns"), size(F.col("queries"), BLOCK).alias("blocks")))
+        cells = int(plan.agg(F.sum(F.col("columns") * F.col("blocks"))).first()[0] or 0)
+        deal = lambda df: join_checked(df.withColumn("g", F.col("label")), plan, "g", "inner", 48)
+    else:
+        columns, blocks = _columns(rows.count(), cores), max(1, -(-queries.count() // BLOCK))
+        cells = columns * blocks
+        deal = lambda df: df.select("*", *(F.lit(x).cast("long").alias(c) for c, x in (("g", 0), ("columns", columns), ("blocks", blocks))))
     spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     limits = F.array().cast("array<bigint>")
     q = (deal(queries).withColumn("b", F.pmod(F.xxhash64("n"), F.col("blocks"))).withColumn("c", spread("columns"))
