@@ -24,6 +24,7 @@ MODULES = {
     "op10_toxicity": "toxicity",
     "op11_license_scan": "licenses",
     "op12_hard_negatives": "hardnegatives",
+    "op13_vector_codes": "vectorcodes",
 }
 
 
