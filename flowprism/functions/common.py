@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,16 +89,53 @@ def lit_sql(v) -> str:
     return repr(v)
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder the session names in ``spark.checkpoint.dir``; without one this is an error, as executors share no local disk."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(path)
+    return sc.getCheckpointDir()
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage at a fit point with a reliable checkpoint in the folder the session names in ``spark.checkpoint.dir``.
 
     Later fits read it instead of re-running the upstream plan, a lost executor recomputes from here, and Spark removes
-    the files when nothing refers to them any more.  Without such a folder this is an error: executors share no local disk.
+    the files when nothing refers to them any more.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        path = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not path:
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(path)
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def row_identity(df: DataFrame, columns: list[str], name: str = "row_id", first: Column | None = None) -> DataFrame:
+    """``name``: the content hash of ``columns`` (or ``first``), made unique.
+
+    An aggregate on the hash finds the values that several rows share; only these rows are numbered within their group (by
+    content, so equal rows are interchangeable) and all but the first get the hash of (value, number), until none is shared.
+    """
+    cols = [col(c) for c in columns]
+    out = df.withColumn(name, F.xxhash64(*cols) if first is None else first)
+    for turn in range(16):
+        shared = out.groupBy(name).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(name)
+        if shared.isEmpty():
+            return out
+        out, shared = materialize(out), materialize(shared)
+        number = F.row_number().over(Window.partitionBy(name).orderBy(*cols)) - 1
+        again = join_small(out, shared, name, "left_semi").withColumn("_k", number)
+        again = again.withColumn(name, F.when(F.col("_k") == 0, F.col(name)).otherwise(F.xxhash64(name, "_k", F.lit(turn)))).drop("_k")
+        out = materialize(join_small(out, shared, name, "left_anti").unionByName(again))
+    raise ValueError(f"{name} is still shared by rows after 16 turns")
+
+
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def findable(spark: SparkSession) -> SparkSession:
+    """Let Python workers of a local session started elsewhere import this package (clusters ship it with --py-files)."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(x for x in (env.get("PYTHONPATH"), ROOT) if x)
+    return spark

@@ -1,23 +1,27 @@
-"""Model training and scoring on Spark ML: logistic regression, random forest, an RBF-SVM approximation,
-kNN (exact distributed join), persistence and batch scoring.
+"""Model training and scoring on Spark ML: logistic regression, random forest, calibrated SVMs (:mod:`svm`),
+kNN (exact distributed join), the train matrix, random search, persistence and batch scoring.
 
-Estimators see a ``features`` vector assembled by ``VectorAssembler``; all fits are Spark ML's distributed
-optimisers (treeAggregate / tree induction over partitions), never a driver-side solver.
+Estimators see a ``features`` vector assembled by ``VectorAssembler``; all fits are distributed
+(treeAggregate / tree induction / Gram sums over partitions), never a driver-side solver over rows.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import json
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.ml.tuning import CrossValidator
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowprism.functions.common import col, collect_bounded, join_small
+from flowprism.functions.common import checkpoint_folder, col, collect_bounded, join_small, materialize
+from flowprism.operators.svm import SvmModel, cross_validated, fit_svm
 
 # Reference model configuration.
 LR_MAX_ITER = 1000
@@ -25,9 +29,11 @@ LR_C = 1.0
 RF_TREES = 100
 RF_MAX_DEPTH = 30  # the reference grows unlimited trees; this is Spark's limit
 KNN_K = 5
-SVM_FEATURES = 256
 SEED = 42
 
+#: A deep forest's level costs each task a statistics array for every open node, whatever the rows: least rows of a task.
+FOREST_ROWS = 8192
+
 
 def variant_preprocessor(train: DataFrame, test: DataFrame, features: list[str]) -> tuple[DataFrame, DataFrame]:
     """Per-strategy standard scaler (population std) fitted on that variant's training rows and applied to
@@ -48,8 +54,9 @@ def logistic_regression(n_train: int, label: str = "label") -> LogisticRegressio
 
 
 def random_forest(label: str = "label") -> RandomForestClassifier:
-    return RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=RF_TREES, maxDepth=RF_MAX_DEPTH,
-                                  featureSubsetStrategy="sqrt", seed=SEED)
+    """Each row's node in each tree is kept beside it and cut by checkpoints, so the growing forest is not sent with every level."""
+    return RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=RF_TREES, maxDepth=RF_MAX_DEPTH, featureSubsetStrategy="sqrt",
+                                  seed=SEED, cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024)
 
 
 def fit_pipeline(train: DataFrame, features: list[str], estimator, label: str = "label") -> PipelineModel:
@@ -70,68 +77,6 @@ def score(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
     return out.select(*cols)
 
 
-def rff_params(p: int, gamma: float, d: int = SVM_FEATURES, seed: int = SEED):
-    rng = np.random.default_rng(seed)
-    return rng.normal(0.0, np.sqrt(2.0 * gamma), size=(p, d)), rng.uniform(0.0, 2 * np.pi, size=d)
-
-
-def random_fourier(df: DataFrame, features: list[str], w: np.ndarray, b: np.ndarray, out: str = "features") -> DataFrame:
-    """RBF-kernel feature map z(x) = sqrt(2/D) cos(xW + b), computed per Arrow batch with numpy."""
-    d = w.shape[1]
-    keep = [c for c in df.columns]
-
-    @F.pandas_udf("array<double>")
-    def rff(*cols: pd.Series) -> pd.Series:
-        x = np.column_stack([c.to_numpy(dtype=np.float64) for c in cols])
-        z = np.sqrt(2.0 / d) * np.cos(x @ w + b)
-        return pd.Series(list(z))
-
-    return df.select(*keep, array_to_vector(rff(*[col(c).cast("double") for c in features])).alias(out))
-
-
-class SvmModel:
-    """One-vs-rest linear SVMs on the features themselves or on random Fourier features of an RBF kernel."""
-
-    def __init__(self, model, features: list[str], gamma: float | None):
-        self.model, self.features, self.gamma = model, features, gamma
-
-    def _mapped(self, df: DataFrame) -> DataFrame:
-        if self.gamma is None:
-            return assembler(self.features).transform(df)
-        return random_fourier(df, self.features, *rff_params(len(self.features), self.gamma))
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        """``prediction`` and ``probability``: each class's margin through the logistic function, summing to 1."""
-        out = self.model.transform(self._mapped(df))
-        raw = F.transform(vector_to_array(F.col("rawPrediction")), lambda x: 1 / (1 + F.exp(-x)))
-        share = F.expr("transform(_p, x -> x / greatest(aggregate(_p, 0D, (t, y) -> t + y), 1e-300D))")
-        return out.withColumn("_p", raw).withColumn("probability", array_to_vector(share)).drop("_p", "rawPrediction")
-
-    def save(self, path: str) -> None:
-        self.model.write().overwrite().save(path)
-
-
-def fit_svm(train: DataFrame, features: list[str], label: str = "label", C: float = 1.0, kernel: str = "rbf",
-            gamma: str = "scale", weight: str | None = None) -> SvmModel:
-    """``gamma`` is 'scale' (1 / (p * mean variance)) or 'auto' (1 / p); C maps to regParam = 1 / (C * n)."""
-    g = None
-    if kernel == "rbf":
-        var = 1.0
-        if gamma == "scale":
-            stats = train.agg(*[F.var_pop(col(c).cast("double")).alias(c) for c in features]).collect()[0]
-            var = float(np.mean([stats[c] or 0.0 for c in features])) or 1.0
-        g = 1.0 / (len(features) * var)
-    out = SvmModel(None, features, g)
-    data = out._mapped(train.withColumn(label, col(label).cast("double"))).persist(StorageLevel.MEMORY_AND_DISK)  # mapped once, not once per pass
-    try:
-        svc = LinearSVC(maxIter=100, regParam=1.0 / (C * data.count()))
-        ovr = OneVsRest(classifier=svc, featuresCol="features", labelCol=label, parallelism=4)
-        out.model = (ovr.setWeightCol(weight) if weight else ovr).fit(data)
-    finally:
-        data.unpersist()
-    return out
-
-
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
@@ -158,84 +103,199 @@ TUNE_FOLDS = 3
 TUNE_SAMPLE = 5000
 
 
+class MacroF1(Evaluator):
+    """Macro F1 of ``prediction`` against ``label``, for Spark's own cross-validation."""
+
+    def __init__(self, label: str = "label"):
+        super().__init__()
+        self.label = label
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        return macro_f1(dataset, self.label)
+
+    def isLargerBetter(self) -> bool:
+        return True
+
+
+def forest_rows(df: DataFrame, n: int) -> DataFrame:
+    """As many partitions as give a forest's task enough rows, never more than there are."""
+    return df.coalesce(max(1, n // FOREST_ROWS))
+
+
+def _forest(label: str, params: dict) -> RandomForestClassifier:
+    params = dict(params)
+    split = params.pop("minSamplesSplit", 2)
+    params["minInstancesPerNode"] = max(params.get("minInstancesPerNode", 1), split // 2)
+    return random_forest(label).setParams(**params)
+
+
 def fit_cell(model: str, train: DataFrame, features: list[str], label: str = "label", weight: str | None = None, **params):
-    """A fitted model with ``transform``, by name (logistic_regression, random_forest, svm) and grid parameters."""
+    """A fitted model with ``transform``, by name (logistic_regression, random_forest, svm, knn) and grid parameters."""
     if model == "svm":
         return fit_svm(train, features, label, weight=weight, **params)
+    if model == "knn":
+        return KnnModel.fit(train, features, label, **params)
+    n = train.count()
     if model == "logistic_regression":
-        est = logistic_regression(train.count(), label)
+        est = logistic_regression(n, label)
     elif model == "random_forest":
-        split = params.pop("minSamplesSplit", 2)
-        params["minInstancesPerNode"] = max(params.get("minInstancesPerNode", 1), split // 2)
-        est = random_forest(label).setParams(**params)
+        checkpoint_folder(train.sparkSession)
+        est, train = _forest(label, params), forest_rows(train, n)
     else:
         raise ValueError(f"unknown model {model}")
     return fit_pipeline(train, features, est.setWeightCol(weight) if weight else est, label)
 
 
+class KnnModel:
+    """The reference rows and k; ``transform`` votes by the exact distributed search (batch frames only: see ``score_batches``)."""
+
+    def __init__(self, rows: DataFrame, features: list[str], k: int = KNN_K, labels: list[int] | None = None):
+        self.rows, self.features, self.k = rows, features, k
+        self.labels = labels if labels is not None else sorted(int(r[0]) for r in collect_bounded(rows.select("label").distinct()))
+
+    @classmethod
+    def fit(cls, train: DataFrame, features: list[str], label: str = "label", k: int = KNN_K) -> "KnnModel":
+        vec = F.array(*[col(c).cast("double") for c in features])
+        # ties at one distance go by content, so the vote does not depend on how rows are dealt
+        return cls(materialize(train.select(F.xxhash64(vec).alias("rid"), vec.alias("vec"), col(label).cast("int").alias("label"))), features, k)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """All rows with ``prediction`` (lowest label on ties) and ``probability`` (shares of the votes)."""
+        from flowprism.operators.neighbors import knn_votes
+        vec = F.array(*[col(c).cast("double") for c in self.features])
+        rows = materialize(df.withColumn("_q", F.monotonically_increasing_id()).withColumn("_v", vec))
+        votes = knn_votes(self.rows.withColumnRenamed("vec", "_v"), rows, self.k, "_q", "rid", "_v", "label")
+        counts = votes.groupBy("qid").agg(*[F.sum(F.when(F.col("_rl") == c, F.col("_v")).otherwise(0)).cast("double").alias(f"_c{i}")
+                                            for i, c in enumerate(self.labels)])
+        every = F.array(*[F.col(f"_c{i}") for i in range(len(self.labels))])
+        total = sum((F.col(f"_c{i}") for i in range(len(self.labels))), F.lit(0.0))
+        first = F.array_position(every, F.array_max(every)) - 1
+        counts = counts.select(F.col("qid").alias("_q"), F.get(F.array(*[F.lit(float(c)) for c in self.labels]), first.cast("int")).alias("prediction"),
+                               array_to_vector(F.transform(every, lambda x: x / total)).alias("probability"))
+        return rows.drop("_v").join(counts, "_q").drop("_q")
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.rows.write.mode("overwrite").parquet(f"{path}/rows")
+        text = json.dumps({"features": self.features, "k": self.k, "labels": self.labels})
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "KnnModel":
+        d = json.loads(spark.read.text(f"{path}/about", wholetext=True).first()[0])
+        return cls(spark.read.parquet(f"{path}/rows"), d["features"], d["k"], d["labels"])
+
+
+def at_once(spark: SparkSession, jobs: dict, threads: int = 8) -> dict:
+    """Results (or exceptions) of named functions run side by side, each in a scheduler pool of its name.
+
+    Pools share the cores evenly where the session runs with ``spark.scheduler.mode=FAIR``; under FIFO later jobs still take
+    the cores that earlier ones leave idle.
+    """
+    def one(name, fn):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", str(name))
+        try:
+            return fn()
+        except Exception as e:  # a failing job leaves the others alone; the caller tells
+            return e
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        made = {name: pool.submit(inheritable_thread_target(spark)(one), name, fn) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in made.items()}
+
+
+def parameter_maps(model: str, draws: int = TUNE_DRAWS, seed: int = SEED) -> list[dict]:
+    """``draws`` maps of the model's grid, drawn without repetition by ``seed``, in the order drawn."""
+    import itertools
+    import random
+    grid = GRIDS[model]
+    combos = [dict(zip(grid, c)) for c in itertools.product(*grid.values())]
+    return random.Random(seed).sample(combos, min(draws, len(combos)))
+
+
 def tune(train: DataFrame, features: list[str], model: str, label: str = "label", draws: int = TUNE_DRAWS,
-         folds: int = TUNE_FOLDS, sample: int = TUNE_SAMPLE, seed: int = SEED):
+         folds: int = TUNE_FOLDS, sample: int = TUNE_SAMPLE, seed: int = SEED, parallelism: int = 8, refit: bool = True):
     """Random search: ``draws`` parameter maps drawn (seeded) from the model's grid, ``folds``-fold stratified CV on a
     ``sample``-row exact hash sample scored by macro F1 with balanced class weights; the best map is refit on the whole
-    training set.  Returns (fitted model, [(parameters, mean macro F1)])."""
-    import itertools
-    import random
+    training set (unless ``refit`` is off).  Returns (fitted model or None, [(parameters, mean macro F1, rows scored)]).
 
+    Forests go through Spark's ``CrossValidator`` over folds and vectors assembled once; an SVM's folds are fitted in lockstep
+    by the solver itself, and a row is scored by the models that did not see it.
+    """
     from flowprism.operators.imbalance import class_weights
     from flowprism.operators.sampling import stratified_folds, take_per_group
 
-    grid = GRIDS[model]
-    combos = [dict(zip(grid, c)) for c in itertools.product(*grid.values())]
-    picked = random.Random(seed).sample(combos, min(draws, len(combos)))
+    picked = parameter_maps(model, draws, seed)
     w = class_weights(train, label).select(col("label").alias(label), F.col("weight").alias("_w"))
     data = join_small(train, w, label)  # one row per class; size checked before broadcasting
     small = take_per_group(data.withColumn("_all", F.lit(0)), "_all", {0: sample}).drop("_all")
-    small = stratified_folds(small, label, folds).persist(StorageLevel.MEMORY_AND_DISK)
+    small = stratified_folds(small, label, folds).withColumn(label, col(label).cast("double"))
+    small = materialize(forest_rows(small, sample)).persist(StorageLevel.MEMORY_AND_DISK)
+    n = small.count()
     try:
-        results = []
-        for params in picked:
-            scores = []
-            for f in range(folds):
-                m = fit_cell(model, small.where(F.col("fold") != f), features, label, "_w", **params)
-                scores.append(macro_f1(m.transform(small.where(F.col("fold") == f)), label, "prediction"))
-            results.append((params, float(np.mean(scores))))
+        if model == "random_forest":
+            est = random_forest(label).setWeightCol("_w")
+            maps = []
+            for p in picked:
+                full = _forest(label, p)
+                maps.append({est.getParam(x): full.getOrDefault(x) for x in ("numTrees", "maxDepth", "minInstancesPerNode")})
+            vectors = assembler(features).transform(small).select("features", label, "_w", F.col("fold").cast("int").alias("fold"))
+            cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=MacroF1(label), numFolds=folds, foldCol="fold", parallelism=parallelism)
+            scores = cv.fit(vectors).avgMetrics
+            results = [(p, float(s), n) for p, s in zip(picked, scores)]
+        else:
+            from flowprism.operators.metrics import classification_metrics, confusion_counts
+            out = materialize(cross_validated(small, features, label, "_w", "fold", picked))
+            parts = classification_metrics(confusion_counts(out, keys=("draw", "fold")), keys=("draw", "fold"))
+            mean = {r["draw"]: r["f"] for r in parts.groupBy("draw").agg(F.avg("f1_macro").alias("f")).collect()}  # one row a draw
+            scored = {r["draw"]: r["count"] for r in out.groupBy("draw").count().collect()}
+            results = [(p, float(mean[i]), scored[i]) for i, p in enumerate(picked)]
     finally:
         small.unpersist()
     best = max(results, key=lambda r: r[1])[0]
-    return fit_cell(model, data, features, label, "_w", **best), results
+    return (fit_cell(model, data, features, label, "_w", **best) if refit else None), results
 
 
 def train_matrix(variants: DataFrame, features: list[str], models: list[str], label: str = "label",
                  key: str = "row_id") -> tuple[DataFrame, DataFrame]:
-    """Fit every (strategy, model) cell on its training variant and predict the shared test split.
+    """Fit every (strategy, model) cell on its training variant and predict the shared test split, cells side by side.
 
-    A cell's predictions are written out inside its ``try``, so a cell that fails at execution leaves the others intact.
-    Returns (status, predictions); predictions has the (strategy, model, row_id, label, prediction) shape the evaluation
-    operators take and is empty if all cells fail.
+    Each strategy's scaled frames are written once and shared by its models.  A cell's predictions are written out inside it,
+    so a cell that fails at execution leaves the others intact.  Returns (status, predictions); predictions has the
+    (strategy, model, row_id, label, prediction) shape the evaluation operators take and is empty if all cells fail.
     """
-    from flowprism.functions.common import materialize
-    from flowprism.operators.neighbors import knn_classify
+    from flowprism.operators import neighbors
     spark = variants.sparkSession
-    status, preds = [], None
-    strategies = [r["strategy"] for r in collect_bounded(variants.where(F.col("split") == "train").select("strategy").distinct())]
-    for s in sorted(strategies):
+    strategies = sorted(r["strategy"] for r in collect_bounded(variants.where(F.col("split") == "train").select("strategy").distinct()))
+
+    def frames(s):
         raw = variants.where((F.col("split") == "train") & (F.col("strategy") == s))
         train, test = variant_preprocessor(raw, variants.where(F.col("split") == "test"), features)
-        train, test = materialize(train), materialize(test)  # shared by the models of the strategy
-        n = train.count()
-        for m in models:
-            try:
-                if m == "knn":
-                    vec = F.array(*[col(c).cast("double") for c in features])
-                    p = knn_classify(train.withColumn("_v", vec), test.withColumn("_v", vec), KNN_K, key, "_v", label)
-                else:
-                    p = score(fit_cell(m, train, features, label), test, [key, label])
-                p = materialize(p.select(F.lit(s).alias("strategy"), F.lit(m).alias("model"), key, col(label).cast("int").alias(label),
-                                         F.col("prediction").cast("int").alias("prediction")))
-                preds = p if preds is None else preds.unionByName(p)
-                status.append((s, m, "success", n, None))
-            except Exception as e:  # isolate the failing cell
-                status.append((s, m, "failed", n, f"{type(e).__name__}: {str(e)[:200]}"))
+        train = materialize(train)
+        return train, materialize(test), train.count()
+
+    ready = at_once(spark, {s: (lambda s=s: frames(s)) for s in strategies})
+
+    def cell(s, m):
+        if isinstance(ready[s], Exception):
+            raise ready[s]
+        train, test, _ = ready[s]
+        if m == "knn":
+            vec = F.array(*[col(c).cast("double") for c in features])
+            p = neighbors.knn_classify(train.withColumn("_v", vec), test.withColumn("_v", vec), KNN_K, key, "_v", label)
+        else:
+            p = score(fit_cell(m, train, features, label), test, [key, label])
+        return materialize(p.select(F.lit(s).alias("strategy"), F.lit(m).alias("model"), key, col(label).cast("int").alias(label),
+                                    F.col("prediction").cast("int").alias("prediction")))
+
+    made = at_once(spark, {(s, m): (lambda s=s, m=m: cell(s, m)) for s in strategies for m in models})
+    status, preds = [], None
+    for (s, m), p in made.items():
+        n = None if isinstance(ready[s], Exception) else ready[s][2]
+        if isinstance(p, Exception):
+            status.append((s, m, "failed", n, f"{type(p).__name__}: {str(p)[:200]}"))
+        else:
+            preds = p if preds is None else preds.unionByName(p)
+            status.append((s, m, "success", n, None))
     st = spark.createDataFrame(status, "strategy string, model string, status string, n_train bigint, error string")
     if preds is None:
         kind = dict(variants.dtypes)[key]
@@ -262,7 +322,8 @@ class ScoringModel:
         return cls(fm, {c: list(v) for c, v in scaler.items()}, kind, fit_cell(kind, data, fm.selected, "label", **params))
 
     def transform(self, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-        """``keep`` columns, ``prediction`` (class code), ``predicted`` (class name) and ``probability`` per raw row; batch or stream."""
+        """``keep`` columns, ``prediction`` (class code), ``predicted`` (class name) and ``probability`` per raw row; batch or stream
+        (kNN is a join with a search of its own: on a stream it goes through ``streaming.scoring.score_batches``)."""
         from flowprism.operators.features import standard_exprs
         kept = {f"_keep{i}": col(c) for i, c in enumerate(keep)}
         frame = self.features.transform(df.withColumns(kept) if kept else df, tuple(kept))
@@ -272,22 +333,23 @@ class ScoringModel:
                              F.get(names, F.col("prediction").cast("int")).alias("predicted"), vector_to_array("probability").alias("probability"))
 
     def save(self, spark, path: str) -> None:
-        import json
         self.features.save(spark, f"{path}/features")
-        gamma = self.estimator.gamma if self.kind == "svm" else None
-        text = json.dumps({"scaler": self.scaler, "kind": self.kind, "gamma": gamma})
+        text = json.dumps({"scaler": self.scaler, "kind": self.kind})
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/scaler")
-        save_model(self.estimator.model if self.kind == "svm" else self.estimator, f"{path}/estimator")
+        if self.kind in OWN_MODELS:
+            self.estimator.save(spark, f"{path}/estimator")
+        else:
+            save_model(self.estimator, f"{path}/estimator")
 
     @classmethod
     def load(cls, spark, path: str) -> "ScoringModel":
-        import json
-
         from flowprism.operators.features import FeatureModel
         fm = FeatureModel.load(spark, f"{path}/features")
         parts = json.loads(spark.read.text(f"{path}/scaler", wholetext=True).first()[0])
-        if parts["kind"] == "svm":
-            estimator = SvmModel(OneVsRestModel.load(f"{path}/estimator"), fm.selected, parts["gamma"])
-        else:
-            estimator = load_model(f"{path}/estimator")
+        own = OWN_MODELS.get(parts["kind"])
+        estimator = own.load(spark, f"{path}/estimator") if own else load_model(f"{path}/estimator")
         return cls(fm, parts["scaler"], parts["kind"], estimator)
+
+
+#: Kinds that are no Spark ML pipelines.
+OWN_MODELS = {"svm": SvmModel, "knn": KnnModel}

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowprism.functions.common import col, collect_bounded
+from flowprism.functions.common import col, collect_bounded, findable, materialize, row_identity
 
 BLOCK_ROWS = 4096
 MAX_PIVOTS = 1024
@@ -73,15 +73,17 @@ def _matrix(vec: pd.Series) -> np.ndarray:
     return np.stack(vec.to_numpy()).astype(np.float64)
 
 
-def _cell(k: int, exclude_self: bool, names: list[str]):
+def _cell(k: int, exclude_self: bool, names: list[str], carry: list[str]):
     def fn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        cols = names + ["qid", "rid", "dist"]
+        cols = names + ["qid", "rid", "dist"] + carry
         if q.empty or r.empty:
             return pd.DataFrame({c: [] for c in cols})
         i, j, d = cell_topk(q["qid"].to_numpy(), _matrix(q["vec"]), r["rid"].to_numpy(), _matrix(r["vec"]), k, exclude_self)
         out = pd.DataFrame({"qid": q["qid"].to_numpy()[i], "rid": r["rid"].to_numpy()[j], "dist": d})
         for c in names:
             out[c] = q[c].iloc[0]
+        for c in carry:
+            out[c] = r[c].to_numpy()[j]
         return out[cols]
     return fn
 
@@ -105,24 +107,27 @@ def _checked(df: DataFrame, what: str) -> int:
 
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, vec: str,
              partition_cols: tuple[str, ...] = (), exclude_self: bool = False,
-             block_rows: int = BLOCK_ROWS, max_pivots: int = MAX_PIVOTS) -> DataFrame:
-    """(partition_cols..., qid, rid, dist, rank) for the k nearest ``refs`` of every query (Euclidean, ties by rid).
+             block_rows: int = BLOCK_ROWS, max_pivots: int = MAX_PIVOTS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(partition_cols..., qid, rid, dist, carry..., rank) for the k nearest ``refs`` of every query (Euclidean, ties by rid).
 
-    ``partition_cols`` restricts neighbours to the same group (e.g. same class).  A null or NaN feature raises.
+    ``partition_cols`` restricts neighbours to the same group (e.g. same class).  ``carry`` columns of the reference come with
+    it, so that references that share an id stay rows of their own; a query's id must be its own.  A null or NaN feature raises.
     """
-    pc = list(partition_cols)
+    findable(queries.sparkSession)
+    pc, ca = list(partition_cols), list(carry)
     q = queries.select(*[col(c) for c in pc], col(qid).alias("qid"), col(vec).cast("array<double>").alias("vec"))
-    r = refs.select(*[col(c) for c in pc], col(rid).alias("rid"), col(vec).cast("array<double>").alias("vec"))
+    r = refs.select(*[col(c) for c in pc], col(rid).alias("rid"), *[col(c) for c in ca], col(vec).cast("array<double>").alias("vec"))
     nr = _checked(r, "reference")
     _checked(q, "query")
     types = dict(queries.dtypes)
     kinds = "".join(f"{c} {types[c]}, " for c in pc)
     kind_q, kind_r = types[qid], dict(refs.dtypes)[rid]
+    carried = "".join(f", {c} {dict(refs.dtypes)[c]}" for c in ca)
     n_piv = max(1, min(max_pivots, math.ceil(nr / block_rows)))
-    chosen = r.orderBy(F.xxhash64("rid"), "rid").limit(n_piv).collect()  # at most max_pivots vectors
+    chosen = r.orderBy(F.xxhash64("rid"), "rid").select("vec").limit(n_piv).collect()  # at most max_pivots vectors
     if not chosen:
-        return (q.select(*pc, "qid", F.lit(None).cast(kind_r).alias("rid"), F.lit(None).cast("double").alias("dist"))
-                .where("false").withColumn("rank", F.lit(1)))
+        return (q.select(*pc, "qid", F.lit(None).cast(kind_r).alias("rid"), F.lit(None).cast("double").alias("dist"),
+                         *[F.lit(None).cast(dict(refs.dtypes)[c]).alias(c) for c in ca]).where("false").withColumn("rank", F.lit(1)))
     pivots = np.unique(np.array([x["vec"] for x in chosen], dtype=np.float64), axis=0)
 
     def to_cell(it):
@@ -133,7 +138,7 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, ve
                 pdf["away"] = d.min(axis=1)
                 yield pdf
 
-    dealt = r.mapInPandas(to_cell, f"{kinds}rid {kind_r}, vec array<double>, cell int, away double")
+    dealt = r.mapInPandas(to_cell, f"{kinds}rid {kind_r}{carried}, vec array<double>, cell int, away double")
     cells = collect_bounded(dealt.groupBy(*pc, "cell").agg(F.count(F.lit(1)).alias("n"), F.min("away").alias("low"), F.max("away").alias("high")))
     groups: dict = {}
     for x in cells:  # one row per class and pivot
@@ -186,10 +191,10 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, ve
               .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1))))
         rs = (ref_side.join(F.broadcast(parts), [*pc, "cell"])
               .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1))))
-        return qs.select(*at, "qid", "vec").groupBy(*at).cogroup(rs.select(*at, "rid", "vec").groupBy(*at)).applyInPandas(
-            _cell(k, exclude_self, pc), f"{kinds}qid {kind_q}, rid {kind_r}, dist double")
+        return qs.select(*at, "qid", "vec").groupBy(*at).cogroup(rs.select(*at, "rid", *ca, "vec").groupBy(*at)).applyInPandas(
+            _cell(k, exclude_self, pc, ca), f"{kinds}qid {kind_q}, rid {kind_r}, dist double{carried}")
 
-    w = W.partitionBy(*pc, "qid").orderBy("dist", "rid")
+    w = W.partitionBy(*pc, "qid").orderBy("dist", "rid", *ca)
 
     def best(df: DataFrame) -> DataFrame:
         return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -198,24 +203,38 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, ve
     first = best(search(q.mapInPandas(visits(False), visit_type)))
     if all(len(v[0]) == 1 for v in groups.values()):
         return first
-    from flowprism.functions.common import materialize
-
     first = materialize(first)
     reach = first.groupBy(*pc, "qid").agg(F.max(F.when(F.col("rank") == k, F.col("dist"))).alias("reach"))
     again = q.join(reach, [*pc, "qid"], "left").select(*pc, "qid", "vec", "reach")
     return best(first.drop("rank").unionByName(search(again.mapInPandas(visits(True), visit_type))))
 
 
+def knn_votes(refs: DataFrame, queries: DataFrame, k: int, qid: str, rid: str, vec: str, label: str, exclude_self: bool = False) -> DataFrame:
+    """(qid, _rl, _v): votes of the k nearest reference rows per label; each row votes once, whatever ids it shares."""
+    r = refs.select(col(rid).alias("_rid"), col(vec).alias("_vec"), col(label).alias("_rl"))
+    q = queries.select(col(qid).alias("_qid"), col(vec).alias("_vec"))
+    nn = knn_join(q, r, k, "_qid", "_rid", "_vec", exclude_self=exclude_self, carry=("_rl",))
+    return nn.groupBy("qid", "_rl").agg(F.count(F.lit(1)).alias("_v"))
+
+
 def knn_classify(train: DataFrame, test: DataFrame, k: int, id_col: str, vec: str, label: str,
                  leave_one_out: bool = False) -> DataFrame:
-    """Uniform-vote kNN: majority label of the k nearest training rows, lowest label on ties."""
-    nn = knn_join(test, train, k, id_col, id_col, vec, exclude_self=leave_one_out)
-    lab = train.select(col(id_col).alias("rid"), col(label).alias("_rl"))
-    votes = nn.join(lab, "rid").groupBy("qid", "_rl").agg(F.count(F.lit(1)).alias("_v"))
+    """Uniform-vote kNN: majority label of the k nearest training rows, lowest label on ties.
+
+    Rows that share an id are rows of their own, on either side.  Leaving one out goes by the id, so there repeated ids are
+    an error.
+    """
+    if leave_one_out:
+        if not test.groupBy(col(id_col)).count().where("count > 1").isEmpty():
+            raise ValueError(f"{id_col} is not unique: no row can be left out by it")
+        queries, key = test.withColumn("_q", col(id_col)), id_col
+    else:
+        queries, key = materialize(test.withColumn("_q", F.monotonically_increasing_id())), id_col
+    votes = knn_votes(train, queries, k, "_q", key, vec, label, leave_one_out)
     w = W.partitionBy("qid").orderBy(F.desc("_v"), F.asc("_rl"))
     pred = votes.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).select(
-        F.col("qid").alias(id_col), F.col("_rl").alias("prediction"))
-    return test.select(id_col, label).join(pred, id_col)
+        F.col("qid").alias("_q"), F.col("_rl").alias("prediction"))
+    return queries.select("_q", col(id_col), col(label)).join(pred, "_q").drop("_q")
 
 
 def smote(df: DataFrame, label: str, features: list[str], extra: dict, k: int = 3, seed: int = 42,
@@ -223,8 +242,8 @@ def smote(df: DataFrame, label: str, features: list[str], extra: dict, k: int =
     """SMOTE: for class c, ``extra[c]`` synthetic rows x + u * (nn - x), with the base x drawn uniformly from
     class c, nn drawn uniformly from its k nearest same-class neighbours and u in [0, 1).
 
-    Originals are kept.  All draws are seeded hashes of (seed, class, draw number); synthetic rows get a
-    content-hash ``row_id`` like any other row.
+    Originals are kept.  All draws are seeded hashes of (seed, class, draw number); a synthetic row's ``key`` is the hash of
+    its content, made its own where it equals another row's (equal draws, or a draw that meets its base).
     """
     from flowprism.operators.sampling import dense_index
     extra = {c: int(v) for c, v in extra.items() if v > 0}
@@ -256,6 +275,7 @@ def smote(df: DataFrame, label: str, features: list[str], extra: dict, k: int =
     syn = syn.select(label, *[F.col("_s")[i].alias(c) for i, c in enumerate(features)])
     others = [c for c in df.columns if c not in features and c not in (label, key)]
     syn = syn.select(*[col(c) for c in [label] + features], *[F.lit(None).cast(dict(df.dtypes)[c]).alias(c) for c in others])
-    syn = syn.withColumn(key, F.xxhash64(*[col(c) for c in [label] + features]))
-    base_df = df.select(*[col(c).cast("double") if c in features else col(c) for c in df.columns])
-    return base_df.unionByName(syn.select(*df.columns))
+    syn = syn.withColumn(key, F.xxhash64(*[col(c) for c in [label] + features])).select(*df.columns).withColumn("_new", F.lit(1))
+    base_df = df.select(*[col(c).cast("double") if c in features else col(c) for c in df.columns]).withColumn("_new", F.lit(0))
+    every = materialize(base_df.unionByName(syn))
+    return row_identity(every, ["_new", label, *features], key, col(key)).drop("_new")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowprism.functions.common import col, materialize
+from flowprism.functions.common import col, materialize, row_identity
 from flowprism.operators import features as fe
 from flowprism.operators import imbalance as ib
 from flowprism.operators import sampling as sp
@@ -23,7 +23,7 @@ def model_frame(spark, sf_dir):
     levels = fe.fit_levels(s, "action")
     out = s.select(*[col(c).cast("double").alias(c) for c in _FEATS],
                    fe.label_encode_expr("action", levels).alias("label"))
-    return materialize(out.withColumn("row_id", F.xxhash64(*[col(c) for c in out.columns])))
+    return row_identity(materialize(out), out.columns)
 
 
 def balanced_variants(spark, sf_dir, oversampler: str = "auto"):

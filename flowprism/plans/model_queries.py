@@ -1,8 +1,10 @@
-"""Registered modelling queries.  kNN is exact and has a DuckDB oracle; fitted estimators are
-rows-only checks (their invariants live in tests)."""
+"""Registered modelling queries.  kNN is exact and has a DuckDB oracle; fitted estimators are checked on
+scored rows, drawn parameters and training rows (their accuracy lives in tests)."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from flowprism.operators import models as md
@@ -70,23 +72,7 @@ MATRIX_MODELS = ["knn", "logistic_regression", "random_forest", "svm"]
 
 def train_matrix_status(spark, sf_dir, models=tuple(MATRIX_MODELS)):
     """Phase 4: every strategy x model cell fitted on its variant (failures isolated), then the phase-5 summary
-    of the real predictions on the shared test split; one row per cell with status and scores.
-
-    Not registered as a driver query, like :func:`tuning_results`: twelve full fits take many minutes even at sf0.001 on
-    one machine (most of it solver passes, each a Spark job); tests drive both on the smallest scale."""
-    from flowprism.operators.metrics import confusion_counts, model_summary
-    status, preds = md.train_matrix(balanced_variants(spark, sf_dir), _FEATS, list(models))
-    summ = model_summary(confusion_counts(preds)).select(
-        F.col("dataset").alias("strategy"), "model", "accuracy", "f1_macro", "security_score")
-    return status.join(summ, ["strategy", "model"], "left")
-
-
-def train_matrix_status(spark, sf_dir, models=tuple(MATRIX_MODELS)):
-    """Phase 4: every strategy x model cell fitted on its variant (failures isolated), then the phase-5 summary
-    of the real predictions on the shared test split; one row per cell with status and scores.
-
-    Not registered as a driver query, like :func:`tuning_results`: twelve full fits take many minutes even at sf0.001 on
-    one machine (most of it solver passes, each a Spark job); tests drive both on the smallest scale."""
+    of the real predictions on the shared test split; one row per cell with status and scores."""
     from flowprism.operators.metrics import confusion_counts, model_summary
     status, preds = md.train_matrix(balanced_variants(spark, sf_dir), _FEATS, list(models))
     summ = model_summary(confusion_counts(preds)).select(
@@ -103,17 +89,37 @@ def q_train_matrix_status(spark, sf_dir):
     return train_matrix_status(spark, sf_dir).select("strategy", "model", "status", "n_train")
 
 
-def tuning_results(spark, sf_dir, models=("random_forest", "svm"), **how):
+TUNED = ("random_forest", "svm")
+
+
+def tuning_results(spark, sf_dir, models=TUNED, refit=False, **how):
     """Phase 4 search: every drawn parameter map of both models on each training variant, with its mean macro F1."""
     v = balanced_variants(spark, sf_dir)
-    rows = []
-    for s in STRATEGIES:
-        train = v.where((F.col("strategy") == s) & (F.col("split") == "train"))
-        for m in models:
-            _, results = md.tune(train, _FEATS, m, **how)
-            best = max(x for _, x in results)
-            rows += [(s, m, str(p), x, x == best) for p, x in results]
-    return spark.createDataFrame(rows, "strategy string, model string, parameters string, f1_macro double, best boolean")
+
+    def one(s, m):
+        _, results = md.tune(v.where((F.col("strategy") == s) & (F.col("split") == "train")), _FEATS, m, refit=refit, **how)
+        best = max(x for _, x, _ in results)
+        return [(s, m, i + 1, json.dumps(p, sort_keys=True), n, x, x == best) for i, (p, x, n) in enumerate(results)]
+
+    made = md.at_once(spark, {(s, m): (lambda s=s, m=m: one(s, m)) for s in STRATEGIES for m in models})
+    for r in made.values():
+        if isinstance(r, Exception):
+            raise r
+    return spark.createDataFrame([x for r in made.values() for x in r],
+                                 "strategy string, model string, draw int, parameters string, n_rows bigint, f1_macro double, best boolean")
+
+
+_DRAWS = ", ".join(f"('{m}', {i + 1}, '{json.dumps(p, sort_keys=True)}')" for m in TUNED for i, p in enumerate(md.parameter_maps(m)))
+
+
+@register("tuning_results", _bq(f"""
+SELECT strategy, model, CAST(draw AS INTEGER) AS draw, parameters, CAST(least(n_train, {md.TUNE_SAMPLE}) AS BIGINT) AS n_rows, true AS scored FROM
+  (SELECT strategy, sum(n) AS n_train FROM vcounts GROUP BY strategy), (VALUES {_DRAWS}) AS m(model, draw, parameters)"""))
+def q_tuning_results(spark, sf_dir):
+    """Both grids, ten draws, three folds, all variants: every map, the rows scored, and whether its macro F1 beats the
+    majority class, whose macro F1 over four classes is below 1 / 4."""
+    out = tuning_results(spark, sf_dir)
+    return out.select("strategy", "model", "draw", "parameters", "n_rows", (F.col("f1_macro") > 0.25).alias("scored"))
 
 
 # ------------------------------------------------------------------ kNN on raw flows, with ties

@@ -20,6 +20,18 @@ def score_stream(flows: DataFrame, model=None, target: str | None = "action", ke
     return add_flow_features(flows, target) if model is None else model.transform(flows, keep)
 
 
+def score_batches(flows: DataFrame, model, path: str, checkpoint: str, keep: tuple[str, ...] = ()):
+    """A started query that scores every micro-batch with any model kind, kNN's search included, and writes Parquet.
+
+    Each batch overwrites the folder of its own number, so a batch that is run again after a failure leaves its rows once.
+    Read the results with ``spark.read.parquet(path)``; ``batch`` is the number.
+    """
+    def one(batch: DataFrame, number: int) -> None:
+        model.transform(batch, keep).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return flows.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).start()
+
+
 def monitor_stream(preds: DataFrame, ts: str = "ts", watermark: str = "30 days", duration: str = "7 days") -> DataFrame:
     """Watermarked tumbling-window accuracy / threat-class recall over a stream of predictions."""
     # watermarks need TIMESTAMP (with zone); parquet files often carry TIMESTAMP_NTZ
