@@ -65,38 +65,91 @@ def test_fitted_models_beat_the_majority_class(spark):
 
 
 def test_scoring_artefact_saved_and_streamed_equals_batch(spark):
+    """Every kind: saved and loaded, batch by batch on a stream (a batch run twice leaves its rows once); plain streams where a kind allows."""
     from flowprism.sources import fixtures as fx
-    from flowprism.streaming.scoring import score_stream
+    from flowprism.streaming.scoring import score_batches, score_stream
     from test_streaming_io import run_to_memory
     df = fx.flows(spark, SF_SMALL).dropDuplicates().withColumn("id", F.xxhash64(*fx.FLOW_COLUMNS))
     d = tempfile.mkdtemp(prefix="flowprism-scoring-")
-    for kind, params in (("logistic_regression", {}),):
+    df.write.parquet(f"{d}/in")
+    n = df.count()
+
+    def rows(out):
+        return {r["id"]: (r["prediction"], r["predicted"], [round(x, 9) for x in r["probability"]]) for r in out.collect()}
+
+    for kind, params in (("logistic_regression", {}), ("svm", {"kernel": "linear"}), ("knn", {})):
         model = md.ScoringModel.fit(df.drop("id"), kind, k=15, **params)
         model.save(spark, f"{d}/{kind}")
         back = md.ScoringModel.load(spark, f"{d}/{kind}")
         assert back.features.selected == model.features.selected and len(back.features.selected) == 15
-        one = {r["id"]: (r["prediction"], r["predicted"], r["probability"]) for r in model.transform(df, ("id",)).collect()}
-        two = {r["id"]: (r["prediction"], r["predicted"], r["probability"]) for r in back.transform(df, ("id",)).collect()}
-        assert one == two and len(one) == df.count()
-    df.write.parquet(f"{d}/in")
-    stream = spark.readStream.schema(df.schema).parquet(f"{d}/in")
-    out = run_to_memory(score_stream(stream, back, keep=("id",)), "scored", checkpoint=f"{d}/ck")
-    assert {r["id"]: (r["prediction"], r["predicted"], r["probability"]) for r in out.collect()} == two
+        one, two = rows(model.transform(df, ("id",))), rows(back.transform(df, ("id",)))
+        assert one == two and len(one) == n, kind
+        stream = spark.readStream.schema(df.schema).parquet(f"{d}/in")
+        q = score_batches(stream, back, f"{d}/{kind}-out", f"{d}/{kind}-ck", ("id",))
+        q.processAllAvailable()
+        q.stop()
+        out = spark.read.parquet(f"{d}/{kind}-out")
+        assert out.count() == n and rows(out) == two, kind
+        if kind != "knn":
+            again = spark.readStream.schema(df.schema).parquet(f"{d}/in")
+            assert rows(run_to_memory(score_stream(again, back, keep=("id",)), f"scored_{kind}", checkpoint=f"{d}/{kind}-ck2")) == two
 
 
 def test_tuning_runs(spark):
     v = balanced_variants(spark, SF_SMALL)
     train = v.where("split = 'train' AND strategy = 'baseline'")
-    for kind in ("random_forest",):
+    for kind in ("random_forest", "svm"):
         model, results = md.tune(train, _FEATS, kind, draws=2, folds=2, sample=400)
-        assert len(results) == 2 and all(0.0 <= s <= 1.0 for _, s in results)
+        assert [p for p, _, _ in results] == md.parameter_maps(kind, 2)
+        assert all(0.25 < s <= 1.0 and n == 400 for _, s, n in results)
         assert model.transform(v.where("split = 'test'")).count() == v.where("split = 'test'").count()
 
 
+def _two_kinds(spark, n=600):
+    return spark.range(n).selectExpr("id as row_id", "cast(id % 2 as int) as label", "(id % 7) / 7D + 0.8 * (id % 2) as a", "(id % 5) / 5D as b")
+
+
 def test_svm_on_two_classes(spark):
-    """A small two-class table keeps the solver's many passes short."""
-    df = spark.range(240).selectExpr("id as row_id", "cast(id % 2 as int) as label", "(id % 7) / 7D + id % 2 as a", "(id % 5) / 5D as b")
-    for params in ({"kernel": "rbf", "gamma": "auto"},):
+    df = _two_kinds(spark, 240)
+    for params in ({"kernel": "rbf", "gamma": "auto"}, {"kernel": "linear"}):
         rows = md.score(md.fit_cell("svm", df, ["a", "b"], **params), df, ["row_id", "label"]).collect()
-        assert sum(r["label"] == r["prediction"] for r in rows) >= 0.9 * len(rows)
+        assert sum(r["label"] == r["prediction"] for r in rows) >= 0.85 * len(rows)
         assert all(abs(sum(r["probability"]) - 1) < 1e-6 for r in rows)
+
+
+def test_svm_is_at_its_optimum(spark):
+    """The gradient of C * sum (1 - y f)^2_+ + |v|^2 / 2 vanishes at the weights of each class."""
+    import numpy as np
+    df = _two_kinds(spark)
+    m = md.fit_svm(df, ["a", "b"], C=1.0, kernel="linear")
+    x = np.array([(r["a"], r["b"], 1.0, r["label"]) for r in df.collect()])
+    z, label = x[:, :3], x[:, 3]
+    for c, v in zip(m.labels, m.weights):
+        y = np.where(label == c, 1.0, -1.0)
+        gap = np.maximum(0, 1 - y * (z @ v))
+        g = np.array([v[0], v[1], 0.0]) - 2 * z.T @ (y * gap)
+        assert np.abs(g).max() < 1e-3 * len(x)
+
+
+def test_svm_probabilities_are_calibrated(spark):
+    """Among held-out rows with probability near p, about a share p belongs to the class."""
+    import numpy as np
+    noisy = spark.range(6000).selectExpr("id as row_id", "xxhash64(id) % 1000 / 1000D as a", "xxhash64(id, 1) % 1000 / 1000D as b", "pmod(xxhash64(id, 2), 1000) / 1000D as u")
+    noisy = noisy.selectExpr("row_id", "a", "b", "cast(u < 1 / (1 + exp(-4 * a)) as int) as label")
+    train, test = noisy.where("row_id % 2 = 0"), noisy.where("row_id % 2 = 1")
+    rows = md.score(md.fit_cell("svm", train, ["a", "b"], kernel="linear"), test, ["label"]).collect()
+    p, y = np.array([r["probability"][1] for r in rows]), np.array([r["label"] for r in rows])
+    for low in (0.0, 0.2, 0.4, 0.6, 0.8):
+        some = (p >= low) & (p < low + 0.2)
+        if some.sum() >= 100:
+            assert abs(p[some].mean() - y[some].mean()) < 0.08, low
+
+
+def test_every_cell_of_the_matrix_on_repeated_ids(spark):
+    """Repeated training rows and ids (as random oversampling makes them) are rows of their own in every cell."""
+    rows = [("baseline", "train", i % 50, i % 2, float(i % 2) + i % 5 / 10, i % 7 / 7) for i in range(200)] + \
+           [("baseline", "test", i % 20, i % 2, float(i % 2) + i % 5 / 10, i % 7 / 7) for i in range(60)]
+    v = spark.createDataFrame(rows, "strategy string, split string, row_id long, label int, a double, b double")
+    status, preds = md.train_matrix(v, ["a", "b"], ["knn", "logistic_regression", "svm"])
+    assert {(r["model"], r["status"], r["n_train"]) for r in status.collect()} == {(m, "success", 200) for m in ("knn", "logistic_regression", "svm")}
+    assert preds.groupBy("model").count().where("count = 60").count() == 3

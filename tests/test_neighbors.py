@@ -73,3 +73,35 @@ def test_every_test_row_gets_a_prediction(spark):
     train = spark.createDataFrame([(i, [float(i % 5)], i % 2) for i in range(50)], "id long, v array<double>, y int")
     test = train.select((F.col("id") + 100).alias("id"), "v", "y")
     assert nb.knn_classify(train, test, 5, "id", "v", "y").count() == 50
+
+
+def test_votes_of_rows_that_share_an_id(spark):
+    """The five nearest have labels 0, 0, 1, 1, 1 and the two 0s share an id: each row votes once."""
+    from flowprism.operators.neighbors import knn_classify
+    train = spark.createDataFrame([(1, [0.1], 0), (1, [0.2], 0), (2, [0.3], 1), (3, [0.4], 1), (4, [0.5], 1), (5, [9.0], 0)], "id long, v array<double>, y int")
+    test = spark.createDataFrame([(7, [0.0], 1), (7, [9.0], 0)], "id long, v array<double>, y int")
+    got = sorted((r["id"], r["y"], r["prediction"]) for r in knn_classify(train, test, 5, "id", "v", "y").collect())
+    assert got == [(7, 0, 1), (7, 1, 1)]
+    import pytest
+    with pytest.raises(ValueError):
+        knn_classify(train, train, 1, "id", "v", "y", leave_one_out=True)
+
+
+def test_row_identity_with_forced_collisions(spark):
+    from flowprism.functions.common import row_identity
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(i, i % 3) for i in range(50)] + [(7, 1)] * 4, "a int, b int")
+    plain = row_identity(df, ["a", "b"])
+    assert plain.select("row_id").distinct().count() == 54  # equal rows are told apart
+    forced = row_identity(df, ["a", "b"], first=F.lit(3).cast("long") + F.col("b"))
+    assert forced.select("row_id").distinct().count() == 54 and forced.count() == 54
+    again = row_identity(df.repartition(5), ["a", "b"], first=F.lit(3).cast("long") + F.col("b"))
+    assert sorted(map(tuple, forced.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_smote_rows_have_ids_of_their_own(spark):
+    from flowprism.operators.neighbors import smote
+    df = spark.createDataFrame([(1, 0, 0.5), (2, 1, 1.0), (3, 1, 2.0)], "row_id long, label int, x double")
+    out = smote(df, "label", ["x"], {0: 5, 1: 4})  # a one-row class repeats its row
+    assert out.count() == 12 and out.select("row_id").distinct().count() == 12
+    assert {r["row_id"] for r in out.collect()} >= {1, 2, 3}
