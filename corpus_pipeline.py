@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowprism.llm import decontam, linededup, packing, quality, simhash
-from flowprism.llm.common import shared_folder, table
+from flowprism.llm.common import drop_folder, shared_folder, table
 from flowprism.llm.queries import findable
 
 
@@ -37,11 +37,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     row = F.struct(F.col("doc_id").alias("i"), F.xxhash64("text").alias("h"))
     named = docs.select(F.when(F.col("doc_id").isNotNull(), row).alias("row"), "text")
     groups = simhash.near_dedup(named, "row", shingle=4, max_bits=4)
-    firsts = groups.filter("id = component").select(F.col("id.i").alias("doc_id"), F.col("id.h").alias("_h")).distinct()
-    kept = docs.withColumn("_h", F.xxhash64("text")).join(firsts, ["doc_id", "_h"], "left_semi")
-    once = Window.partitionBy("doc_id", "_h").orderBy(F.xxhash64(*(c for c in docs.columns)))
-    kept = kept.withColumn("_n", F.row_number().over(once)).filter("_n = 1").select(docs.columns)
-    return kept.union(docs.filter("doc_id is null").select(docs.columns))
+    firsts = groups.filter("id = component").select("id.i", "id.h").distinct()
+    # the documents' own columns stand in a struct, so that none can clash with the ones used here
+    whole = docs.select(F.struct("*").alias("d"), F.col("doc_id").alias("i"), F.xxhash64("text").alias("h"), F.xxhash64(*docs.columns).alias("of"))
+    once = Window.partitionBy("i", "h").orderBy("of")
+    kept = whole.join(firsts, ["i", "h"], "left_semi").withColumn("n", F.row_number().over(once)).filter("n = 1")
+    return kept.select("d.*").union(docs.filter("doc_id is null").select(docs.columns))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,9 +67,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows are written as Parquet to the shared folder and read again."""
-    docs, folder = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over ``documents``; each one's rows are written as Parquet to the shared folder and read again.
+
+    The folder is this run's own; a stage's rows go once the next stage's are written, the last ones stay.
+    """
+    docs, folder, before = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}", None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            drop_folder(spark, before)
+        before = f"{folder}/{name}"
     return docs

@@ -35,6 +35,12 @@ def shared_folder(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this run has written and no longer reads."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared folder; Spark removes it when nothing refers to it any more."""
     shared_folder(df.sparkSession)

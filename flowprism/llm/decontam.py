@@ -1,7 +1,8 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-Texts and test items are compared in lower case with all runs of ASCII punctuation and white space as one space. An item may be
-found with one error for every ``per_error`` characters. It is split into error budget plus one pieces: an occurrence
+Texts and test items are compared in lower case with all runs of punctuation and white space, ASCII's or Unicode's, as one space.
+The space before and after an item belongs to it, so it is found at whole words; a word that goes on costs an error. An item may
+be found with one error for every ``per_error`` characters. It is split into error budget plus one pieces: an occurrence
 within the budget holds at least one piece unchanged. One Aho-Corasick pass finds all pieces in a document; each hit
 gives the place where the item would lie, and Myers' bit-parallel distance over that stretch decides.
 
@@ -11,6 +12,9 @@ to the tasks as a whole; a document is read by its own task and never shuffled.
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,11 +29,17 @@ BLOCK_BYTES = 8 << 20
 #: Letters and digits of ASCII and all other bytes stay, everything else parts words.
 _SPACED = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 
+#: Punctuation, separators and format or control characters beyond ASCII.
+_ODD = re.compile("[" + "".join(re.escape(chr(c)) for c in range(128, 0x20000) if unicodedata.category(chr(c))[0] in "PZ" or unicodedata.category(chr(c)) in ("Cc", "Cf")) + "]+")
+
 _MATCHERS: dict = {}
 
 
 def normal(text: str | None) -> str:
-    return b" ".join((text or "").lower().encode("utf-8", "surrogatepass").translate(_SPACED).split()).decode("utf-8", "surrogatepass")
+    text = text or ""
+    if not text.isascii():
+        text = _ODD.sub(" ", text)
+    return b" ".join(text.lower().encode("utf-8", "surrogatepass").translate(_SPACED).split()).decode("utf-8", "surrogatepass")
 
 
 def pieces(item: str, errors: int) -> list[tuple[int, str]]:
@@ -77,10 +87,10 @@ class Matcher:
             t = normal(text)
             if not t:
                 continue
-            errors = len(t) // per_error
-            for at, p in pieces(t, errors):
+            errors, x = len(t) // per_error, f" {t} "
+            for at, p in pieces(x, errors):
                 by.setdefault(p, []).append((len(self.items), at))
-            self.items.append((item, t, errors, masks_of(t)))
+            self.items.append((item, x, errors, masks_of(x)))
         self.found = ahocorasick.Automaton()
         for p, uses in by.items():
             self.found.add_word(p, (len(p), uses))
@@ -92,7 +102,7 @@ class Matcher:
         """(item, errors, budget, start, end) for each item found: its best occurrence in the normalised text."""
         if self.empty:
             return []
-        t, places = normal(text), {}
+        t, places = f" {normal(text)} ", {}
         for end, (size, uses) in self.found.iter(t):
             for n, at in uses:
                 places.setdefault(n, set()).add(end + 1 - size - at)
@@ -115,7 +125,8 @@ class Matcher:
                     if d <= budget and (best is None or d < best[0]):
                         best = (d, max(0, lo + e - len(x)), lo + e)
             if best:
-                out.append((item, best[0], budget, best[1], best[2]))
+                end_ = min(len(t) - 2, best[2] - 2)  # without the spaces around text and item
+                out.append((item, best[0], budget, max(0, end_ - len(x) + 2), end_))
         return sorted(out, key=lambda x: (x[1], str(x[0])))
 
 

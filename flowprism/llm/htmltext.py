@@ -51,8 +51,9 @@ BIAS = 0.25
 #: Smoothness: next block in page order, and next block of the same parent.
 ADJACENT, SIBLING = 0.4, 0.8
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+#: A quote counts only behind an equals sign: an apostrophe in an unquoted value or among names is a character like any other.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)>", re.S)
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -125,15 +126,17 @@ def read(page: str) -> list[Block]:
         if at.link:
             linked += len(text)
 
-    i, n = 0, len(page)
+    i, n, end = 0, len(page), page.rfind(">") + 1  # no tag ends behind the last greater sign
     while i < n:
-        m = TOKEN.search(page, i)
+        m = TOKEN.search(page, i, end) if i < end else None
         if m is None:
-            say(page[i:])
+            say(page[i:].partition("<!--")[0])
             break
         if m.start() > i:
             say(page[i:m.start()])
         i = m.end()
+        if i == end and m[0].startswith("<!--") and not m[0].endswith("-->"):
+            break  # a comment without an end takes the rest
         tag = m[2]
         if tag is None:
             continue
@@ -180,8 +183,8 @@ def read(page: str) -> list[Block]:
         if at.boiler:
             close()  # boilerplate is a block of its own, also within a line
         if tag in RAW:
-            end = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(page, i)
-            i = end.start() if end else n
+            over = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(page, i)
+            i = over.start() if over else n
     close()
     return blocks
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import json
 import math
+import re
+import sys
 
 import pandas as pd
 import pyarrow as pa
@@ -26,11 +28,19 @@ TURNS, KNOT_LIMIT = 4096, 20_000
 ID_BYTES = 128
 
 
+_LONE = re.compile("[\ud800-\udfff]")
+
+
+def _escaped(text: str) -> str:
+    """Lone surrogates, which UTF-8 cannot hold, as JSON escapes."""
+    return _LONE.sub(lambda m: f"\\u{ord(m.group()):04x}", text)
+
+
 def canonical(x) -> str:
-    """JSON with sorted keys (by UTF-16 units), no blanks, shortest numbers and no needless escapes."""
+    """JSON with sorted keys (by UTF-16 units), no blanks, shortest numbers and no needless escapes (lone surrogates are escaped)."""
     if isinstance(x, dict):
         keys = sorted(x, key=lambda k: k.encode("utf-16-be", "surrogatepass"))
-        return "{" + ",".join(json.dumps(k, ensure_ascii=False) + ":" + canonical(x[k]) for k in keys) + "}"
+        return "{" + ",".join(_escaped(json.dumps(k, ensure_ascii=False)) + ":" + canonical(x[k]) for k in keys) + "}"
     if isinstance(x, list):
         return "[" + ",".join(map(canonical, x)) + "]"
     if isinstance(x, float):
@@ -40,7 +50,7 @@ def canonical(x) -> str:
             return str(int(x))
         m, _, e = repr(x).partition("e")
         return f"{m}e{int(e):+d}" if e else m
-    return json.dumps(x, ensure_ascii=False)
+    return _escaped(json.dumps(x, ensure_ascii=False))
 
 
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
@@ -70,13 +80,13 @@ def violations(x, schema: dict, at: str = "$") -> list[str]:
             out += [f"{at} {k}" for k, bad in ((low, len(x) < schema.get(low, 0)), (high, len(x) > schema.get(high, len(x)))) if bad]
     if isinstance(x, dict):
         known = schema.get("properties", {})
-        out += [f"{at}.{k} required" for k in schema.get("required", []) if k not in x]
+        out += [f"{at}.{_escaped(k)} required" for k in schema.get("required", []) if k not in x]
         for k in sorted(x):
             rule = known.get(k, schema.get("additionalProperties", True))
             if rule is False:
-                out.append(f"{at}.{k} additionalProperties")
+                out.append(f"{at}.{_escaped(k)} additionalProperties")
             elif isinstance(rule, dict):
-                out += violations(x[k], rule, f"{at}.{k}")
+                out += violations(x[k], rule, f"{at}.{_escaped(k)}")
     if isinstance(x, list) and isinstance(schema.get("items"), dict):
         for i, v in enumerate(x):
             out += violations(v, schema["items"], f"{at}[{i}]")
@@ -87,14 +97,39 @@ def _no_constant(name: str):
     raise ValueError(name)
 
 
+class _Repeated(ValueError):
+    pass
+
+
+def _once(pairs: list[tuple]) -> dict:
+    out = dict(pairs)
+    if len(out) != len(pairs):
+        raise _Repeated
+    return out
+
+
 def check_arguments(name: str | None, arguments: str | None, schemas: dict) -> tuple[str | None, list[str]]:
-    """(canonical arguments or None, errors) of one call."""
+    """(canonical arguments or None, errors) of one call.
+
+    Text that is no JSON, or an object that holds a key twice (no canonical form keeps both values), has no canonical form and
+    stays as it is; lone surrogates are kept as escapes and reported; whole numbers have no limit of digits.
+    """
+    sys.set_int_max_str_digits(0)
     try:
-        x = json.loads(arguments or "", parse_constant=_no_constant)
+        x = json.loads(arguments or "", parse_constant=_no_constant, object_pairs_hook=_once)
         text = canonical(x)
+    except _Repeated:
+        return None, ["$ repeated key"]
     except (ValueError, RecursionError):
         return None, ["$ json"]
-    return text, violations(x, schemas[name]) if name in schemas else ["$ tool"]
+    errors = violations(x, schemas[name]) if name in schemas else ["$ tool"]
+    return text, errors + ["$ surrogate"] * bool(re.search(r"\\ud[89a-f]", text) and _has_lone(x))
+
+
+def _has_lone(x) -> bool:
+    if isinstance(x, dict):
+        return any(_has_lone(k) or _has_lone(v) for k, v in x.items())
+    return any(map(_has_lone, x)) if isinstance(x, list) else isinstance(x, str) and bool(_LONE.search(x))
 
 
 def _running_max(df: DataFrame, key: str, order: list[Column], block: str, value: str, out: str) -> DataFrame:

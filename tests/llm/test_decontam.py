@@ -49,14 +49,27 @@ def test_pieces_cover_the_item():
 
 
 def slow_scan(items, text, per_error):
-    n, out = decontam.normal(text), {}
+    n, out = f" {decontam.normal(text)} ", {}
     for i, x in items:
         q = decontam.normal(x)
-        if q and slow_best(q, n)[0] <= len(q) // per_error:
-            out[i] = slow_best(q, n)[0]
+        if q and slow_best(f" {q} ", n)[0] <= len(q) // per_error:
+            out[i] = slow_best(f" {q} ", n)[0]
     return out
 
 
+def test_whole_words_only():
+    m = decontam.Matcher([(1, "cat"), (2, "the quick brown fox jumps over the lazy dog")], 16)
+    assert m.scan("we concatenate strings") == [] and m.scan("cats") == []
+    assert [(h[0], h[3], h[4]) for h in m.scan("A cat.")] == [(1, 2, 5)]
+    assert [(h[0], h[1]) for h in m.scan("see the quick brown fox jumps over the lazy dogs")] == [(2, 1)]
+
+
+def test_punctuation_of_unicode_parts_words():
+    m = decontam.Matcher([(1, "It's a \"quoted\" text - really")], 16)
+    for t in ("It\u2019s a \u201cquoted\u201d text \u2014 really", "it\u2019s\u00a0a \u00abquoted\u00bb text\u2026 really\u3002"):
+        assert [h[:2] for h in m.scan(t)] == [(1, 0)]
+
+
 def test_scan_finds_what_the_table_finds():
     r = random.Random(2)
     for _ in range(150):

@@ -104,3 +104,21 @@ def test_list_and_table_of_a_page_without_landmarks():
     page = "<body><div id=menu><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></div><div><h2>Head</h2>" + "".join(f"<p>{text}</p>{x}" for x in parts) \
         + "</div><ul><li><a href=3>Other page</a><li><a href=4>More</a></ul><div class=footer><ul><li>Bye</ul></div>"
     assert htmltext.main_text(page).split("\n\n") == ["Head", text.strip(), "Red wine", "Oak wood", "Salt", text.strip(), "Name", "Size", "Oak", "12 m", text.strip(), "Oak", "A tree"]
+
+
+def test_apostrophes_in_unquoted_values_swallow_no_text():
+    from flowprism.llm.htmltext import main_text
+    page = "<article><div data-x=it's><p>One sentence stands here.</p></div><p>Second that's here and whole.</p><p>Third is the last one.</p></article>"
+    assert main_text(page).split("\n\n") == ["One sentence stands here.", "Second that's here and whole.", "Third is the last one."]
+    quoted = "<article><p title='a > b' data-y=\"c > d\">Quoted values may hold a greater sign.</p><p class=x'y>Next one is here too.</p></article>"
+    assert main_text(quoted).split("\n\n") == ["Quoted values may hold a greater sign.", "Next one is here too."]
+
+
+def test_tags_that_never_close_are_read_once():
+    import time
+
+    from flowprism.llm.htmltext import main_text
+    start = time.time()
+    for page in ('<a "' * 40_000, "<a ='" * 40_000, '<p x="' * 20_000 + ">", "<a b" * 40_000):
+        main_text("<article><p>Text before all of it.</p>" + page)
+    assert time.time() - start < 10

@@ -95,3 +95,14 @@ def test_rows_that_share_an_id_answer_for_their_own_group(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = [(x.doc_id, x.text) for x in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
     assert sorted(got, key=str) == sorted([(1, a), (5, b), (5, c), (7, d), (None, a)], key=str)
+
+
+def test_columns_of_the_input_keep_their_values(spark):
+    """Columns named like the stages' own working columns come through untouched."""
+    import corpus_pipeline
+    text = "one two three four five six seven eight nine ten " * 5
+    rows = [(1, text, 11, "a", 1.0, "x"), (2, text, 12, "b", 2.0, "y"), (3, "quite another text with other words in it altogether", 13, "c", 3.0, "z"), (None, text, 14, "d", 4.0, "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _h int, _n string, n double, d string")
+    got = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted((rows[0], rows[2], rows[3]), key=str)

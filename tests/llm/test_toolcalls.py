@@ -182,3 +182,13 @@ def test_every_call_and_result_keeps_its_content(spark):
                                        (3, None, None, '{"id":"q","result":"r"}', None), (3, None, 1, '{"id":null,"result":"s"}', None)], key=str)
     assert rows("$ json", "null key")[0][4].startswith('{"arguments":"{",') and len(rows("$.a required", "null key")) == 1
     assert len(got) == 15  # the results of "a" and "b" are in their calls' rows
+
+
+def test_arguments_that_have_no_plain_form():
+    from flowprism.llm.toolcalls import check_arguments
+    text, errors = check_arguments("f", '{"query":"\\ud800 x","\\udfff":1}', {"f": {"type": "object", "additionalProperties": False, "properties": {"query": {"type": "string"}}}})
+    assert text == '{"query":"\\ud800 x","\\udfff":1}' and errors == ["$.\\udfff additionalProperties", "$ surrogate"]
+    text.encode(), "".join(errors).encode()
+    assert check_arguments("f", '{"q":"\\ud83d\\ude00 \\\\ud800"}', {"f": {}})[1] == []  # a pair, and a backslash before letters
+    assert check_arguments("f", '{"a":{"q":1,"q":2}}', {"f": {}}) == (None, ["$ repeated key"])
+    assert check_arguments("f", "9" * 6000, {"f": {}}) == ("9" * 6000, [])
