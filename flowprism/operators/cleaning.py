@@ -7,7 +7,9 @@ filter that stays inside whole-stage codegen.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,19 +73,96 @@ def exact_quantile_table(df: DataFrame, cols: list[str], probs: list[float], n_p
                                               for j in range(len(probs))])
 
 
+#: Buckets of one refinement; rows that one round's histograms may bring to the driver.
+RADIX, RADIX_ROWS = 1 << 12, 1 << 18
+_LOG_TOP = 710.0  # log1p of the largest double is below
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
+    """Exact linear-interpolated quantiles by radix selection: histograms of ever narrower buckets, no sort and no range shuffle.
+
+    The first aggregate counts every column by buckets of an order-preserving code (sign and log1p of the value), with each
+    bucket's least and greatest value.  A rank lies in one bucket; only buckets that hold a wanted rank and more than one value
+    are cut again, evenly between their least and greatest value, so every round narrows them and the shuffle carries bucket
+    counts only.  Integer-like columns need two to four rounds.  Infinite values and NaN (greatest) are buckets of their own.
+    """
+    if not cols:
+        return {}
+    step = max(1, RADIX_ROWS // (RADIX * 2 * len(probs)))  # two ranks a quantile, a bucket each at worst
+    if len(cols) > step:
+        out: dict = {}
+        for a in range(0, len(cols), step):
+            out.update(exact_quantiles(df, cols[a:a + step], probs))
+        return out
+    inf = float("inf")
+    values = [col(c).cast("double") for c in cols]
+
+    def histogram(parts: list[Column]) -> list:
+        long = df.select(F.explode(F.array(*parts)).alias("p")).where("p is not null").select("p.*")
+        found = long.groupBy("i", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        return sorted(collect_bounded(found, 2 * RADIX_ROWS), key=lambda r: (r["i"], r["b"]))
+
+    def entry(i: int, bucket: Column, v: Column, when: Column) -> Column:
+        return F.when(when, F.struct(F.lit(i).alias("i"), bucket.cast("int").alias("b"), v.alias("v")))
+
+    def first_bucket(v: Column) -> Column:
+        code = F.floor(F.signum(v) * F.log1p(F.abs(v)) * (RADIX / (2 * _LOG_TOP)))
+        return (F.when(F.isnan(v), RADIX + 1).when(v == inf, RADIX).when(v == -inf, -RADIX).otherwise(code))
+
+    rows = histogram([entry(i, first_bucket(v), v, v.isNotNull()) for i, v in enumerate(values)])
+    total = {i: sum(r["n"] for r in rows if r["i"] == i) for i in range(len(cols))}
+    wanted: dict[tuple[int, int], float | None] = {}  # (column, rank) -> value
+    for i, n in total.items():
+        for p in probs if n else ():
+            at = int((n - 1) * float(p))
+            wanted.update({(i, at): None, (i, min(at + 1, n - 1)): None})
+
+    def settle(rows: list, column, before) -> dict:
+        """Values of ranks whose bucket holds one value; the other buckets as (column, least, greatest) -> rank of their first."""
+        open_: dict = {}
+        by: dict = {}
+        for r in rows:
+            by.setdefault(r["i"], []).append(r)
+        for i, mine in by.items():
+            stops = list(accumulate((r["n"] for r in mine), initial=before(i)))
+            for key in [k for k, v in wanted.items() if v is None and k[0] == column(i) and stops[0] <= k[1] < stops[-1]]:
+                at = bisect_right(stops, key[1]) - 1
+                r = mine[at]
+                if r["lo"] == r["hi"] or r["lo"] != r["lo"]:
+                    wanted[key] = r["lo"]
+                else:
+                    open_[column(i), r["lo"], r["hi"]] = stops[at]
+        return open_
+
+    open_ = settle(rows, lambda i: i, lambda i: 0)
+    while open_:
+        some = list(open_.items())
+        parts = []
+        for i, ((c, lo, hi), _) in enumerate(some):
+            v = values[c]
+            parts.append(entry(i, F.floor((v - lo) / (hi - lo) * RADIX), v, (v >= lo) & (v <= hi)))
+        open_ = settle(histogram(parts), lambda i: some[i][0][0], lambda i: some[i][1])
+    out = {}
+    for i, c in enumerate(cols):
+        n, got = total[i], []
+        for p in probs:
+            pos = (n - 1) * float(p)
+            at = int(pos)
+            got.append(None if not n else wanted[i, at] + (wanted[i, min(at + 1, n - 1)] - wanted[i, at]) * (pos - at))
+        out[c] = got
+    return out
+
+
 def quantile_values(df: DataFrame, cols: list[str], probs: list[float], exact: bool = True,
                     accuracy: int = 100_000) -> dict[str, list[float | None]]:
     """Quantiles for every column (driver gets O(columns x probs) numbers).
 
-    ``exact`` uses :func:`exact_quantile_table`; ``exact=False`` uses ``percentile_approx`` (one pass, bounded
-    memory) for very high-cardinality columns at scale.
+    ``exact`` uses :func:`exact_quantiles`; ``exact=False`` uses ``percentile_approx`` (one pass, bounded memory).
     """
     if not cols:
         return {}
     if exact:
-        rows = {r["k"]: r for r in exact_quantile_table(df, cols, probs).collect()}
-        return {c: ([rows[i][f"q{j}"] for j in range(len(probs))] if i in rows else [None] * len(probs))
-                for i, c in enumerate(cols)}
+        return exact_quantiles(df, cols, probs)
     arr = F.array(*[F.lit(float(p)) for p in probs])
     aggs = [F.percentile_approx(col(c).cast("double"), arr, accuracy).alias(f"q{i}") for i, c in enumerate(cols)]
     row = df.agg(*aggs).collect()[0]

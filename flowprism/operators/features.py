@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from flowprism.functions.common import col, collect_bounded, lit_sql, numeric_columns, stack_expr, string_columns
 from flowprism.functions.flow_exprs import add_flow_features
-from flowprism.operators.cleaning import exact_quantile_table
+from flowprism.operators.cleaning import exact_quantiles
 
 # Name fragments excluded from log transform / scaling, and thresholds.
 LOG_EXCLUDE = ["category", "is_", "ratio", "match", "has_", "flag"]
@@ -132,8 +132,8 @@ def standard_exprs(stats: dict[str, tuple[float, float]]) -> dict[str, Column]:
 
 def fit_robust(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
     """Median and IQR per column (exact quantiles)."""
-    rows = {r["k"]: r for r in exact_quantile_table(df, cols, [0.25, 0.5, 0.75]).collect()}
-    return {c: (rows[i]["q1"], rows[i]["q2"] - rows[i]["q0"]) for i, c in enumerate(cols) if i in rows}
+    rows = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    return {c: (q[1], q[2] - q[0]) for c, q in rows.items() if q[0] is not None}
 
 
 def robust_exprs(stats: dict[str, tuple[float, float]]) -> dict[str, Column]:

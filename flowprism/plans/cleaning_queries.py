@@ -197,7 +197,7 @@ FROM (
 
 @register("iqr_fences", _IQR_ORACLE)
 def q_iqr_fences(spark, sf_dir):
-    d = cl.remove_duplicates(fx.flows(spark, sf_dir))
+    d = materialize(cl.remove_duplicates(fx.flows(spark, sf_dir)))  # read by every round of the fit
     return cl.iqr_fences(d, NUM)
 
 
