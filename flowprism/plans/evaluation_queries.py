@@ -301,3 +301,45 @@ def q_paired_strategy_test(spark, sf_dir):
     p = fx.preds(spark, sf_dir).withColumn("fold", F.col("row_id") % _FOLDS)
     keys = ("strategy", "model", "fold")
     return st.paired_test(mt.model_comparison(mt.confusion_counts(p, keys), keys), ["accuracy", "threat_detection_rate"])
+
+
+_T_CTES = [
+    ("acc", f"SELECT model, strategy, row_id % {_FOLDS} AS fold, avg(CAST(label = prediction AS DOUBLE)) AS v FROM preds GROUP BY ALL"),
+    ("t", "SELECT a.model, a.strategy AS strategy1, b.strategy AS strategy2, count(*) AS n, avg(a.v - b.v) AS m, stddev_samp(a.v - b.v) AS s FROM acc a JOIN acc b "
+          f"ON a.model = b.model AND a.fold = b.fold AND {_S_ORD.format(c='a.strategy')} < {_S_ORD.format(c='b.strategy')} GROUP BY ALL"),
+    # four degrees of freedom: 1 - sin a (1 + cos^2 a / 2)
+    ("p", "SELECT *, 1 - abs(x) / sqrt(4 + x * x) * (1 + 4 / (4 + x * x) / 2) AS p FROM (SELECT *, m * sqrt(n) / s AS x FROM t)")]
+
+
+@register("paired_t_test", oracle(["preds"], f"""
+SELECT model, strategy1, strategy2, 'accuracy' AS metric, n AS n_folds, {r6('m')} AS mean_difference, {r6('p')} AS p_value, p < {st.ALPHA} AS significant FROM p""", _T_CTES))
+def q_paired_t_test(spark, sf_dir):
+    """Paired t-test of every two strategies of a model over five folds of the predictions."""
+    from pyspark.sql import functions as F
+    p = fx.preds(spark, sf_dir).withColumn("fold", F.col("row_id") % _FOLDS)
+    keys = ("strategy", "model", "fold")
+    return st.paired_t_test(mt.model_comparison(mt.confusion_counts(p, keys), keys), ["accuracy"])
+
+
+_BOOTS = 100
+
+
+def _poisson_oracle():
+    mix = lambda x: f"(xor({x}, {x} >> 16) * 73244475 % 4294967296)"
+    weight = " + ".join(f"CAST(u >= {c} AS INTEGER)" for c in st.POISSON)
+    return oracle(["preds"], f"""
+SELECT strategy, 'correct' AS metric, {r6('any_value(mean)')} AS mean, {r6('quantile_cont(m, 0.025)')} AS ci_lower, {r6('quantile_cont(m, 0.975)')} AS ci_upper
+FROM bm JOIN (SELECT strategy, avg(c) AS mean FROM own GROUP BY strategy) USING (strategy) GROUP BY strategy""", [
+        ("own", "SELECT strategy, row_id, CAST(label = prediction AS DOUBLE) AS c FROM preds WHERE model = 'knn'"),
+        ("h0", f"SELECT strategy, c, b, (row_id % 4294967296 * 31 + b * 7919) % 4294967296 AS x FROM own, range(1, {_BOOTS + 1}) t(b)"),
+        ("h1", f"SELECT strategy, c, b, {mix('x')} AS x FROM h0"), ("h2", f"SELECT strategy, c, b, {mix('x')} AS x FROM h1"),
+        ("h3", "SELECT strategy, c, b, xor(x, x >> 16) AS u FROM h2"),
+        ("bm", f"SELECT strategy, b, sum(c * ({weight})) / sum({weight}) AS m FROM h3 GROUP BY strategy, b")])
+
+
+@register("poisson_bootstrap", _poisson_oracle())
+def q_poisson_bootstrap(spark, sf_dir):
+    """Interval of kNN's accuracy by strategy, over every row of its predictions: one pass for all resamples."""
+    from pyspark.sql import functions as F
+    p = fx.preds(spark, sf_dir).where("model = 'knn'").withColumn("correct", (F.col("label") == F.col("prediction")).cast("double"))
+    return st.poisson_bootstrap(p, ["correct"], "row_id", ["strategy"], _BOOTS)
