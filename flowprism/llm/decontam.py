@@ -12,7 +12,6 @@ to the tasks as a whole; a document is read by its own task and never shuffled.
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
 import ahocorasick
@@ -29,14 +28,8 @@ BLOCK_BYTES = 8 << 20
 #: Letters and digits of ASCII and all other bytes stay, everything else parts words.
 _SPACED = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 
-def _odd(low: int, high: int) -> re.Pattern:
-    """Punctuation, separators and format or control characters among the code points from ``low`` to ``high``."""
-    kinds = ((chr(c), unicodedata.category(chr(c))) for c in range(low, high))
-    return re.compile("[" + "".join(re.escape(c) for c, k in kinds if k[0] in "PZ" or k in ("Cc", "Cf")) + "]+")
-
-
-#: Beyond ASCII, and apart from it beyond 16 bits: the regex engine looks up classes of the first kind at once, the others one by one.
-_ODD, _FAR_ODD, _FAR = _odd(128, 0x10000), _odd(0x10000, 0x20000), re.compile("[\U00010000-\U0010ffff]")
+#: Punctuation, separators and format or control characters beyond ASCII.
+_ODD = frozenset(c for c in map(chr, range(128, 0x20000)) if unicodedata.category(c)[0] in "PZ" or unicodedata.category(c) in ("Cc", "Cf"))
 
 _MATCHERS: dict = {}
 
@@ -44,9 +37,8 @@ _MATCHERS: dict = {}
 def normal(text: str | None) -> str:
     text = text or ""
     if not text.isascii():
-        text = _ODD.sub(" ", text)
-        if _FAR.search(text):
-            text = _FAR_ODD.sub(" ", text)
+        for c in _ODD.intersection(text):
+            text = text.replace(c, " ")
     return b" ".join(text.lower().encode("utf-8", "surrogatepass").translate(_SPACED).split()).decode("utf-8", "surrogatepass")
 
 
