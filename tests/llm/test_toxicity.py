@@ -137,6 +137,37 @@ def test_recall_over_every_held_out_label(spark):
     assert sum(toxic) >= 0.8 * len(toxic) > 0 and sum(clean) <= 0.02 * len(clean)
 
 
+def test_forward_pass_and_highest_window_by_plain_loops():
+    net = toxicity.Network({" bad": 3.0, "oddi": 2.0}, seed=5)
+    p, s = net.p, toxicity.STATE
+    r = random.Random(4)
+    texts = [[r.choice(["bad", "oddish", "fine", "word", "é"]) for _ in range(n)] for n in (1, 7, toxicity.SPAN, 61)]
+
+    def sig(x):
+        return 1 / (1 + np.exp(-x))
+
+    def one_input(w):
+        tri = toxicity.trigrams(w)
+        ev = [net.evidence.get(" " + w, 0.0), max((net.evidence.get(g, 0.0) for g in toxicity.grams(w)), default=0.0)]
+        return np.concatenate([p["words"][zlib.crc32(w.encode()) % toxicity.WORD_ROWS], np.mean([p["grams"][t] for t in tri], axis=0), ev])
+
+    def one_window(ws):
+        states = []
+        for d, order in (("f", ws), ("b", ws[::-1])):
+            h, seen = np.zeros(s), []
+            for w in order:
+                a, rec = one_input(w) @ p[f"W{d}"] + p[f"c{d}"], h @ p[f"U{d}"]
+                z, g = sig(a[:s] + rec[:s]), sig(a[s:2 * s] + rec[s:2 * s])
+                h = (1 - z) * np.tanh(a[2 * s:] + g * rec[2 * s:]) + z * h
+                seen.append(h)
+            states.append(seen if d == "f" else seen[::-1])
+        both = [np.concatenate(x) for x in zip(*states)]
+        e = np.array([np.exp(np.tanh(x @ p["A"] + p["a0"]) @ p["v"]) for x in both])
+        return sum(k * x for k, x in zip(e / e.sum(), both)) @ p["w"] + p["b"][0]
+    want = [max(one_window(ws[a:a + toxicity.SPAN]) for a in toxicity.starts(len(ws))) for ws in texts]
+    assert np.allclose(toxicity.Scorer(net).documents(texts), want, atol=1e-4)
+
+
 def test_evidence_counts_both_halves_and_rare_words(spark):
     rows = [(f"plain text {i}", 0, i % 2) for i in range(400)] + [(f"plain text {i} {'zkrot' if i < 3 else ''}", 1, i % 2) for i in range(40)]
     first, second, both = toxicity._evidence(spark.createDataFrame(rows, "t string, y int, half long"))
