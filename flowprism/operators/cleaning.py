@@ -427,51 +427,41 @@ def data_category(dt: T.DataType) -> str:
     return "unknown"
 
 
+#: The name rules in the order in which they are tried: keywords, the type they suggest (None: by content), the flag they set.
+NAME_RULES = [(IDENTIFIER_KEYWORDS, "identifier", "is_identifier"), (TEMPORAL_KEYWORDS, None, "is_temporal"),
+              (CATEGORICAL_KEYWORDS, None, "is_categorical"), (COUNT_KEYWORDS, "numeric", None),
+              (FLOAT_KEYWORDS, "numeric_float", None)]
+TYPE_FLAGS = ("is_identifier", "is_temporal", "is_categorical")
+
+
 def suggest_type(name: str, dt: T.DataType, distinct: int, n_rows: int) -> tuple[str | None, bool, bool, bool]:
-    """(suggested_type, is_identifier, is_temporal, is_categorical) by name keyword, then by content."""
-    low = name.lower()
-    if any(k in low for k in IDENTIFIER_KEYWORDS):
-        return "identifier", True, False, False
-    if any(k in low for k in TEMPORAL_KEYWORDS):
-        return ("datetime" if isinstance(dt, T.StringType) else None), False, True, False
-    if any(k in low for k in CATEGORICAL_KEYWORDS):
-        return ("category" if distinct < CATEGORY_MAX_DISTINCT else "numeric"), False, False, True
-    if any(k in low for k in COUNT_KEYWORDS):
-        return "numeric", False, False, False
-    if any(k in low for k in FLOAT_KEYWORDS):
-        return "numeric_float", False, False, False
-    if isinstance(dt, T.NumericType):
-        return "numeric", False, False, False
-    if n_rows and distinct / n_rows < CATEGORY_MAX_DISTINCT_RATIO:
-        return "category", False, False, False
-    return "string", False, False, False
+    """(suggested_type, is_identifier, is_temporal, is_categorical) by the first name rule that fits, else by content."""
+    text, number = isinstance(dt, T.StringType), isinstance(dt, T.NumericType)
+    few = bool(n_rows) and distinct / n_rows < CATEGORY_MAX_DISTINCT_RATIO
+    by_content = {"is_temporal": "datetime" if text else None,
+                  "is_categorical": "category" if distinct < CATEGORY_MAX_DISTINCT else "numeric"}
+    unnamed = ([], "numeric" if number else "category" if few else "string", None)
+    _, suggested, flag = next((r for r in NAME_RULES if any(k in name.lower() for k in r[0])), unnamed)
+    return (suggested or by_content.get(flag), *(f == flag for f in TYPE_FLAGS))
 
 
 def detect_column_types(df: DataFrame, approx: bool = False) -> list[dict]:
+    """One aggregate over ``df``; the name rules are applied to its one row per column."""
     n, stats = column_stats(df, approx)
     out = []
     for i, f in enumerate(df.schema.fields):
         s = stats[f.name]
-        sug, ident, temp, cat = suggest_type(f.name, f.dataType, s["distinct"], n)
+        suggested, *flags = suggest_type(f.name, f.dataType, s["distinct"], n)
         out.append({"ordinal": i, "column_name": f.name, "dtype": f.dataType.simpleString(), "unique_count": int(s["distinct"]),
-                    "null_count": int(s["nulls"]), "suggested_type": sug, "is_identifier": ident,
-                    "is_temporal": temp, "is_categorical": cat})
+                    "null_count": int(s["nulls"]), "suggested_type": suggested, **dict(zip(TYPE_FLAGS, flags))})
     return out
 
 
 def type_detection(df: DataFrame, approx: bool = False) -> DataFrame:
-    """C1 as a DataFrame: the per-column stats come from one aggregate over ``df``; the name rules are
-    applied to its (one row per column) result."""
-    n, stats = column_stats(df, approx)
-    spark = df.sparkSession
-    rows = []
-    for i, f in enumerate(df.schema.fields):
-        s = stats[f.name]
-        sug, ident, temp, cat = suggest_type(f.name, f.dataType, s["distinct"], n)
-        rows.append((i, f.name, f.dataType.simpleString(), int(s["distinct"]), int(s["nulls"]), sug, ident, temp, cat))
+    """C1 as a DataFrame, one row per column."""
     schema = ("ordinal int, column_name string, dtype string, unique_count bigint, null_count bigint, "
               "suggested_type string, is_identifier boolean, is_temporal boolean, is_categorical boolean")
-    return spark.createDataFrame(rows, schema)
+    return df.sparkSession.createDataFrame([tuple(r.values()) for r in detect_column_types(df, approx)], schema)
 
 
 # ---------------------------------------------------------------- narrowing (C7) and coercion (C8)

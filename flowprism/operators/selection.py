@@ -99,9 +99,12 @@ def best_per_strategy(summary: DataFrame, metric: str = "security_score") -> Dat
             .select("dataset", "model", F.col(metric).alias(metric)))
 
 
-def pivot_scores(summary: DataFrame, metric: str = "security_score") -> DataFrame:
-    """model x strategy pivot (explicit pivot values: no extra distinct job)."""
-    return summary.groupBy("model").pivot("dataset", STRATEGIES).agg(F.first(metric))
+def pivot_scores(summary: DataFrame, metric: str = "security_score", how: str = "first", strategy: str = "dataset") -> DataFrame:
+    """model x strategy pivot of the ``first`` or the ``mean`` value (explicit pivot values: no extra distinct job)."""
+    if how not in ("first", "mean"):
+        raise ValueError(f"how is 'first' or 'mean', not {how!r}")
+    cell = F.first(metric) if how == "first" else F.avg(metric)
+    return summary.groupBy("model").pivot(strategy, STRATEGIES).agg(cell)
 
 
 def improvement(summary: DataFrame, metrics=("f1_macro", "f1_minority_mean", "security_score")) -> DataFrame:

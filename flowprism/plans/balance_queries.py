@@ -11,7 +11,7 @@ from flowprism.operators import sampling as sp
 from flowprism.operators.neighbors import smote
 from flowprism.plans.base import oracle, r6, register
 from flowprism.plans.cleaning_queries import _CLEAN_CTES, cleaned_flows
-from flowprism.plans.feature_queries import _ENG_CTES, _FEATS, _scaled_oracle, _scaled_spark
+from flowprism.plans.feature_queries import _ENG_CTES, _FEATS, _SCALE_CANDIDATES, _scaled_oracle, _scaled_spark
 from flowprism.sources import fixtures as fx
 
 
@@ -28,15 +28,18 @@ def model_frame(spark, sf_dir):
 
 def balanced_variants(spark, sf_dir, oversampler: str = "auto"):
     """baseline / oversampling / undersampling training variants + the untouched test split (one DataFrame)."""
-    mf = model_frame(spark, sf_dir)
-    split = materialize(sp.stratified_split(mf, "label", 0.3))
+    return variants_of(materialize(sp.stratified_split(model_frame(spark, sf_dir), "label", 0.3)), _FEATS, oversampler)
+
+
+def variants_of(split, feats, oversampler: str = "auto"):
+    """The three training variants of a frame with ``split``, ``label``, ``row_id`` and the numeric columns ``feats``."""
     train = split.where(F.col("split") == "train")
     counts = sp.class_counts(train, "label")
     targets = sp.dynamic_targets(counts)
     extra = {k: max(t - counts[k], 0) for k, (a, t) in targets.items() if a == "oversample"}
     use_smote = oversampler == "smote" or (oversampler == "auto" and min(counts.values()) >= 5)
     if use_smote:
-        over = smote(train, "label", _FEATS, extra, k=3)
+        over = smote(train, "label", feats, extra, k=3)
     else:
         over = sp.random_oversample(train, "label", extra)
     under = sp.undersample(train, "label", targets)
@@ -50,6 +53,24 @@ def balanced_variants(spark, sf_dir, oversampler: str = "auto"):
     return materialize(out)
 
 
+def engineered_split(spark, sf_dir, k: int = fe.K_FEATURES):
+    """Phases 2 and 3 joined without leakage: cleaned flows are split first, the feature chain learns from the training rows
+    alone and is applied to both sides.  (frame with split, row_id, label and the selected features; the fitted chain)."""
+    clean = cleaned_flows(spark, sf_dir)
+    flows = row_identity(materialize(clean), clean.columns)
+    split = materialize(sp.stratified_split(flows, "action", 0.3))
+    model = fe.FeatureModel.fit(split, "action", k=k, fit_on="train")
+    out = model.transform(split, keep=("split", "row_id"))
+    return materialize(out.select(*[col(c).cast("double").alias(c) for c in model.selected], col("action").cast("int").alias("label"),
+                                  "split", "row_id")), model
+
+
+def engineered_variants(spark, sf_dir, oversampler: str = "auto", k: int = fe.K_FEATURES):
+    """The training variants and the untouched test split over the selected engineered features; (frame, feature names)."""
+    split, model = engineered_split(spark, sf_dir, k)
+    return variants_of(split, model.selected, oversampler), model.selected
+
+
 # ------------------------------------------------------------------ DuckDB: class counts, quotas, targets
 
 _MF_CTES = _ENG_CTES + _scaled_oracle("standard") + [
@@ -162,6 +183,21 @@ def q_balanced_variants(spark, sf_dir):
     return v.where(F.col("split") == "train").groupBy("strategy", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("engineered_variants", _bq("""
+SELECT strategy, 'train' AS split, label, n, CAST(0 AS BIGINT) AS null_cells, true AS centred FROM vcounts UNION ALL
+SELECT 'baseline', 'test', label, n - n_train, 0, true FROM quota WHERE n > n_train"""))
+def q_engineered_variants(spark, sf_dir):
+    """Rows, missing cells per strategy, split and class of the engineered variants; ``centred``: the scaled columns of the
+    baseline's training rows have mean 0, so the scaler has seen these rows and no others."""
+    v, feats = engineered_variants(spark, sf_dir)
+    scaled = [c for c in feats if c in set(_SCALE_CANDIDATES) or c.startswith("log1p_")]
+    means = v.where("strategy = 'baseline' and split = 'train'").agg(*[F.avg(col(c)).alias(c) for c in scaled]).first()
+    centred = all(abs(m) < 1e-6 for m in means)
+    nulls = sum((col(c).isNull().cast("long") for c in feats), F.lit(0))
+    return v.groupBy("strategy", "split", "label").agg(F.count(F.lit(1)).alias("n"), F.sum(nulls).cast("long").alias("null_cells")).withColumn(
+        "centred", F.lit(centred))
+
+
 # ------------------------------------------------------------------ E11-E16 validation
 
 @register("variant_basic_checks", _bq(f"""

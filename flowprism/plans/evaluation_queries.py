@@ -207,6 +207,14 @@ def q_pivot_scores(spark, sf_dir):
     return sel.pivot_scores(summary(spark, sf_dir))
 
 
+@register("pivot_class_means", _ev("SELECT model, " + ", ".join(
+    f"{r6(f'avg(CASE WHEN strategy = {chr(39)}{s}{chr(39)} THEN f1 END)')} AS {s}" for s in fx.STRATEGIES)
+    + " FROM cs WHERE support > 0 GROUP BY model"))
+def q_pivot_class_means(spark, sf_dir):
+    """Mean F1 over the classes that occur, model by strategy."""
+    return sel.pivot_scores(mt.per_class_metrics(_conf(spark, sf_dir)), "f1", "mean", "strategy")
+
+
 _IMP_METRICS = ["f1_macro", "f1_minority_mean", "security_score"]
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowprism.functions.common import col
+from flowprism.functions.common import col, stack_expr
 from flowprism.functions.flow_exprs import add_flow_features, detect_roles
 from flowprism.operators import cleaning as cl
 from flowprism.operators import features as fe
@@ -176,7 +176,7 @@ def q_one_hot(spark, sf_dir):
         if lv is not None:
             exprs.update(fe.one_hot_exprs(c, lv))
     one = e.agg(*[F.sum(v).cast("long").alias(k) for k, v in exprs.items()])
-    from flowprism.functions.common import lit_sql, stack_expr
+    from flowprism.functions.common import lit_sql
     rows = [[lit_sql(k), f"`{k}`"] for k in exprs]
     return one.select(stack_expr(rows, ["column_name", "n_ones"]))
 
@@ -209,7 +209,7 @@ def _scale_report(scaled, st, cols):
     aggs = [x for i, c in enumerate(cols) for x in (F.min(col(c)).alias(f"a{i}"), F.max(col(c)).alias(f"b{i}"),
                                                      F.avg(col(c) * col(c)).alias(f"q{i}"))]
     one = scaled.agg(*aggs)
-    from flowprism.functions.common import lit_sql, stack_expr
+    from flowprism.functions.common import lit_sql
     rows = [[lit_sql(c), lit_sql(float(st[c][0])), lit_sql(float(st[c][1])), f"a{i}", f"b{i}", f"q{i}"]
             for i, c in enumerate(cols)]
     return one.select(stack_expr(rows, ["column_name", "center", "scale", "scaled_min", "scaled_max", "scaled_mean_sq"]))
@@ -284,15 +284,18 @@ def q_corr_with_target(spark, sf_dir):
     return fe.rank_desc(out, "abs_corr").withColumn("rank", F.col("rank").cast("int"))
 
 
+#: Columns of the engineered table by family, counted by hand; a fragment also counts within a word (desti-nat-ion, du-ratio-n).
+_FAMILIES_BY_HAND = {"nat": 10, "port": 13, "traffic": 10, "time": 4, "log": 0}
+
+
 def _report_oracle():
-    from flowprism.operators.features import feature_groups
     cols = fx.FLOW_COLUMNS + ["has_nat", "src_port_nat_match", "dst_port_nat_match", "source_port_category",
                               "source_port_is_well_known", "source_port_is_ephemeral", "destination_port_category",
                               "destination_port_is_http", "destination_port_is_dns", "destination_port_is_ssh",
                               "bytes_sent_ratio", "pkts_sent_ratio", "avg_packet_size", "is_small_flow", "is_large_flow",
                               "bytes_per_second", "packets_per_second", "duration_category", "is_short_session",
                               "is_long_session"]
-    fam = " UNION ALL ".join(f"SELECT 'family', '{g}', {n}" for g, n in feature_groups(cols).items())
+    fam = " UNION ALL ".join(f"SELECT 'family', '{g}', {n}" for g, n in _FAMILIES_BY_HAND.items())
     nulls = " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in cols)
     return oracle(["flows"], f"""
 SELECT section, name, CAST(value AS BIGINT) AS value FROM (
@@ -312,16 +315,26 @@ def q_feature_report(spark, sf_dir):
 
 # ------------------------------------------------------------------ B3 roles, D22 the fitted chain
 
-@register("feature_roles", oracle([], "SELECT * FROM (VALUES " + ", ".join(
-    f"('{r}', {i}, '{c}')" for r, cols in detect_roles(fx.FLOW_COLUMNS, "action").items() for i, c in enumerate(cols))
-    + ") AS t(role, ordinal, column_name) WHERE (SELECT count(*) FROM lineitem) > 0"))
+#: The expected answer, by hand: what the role patterns must find among the flow table's columns.
+_ROLES_BY_HAND = [("source_ports", 0, "source_port"), ("destination_ports", 0, "destination_port"), ("nat_ports", 0, "nat_source_port"),
+                  ("nat_ports", 1, "nat_destination_port"), ("bytes_columns", 0, "bytes"), ("bytes_columns", 1, "bytes_sent"),
+                  ("bytes_columns", 2, "bytes_received"), ("packets_columns", 0, "packets"), ("sent_columns", 0, "bytes_sent"),
+                  ("sent_columns", 1, "pkts_sent"), ("received_columns", 0, "bytes_received"), ("received_columns", 1, "pkts_received"),
+                  ("time_columns", 0, "elapsed_time_sec"), ("timestamp_columns", 0, "elapsed_time_sec")]
+
+
+@register("feature_roles", oracle(["flows"], " UNION ALL ".join(
+    f"SELECT '{r}' AS role, {i} AS ordinal, '{c}' AS column_name, count({c}) AS n_values, count(DISTINCT {c}) AS n_distinct FROM flows"
+    for r, i, c in _ROLES_BY_HAND)))
 def q_feature_roles(spark, sf_dir):
-    """The nine role groups found among the columns of the flow table, one row per role and column."""
+    """The nine role groups found among the columns of the flow table with the values each column holds: one aggregate over all
+    rows, one row per role and column."""
     flows = fx.flows(spark, sf_dir)
-    roles = detect_roles(flows.columns, "action")
-    found = F.array(*[F.struct(F.lit(r).alias("role"), F.lit(i).alias("ordinal"), F.lit(c).alias("column_name"))
-                      for r, cols in roles.items() for i, c in enumerate(cols)])
-    return flows.limit(1).select(F.explode(found).alias("x")).select("x.role", "x.ordinal", "x.column_name")
+    found = [(r, i, c) for r, cols in detect_roles(flows.columns, "action").items() for i, c in enumerate(cols)]
+    used = sorted({c for *_, c in found})
+    one = flows.agg(*[F.count(c).alias(f"n_{c}") for c in used], *[F.count_distinct(c).alias(f"d_{c}") for c in used])
+    return one.select(stack_expr([[f"'{r}'", str(i), f"'{c}'", f"n_{c}", f"d_{c}"] for r, i, c in found],
+                                 ["role", "ordinal", "column_name", "n_values", "n_distinct"]))
 
 
 ENGINEERED_K = 12

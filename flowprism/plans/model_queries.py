@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from flowprism.operators import models as md
 from flowprism.operators.neighbors import knn_classify
-from flowprism.functions.common import materialize
-from flowprism.plans.balance_queries import _bq, balanced_variants
+from flowprism.functions.common import materialize, stack_expr
+from flowprism.operators import sampling as sp
+from flowprism.operators.features import fit_levels, label_encode_expr
+from flowprism.plans.balance_queries import _bq, balanced_variants, engineered_split
 from flowprism.plans.base import oracle, register
 from flowprism.plans.cleaning_queries import _CLEAN_CTES
-from flowprism.plans.feature_queries import _FEATS
+from flowprism.plans.feature_queries import _ENG_CTES, _FEATS, engineered
 from flowprism.sources import fixtures as fx
 from flowprism.sources.fixtures import STRATEGIES
 
@@ -55,6 +57,41 @@ def q_lr_predict(spark, sf_dir):
     return _per_class(md.score(md.fit_cell("logistic_regression", train, _FEATS), test, ["row_id", "label"]))
 
 
+_CELLS = ["well_known", "registered", "ephemeral", "unknown"]
+
+
+@register("lr_probabilities", oracle(["flows"], """
+SELECT cell, label, n, round(coalesce(k, 0) / n, 3) AS probability FROM
+  (SELECT destination_port_category AS cell, count(*) AS n FROM eng GROUP BY ALL)
+  CROSS JOIN (SELECT DISTINCT dense_rank() OVER (ORDER BY action) - 1 AS label, action FROM eng)
+  LEFT JOIN (SELECT destination_port_category AS cell, action, count(*) AS k FROM eng GROUP BY ALL) USING (cell, action)""", _ENG_CTES))
+def q_lr_probabilities(spark, sf_dir):
+    """The closed-form case of logistic regression: with one indicator a port class and no penalty, the fitted probabilities are the
+    classes' shares in each port class.  Every cleaned flow is scored with the library's estimator."""
+    e = engineered(spark, sf_dir)
+    feats = [f"is_{c}" for c in _CELLS]
+    rows = materialize(e.select(F.col("destination_port_category").alias("cell"), *[(F.col("destination_port_category") == c).cast("double").alias(f) for c, f in zip(_CELLS, feats)],
+                                label_encode_expr("action", fit_levels(e, "action")).alias("label")))
+    n = rows.count()
+    model = md.fit_pipeline(rows, feats, md.logistic_regression(n).setRegParam(0.0).setTol(1e-12).setMaxIter(1000))
+    got = md.score(model, rows, ["cell"]).groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *[
+        F.round(F.avg(F.col("probability")[i]), 3).alias(f"p{i}") for i in range(model.stages[-1].numClasses)])
+    return got.select("cell", "n", stack_expr([[f"{i}L", f"p{i}"] for i in range(model.stages[-1].numClasses)], ["label", "probability"]))
+
+
+@register("engineered_lr", _bq("""
+SELECT label, n - n_train AS n, n - n_train AS n_predicted, true AS beats_majority FROM quota WHERE n > n_train"""))
+def q_engineered_lr(spark, sf_dir):
+    """Logistic regression on the engineered baseline, features chosen on its training rows: scored test rows per class, and
+    whether its accuracy exceeds the largest class's share."""
+    split, chain = engineered_split(spark, sf_dir)
+    train = split.where("split = 'train'")
+    scored = materialize(md.score(md.fit_cell("logistic_regression", train, chain.selected), split.where("split = 'test'"), ["row_id", "label"]))
+    n, right = scored.agg(F.count(F.lit(1)), F.count_if(F.col("label") == F.col("prediction"))).first()
+    largest = max(sp.class_counts(scored, "label").values())
+    return _per_class(scored).withColumn("beats_majority", F.lit(right > largest))
+
+
 @register("rf_predict", _TEST_COUNTS)
 def q_rf_predict(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
@@ -152,7 +189,6 @@ def q_batch_score(spark, sf_dir):
     """Fit on the training rows, save, load, score every cleaned row: scored rows per true class."""
     import uuid
 
-    from flowprism.operators import sampling as sp
     from flowprism.plans.cleaning_queries import cleaned_flows
     flows = materialize(cleaned_flows(spark, sf_dir).withColumn("row_id", F.xxhash64(*fx.FLOW_COLUMNS)))
     split = materialize(sp.stratified_split(flows, "action", 0.3))

@@ -40,3 +40,33 @@ def test_new_feature_groups_and_ignore(spark):
     assert g["traffic"] == ["bytes_per_second"] and g["log"] == ["log1p_bytes"] and g["other"] == ["x"]
     df = spark.createDataFrame([(1.0,), (1000.0,)], "v double")
     assert handle_outliers(df, "ignore", target=None).count() == 2
+
+
+def test_chain_fitted_on_train_rows_ignores_the_test_rows(spark):
+    """Wild test rows change neither the scaler nor the levels nor the chosen columns."""
+    rows = [(i, "train", 1000 + i % 40, 80 if i % 3 else 53, 0, 0, "allow" if i % 2 else "deny", 100 + 7 * i % 90, 60 + i % 50, 40 + i % 40, 3 + i % 5, 2 + i % 30, 2, 1) for i in range(120)]
+    names = ("row_id long, split string, source_port int, destination_port int, nat_source_port int, nat_destination_port int, action string, bytes long, "
+             "bytes_sent long, bytes_received long, packets long, elapsed_time_sec long, pkts_sent long, pkts_received long")
+    wild = [(1000 + i, "test", 65000, 1, 9, 9, "allow", 10 ** 9, 10 ** 9, 0, 10 ** 6, 10 ** 5, 10 ** 6, 0) for i in range(60)]
+    alone = fe.FeatureModel.fit(spark.createDataFrame(rows, names), "action", k=8, fit_on="train")
+    both = spark.createDataFrame(rows + wild, names)
+    mixed = fe.FeatureModel.fit(both, "action", k=8, fit_on="train")
+    assert mixed.to_json() == alone.to_json()
+    assert fe.FeatureModel.fit(both, "action", k=8).to_json() != alone.to_json()
+    got = mixed.transform(both, keep=("split", "row_id"))
+    assert got.count() == 180 and set(mixed.selected) < set(got.columns)
+
+
+def test_type_rules_in_order():
+    from pyspark.sql import types as T
+
+    from flowprism.operators.cleaning import suggest_type
+    s, n = T.StringType(), T.LongType()
+    assert suggest_type("session_id_time", s, 5, 10) == ("identifier", True, False, False)
+    assert suggest_type("start_time", s, 5, 10) == ("datetime", False, True, False)
+    assert suggest_type("elapsed_time", n, 5, 10) == (None, False, True, False)
+    assert suggest_type("port", n, 49, 100)[0] == "category" and suggest_type("port", n, 50, 100)[0] == "numeric"
+    assert suggest_type("bytes", s, 5, 10) == ("numeric", False, False, False)
+    assert suggest_type("loss_rate", s, 5, 10)[0] == "numeric_float"
+    assert suggest_type("x", n, 1, 100)[0] == "numeric"
+    assert [suggest_type("x", s, d, 100)[0] for d in (9, 10)] == ["category", "string"] and suggest_type("x", s, 0, 0)[0] == "string"

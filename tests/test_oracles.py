@@ -12,7 +12,8 @@ FAST = ["dedup_rows", "iqr_fences", "outlier_remove_protected", "missing_policy"
         "confusion_matrix", "classification_metrics", "model_summary", "model_ranking", "bootstrap_ci",
         "pairwise_compare", "monitor_by_window", "knn_classify", "time_series_folds", "coerce_timestamp", "knn_flows",
         "engineered_features", "feature_roles", "batch_score", "paired_strategy_test", "broken_basic_checks", "broken_distribution",
-        "broken_leakage", "broken_quality", "scan_profile"]
+        "broken_leakage", "broken_quality", "scan_profile", "feature_report", "pivot_class_means", "lr_probabilities",
+        "engineered_variants", "engineered_lr"]
 
 
 @pytest.mark.parametrize("name", FAST)
