@@ -3,7 +3,7 @@
 A page is read into blocks (the text between two block-level tags) with the elements that enclose them. A linear classifier
 over enclosing elements, class words, link share and length gives every block a cost for either label; these are the
 capacities to the two terminals. Neighbours in page order and blocks of one parent are joined by smoothness edges. The
-minimum cut then labels the page as a whole. Before augmenting paths are sought, blocks whose terminal capacity outweighs all
+minimum cut then labels the page as a whole. Before flow is sent, blocks whose terminal capacity outweighs all
 their edges are fixed (that is exact) and their edges fold into the neighbours' capacities, until none is left to fix.
 """
 
@@ -50,6 +50,8 @@ BOILER, ARTICLE, OUTSIDE, WORDS, LINKS, LONG, TAG, SHORT = -9.0, 5.0, -4.0, 1.5,
 BIAS = 0.25
 #: Smoothness: next block in page order, and next block of the same parent.
 ADJACENT, SIBLING = 0.4, 0.8
+#: Capacity left by rounding alone.
+LEAST_FLOW = 1e-12
 
 #: A quote counts only behind an equals sign: an apostrophe in an unquoted value or among names is a character like any other.
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)>", re.S)
@@ -291,36 +293,65 @@ def min_cut(score: list[float], links: list[tuple[int, int, float]]) -> list[boo
 
 
 def _flow(rest, score, near) -> list[bool]:
-    """Minimum cut over the blocks left, by shortest augmenting paths; True for those on the source's side."""
+    """Minimum cut over the blocks left; True for those on the source's side.
+
+    Each phase measures the distance of every block from the source once, then sends flow along all shortest paths, leaving a
+    dead end for good. Paths between blocks of unlike score are short, so a page needs few phases, each linear in its blocks.
+    """
     at = {i: k for k, i in enumerate(rest)}
     s, t = len(rest), len(rest) + 1
-    cap: list[dict[int, float]] = [{} for _ in range(t + 1)]
+    arcs: list[list[int]] = [[] for _ in range(t + 1)]  # arc numbers by block; an arc's reverse is its number ^ 1
+    to: list[int] = []
+    cap: list[float] = []
+
+    def link(u: int, v: int, there: float, back: float):
+        arcs[u].append(len(to))
+        arcs[v].append(len(to) + 1)
+        to.extend((v, u))
+        cap.extend((there, back))
+
     for i in rest:
         k = at[i]
         if score[i] > 0:
-            cap[s][k], cap[k][s] = score[i], 0.0
+            link(s, k, score[i], 0.0)
         elif score[i] < 0:
-            cap[k][t], cap[t][k] = -score[i], 0.0
+            link(k, t, -score[i], 0.0)
         for j, w in near[i].items():
-            cap[k][at[j]] = w
+            if i < j:
+                link(k, at[j], w, w)
     while True:
-        came, todo = {s: s}, deque([s])
-        while todo and t not in came:
+        far = [-1] * (t + 1)
+        far[s] = 0
+        todo = deque([s])
+        while todo:
             u = todo.popleft()
-            for v, c in cap[u].items():
-                if c > 1e-12 and v not in came:
-                    came[v] = u
+            for a in arcs[u]:
+                v = to[a]
+                if far[v] < 0 and cap[a] > LEAST_FLOW:
+                    far[v] = far[u] + 1
                     todo.append(v)
-        if t not in came:
-            return [k in came for k in range(len(rest))]
-        path, v = [], t
-        while v != s:
-            path.append((came[v], v))
-            v = came[v]
-        f = min(cap[u][v] for u, v in path)
-        for u, v in path:
-            cap[u][v] -= f
-            cap[v][u] = cap[v].get(u, 0.0) + f
+        if far[t] < 0:
+            return [far[k] >= 0 for k in range(len(rest))]
+        turn, path = [0] * (t + 1), []
+        while True:
+            u = to[path[-1]] if path else s
+            if u == t:
+                f = min(cap[a] for a in path)
+                for a in path:
+                    cap[a] -= f
+                    cap[a ^ 1] += f
+                full = next(n for n, a in enumerate(path) if cap[a] <= LEAST_FLOW)
+                del path[full:]
+                continue
+            own = arcs[u]
+            while turn[u] < len(own) and not (cap[own[turn[u]]] > LEAST_FLOW and far[to[own[turn[u]]]] == far[u] + 1):
+                turn[u] += 1
+            if turn[u] < len(own):
+                path.append(own[turn[u]])
+            elif path:
+                turn[to[path.pop() ^ 1]] += 1
+            else:
+                break
 
 
 def main_text(page: str | None) -> str:

@@ -1,3 +1,4 @@
+import time
 import html
 import itertools
 import random
@@ -122,3 +123,26 @@ def test_tags_that_never_close_are_read_once():
     for page in ('<a "' * 40_000, "<a ='" * 40_000, '<p x="' * 20_000 + ">", "<a b" * 40_000):
         main_text("<article><p>Text before all of it.</p>" + page)
     assert time.time() - start < 10
+
+
+def test_cut_of_a_long_chain_costs_what_dynamic_programming_finds():
+    r = random.Random(8)
+    n = 20_000
+    score = [r.uniform(-1, 1) for _ in range(n)]
+    links = [(i - 1, i, r.choice([0.1, 0.4, 1.2])) for i in range(1, n)]
+    begun = time.time()
+    got = htmltext.min_cut(score, links)
+    assert time.time() - begun < 20  # a breadth-first search for every path took minutes
+    cost = sum(abs(s) for s, k in zip(score, got) if (s > 0) != k) + sum(w for i, j, w in links if got[i] != got[j])
+    best = [max(0.0, score[0]), max(0.0, -score[0])]  # the last block is boilerplate, content
+    for i in range(1, n):
+        w = links[i - 1][2]
+        best = [min(best[0], best[1] + w) + max(0.0, score[i]), min(best[1], best[0] + w) + max(0.0, -score[i])]
+    assert abs(cost - min(best)) < 1e-6
+
+
+def test_long_page_in_linear_time():
+    page = "<body>" + "".join(f"<p>short {i}</p><div>x {i}</div>" for i in range(50_000)) + "</body>"
+    begun = time.time()
+    assert htmltext.main_text(page).startswith("short 0")
+    assert time.time() - begun < 15
