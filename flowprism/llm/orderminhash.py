@@ -19,6 +19,8 @@ from flowprism.llm.common import cut, table
 #: Low bits that carry an element's place in the text while arrays of longs are sorted; longer texts use coarser places.
 PLACE = 24
 BINS_LOG2 = 6
+#: Most ranges of ids that stand in the plan as literals: 100 TB make ranges of 6 GB.
+RANGES = 1 << 14
 #: Scripts written without spaces: each character is a token (Thai and Lao, CJK with kana, compatibility ideographs).
 UNSPACED = "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0x0E00, 0x0EFF), (0x2E80, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)))
 TOKEN = rf"[{UNSPACED}]|[^\s{UNSPACED}]+"
@@ -82,10 +84,11 @@ def as_text(sig: str) -> Column:
 
 
 def ranges(docs: DataFrame, id_col: str, bytes_in_range: int = 8 << 20) -> list:
-    """The least id of each of so many ranges of ids that a range holds about so many bytes of text, rising."""
+    """The least id of each of so many ranges of ids that a range holds about so many bytes of text, rising; at most ``RANGES``,
+    as their ids stand in the plan. Beyond that ranges grow, and a range's rows are sorted with spilling."""
     ids = docs.select(F.col(f"`{id_col}`").alias("id"), F.octet_length("t").alias("n"))
     total = ids.agg(F.sum("n")).first()[0] or 0
-    parts = max(1, -(-total // bytes_in_range))
+    parts = min(RANGES, max(1, -(-total // bytes_in_range)))
     low = cut(ids.filter("id is not null").select("id").repartitionByRange(parts, "id").groupBy(F.spark_partition_id().alias("part")).agg(F.min("id").alias("id")))
     return sorted(r.id for r in low.collect())  # one id for each range
 

@@ -83,3 +83,13 @@ def test_query(spark):
         by_text.setdefault(t, set()).add(got[d].fingerprint)
     assert all(len(v) == 1 for v in by_text.values())
     assert sum(r.near_edited for r in got.values()) > 5 * sum(r.near_next for r in got.values())
+
+
+def test_ranges_in_the_plan_are_bounded(spark, monkeypatch):
+    texts = [(i, f"text {i} " * 20) for i in range(300)]
+    df = spark.createDataFrame(texts, "doc_id long, t string")
+    monkeypatch.setattr(omh, "RANGES", 3)
+    assert len(omh.ranges(df, "doc_id", 100)) <= 3
+    monkeypatch.setattr(omh.ranges, "__defaults__", (100,))
+    got = {r.doc_id: r.next_t for r in omh.with_next(df, "doc_id", ["t"]).collect()}
+    assert got == {i: texts[(i + 1) % 300][1] for i in range(300)}
