@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowprism.functions.common import (
-    INTEGRAL_TYPES, col, collect_bounded, lit_sql, numeric_columns, stack_expr,
+    INTEGRAL_TYPES, MAX_DRIVER_ROWS, col, collect_bounded, lit_sql, numeric_columns, sql_name, stack_expr,
 )
 
 # ---------------------------------------------------------------- row identity / dedup (C2)
@@ -286,14 +286,18 @@ def median_values(df: DataFrame, cols: list[str], exact: bool = True) -> dict[st
     return {c: v[0] for c, v in quantile_values(df, cols, [0.5], exact=exact).items()}
 
 
-def mode_value(df: DataFrame, c: str):
-    """Most frequent non-null value, smallest on ties (pandas ``mode()[0]``).
+def mode_values(df: DataFrame, cols: list[str]) -> dict[str, str | None]:
+    """Most frequent non-null value of each string column, smallest on ties (pandas ``mode()[0]``).
 
-    A grouped count (map-side combined) followed by a top-1, so no single task ever holds the column.
+    Columns are counted together by (column, value), combined map-side; each column's best is an aggregate over its counts,
+    so no task ever holds a column.
     """
-    r = (df.where(col(c).isNotNull()).groupBy(col(c).alias("v")).count()
-         .orderBy(F.desc("count"), F.asc("v")).limit(1).collect())
-    return r[0]["v"] if r else None
+    if not cols:
+        return {}
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), col(c).alias("v")) for i, c in enumerate(cols)]))
+    counts = df.select(pairs.alias("p")).select("p.k", "p.v").where("v is not null").groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    best = {r["k"]: r["b"]["v"] for r in collect_bounded(counts.groupBy("k").agg(F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("b")))}
+    return {c: best.get(i) for i, c in enumerate(cols)}
 
 
 def drop_sparse_columns(df: DataFrame, above_pct: float = 50.0) -> DataFrame:
@@ -315,12 +319,8 @@ def fill_values(df: DataFrame, cols: list[str], exact: bool = True) -> dict[str,
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     num = [c for c in cols if isinstance(types[c], T.NumericType)]
     out: dict[str, object] = dict(median_values(df, num, exact)) if num else {}
-    for c in cols:
-        if c in out:
-            continue
-        if isinstance(types[c], T.StringType):
-            m = mode_value(df, c)
-            out[c] = m if m is not None else "Unknown"
+    modes = mode_values(df, [c for c in cols if isinstance(types[c], T.StringType)])
+    out.update({c: "Unknown" if m is None else m for c, m in modes.items()})
     return out
 
 
@@ -349,50 +349,91 @@ def fill_low_null_columns(df: DataFrame, kind: str = "all", high_pct: float = 15
     return apply_fill(df, fill_values(df, cols, exact))
 
 
+#: Columns whose null bits share one long of a null pattern.
+PATTERN_BITS = 62
+
+
+class NullPatterns:
+    """Rows counted by which of their columns are null: one bit a column, one aggregate over the table.
+
+    Null counts among any rows that lack nulls in given columns follow from the patterns alone.  Up to ``limit`` patterns
+    are replayed on the driver; a table with more keeps them distributed, and each question is an aggregate over patterns.
+    """
+
+    def __init__(self, df: DataFrame, limit: int = MAX_DRIVER_ROWS):
+        from flowprism.functions.common import materialize
+        self.columns = df.columns
+        starts = range(0, len(self.columns), PATTERN_BITS)
+        self.words = [f"w{a // PATTERN_BITS}" for a in starts]
+        bits = [sum((F.when(col(c).isNull(), F.lit(1 << j)).otherwise(F.lit(0)).cast("long") for j, c in enumerate(self.columns[a:a + PATTERN_BITS])),
+                    F.lit(0).cast("long")).alias(w) for a, w in zip(starts, self.words)]
+        found = df.select(*bits).groupBy(*self.words).agg(F.count(F.lit(1)).alias("n"))
+        self.table, self.rows = None, found.limit(limit + 1).collect()
+        if len(self.rows) > limit:
+            self.table, self.rows = materialize(found), None
+
+    def _null(self, c: str):
+        i = self.columns.index(c)
+        return self.words[i // PATTERN_BITS], 1 << (i % PATTERN_BITS)
+
+    def counts(self, without: list[str]) -> tuple[int, dict[str, int]]:
+        """Rows that have a value in all of ``without``, and among them each column's nulls."""
+        held, places = [self._null(c) for c in without], {c: self._null(c) for c in self.columns}
+        if self.table is None:
+            rows = [r for r in self.rows if not any(r[w] & bit for w, bit in held)]
+            return sum(r["n"] for r in rows), {c: sum(r["n"] for r in rows if r[w] & bit) for c, (w, bit) in places.items()}
+        kept = self.table
+        for w, bit in held:
+            kept = kept.where(F.col(w).bitwiseAND(F.lit(bit)) == 0)
+        sums = [F.sum(F.when(F.col(w).bitwiseAND(F.lit(bit)) != 0, F.col("n"))).alias(f"n{i}") for i, (w, bit) in enumerate(places.values())]
+        r = kept.agg(F.sum("n").alias("n"), *sums).first()
+        return r["n"] or 0, {c: r[f"n{i}"] or 0 for i, c in enumerate(self.columns)}
+
+
 def handle_missing_values(df: DataFrame, drop_column_above: float = 50.0, drop_rows_above: float = 15.0,
-                          exact: bool = True) -> tuple[DataFrame, list[dict]]:
+                          exact: bool = True, pattern_limit: int = MAX_DRIVER_ROWS) -> tuple[DataFrame, list[dict]]:
     """Sequential policy in schema order: drop column (> 50 %), drop rows (15-50 %], fill (<= 15 %).
 
-    Row drops change the rates of later columns, so rates are recomputed (one aggregate) after each row-dropping
-    column; fills pending before a row drop are fitted on the frame as it was when their column was visited.
+    Row drops change the rates of later columns, so the sequence is replayed on the table's null patterns, counted once
+    however many columns drop rows.  A fill is fitted on the rows that are left when the next column drops rows (or at the
+    end): all columns' fills are fitted together, each with the rows already dropped taken for null.
     """
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    patterns = NullPatterns(df, pattern_limit)
+    n, nulls = patterns.counts([])
     report: list[dict] = []
-    n, nulls = null_counts(df)
-    pending: list[str] = []
-
-    def flush(frame):
-        if not pending:
-            return frame
-        vals = fill_values(frame, pending, exact)
-        for c in pending:
-            for r in report:
-                if r["column_name"] == c:
-                    r["fill_value"] = None if vals.get(c) is None else str(vals[c])
-        out = apply_fill(frame, vals)
-        pending.clear()
-        return out
-
-    for c in list(df.columns):
-        k = nulls.get(c, 0)
-        if k == 0 or n == 0:
+    dropping: list[str] = []
+    fitted_on: dict[str, list[str]] = {}
+    for c in df.columns:
+        if nulls[c] == 0 or n == 0:
             continue
-        pct = k * 100.0 / n
-        entry = {"column_name": c, "null_count": int(k), "null_pct": pct, "action": None, "fill_value": None}
+        pct = nulls[c] * 100.0 / n
+        entry = {"column_name": c, "null_count": int(nulls[c]), "null_pct": pct, "action": "filled", "fill_value": None}
         report.append(entry)
         if pct > drop_column_above:
             entry["action"] = "column_dropped"
-            df = df.drop(c)
         elif pct > drop_rows_above:
             entry["action"] = "rows_dropped"
-            df = flush(df)
-            df = df.where(col(c).isNotNull())
-            rest = [x for x in df.columns]
-            n, nulls = null_counts(df, rest)
+            dropping.append(c)
+            n, nulls = patterns.counts(dropping)
         else:
-            entry["action"] = "filled"
-            pending.append(c)
-    df = flush(df)
-    return df, report
+            fitted_on[c] = list(dropping)
+    values: dict[str, object] = {}
+    if fitted_on:
+        def seen(c: str) -> Column:
+            there = F.lit(True)
+            for d in fitted_on[c]:
+                there = there & col(d).isNotNull()
+            return F.when(there, col(c)).cast(types[c]).alias(c)
+
+        values = fill_values(df.select(*[seen(c) for c in fitted_on]), list(fitted_on), exact)
+    for entry in report:
+        v = values.get(entry["column_name"])
+        entry["fill_value"] = None if v is None else str(v)
+    out = df.dropna(subset=[sql_name(c) for c in dropping]) if dropping else df
+    out = apply_fill(out, values)
+    gone = {r["column_name"] for r in report if r["action"] == "column_dropped"}
+    return (out.select(*[col(c) for c in out.columns if c not in gone]) if gone else out), report
 
 
 # ---------------------------------------------------------------- type detection (C1, C9, C18)
