@@ -5,7 +5,9 @@ page and four bits of it. Every task fills both filters for its own documents an
 set, so what is shuffled follows the number of lines, not tasks times filter. Pages merge by ``twice |= once & other``;
 a key held by two documents has all its bits in ``twice`` (no false negatives), a key of one document almost never.
 Only lines whose key passes ``twice`` are shuffled with their text; exact counting by key then confirms them and chooses
-the smallest document. ``twice`` is broadcast while its measured size is bounded, else lines meet it page by page.
+the smallest document. ``twice`` is broadcast while its measured size is bounded. Beyond that the documents are laid out by
+row once, as the last join needs them anyway, and only places of bits travel to the pages and back; the suspects' texts are
+then read where their documents lie.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ PROBES = 4
 BLANK = b" \t\n\x0b\x0c\r"
 #: Lines held at once while a task fills its filters.
 BLOCK_LINES = 200_000
+#: Text in a partition of the layout by row.
+LAYOUT_BYTES = 128 << 20
 
 
 def key_of(line: str) -> bytes:
@@ -42,10 +46,14 @@ def _hash(keys) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(k) for k in keys], np.uint64)
 
 
+def _mix(h: np.ndarray) -> np.ndarray:
+    """The PROBES bit numbers of each hash, 16 bits each; unlike hashes have unlike ones."""
+    return (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+
+
 def _places(h: np.ndarray, pages: int) -> tuple[np.ndarray, np.ndarray]:
     """Page, and PROBES bit numbers within it, of each hash."""
-    page = (h % np.uint64(pages)).astype(np.int64)
-    mix = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    page, mix = (h % np.uint64(pages)).astype(np.int64), _mix(h)
     return page, np.stack([(mix >> np.uint64(16 * i)).astype(np.uint16) for i in range(PROBES)], axis=1)
 
 
@@ -113,17 +121,38 @@ def filter_pages(docs: DataFrame, text_col: str, pages: int, min_chars: int) ->
             .repartition("page").sortWithinPartitions("page").mapInArrow(merge, "page long, twice array<long>"))
 
 
-def repeated_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int, bits_per_line: int = 16,
-                  limit: int = BROADCAST_BYTES) -> DataFrame:
-    """(id, key): keys that a document must lose, as some smaller document holds them too."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).filter("id is not null")
-    n = docs.agg(F.sum(F.length("t") - F.length(F.replace("t", F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
-    pages = max(1, -(-n * bits_per_line // PAGE_BITS))
-    twice = cut(filter_pages(docs, "t", pages, min_chars))
+def twice_seen(docs: DataFrame, min_chars: int, bits_per_line: int) -> tuple[DataFrame, int, int]:
+    """The filter of ``docs`` (id, t) as written pages, the number of its pages, and bytes of text."""
+    n, size = docs.agg(F.sum(F.length("t") - F.length(F.replace("t", F.lit("\n"), F.lit(""))) + 1), F.sum(F.octet_length("t"))).first()
+    pages = max(1, -(-(n or 0) * bits_per_line // PAGE_BITS))
+    return cut(filter_pages(docs, "t", pages, min_chars)), pages, size or 0
+
+
+def laid_out(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """``df`` written in ``parts`` partitions by the hash of ``keys``; joins on these keys leave it where it lies.
+
+    Spark keeps a checkpoint's partitioning only where the plan behind it was not adaptive, so this one shuffle is planned as it stands.
+    """
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut(df.repartition(parts, *keys))
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def _hit(bit) -> str:
+    """SQL for a line that finds all its bits set in its page; ``bit`` gives the number of the i-th."""
+    return " and ".join(f"(shiftrightunsigned(twice[cast(shiftright({bit(i)}, 6) as int)], cast({bit(i)} & 63 as int)) & 1L) = 1L" for i in range(PROBES))
+
+
+def suspects_by_broadcast(docs: DataFrame, twice: DataFrame, pages: int, min_chars: int) -> DataFrame:
+    """(id, key) of the lines of ``docs`` (id, t) that pass the filter, which every task holds."""
+    kind = docs.schema["id"].dataType.simpleString()
 
     def lines(b):
-        ids, keys, hashes, counts = b.column(0), [], [], []
+        ids, keys, counts = b.column(0), [], []
         for t in b.column(1).to_pylist():
             ks = list(keys_of(t, min_chars))
             counts.append(len(ks))
@@ -137,11 +166,49 @@ def repeated_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int, b
              *(pa.array(bits[:, i].astype(np.int32)) for i in range(PROBES))], ["id", "key", "page", *(f"b{i}" for i in range(PROBES))])
 
     every = docs.mapInArrow(batches(lines), f"id {kind}, key string, page long, " + ", ".join(f"b{i} int" for i in range(PROBES)))
-    small = small_enough(twice, PAGE_BITS // 8, limit=limit)
-    hit = " and ".join(f"(shiftrightunsigned(twice[shiftright(b{i}, 6)], b{i} & 63) & 1L) = 1L" for i in range(PROBES))
-    suspects = cut(every.join(F.broadcast(twice) if small else twice, "page").filter(hit).select("id", "key"))
+    return every.join(F.broadcast(twice), "page").filter(_hit(lambda i: f"b{i}")).select("id", "key")
+
+
+def marked_rows(laid: DataFrame, twice: DataFrame, pages: int, min_chars: int) -> DataFrame:
+    """(id, row, mixes): the lines of each row of ``laid`` (id, row, t) that pass the filter, by their bits. No text is shuffled."""
+    kind = laid.schema["id"].dataType.simpleString()
+
+    def lines(b):
+        hashes = [_hash(keys_of(t, min_chars)) for t in b.column(2).to_pylist()]
+        at = pa.array(np.repeat(np.arange(len(hashes)), [len(h) for h in hashes]))
+        if not len(at):
+            return None
+        h = np.concatenate(hashes).astype(np.uint64)
+        return pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array((h % np.uint64(pages)).astype(np.int64)),
+                                           pa.array(_mix(h).view(np.int64))], ["id", "row", "page", "mix"])
+
+    places = laid.filter("id is not null").select("id", "row", "t").mapInArrow(batches(lines), f"id {kind}, row long, page long, mix long")
+    found = places.join(twice, "page").filter(_hit(lambda i: f"(shiftrightunsigned(mix, {16 * i}) & 65535)")).select("id", "row", "mix")
+    return found.groupBy("id", "row").agg(F.collect_set("mix").alias("mixes"))
+
+
+def fetched(laid: DataFrame, marked: DataFrame, min_chars: int) -> DataFrame:
+    """(id, row, key): the marked lines' keys, read where their rows lie."""
+    kind = laid.schema["id"].dataType.simpleString()
+
+    def keys(b):
+        ids, rows, out, counts = b.column(0), b.column(1), [], []
+        for t, mixes in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+            ks = list(keys_of(t, min_chars))
+            there = np.isin(_mix(_hash(ks)).view(np.int64), np.array(mixes, np.int64)) if ks else []
+            found = [k for k, yes in zip(ks, there) if yes]
+            counts.append(len(found))
+            out.extend(k.decode("utf-8", "surrogatepass") for k in found)
+        at = pa.array(np.repeat(np.arange(len(counts)), counts))
+        return pa.RecordBatch.from_arrays([ids.take(at), rows.take(at), pa.array(out, pa.string())], ["id", "row", "key"])
+
+    return laid.join(marked, ["id", "row"]).select("id", "row", "t", "mixes").mapInArrow(batches(keys), f"id {kind}, row long, key string")
+
+
+def losses(suspects: DataFrame) -> DataFrame:
+    """The suspects (id, key, ...) that a smaller document's line confirms, by exact counting."""
     held = suspects.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first <> last")
-    return suspects.join(held, "key").filter("id <> first").select("id", "key")
+    return suspects.join(held, "key").filter("id <> first").drop("first", "last")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10,
@@ -154,11 +221,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one empty line; its text becomes empty. Rows that share an id count as one document. Rows without an id are left as they
     are and give no evidence. Own columns named n_lines or n_dropped are replaced; others may have any name.
     """
-    drops = (repeated_keys(docs, id_col, text_col, min_chars, bits_per_line, limit)
-             .groupBy("id").agg(F.collect_set("key").alias("keys")))
     own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     place = own.index(text_col)
-    schema = docs.select(*own).schema
+    schema = docs.select(*(F.col(f"`{c}`") for c in own)).schema
     names = [f"c{i}" for i in range(len(own))]
 
     def rebuild(b):
@@ -181,8 +246,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     left = docs.select(*(F.col(f"`{c}`").alias(x) for c, x in zip(own, names)))
     key = names[own.index(id_col)]
     out = ", ".join(f"{x} {f.dataType.simpleString()}" for x, f in zip(names, schema.fields)) + ", n_lines long, n_dropped long"
-    return (left.join(drops, left[key] == drops.id, "left").select(*names, "keys").mapInArrow(batches(rebuild), out)
-            .toDF(*own, "n_lines", "n_dropped"))
+    texts = left.select(F.col(key).alias("id"), F.col(names[place]).alias("t")).filter("id is not null")
+    twice, pages, size = twice_seen(texts, min_chars, bits_per_line)
+    if small_enough(twice, PAGE_BITS // 8, limit=limit):
+        drops = losses(cut(suspects_by_broadcast(texts, twice, pages, min_chars))).groupBy("id").agg(F.collect_set("key").alias("keys"))
+        both = left.join(drops, left[key] == drops.id, "left")
+    else:
+        parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // LAYOUT_BYTES + 1)
+        laid = laid_out(left.withColumns({"id": F.col(key), "t": F.col(names[place]), "row": F.xxhash64(names[place])}).drop(key, names[place]),
+                        parts, "id", "row")
+        suspects = cut(fetched(laid, marked_rows(laid, twice, pages, min_chars), min_chars))
+        drops = losses(suspects).groupBy("id", "row").agg(F.collect_set("key").alias("keys"))
+        both = laid.join(drops, ["id", "row"], "left").withColumnsRenamed({"id": key, "t": names[place]})
+    return both.select(*names, "keys").mapInArrow(batches(rebuild), out).toDF(*own, "n_lines", "n_dropped")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 
 import duckdb
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from flowprism.llm import linededup
 
@@ -79,3 +80,31 @@ def test_query_equals_oracle(spark):
     assert got == sorted(duckdb.sql(f"select doc_id, n_lines, n_dropped, kept_sha256 from ({linededup.ORACLE})").fetchall())
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     assert got == sorted((d, n, lost, hashlib.sha256(k.encode()).hexdigest()) for d, k, n, lost in slow(texts))
+
+
+def test_unbroadcast_filter_moves_texts_once(spark):
+    """Beyond the limit of the broadcast no exchange carries text but the layout's, and neither join moves the layout again."""
+    df = spark.createDataFrame(cases(), "doc_id long, text string").filter("doc_id is not null").selectExpr("doc_id id", "text t")
+    laid = linededup.laid_out(df.selectExpr("id", "t", "xxhash64(t) row"), 8, "id", "row")
+    twice, pages, _ = linededup.twice_seen(df, 10, 16)
+    marked = linededup.marked_rows(laid, twice, pages, 10)
+    formatted = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+
+    def moved(d):
+        return [block for block in d._jdf.queryExecution().explainString(formatted).split("\n\n") if ") Exchange" in block]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = linededup.fetched(laid, marked, 10)
+        drops = linededup.losses(linededup.cut(found)).groupBy("id", "row").agg(F.collect_set("key").alias("keys"))
+        for d in (marked, found, laid.join(drops, ["id", "row"], "left")):
+            assert moved(d) and not any(" t#" in block or "[t#" in block for block in moved(d))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_unbroadcast_rows_that_share_an_id(spark):
+    rows = [(1, f"a line of document one\nown {i} of this row here") for i in range(30)] + [(2, "a line of document one\nown 3 of this row here\nends")] * 3
+    df = spark.createDataFrame([(t, "x", i) for i, t in rows], "`the.text` string, row string, `doc.id` long")
+    out = linededup.dedup_lines(df, "doc.id", "the.text", limit=0)
+    assert out.columns == ["the.text", "row", "doc.id", "n_lines", "n_dropped"]
+    assert sorted((x[2], x[0], x[3], x[4]) for x in out.collect()) == sorted(slow(rows))
