@@ -112,28 +112,32 @@ def _strength(groups: DataFrame, base: Column, mean: float) -> float:
     return float(min(1e6, max(1.0, full / spread - 1))) if spread > 1e-12 else 1e6
 
 
-def score(docs: DataFrame, model: Classifier, text_col: str = "text", host_col: str = "source", path_col: str = "lang") -> DataFrame:
-    """``docs``, all columns as they are, plus ``quality_evidence``, ``quality_prior`` and ``quality`` (posterior, 0 to 1).
+def with_evidence(docs: DataFrame, model: Classifier, text_col: str = "text") -> DataFrame:
+    """``docs``, all columns as they are, plus ``quality_evidence``, from the text alone."""
+    own = [c for c in docs.columns if c != _OUT[0]]
+    names = [f"c{i}" for i in range(len(own))]
+    keyed = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(own, names)))
+    return with_features(keyed, names[own.index(text_col)]).select(*names, model.evidence()).toDF(*own, _OUT[0])
 
-    A path is a pair of host and path. A null host has no site evidence and takes the global rate; a null path takes its
-    host's. Empty and null texts are scored by their statistics, repeated rows one by one (each counts for its site). Own columns
-    with the names of the results are replaced. An empty table gives an empty table.
+
+def posterior(docs: DataFrame, share: float, host_col: str = "source", path_col: str = "lang") -> DataFrame:
+    """``docs`` (with ``quality_evidence``) plus ``quality_prior`` and ``quality``; ``share`` is the rate of good documents among labels.
+
+    ``docs`` is read twice, for the sites' sums and for the answer, so it should be a written table.
     """
     own = [c for c in docs.columns if c not in _OUT]
     names = [f"c{i}" for i in range(len(own))]
-    keyed = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(own, names)))
     at = dict(zip(own, names))
-    prior = float(np.log(model.share / (1 - model.share)))
-    rows = (with_features(keyed, at[text_col])
-            .select(*names, F.col(at[host_col]).cast("string").alias("h"), F.col(at[path_col]).cast("string").alias("p"),
-                    model.evidence().alias("e")))
+    prior = float(np.log(share / (1 - share)))
+    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in at.items()), F.col(f"`{host_col}`").cast("string").alias("h"),
+                       F.col(f"`{path_col}`").cast("string").alias("p"), F.col(_OUT[0]).alias("e"))
     rows = rows.withColumn("r", 1 / (1 + F.exp(-(F.col("e") + prior))))
     paths = (rows.filter("h is not null").groupBy("h", "p")
              .agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("r").alias("s"), F.sum(F.col("r") * F.col("r")).alias("q")))
     paths = cut(paths)
     hosts = paths.groupBy("h").agg(*(F.sum(c).alias(c) for c in ("n", "s", "q")))
     total, good = hosts.agg(F.sum("n"), F.sum("s")).first()
-    mean = min(1 - 1e-6, max(1e-6, good / total)) if total else model.share
+    mean = min(1 - 1e-6, max(1e-6, good / total)) if total else share
     kh = _strength(hosts, F.lit(mean), mean)
     joined = paths.filter("p is not null").join(hosts.select("h", F.col("n").alias("hn"), F.col("s").alias("hs")), "h")
     kp = _strength(joined, (F.col("hs") + kh * mean) / (F.col("hn") + kh), mean)
@@ -147,8 +151,20 @@ def score(docs: DataFrame, model: Classifier, text_col: str = "text", host_col:
     return out.select(*(F.col(n).alias(c) for c, n in at.items()), F.col("e").alias(_OUT[0]), rate.alias(_OUT[1]), post.alias(_OUT[2]))
 
 
+def score(docs: DataFrame, model: Classifier, text_col: str = "text", host_col: str = "source", path_col: str = "lang") -> DataFrame:
+    """``docs``, all columns as they are, plus ``quality_evidence``, ``quality_prior`` and ``quality`` (posterior, 0 to 1).
+
+    A path is a pair of host and path. A null host has no site evidence and takes the global rate; a null path takes its
+    host's. Empty and null texts are scored by their statistics, repeated rows one by one (each counts for its site). Own columns
+    with the names of the results are replaced. An empty table gives an empty table. Rows are written once with their evidence.
+    """
+    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in _OUT))
+    return posterior(cut(with_evidence(docs, model, text_col)), model.share, host_col, path_col)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """op6: evidence, site prior and posterior of every document; the source is the host, the language its path."""
     docs = table(spark, sf_dir, "documents")
-    out = score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    out = posterior(cut(with_evidence(docs, model).select("doc_id", "source", "lang", "quality_evidence")), model.share)
     return out.selectExpr("doc_id", "source", "lang", "quality_evidence", "quality_prior", "quality", "cast(quality >= 0.5 as int) as kept")
