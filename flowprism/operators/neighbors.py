@@ -1,7 +1,9 @@
 """Exact k-nearest-neighbour join, kNN classification and SMOTE oversampling.
 
 References are dealt to the cell of their nearest pivot (pivots are a bounded hash sample of the references), and a
-cell larger than a block is cut by a hash of the ids.  A query first visits the cells nearest to it until they
+cell larger than a block is cut by a hash of the ids.  Beyond ``MAX_PIVOTS`` cells the pivots form a tree of two levels:
+a row goes to its nearest top pivot and to the nearest of that one's leaves, and whole tops are ruled out by the same
+bounds before any of their leaves is looked at.  A query first visits the cells nearest to it until they
 hold k references; the k-th distance found there is an upper bound.  It then visits only the cells whose distance
 bounds (triangle inequality over pivot distance and cell radius) allow a nearer reference.  So queries and
 references are replicated to cells that matter, not to every block, and the result is exact: the k least by
@@ -25,6 +27,8 @@ from flowprism.functions.common import col, collect_bounded, findable, materiali
 
 BLOCK_ROWS = 4096
 MAX_PIVOTS = 1024
+#: Most leaves of the pivot tree, whose vectors and counts reach the driver and every task.
+MAX_LEAVES = 16384
 PAIRS_AT_ONCE = 1 << 18
 
 
@@ -96,6 +100,71 @@ def _pivot_distances(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return out
 
 
+class _Pivots:
+    """The cells' pivots; more than ``flat`` of them hang on about their square root of top pivots."""
+
+    def __init__(self, vectors: np.ndarray, flat: int):
+        self.vectors, self.tops, self.top_of = vectors, None, None
+        if len(vectors) > flat:
+            # every so many of the sorted pivots, so the tops spread as the pivots do
+            self.tops = vectors[::math.ceil(math.sqrt(len(vectors)))]
+            self.top_of = _pivot_distances(vectors, self.tops).argmin(axis=1)
+
+    def deal(self, v: np.ndarray):
+        """Cell, distance to its pivot and distance to its top (the pivot itself without a tree) of each vector."""
+        if self.tops is None:
+            d = _pivot_distances(v, self.vectors)
+            return d.argmin(axis=1).astype(np.int32), d.min(axis=1), d.min(axis=1)
+        d = _pivot_distances(v, self.tops)
+        top, cell, away = d.argmin(axis=1), np.zeros(len(v), np.int32), np.zeros(len(v))
+        for t in np.unique(top):
+            rows, leaves = np.flatnonzero(top == t), np.flatnonzero(self.top_of == t)
+            near = _pivot_distances(v[rows], self.vectors[leaves])
+            cell[rows], away[rows] = leaves[near.argmin(axis=1)], near.min(axis=1)
+        return cell, away, d.min(axis=1)
+
+    def upper(self, v: np.ndarray) -> np.ndarray:
+        return _pivot_distances(v, self.vectors if self.tops is None else self.tops)
+
+
+class _Cells:
+    """A group's cells (id, rows, least and greatest distance to the pivot) and, in a tree, its tops with theirs."""
+
+    def __init__(self, pivots: _Pivots, rows: list[tuple]):
+        self.cell, self.n, self.low, self.high, low, high = (np.array(c) for c in zip(*sorted(rows)))
+        self.pivots = pivots
+        if pivots.tops is not None:
+            self.top, at = np.unique(pivots.top_of[self.cell], return_inverse=True)
+            self.leaves = [np.flatnonzero(at == t) for t in range(len(self.top))]
+            self.top_n = np.array([self.n[x].sum() for x in self.leaves])
+            self.top_low, self.top_high = (np.array([f(c[x]) for x in self.leaves]) for f, c in ((np.min, low), (np.max, high)))
+
+    def _below(self, v: np.ndarray, tops) -> tuple[np.ndarray, np.ndarray]:
+        some = np.concatenate([self.leaves[t] for t in tops]) if len(tops) else np.zeros(0, int)
+        return some, np.sqrt(((self.pivots.vectors[self.cell[some]] - v) ** 2).sum(1))
+
+    def home(self, v: np.ndarray, upper: np.ndarray, need: int) -> np.ndarray:
+        """The nearest cells that hold ``need`` rows together (in a tree: below the nearest tops that do)."""
+        if self.pivots.tops is None:
+            some, away = np.arange(len(self.cell)), upper[self.cell]
+        else:
+            order = np.lexsort((self.top, upper[self.top]))
+            some, away = self._below(v, order[:1 + int(np.searchsorted(np.cumsum(self.top_n[order]), need))])
+        order = np.lexsort((self.cell[some], away))
+        return some[order[:1 + int(np.searchsorted(np.cumsum(self.n[some][order]), need))]]
+
+    def within(self, v: np.ndarray, upper: np.ndarray, reach: float) -> np.ndarray:
+        """Cells that may hold a row no farther than ``reach``, by the triangle inequality."""
+        def may(away, low, high):
+            slack = 1e-9 * (away + high + reach if np.isfinite(reach) else 0.0)
+            return np.flatnonzero(np.maximum(0.0, np.maximum(away - high, low - away)) <= reach + slack)
+
+        if self.pivots.tops is None:
+            return may(upper[self.cell], self.low, self.high)
+        some, away = self._below(v, may(upper[self.top], self.top_low, self.top_high))
+        return np.sort(some[may(away, self.low[some], self.high[some])])
+
+
 def _checked(df: DataFrame, what: str) -> int:
     """Row count; rows whose vector is null or holds a null or NaN have no distance and are an error, never dropped."""
     bad = F.col("vec").isNull() | F.exists("vec", lambda x: x.isNull() | F.isnan(x))
@@ -107,11 +176,13 @@ def _checked(df: DataFrame, what: str) -> int:
 
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, vec: str,
              partition_cols: tuple[str, ...] = (), exclude_self: bool = False,
-             block_rows: int = BLOCK_ROWS, max_pivots: int = MAX_PIVOTS, carry: tuple[str, ...] = ()) -> DataFrame:
+             block_rows: int = BLOCK_ROWS, max_pivots: int = MAX_PIVOTS, carry: tuple[str, ...] = (),
+             max_leaves: int = MAX_LEAVES) -> DataFrame:
     """(partition_cols..., qid, rid, dist, carry..., rank) for the k nearest ``refs`` of every query (Euclidean, ties by rid).
 
     ``partition_cols`` restricts neighbours to the same group (e.g. same class).  ``carry`` columns of the reference come with
     it, so that references that share an id stay rows of their own; a query's id must be its own.  A null or NaN feature raises.
+    Cells hold some ``block_rows`` references; more than ``max_pivots`` cells form a tree, and only beyond ``max_leaves`` they grow.
     """
     findable(queries.sparkSession)
     pc, ca = list(partition_cols), list(carry)
@@ -123,27 +194,26 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, ve
     kinds = "".join(f"{c} {types[c]}, " for c in pc)
     kind_q, kind_r = types[qid], dict(refs.dtypes)[rid]
     carried = "".join(f", {c} {dict(refs.dtypes)[c]}" for c in ca)
-    n_piv = max(1, min(max_pivots, math.ceil(nr / block_rows)))
-    chosen = r.orderBy(F.xxhash64("rid"), "rid").select("vec").limit(n_piv).collect()  # at most max_pivots vectors
+    n_piv = max(1, min(max(max_pivots, max_leaves), math.ceil(nr / block_rows)))
+    chosen = r.orderBy(F.xxhash64("rid"), "rid").select("vec").limit(n_piv).collect()  # at most max_leaves vectors
     if not chosen:
         return (q.select(*pc, "qid", F.lit(None).cast(kind_r).alias("rid"), F.lit(None).cast("double").alias("dist"),
                          *[F.lit(None).cast(dict(refs.dtypes)[c]).alias(c) for c in ca]).where("false").withColumn("rank", F.lit(1)))
-    pivots = np.unique(np.array([x["vec"] for x in chosen], dtype=np.float64), axis=0)
+    pivots = _Pivots(np.unique(np.array([x["vec"] for x in chosen], dtype=np.float64), axis=0), max_pivots)
 
     def to_cell(it):
         for pdf in it:
             if len(pdf):
-                d = _pivot_distances(_matrix(pdf["vec"]), pivots)
-                pdf["cell"] = d.argmin(axis=1).astype(np.int32)
-                pdf["away"] = d.min(axis=1)
+                pdf["cell"], pdf["away"], pdf["far"] = pivots.deal(_matrix(pdf["vec"]))
                 yield pdf
 
-    dealt = r.mapInPandas(to_cell, f"{kinds}rid {kind_r}{carried}, vec array<double>, cell int, away double")
-    cells = collect_bounded(dealt.groupBy(*pc, "cell").agg(F.count(F.lit(1)).alias("n"), F.min("away").alias("low"), F.max("away").alias("high")))
-    groups: dict = {}
+    dealt = r.mapInPandas(to_cell, f"{kinds}rid {kind_r}{carried}, vec array<double>, cell int, away double, far double")
+    cells = collect_bounded(dealt.groupBy(*pc, "cell").agg(F.count(F.lit(1)).alias("n"), *[
+        f(c).alias(f"{w}_{c}") for c in ("away", "far") for w, f in (("low", F.min), ("high", F.max))]))
+    rows: dict = {}
     for x in cells:  # one row per class and pivot
-        groups.setdefault(tuple(x[c] for c in pc), []).append((x["cell"], x["n"], x["low"], x["high"]))
-    groups = {g: tuple(np.array(c) for c in zip(*sorted(v))) for g, v in groups.items()}
+        rows.setdefault(tuple(x[c] for c in pc), []).append((x["cell"], x["n"], x["low_away"], x["high_away"], x["low_far"], x["high_far"]))
+    groups = {g: _Cells(pivots, v) for g, v in rows.items()}
     need = k + (1 if exclude_self else 0)
 
     def visits(second: bool):
@@ -151,35 +221,29 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, ve
             for pdf in it:
                 if not len(pdf):
                     continue
-                d = _pivot_distances(_matrix(pdf["vec"]), pivots)
+                v = _matrix(pdf["vec"])
+                upper = pivots.upper(v)
                 rows, to = [], []
                 for i, g in enumerate(zip(*[pdf[c] for c in pc]) if pc else [()] * len(pdf)):
                     if g not in groups:
                         continue
-                    cell, n, low, high = groups[g]
-                    away = d[i, cell.astype(int)]
-                    order = np.lexsort((cell, away))
-                    home = order[:1 + int(np.searchsorted(np.cumsum(n[order]), need))]
+                    mine = groups[g]
+                    go = mine.home(v[i], upper[i], need)
                     if second:
-                        nearest = np.maximum(0.0, np.maximum(away - high, low - away))
                         reach = pdf["reach"].iloc[i]
-                        reach = np.inf if reach is None or np.isnan(reach) else reach
-                        slack = 1e-9 * (away + high + reach if np.isfinite(reach) else 0.0)
-                        go = np.setdiff1d(np.flatnonzero(nearest <= reach + slack), home)
-                    else:
-                        go = home
+                        go = np.setdiff1d(mine.within(v[i], upper[i], np.inf if reach is None or np.isnan(reach) else reach), go)
                     rows.extend([i] * len(go))
-                    to.extend(cell[go].tolist())
+                    to.extend(mine.cell[go].tolist())
                 out = pdf.iloc[rows].drop(columns=["reach"], errors="ignore").copy()
                 out["cell"] = np.array(to, np.int32)
                 yield out
         return fn
 
     # a cell above a block is cut by the references' ids, and so are the queries that visit it
-    blocks = {(*g, int(c)): max(1, math.ceil(int(m) / block_rows)) for g, (cs, ns, _, _) in groups.items() for c, m in zip(cs, ns)}
+    blocks = {(*g, int(c)): max(1, math.ceil(int(m) / block_rows)) for g, x in groups.items() for c, m in zip(x.cell, x.n)}
     spark = queries.sparkSession
     plan = spark.createDataFrame([(*key, b) for key, b in blocks.items()], f"{kinds}cell int, blocks int")
-    ref_side = dealt.drop("away").join(F.broadcast(plan), [*pc, "cell"]).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")))  # one row per class and pivot
+    ref_side = dealt.drop("away", "far").join(F.broadcast(plan), [*pc, "cell"]).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")))  # one row per class and pivot
     at = [*pc, "cell", "block", "part"]
 
     def search(visiting: DataFrame) -> DataFrame:
@@ -201,7 +265,7 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, qid: str, rid: str, ve
 
     visit_type = f"{kinds}qid {kind_q}, vec array<double>, cell int"
     first = best(search(q.mapInPandas(visits(False), visit_type)))
-    if all(len(v[0]) == 1 for v in groups.values()):
+    if all(len(x.cell) == 1 for x in groups.values()):
         return first
     first = materialize(first)
     reach = first.groupBy(*pc, "qid").agg(F.max(F.when(F.col("rank") == k, F.col("dist"))).alias("reach"))

@@ -49,6 +49,36 @@ def test_cells_prune_without_loss(spark, block_rows, max_pivots):
     assert got == brute(qs, rs, 7, lambda a, b: a != b)
 
 
+def test_pivot_tree_prunes_without_loss(spark):
+    """More cells than ``max_pivots``: a tree of two levels, its cells of the size of a block, exact in groups too."""
+    r = np.random.default_rng(5)
+    centres = r.normal(0, 50, (30, 3))
+    rs = [(i, (centres[i % 30] + r.integers(-3, 4, 3)).tolist()) for i in range(1500)]
+    qs = [(i, v) for i, v in rs[:80]] + [(9000 + i, r.normal(0, 60, 3).tolist()) for i in range(40)]
+    assert found(spark, qs, rs, 6, 4, exclude_self=True, block_rows=16, max_pivots=4) == brute(qs, rs, 6, lambda a, b: a != b)
+    df = spark.createDataFrame([(i, i % 3, v) for i, v in rs], "id long, g int, v array<double>")
+    got = {}
+    for x in nb.knn_join(df.where("id < 60"), df, 4, "id", "id", "v", partition_cols=("g",), exclude_self=True, block_rows=16, max_pivots=4).orderBy("rank").collect():
+        got.setdefault(x["qid"], []).append(x["rid"])
+    assert got == brute(rs[:60], rs, 4, lambda a, b: a != b and a % 3 == b % 3)
+
+
+def test_pivot_tree_rules_most_cells_out():
+    r = np.random.default_rng(6)
+    v = r.normal(0, 50, (100, 2))[r.integers(0, 100, 40_000)] + r.normal(0, 1, (40_000, 2))
+    pivots = nb._Pivots(np.unique(v[::64], axis=0), 4)
+    cell, away, far = pivots.deal(v)
+    rows = [(c, len(at), away[at].min(), away[at].max(), far[at].min(), far[at].max()) for c in np.unique(cell) for at in [np.flatnonzero(cell == c)]]
+    cells = nb._Cells(pivots, rows)
+    assert pivots.tops is not None and cells.n.sum() == len(v) and cells.n.mean() < 2 * 64
+    for q in v[:200]:
+        upper = pivots.upper(q[None])[0]
+        go = cells.within(q, upper, 0.5)
+        near = np.flatnonzero(((v - q) ** 2).sum(1) <= 0.25)
+        assert set(cell[near]) <= set(cells.cell[go].tolist()) and len(go) < len(rows) / 10
+        assert cells.n[cells.home(q, upper, 5)].sum() >= 5
+
+
 def test_groups_and_few_references(spark):
     rows = [(i, i % 3, [float(i), 0.0]) for i in range(31)]
     df = spark.createDataFrame(rows, "id long, g int, v array<double>")
