@@ -135,3 +135,25 @@ def test_smote_rows_have_ids_of_their_own(spark):
     out = smote(df, "label", ["x"], {0: 5, 1: 4})  # a one-row class repeats its row
     assert out.count() == 12 and out.select("row_id").distinct().count() == 12
     assert {r["row_id"] for r in out.collect()} >= {1, 2, 3}
+
+
+def test_doubles_keep_their_names_without_an_alias(spark):
+    """A hash over n columns that were each aliased left 2^n inferred equalities on the driver, through the checkpoint."""
+    from flowprism.functions.common import as_doubles, materialize, row_identity
+    feats = [f"f{i}" for i in range(12)]
+    df = spark.range(4).select(*[(F.col("id") * i).cast("double").alias(c) for i, c in enumerate(feats)], F.col("id").cast("int").alias("label"))
+    named = materialize(row_identity(materialize(df), df.columns))
+    out = as_doubles(named, [*feats, "label"])
+    assert out.columns == named.columns and dict(out.dtypes)["label"] == "double"
+    assert out._jdf.queryExecution().optimizedPlan().constraints().size() < 100
+    assert as_doubles(spark.createDataFrame([(1, 2)], "`a.b` int, c int"), ["a.b"]).dtypes == [("a.b", "double"), ("c", "int")]
+
+
+def test_smote_on_rows_named_by_a_hash_of_all_features(spark):
+    from flowprism.functions.common import materialize, row_identity
+    feats = [f"f{i}" for i in range(28)]
+    df = spark.range(12).select(*[(F.col("id") * (i + 1) % 11).cast("double").alias(c) for i, c in enumerate(feats)], (F.col("id") % 2).cast("int").alias("label"))
+    train = row_identity(materialize(df), df.columns)
+    out = nb.smote(train, "label", feats, {1: 5})
+    assert out.groupBy("label").count().orderBy("label").collect() == [(0, 6), (1, 11)]
+    assert out.select("row_id").distinct().count() == 17
