@@ -157,3 +157,14 @@ def test_smote_on_rows_named_by_a_hash_of_all_features(spark):
     out = nb.smote(train, "label", feats, {1: 5})
     assert out.groupBy("label").count().orderBy("label").collect() == [(0, 6), (1, 11)]
     assert out.select("row_id").distinct().count() == 17
+
+
+def test_copies_of_queries_leave_in_bounded_frames():
+    import pandas as pd
+    pdf = pd.DataFrame({"qid": [5, 6, 7, 8], "vec": [[1.0], [2.0], [3.0], [4.0]]})
+    goes = [(0, np.arange(25)), (1, np.array([3])), (2, np.zeros(0, int)), (3, np.arange(7, 12))]
+    out = list(nb._copies(pdf, iter(goes), 10))
+    assert max(len(x) for x in out) < 20 and len(out) >= 3
+    got = pd.concat(out)
+    assert list(zip(got["qid"], got["cell"])) == [(5, c) for c in range(25)] + [(6, 3)] + [(8, c) for c in range(7, 12)]
+    assert got["cell"].dtype == np.int32 and list(nb._copies(pdf, iter([]))) == []
