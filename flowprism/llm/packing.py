@@ -14,6 +14,7 @@ import os
 import struct
 import zlib
 from collections import deque
+from itertools import islice
 from unicodedata import is_normalized
 
 import numpy as np
@@ -30,8 +31,8 @@ OPEN, SENTENCE, INSIDE = 4, 16, 64
 #: Longest stretch without a possible end, and the least power of two that a window may have without padding.
 HARD, LEAST = 512, 256
 BLOCK = 1 << 20
-#: Text bytes in a range of ids, about, and words that a worker's cache holds at most.
-RANGE_BYTES, CACHE = 32 << 20, 800_000
+#: Text bytes in a range of ids, about, words that a worker's cache holds at most, and word parts it keeps from one range to the next.
+RANGE_BYTES, CACHE, KEPT = 32 << 20, 800_000, 200_000
 
 _TOKENIZERS: dict = {}
 
@@ -75,37 +76,57 @@ class WordTokenizer:
         got = self.parts.get(s)
         if got is None:
             if len(self.parts) >= CACHE:
-                self.parts = {}
+                self.parts.clear()
             got = self.parts[s] = _packed([t.id for t in self.tok.model.tokenize(s if s.isascii() else s.translate(self.shown))])
         return got
 
     def forget(self) -> None:
-        """A worker outlives its task: what it has learnt must not stay beside the memory of other stages."""
-        self.cache, self.parts = {}, {}
+        """A worker outlives its task: what it has learnt must not stay beside the memory of other stages. Only the parts met
+        first stay (some 30 MB), the common ones among them, as each costs a walk through the tokenizer's model."""
+        self.cache, self.parts = {}, dict(islice(self.parts.items(), KEPT))
 
-    def learn(self, words) -> None:
-        new = [w for w in words if w not in self.cache]
+    def learn(self, words: set[str]) -> None:
+        new = words.difference(self.cache)
         if len(self.cache) + len(new) > CACHE:
             self.cache = {}
-            new = list(words)
-        other = []
+            new = words
+        cache, known, part, other = self.cache, self.parts.get, self.part, []
         for w in new:
             core = w.rstrip(TAIL)
             low = ""
             if core.isalpha():
                 if core.isascii():
                     low = core.lower()
-                elif max(core) < PLAIN and is_normalized("NFC", core):
-                    low = "".join(map(str.lower, core))
+                elif is_normalized("NFC", core) and max(core) < PLAIN:
+                    low = core.lower() if "Σ" not in core else "".join(map(str.lower, core))  # only its lower case depends on what follows
                     low = low if low.isalpha() and max(low) < PLAIN else ""
             if low:
-                self.cache[w] = self.part(low) if len(core) == len(w) else self.part(low) + self.part(w[len(core):])
+                got = known(low) or part(low)
+                if len(core) != len(w):
+                    tail = w[len(core):]
+                    got += known(tail) or part(tail)
+                cache[w] = got
             else:
                 other.append(w)
         for i in range(0, len(other), 20_000):
             some = other[i:i + 20_000]
             for w, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):
-                self.cache[w] = _packed(e.ids)
+                cache[w] = _packed(e.ids)
+
+    def documents(self, texts: list[list[str]], end: bytes) -> list[tuple[bytes, np.ndarray, np.ndarray]]:
+        """(ids with ``end``, possible ends, penalties) of some documents given by their words, looked up together."""
+        words = set().union(*texts)
+        self.learn(words)
+        get = {w: self.cache[w] for w in words}.__getitem__  # far smaller than the cache, so its lookups are nearer
+        data = [b"".join(map(get, ws)) + end for ws in texts]
+        marks = np.flatnonzero(self.sentence[np.frombuffer(b"".join(data), "<u4")]) + 1
+        out, begin, a = [], 0, 0
+        for d in data:
+            n = len(d) // 4
+            b = a + int(np.searchsorted(marks[a:], begin + n, "right"))
+            out.append((d, *_ends(marks[a:b] - begin, n)))
+            begin, a = begin + n, b
+        return out
 
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
@@ -168,10 +189,14 @@ def cuts(pos: np.ndarray, penalty: np.ndarray, window: int) -> list[int]:
 
 def ends(ids: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Possible ends within one document (after so many ids, rising, the last its length) and their penalties."""
-    n = len(ids)
-    at = np.flatnonzero(sentence[ids[:-1]]) + 1
-    at = np.append(at[at < n - 1], n)
-    gaps = np.diff(at, prepend=0)
+    return _ends(np.flatnonzero(sentence[ids]) + 1, len(ids))
+
+
+def _ends(at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`ends` of a document of ``n`` ids, by the numbers of ids up to and with its sentence marks."""
+    at = np.append(at[:np.searchsorted(at, n - 1)], n)
+    gaps = at.copy()
+    gaps[1:] -= at[:-1]
     if gaps.max() > HARD:
         inside = np.concatenate([np.arange(a - g + HARD, a, HARD) for a, g in zip(at, gaps) if g > HARD])
         both = np.concatenate([at, inside])
@@ -256,12 +281,10 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             id_type = b.schema.field(0).type
             for i in range(0, b.num_rows, 256):  # token ids of a few documents at a time
                 part = b.slice(i, 256)
-                words = [split(t) for t in part.column(1).to_pylist()]
-                tok.learn(set().union(*words))
                 rows = []
-                for doc, ws in zip(part.column(0).to_pylist(), words):
-                    data = b"".join(map(tok.cache.__getitem__, ws)) + end
-                    rows += packer.add(doc, data, *ends(np.frombuffer(data, "<u4"), tok.sentence))
+                texts = tok.documents([split(t) for t in part.column(1).to_pylist()], end)
+                for doc, (data, at, pen) in zip(part.column(0).to_pylist(), texts):
+                    rows += packer.add(doc, data, at, pen)
                 if rows:
                     yield out(rows)
         rows = packer.flush(True)

@@ -117,3 +117,28 @@ def test_query(spark):
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     rows = packing.query(spark, SF_SMALL).withColumnRenamed("doc_id", "id").collect()
     assert check(rows, texts, 4096, Tokenizer.from_file(PATH)) < 0.05
+
+
+def test_common_parts_outlive_a_range_within_their_bound(monkeypatch):
+    """A range taken up by a worker that has done another one walks no common word through the model again."""
+    monkeypatch.setattr(packing, "KEPT", 4)
+    words = packing.WordTokenizer(PATH)
+    first = words.ids("alpha, beta gamma delta epsilon.")
+    words.forget()
+    assert len(words.parts) == 4 and not words.cache
+    known = set(words.parts)
+    walked, part = [], words.part
+    words.part = lambda s: walked.append(s) or part(s)
+    assert words.ids("alpha, beta gamma delta epsilon.") == first
+    assert not known & set(walked) and len(walked) == 3
+
+
+def test_documents_looked_up_together_have_the_ids_and_ends_of_each_alone():
+    tok, end, r = packing.WordTokenizer(PATH), np.array([2], "<u4").tobytes(), random.Random(8)
+    texts = [" ".join(r.choice(["One", "two.", "Three!", "x" * 900, "ΟΔΟΣ", "wait?!"]) for _ in range(r.choice([0, 1, 60, 700]))) for _ in range(40)]
+    for t, (data, at, pen) in zip(texts, tok.documents([packing.split(t) for t in texts], end)):
+        ids = np.frombuffer(data, "<u4")
+        assert ids.tolist() == tok.tok.encode(t, add_special_tokens=False).ids + [2]
+        places = [i + 1 for i in np.flatnonzero(tok.sentence[ids[:-1]]) if i + 1 < len(ids) - 1] + [len(ids)]
+        assert at[pen != packing.INSIDE].tolist() == places and at[-1] == len(ids) and pen[-1] == 0
+        assert np.diff(at, prepend=0).max() <= packing.HARD
