@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from flowprism.llm.common import batches, cut, table
 from flowprism.llm.decontam import normal
 
-#: Words in a window, words from one window to the next, and windows scored at once.
-SPAN, STEP, BLOCK = 24, 12, 4096
+#: Words in a window, words from one window to the next, windows gathered at once, and windows without padding read at once.
+SPAN, STEP, BLOCK, WIDTH = 24, 12, 4096, 512
 #: Rows of the hashed tables, sizes of the embeddings, of a direction's state and of the attention.
 WORD_ROWS, GRAM_ROWS, WORD_DIM, GRAM_DIM, STATE, ATTEND = 1 << 15, 1 << 13, 8, 8, 8, 8
 INPUT = WORD_DIM + GRAM_DIM + 2
@@ -35,7 +35,7 @@ FEATURES, LEAST_Z, WORD_Z = 20_000, 3.0, 2.5
 #: How many flagged clean documents a missed toxic one weighs, so where the score passes 0.5 (chosen on two splits of sf0.1's fitting rows).
 MISS_COST = 3.0
 #: Words a worker's cache holds.
-CACHE = 200_000
+CACHE = 400_000
 
 _SCORERS: dict = {}
 
@@ -64,6 +64,76 @@ def trigrams(word: str) -> list[int]:
     return [known[t] if (t := w[i:i + 3]) in known else _trigram_row(t) for i in range(len(w) - 2)]
 
 
+class Spelt:
+    """Words with their marks of begin and end as one array of code points; ``begin`` and ``size`` of each."""
+
+    def __init__(self, words: list[str]):
+        self.text = "".join([f"<{w}>" for w in words])
+        self.points = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        self.size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        self.begin = np.cumsum(self.size) - self.size
+
+    def places(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where grams of ``n`` code points stand, word by word, and how many each word has."""
+        count = np.maximum(0, self.size - n + 1)
+        first = np.cumsum(count) - count
+        return np.repeat(self.begin - first, count) + np.arange(count.sum()), count
+
+    def trigram_rows(self) -> tuple[np.ndarray, np.ndarray]:
+        """The trigrams' table rows of all words in a row, and how many each has; a word without letters has none."""
+        at, count = self.places(3)
+        c = self.points
+        key, each = np.unique(c[at] << 42 | c[at + 1] << 21 | c[at + 2], return_inverse=True)
+        known = _TRIGRAM_ROWS
+        names = [chr(k >> 42) + chr(k >> 21 & 0x1FFFFF) + chr(k & 0x1FFFFF) for k in key.tolist()]
+        return np.array([known[t] if t in known else _trigram_row(t) for t in names], np.int64)[each], count
+
+
+class Grams:
+    """The character grams among the evidence, found in many words at once: by a 64-bit hash, then by their code points."""
+
+    def __init__(self, evidence: dict[str, float]):
+        own = [g for g in evidence if len(g) in (4, 5) and g[0] != " "]
+        self.of = {}
+        for n in (4, 5):
+            some = [g for g in own if len(g) == n]
+            if some:
+                points = np.array([[ord(c) for c in g] for g in some], np.int64)
+                odd = 0x9E3779B97F4A7C15
+                while len(np.unique(h := self._hash(points.T, odd))) < len(some):
+                    odd += 2
+                order = np.argsort(h)
+                self.of[n] = odd, h[order], points[order], np.array([evidence[g] for g in some])[order]
+
+    @staticmethod
+    def _hash(columns, odd: int) -> np.ndarray:
+        h = np.uint64(0)
+        for c in columns:
+            h = (h + c.astype(np.uint64)) * np.uint64(odd)
+            h = h ^ h >> np.uint64(29)
+        return h
+
+    def largest(self, spelt: Spelt) -> np.ndarray:
+        """By word the greatest evidence among its grams, those without any counting 0; 0 for a word that has none with."""
+        best, hits = np.zeros(len(spelt.size)), np.zeros(len(spelt.size), np.int64)
+        found = []
+        for n, (odd, h, points, odds) in self.of.items():
+            at, count = spelt.places(n)
+            mine = self._hash([spelt.points[at + i] for i in range(n)], odd)
+            k = np.minimum(np.searchsorted(h, mine), len(h) - 1)
+            some = np.flatnonzero(h[k] == mine)
+            some = some[(points[k[some]] == spelt.points[at[some, None] + np.arange(n)]).all(axis=1)]
+            found.append((np.repeat(np.arange(len(count)), count)[some], odds[k[some]]))
+        if found:
+            word, odds = (np.concatenate(x) for x in zip(*found))
+            np.add.at(hits, word, 1)
+            # a word all of whose grams are known may have a greatest one below 0
+            all_known = (hits > 0) & (hits == np.maximum(0, spelt.size - 3) + np.maximum(0, spelt.size - 4))
+            best[all_known] = -np.inf
+            np.maximum.at(best, word, odds)
+        return best.astype(np.float32)
+
+
 def features(words) -> set[str]:
     """What counts as evidence: the words, marked by a leading blank, and their longer character grams."""
     return {" " + w for w in words} | {g for w in words for g in grams(w)}
@@ -86,7 +156,7 @@ class Network:
 
         def init(*shape, scale=None):
             return (r.standard_normal(shape) * (scale or 1 / np.sqrt(shape[0]))).astype(np.float32)
-        self.evidence = evidence
+        self.evidence, self.known = evidence, None
         self.p = {"words": init(WORD_ROWS, WORD_DIM, scale=0.1), "grams": init(GRAM_ROWS, GRAM_DIM, scale=0.1),
                   "A": init(2 * STATE, ATTEND), "a0": np.zeros(ATTEND, np.float32), "v": init(ATTEND),
                   "w": init(2 * STATE), "b": np.zeros(1, np.float32)}
@@ -96,25 +166,33 @@ class Network:
     def with_evidence(self, evidence: dict[str, float]) -> "Network":
         """The same parameters with other evidence."""
         out = Network.__new__(Network)
-        out.p, out.evidence = self.p, evidence
+        out.p, out.evidence, out.known = self.p, evidence, None
         return out
 
     def lookups(self, words: list[str], evidence: dict[str, float] | None = None):
         """Table rows and evidence (the network's or another) of words: (word rows, a list of trigram rows for each word, evidence)."""
+        rows, (flat, size), ev = self.tables(words, evidence)
+        return rows, np.split(flat, np.cumsum(size)[:-1]) if words else [], ev
+
+    def tables(self, words: list[str], evidence: dict[str, float] | None = None):
+        """As :func:`lookups`, but the trigram rows of all words in one array, with how many each has."""
         rows = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % WORD_ROWS for w in words], np.int64)
-        tri = [np.array(trigrams(w), np.int64) for w in words]
-        evidence = self.evidence if evidence is None else evidence
-        get, known = evidence.get, evidence.keys()
-        ev = np.array([(get(" " + w, 0.0), 0.0 if known.isdisjoint(gs := grams(w)) else max(get(g, 0.0) for g in gs)) for w in words],
-                      np.float32).reshape(-1, 2)
-        return rows, tri, ev
+        if evidence is None or evidence is self.evidence:
+            if self.known is None:
+                self.known = Grams(self.evidence)
+            evidence, known = self.evidence, self.known
+        else:
+            known = Grams(evidence)
+        get, spelt = evidence.get, Spelt(words)
+        ev = np.array([get(" " + w, 0.0) for w in words], np.float32)
+        return rows, spelt.trigram_rows(), np.stack([ev, known.largest(spelt)], axis=1)
 
     def inputs(self, found) -> np.ndarray:
         rows, tri, ev = found
         if not len(rows):
             return np.zeros((0, INPUT), np.float32)
-        size = np.array([len(t) for t in tri])
-        mean = np.add.reduceat(self.p["grams"][np.concatenate(tri)], np.cumsum(size) - size) / size[:, None].astype(np.float32)
+        flat, size = tri if isinstance(tri, tuple) else (np.concatenate(tri), np.array([len(t) for t in tri]))
+        mean = np.add.reduceat(self.p["grams"][flat], np.cumsum(size) - size) / size[:, None].astype(np.float32)
         return np.concatenate([self.p["words"][rows], mean, ev], axis=1)
 
     def gates(self, x: np.ndarray) -> np.ndarray:
@@ -122,7 +200,53 @@ class Network:
 
     def logits(self, gates: np.ndarray, at: np.ndarray) -> np.ndarray:
         """``gates``: a first row of zeros, then one row per known word; ``at`` (windows, words): rows, padded by 0."""
-        return self.forward(gates, at, False)[0]
+        whole = at[:, -1] > 0
+        if not whole.any():
+            return self.forward(gates, at, False)[0]
+        out = np.empty(len(at), gates.dtype)
+        if not whole.all():
+            out[~whole] = self.forward(gates, at[~whole], False)[0]
+        rows = np.flatnonzero(whole)
+        for i in range(0, len(rows), WIDTH):
+            out[rows[i:i + WIDTH]] = self.unpadded(gates, at[rows[i:i + WIDTH]])
+        return out
+
+    def unpadded(self, gates, at):
+        """:meth:`forward` of windows without padding, both directions in step and the windows along the last axis, as
+        numpy's loops run along it."""
+        p, (n, span), s = self.p, at.shape, STATE
+        x = np.ascontiguousarray(gates.take(at.T, axis=0).transpose(0, 2, 1))
+        uf, ub = p["Uf"].T, p["Ub"].T
+        states = np.empty((span, 2 * s, n), x.dtype)
+        h, zr, new = np.zeros((2 * s, n), x.dtype), np.empty((4 * s, n), x.dtype), np.empty((2 * s, n), x.dtype)
+        z, r = zr[:2 * s], zr[2 * s:]
+        for t in range(span):
+            f, b = x[t, :3 * s], x[span - 1 - t, 3 * s:]
+            rf, rb = uf @ h[:s], ub @ h[s:]
+            np.add(f[:s], rf[:s], out=z[:s])
+            np.add(b[:s], rb[:s], out=z[s:])
+            np.add(f[s:2 * s], rf[s:2 * s], out=r[:s])
+            np.add(b[s:2 * s], rb[s:2 * s], out=r[s:])
+            np.minimum(np.maximum(zr, -30, out=zr), 30, out=zr)
+            np.negative(zr, out=zr)
+            np.exp(zr, out=zr)
+            zr += 1
+            np.divide(1, zr, out=zr)
+            np.multiply(r[:s], rf[2 * s:], out=new[:s])
+            np.multiply(r[s:], rb[2 * s:], out=new[s:])
+            new[:s] += f[2 * s:]
+            new[s:] += b[2 * s:]
+            np.tanh(new, out=new)
+            h -= new
+            h *= z
+            h += new
+            states[t, :s], states[span - 1 - t, s:] = h[:s], h[s:]
+        heard = np.tanh(p["A"].T @ states + p["a0"][:, None])
+        e = np.ascontiguousarray(heard.transpose(0, 2, 1)) @ p["v"]
+        e = np.exp(e - e.max(axis=0))
+        share = e / np.maximum(e.sum(axis=0), 1e-9)
+        pooled = np.ascontiguousarray(np.einsum("tn,tkn->kn", share, states).T)
+        return pooled @ p["w"] + p["b"][0]
 
     def forward(self, gates, at, keep: bool):
         p, (n, span), s = self.p, at.shape, STATE
@@ -242,7 +366,7 @@ class Scorer:
         self.rows, self.gates = {}, np.zeros((1 << 12, 6 * STATE), np.float32)
 
     def learn(self, words: set[str]):
-        new = [w for w in words if w not in self.rows]
+        new = list(words.difference(self.rows))
         if len(self.rows) + len(new) > CACHE and self.rows:
             self.clear()
             new = list(words)
@@ -253,13 +377,14 @@ class Scorer:
             self.gates = room
         for i in range(0, len(new), 20_000):
             part = new[i:i + 20_000]
-            self.gates[begin + i:begin + i + len(part)] = self.net.gates(self.net.inputs(self.net.lookups(part)))
+            self.gates[begin + i:begin + i + len(part)] = self.net.gates(self.net.inputs(self.net.tables(part)))
         self.rows.update(zip(new, range(begin, begin + len(new))))
 
     def documents(self, texts: list[list[str]]) -> np.ndarray:
         """Highest window logit of each document given by its words."""
-        self.learn(set().union(*texts))
-        get = self.rows.__getitem__
+        words = set().union(*texts)
+        self.learn(words)
+        get = {w: self.rows[w] for w in words}.__getitem__  # far smaller than the cache, so its lookups are nearer
         flat, begin, owner, at = [], [], [], 0
         for i, ws in enumerate(texts):
             ids = np.zeros(max(SPAN, -(-len(ws) // STEP) * STEP + STEP), np.int64)

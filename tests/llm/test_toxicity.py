@@ -172,3 +172,31 @@ def test_evidence_counts_both_halves_and_rare_words(spark):
     rows = [(f"plain text {i}", 0, i % 2) for i in range(400)] + [(f"plain text {i} {'zkrot' if i < 3 else ''}", 1, i % 2) for i in range(40)]
     first, second, both = toxicity._evidence(spark.createDataFrame(rows, "t string, y int, half long"))
     assert " zkrot" in both and " zkrot" not in first and " zkrot" not in second and " plain" not in both
+
+
+def test_words_looked_up_together_have_the_rows_and_evidence_of_each_alone():
+    """Also of one letter, beyond the basic plane, and where all grams of a word are known, some with evidence below 0."""
+    r = random.Random(9)
+    words = ["a", "ab", "abc", "é", "ñandú", "\U0001f600x", "日本語", "\ud800z", "odd", "neg"] + ["".join(r.choice("abcdé") for _ in range(r.randint(1, 9))) for _ in range(400)]
+    every = sorted({g for w in words for g in toxicity.grams(w)})
+    evidence = {g: r.choice([0.5, 1.5, 2.5]) for g in r.sample(every, 60)} | {" abc": 4.0, " é": 1.0, "<odd": 3.0} | {g: -2.0 + i for i, g in enumerate(toxicity.grams("neg"))}
+    net = toxicity.Network(evidence)
+    for rows, tri, ev in (net.lookups(words), toxicity.Network({}).lookups(words, evidence)):
+        for w, row, t, e in zip(words, rows, tri, ev):
+            assert row == zlib.crc32(w.encode("utf-8", "surrogatepass")) % toxicity.WORD_ROWS and t.tolist() == toxicity.trigrams(w)
+            gs = toxicity.grams(w)
+            most = max(evidence.get(g, 0.0) for g in gs) if any(g in evidence for g in gs) else 0.0
+            assert e.tolist() == [evidence.get(" " + w, 0.0), most], w
+    assert np.array_equal(net.inputs(net.tables(words)), net.inputs(net.lookups(words)))
+    assert not net.lookups([])[1] and toxicity.Network({}).lookups(["a"])[2].tolist() == [[0.0, 0.0]]
+
+
+def test_windows_without_padding_score_as_in_the_whole_pass(monkeypatch):
+    net = toxicity.Network({}, seed=3)
+    r = np.random.default_rng(3)
+    gates = np.vstack([np.zeros((1, 6 * toxicity.STATE)), r.standard_normal((50, 6 * toxicity.STATE))]).astype(np.float32)
+    at = r.integers(1, 51, (130, toxicity.SPAN))
+    at[::7, 10:] = 0
+    monkeypatch.setattr(toxicity, "WIDTH", 32)
+    assert np.allclose(net.logits(gates, at), net.forward(gates, at, False)[0], atol=1e-5)
+    assert np.allclose(net.unpadded(gates, at[1:7]), net.forward(gates, at[1:7], False)[0], atol=1e-5)
