@@ -168,3 +168,40 @@ def test_copies_of_queries_leave_in_bounded_frames():
     got = pd.concat(out)
     assert list(zip(got["qid"], got["cell"])) == [(5, c) for c in range(25)] + [(6, 3)] + [(8, c) for c in range(7, 12)]
     assert got["cell"].dtype == np.int32 and list(nb._copies(pdf, iter([]))) == []
+
+
+@pytest.mark.parametrize("exclude_self", [False, True])
+def test_a_cell_reads_few_of_its_leaves_and_loses_nothing(monkeypatch, exclude_self):
+    """Integer coordinates with ties; with a reach (the second visit) only rows within it come, and most leaves are not read."""
+    r = np.random.default_rng(11)
+    rv, rid = r.integers(0, 60, (4096, 3)).astype(float), r.permutation(4096)
+    some = r.choice(4096, 150, replace=False)
+    qid, qv = rid[some], rv[some]
+    d = np.sqrt(((qv[:, None] - rv[None]) ** 2).sum(2))
+    if exclude_self:
+        d[np.arange(150), some] = np.inf
+    order = [np.lexsort((rid, x))[:5] for x in d]
+    pairs, screened = [], nb._screened
+    monkeypatch.setattr(nb, "_screened", lambda a, b, c, e, *how: pairs.append(len(a) * len(c)) or screened(a, b, c, e, *how))
+    i, j, dist = nb.cell_topk(qid, qv, rid, rv, 5, exclude_self)
+    assert [j[i == x].tolist() for x in range(150)] == [o.tolist() for o in order]
+    assert sum(pairs) < 150 * 4096 / 2
+    reach = np.array([x[o[-1]] for x, o in zip(d, order)])
+    reach[::3] = np.inf
+    i, j, dist = nb.cell_topk(qid, qv, rid, rv, 5, exclude_self, reach)
+    assert [j[i == x].tolist() for x in range(150)] == [o.tolist() for o in order]
+    assert len(nb.cell_topk(qid, qv + 1000, rid, rv, 5, exclude_self, np.full(150, 9.0))[0]) == 0
+
+
+@pytest.mark.parametrize("exclude_self", [False, True])
+def test_equal_vectors_keep_their_least_ids_also_shared_ones(spark, exclude_self):
+    """A reference id that comes twice counts as two rows; leaving a query out leaves all rows of its id out."""
+    rs = [(i // 2, [float(i % 3), 0.0]) for i in range(300)]
+    qs = [(i, [1.0, 0.0]) for i in (0, 1, 2, 700)]
+    q, ref = spark.createDataFrame(qs, "id long, v array<double>"), spark.createDataFrame(rs, "id long, v array<double>").repartition(5)
+    rows = sorted((x["qid"], x["rank"], x["rid"], x["dist"]) for x in nb.knn_join(q, ref, 4, "id", "id", "v", exclude_self=exclude_self, block_rows=16).collect())
+    want = []
+    for qid, qv in qs:
+        all_ = sorted((float(np.sqrt(((np.array(qv) - np.array(v)) ** 2).sum())), i) for i, v in rs if not (exclude_self and i == qid))
+        want += [(qid, n + 1, i, dist) for n, (dist, i) in enumerate(all_[:4])]
+    assert rows == sorted(want)
