@@ -153,3 +153,42 @@ def test_every_cell_of_the_matrix_on_repeated_ids(spark):
     status, preds = md.train_matrix(v, ["a", "b"], ["knn", "logistic_regression", "svm"])
     assert {(r["model"], r["status"], r["n_train"]) for r in status.collect()} == {(m, "success", 200) for m in ("knn", "logistic_regression", "svm")}
     assert preds.groupBy("model").count().where("count = 60").count() == 3
+
+
+def test_gram_sums_told_apart_from_a_reference():
+    """Each model's Gram sum, right side and loss as a plain sum over its own rows, and no more products than the references and the differences need."""
+    import numpy as np
+    import pyarrow as pa
+
+    from flowprism.operators import svm
+    rng = np.random.default_rng(3)
+    x, y, w, fold = rng.normal(size=(900, 4)), rng.integers(0, 3, 900).astype(np.int32), rng.integers(0, 3, 900) / 2, rng.integers(0, 3, 900).astype(np.int32)
+    batches = [pa.RecordBatch.from_arrays([pa.array(list(x[a:a + 300])), pa.array(y[a:a + 300]), pa.array(w[a:a + 300]), pa.array(fold[a:a + 300])], names=["x", "y", "w", "fold"])
+               for a in range(0, 900, 300)]
+    classes, folds = np.repeat([0, 1, 2], 4), np.tile([0, 1, 2, -1], 3)
+    some = np.repeat(rng.normal(size=(3, 5)), 4, axis=0) + 0.01 * rng.normal(size=(12, 5))
+    for v in (np.zeros((12, 5)), some):
+        refs = svm.references(v, classes, folds, np.ones(12))
+        assert len(set(refs)) == (1 if not v.any() else 3) and (not v.any() or (folds[refs] == -1).all())
+        squared, plain = [], svm._square
+        svm._square = lambda z, w, rows: squared.append(len(rows)) or plain(z, w, rows)
+        try:
+            out = [np.frombuffer(b.column(1)[0].as_py()) for b in svm.gram_task(v, classes, folds, None, refs)(iter(batches))]
+        finally:
+            svm._square = plain
+        z, direct = np.column_stack([x, np.ones(900)]), 0
+        for i, s in enumerate(out):
+            sign = np.where(y == classes[i], 1.0, -1.0)
+            gap = 1 - sign * (z @ v[i])
+            on = (gap > 0) & (fold != folds[i]) & (w > 0)
+            direct += on.sum()
+            assert np.allclose(s[:25].reshape(5, 5), (z[on] * w[on, None]).T @ z[on]) and np.allclose(s[25:30], z[on].T @ (w * sign)[on]) and np.isclose(s[30], (w * gap ** 2)[on].sum())
+        assert sum(squared) < 0.5 * direct
+
+
+def test_cosine_to_rounding():
+    import numpy as np
+
+    from flowprism.operators import svm
+    z = np.concatenate([np.linspace(-50, 50, 40_001), [0.0, np.pi / 2, np.pi, -np.pi, 2 * np.pi]])
+    assert np.abs(svm.cosine(z.copy()) - np.cos(z)).max() < 1e-13
