@@ -29,3 +29,12 @@ def test_copy_gives_back_every_type(spark):
         kept = materialize(df)
         assert kept.dtypes == df.dtypes and list(map(str, kept.collect())) == list(map(str, df.collect()))
         discard(kept)
+
+
+def test_neighbour_search_copies_nothing_for_a_visit(spark):
+    """In data without clusters a query visits nearly every cell; neither its vector nor the cells' rows are written for that."""
+    from flowprism.operators.neighbors import knn_join
+    df = spark.range(3000).select("id", F.array(*[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(100_000)) / 1e5) for i in range(16)]).alias("v")).repartition(4).persist()
+    before = _bytes(spark)
+    assert knn_join(df, df, 3, "id", "id", "v", exclude_self=True, block_rows=60).count() == 9000
+    assert _bytes(spark) - before < 3 * 3000 * 17 * 8
